@@ -23,7 +23,7 @@ def _norm(v):
     import numpy as np
     import pandas as pd
 
-    if v is None:
+    if v is None or v is pd.NA or v is pd.NaT:
         return "NULL"
     if isinstance(v, float | np.floating):
         if math.isnan(v):
