@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_VERSION = re.compile(r"/v=(\d+)/")
+_VERSION = re.compile(r"v=(\d+)")
 
 
 class LayerTable:
@@ -29,14 +29,18 @@ class LayerTable:
 
     # ------------------------------------------------------------ versions
     def versions(self) -> list[int]:
-        """Committed versions, from the file listing (no data is read)."""
-        try:
-            files = self.spark.read.parquet(self.root).inputFiles()
-        except Exception as e:  # noqa: BLE001 - no table yet
-            if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
-                return []
-            raise
-        return sorted({int(m.group(1)) for f in files if (m := _VERSION.search(f))})
+        """Committed versions (folders with a ``_SUCCESS`` marker), from a listing."""
+        jvm = self.spark.sparkContext._jvm
+        root = jvm.org.apache.hadoop.fs.Path(self.root)
+        fs = root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        if not fs.exists(root):
+            return []
+        found = []
+        for status in fs.listStatus(root):
+            m = _VERSION.fullmatch(status.getPath().getName())
+            if m and status.isDirectory() and fs.exists(jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")):
+                found.append(int(m.group(1)))
+        return sorted(found)
 
     def _path(self, version: int) -> str:
         return f"{self.root}/v={version:06d}"
