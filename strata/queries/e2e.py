@@ -1,2 +1,157 @@
-QUERIES = {}
-ORACLE = {}
+"""End-to-end queries: CSV -> bronze -> silver -> gold under the run gate (G2, G3, G6, G7),
+and incremental file ingest (K9)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from strata.operators.marts import DimensionLookup, build_dimension, build_fact
+from strata.plans.control import ControlTables
+from strata.plans.jobs import GoldBuilder, LayerConfig, LoadContext, create_tables, run_layers
+from strata.queries.common import NOW, RUN_ID, audit_sql, table
+from strata.schemas import (
+    ADDED_BY, ADDED_ON, EDW_CONFIG, OBJECTS_COLUMN_MAPPING, OBJECTS_CONFIGURATION,
+    string_schema, with_audit,
+)
+from strata.session import scratch_dir
+from strata.sources.csv import write_csv
+from strata.sources.tables import Lakehouse
+from strata.streaming.ingest import ingest_new_files
+
+BRONZE = {
+    ("bronze", "CUSTOMER"): string_schema(
+        ["CUST_KEY", "CUST_NAME", "NATION_KEY", "ACCT_BAL", "MKT_SEGMENT"], audit=(ADDED_BY, ADDED_ON)),
+    ("bronze", "ORDERS"): string_schema(
+        ["ORDER_KEY", "CUST_KEY", "ORDER_STATUS", "TOTAL_PRICE", "ORDER_DATE"], audit=(ADDED_BY, ADDED_ON)),
+}
+SILVER = {
+    ("silver", "CUSTOMER"): with_audit(T.StructType([
+        T.StructField("CUSTOMER_ID", T.LongType()), T.StructField("CUSTOMER_NAME", T.StringType()),
+        T.StructField("NATION_ID", T.IntegerType()), T.StructField("BALANCE", T.DoubleType()),
+        T.StructField("SEGMENT", T.StringType())])),
+    ("silver", "ORDERS"): with_audit(T.StructType([
+        T.StructField("ORDER_ID", T.LongType()), T.StructField("CUSTOMER_ID", T.LongType()),
+        T.StructField("STATUS", T.StringType()), T.StructField("AMOUNT", T.DoubleType()),
+        T.StructField("ORDER_DATE", T.TimestampType())])),
+}
+GOLD = {
+    ("gold", "DIM_CUSTOMER"): with_audit(T.StructType([
+        T.StructField("CUSTOMER_KEY", T.LongType()), T.StructField("CUSTOMER_ID", T.LongType()),
+        T.StructField("CUSTOMER_NAME", T.StringType()), T.StructField("SEGMENT", T.StringType())])),
+    ("gold", "FACT_ORDERS"): with_audit(T.StructType([
+        T.StructField("ORDER_KEY", T.LongType()), T.StructField("ORDER_ID", T.LongType()),
+        T.StructField("CUSTOMER_KEY", T.LongType()), T.StructField("ORDER_DATE", T.TimestampType()),
+        T.StructField("AMOUNT", T.FloatType())])),
+}
+
+
+def _dim_customer(ctx: LoadContext):
+    return build_dimension(
+        ctx.lake.table("silver", "CUSTOMER").read(), ["CUSTOMER_ID", "CUSTOMER_NAME", "SEGMENT"],
+        key="CUSTOMER_KEY", order_by=["CUSTOMER_ID"], run_id=ctx.run_id, now=ctx.now,
+        schema=GOLD[("gold", "DIM_CUSTOMER")])
+
+
+def _fact_orders(ctx: LoadContext):
+    dim = ctx.lake.table("gold", "DIM_CUSTOMER").read()
+    return build_fact(
+        ctx.lake.table("silver", "ORDERS").read(), ["ORDER_ID", "CUSTOMER_ID", "ORDER_DATE", "AMOUNT"],
+        [DimensionLookup(dim, "CUSTOMER_ID", "CUSTOMER_ID", "CUSTOMER_KEY")],
+        key="ORDER_KEY", order_by=["ORDER_DATE", "CUSTOMER_KEY", "ORDER_ID"],
+        run_id=ctx.run_id, now=ctx.now, schema=GOLD[("gold", "FACT_ORDERS")])
+
+
+def full_pipeline(spark, sf_dir):
+    """Customer and orders as CSV drops (two layouts of orders) through all three layers."""
+    root = scratch_dir(spark, "lake")
+    src = f"{root}/raw"
+    c = table(spark, sf_dir, "customer")
+    write_csv(c.select(F.col("c_custkey").alias("Cust Key"), F.col("c_name").alias("Cust Name"),
+                       F.col("c_nationkey").alias("Nation Key"), F.col("c_acctbal").alias("Acct Bal ($)"),
+                       F.col("c_mktsegment").alias("Mkt-Segment")), f"{src}/customer")
+    o = table(spark, sf_dir, "orders")
+    write_csv(o.where(F.col("o_orderdate") < "1998-01-01").select(
+        F.col("o_orderkey").alias("Order Key"), F.col("o_custkey").alias("Cust Key"),
+        F.col("o_orderstatus").alias("Order Status"), F.col("o_totalprice").alias("Total Price"),
+        F.col("o_orderdate").alias("Order Date")), f"{src}/orders")
+    write_csv(o.where(F.col("o_orderdate") >= "1998-01-01").select(
+        F.col("o_orderdate").alias("order_date"), F.col("o_totalprice").alias("total_price"),
+        F.col("o_orderstatus").alias("order_status"), F.col("o_custkey").alias("cust_key"),
+        F.col("o_orderkey").alias("order_key")), f"{src}/orders", mode="append")
+
+    objects = spark.createDataFrame([
+        ("CUSTOMER", "logistic", "customer", "customer", "", "CUSTOMER", "CUSTOMER", "Upsert", "CUSTOMER_ID", 0, 1),
+        ("ORDERS", "logistic", "orders", "orders", "", "ORDERS", "ORDERS", "upsert", " ORDER_ID ", 1, 1),
+    ], OBJECTS_CONFIGURATION)
+    mapping = spark.createDataFrame([
+        ("logistic", "CUSTOMER", "CUST_KEY", "CUSTOMER_ID", "bigint", None),
+        ("logistic", "CUSTOMER", "CUST_NAME", "CUSTOMER_NAME", "string", None),
+        ("logistic", "CUSTOMER", "NATION_KEY", "NATION_ID", "int", None),
+        ("logistic", "CUSTOMER", "ACCT_BAL", "BALANCE", "double", "0"),
+        ("logistic", "CUSTOMER", "MKT_SEGMENT", "SEGMENT", "string", "UNKNOWN"),
+        ("Logistic", "orders", "ORDER_KEY", "ORDER_ID", "bigint", None),
+        ("Logistic", "orders", "CUST_KEY", "CUSTOMER_ID", "bigint", None),
+        ("Logistic", "orders", "ORDER_STATUS", "STATUS", "string", None),
+        ("Logistic", "orders", "TOTAL_PRICE", "AMOUNT", "double", None),
+        ("Logistic", "orders", "ORDER_DATE", "ORDER_DATE", "timestamp", None),
+    ], OBJECTS_COLUMN_MAPPING)
+    edw = spark.createDataFrame([
+        ("FACT_ORDERS", "upsert", "ORDER_KEY", "gold", "edw",
+         "ORDER_KEY, ORDER_ID, CUSTOMER_KEY, ORDER_DATE, AMOUNT, ADDED_BY, ADDED_ON, MODIFIED_BY, MODIFIED_ON", 1, 1),
+        ("DIM_CUSTOMER", "UPSERT", "CUSTOMER_KEY", "gold", "edw",
+         "CUSTOMER_KEY, CUSTOMER_ID, CUSTOMER_NAME, SEGMENT", 1, 1),
+    ], EDW_CONFIG)
+
+    lake = Lakehouse(spark, f"{root}/tables")
+    create_tables(lake, {**BRONZE, **SILVER, **GOLD})
+    control = ControlTables(lake.table("control", "status"), lake.table("control", "audit")).create()
+    control.register("layers", True)
+    ctx = LoadContext(spark, lake, src, RUN_ID, NOW)
+    cfg = LayerConfig(objects, mapping, edw,
+                      [GoldBuilder("FACT_ORDERS", _fact_orders, "fact"),
+                       GoldBuilder("DIM_CUSTOMER", _dim_customer, "dimension")])
+    state = run_layers(ctx, cfg, control, "layers")
+    assert state == "completed", state
+    return lake.table("gold", "FACT_ORDERS").read()
+
+
+CUSTOMER_HEADER = T.StructType([T.StructField(n, T.StringType()) for n in
+                                ("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")])
+CUSTOMER_STREAM_TARGET = T.StructType([
+    T.StructField("C_CUSTKEY", T.LongType()), T.StructField("C_NAME", T.StringType()),
+    T.StructField("C_NATIONKEY", T.IntegerType()), T.StructField("C_ACCTBAL", T.DoubleType()),
+    T.StructField("C_MKTSEGMENT", T.StringType()),
+    T.StructField(ADDED_BY, T.StringType()), T.StructField(ADDED_ON, T.TimestampType())])
+
+
+def incremental_ingest(spark, sf_dir):
+    """Customer CSV in two drops, each ingested by an ``availableNow`` run: every row once."""
+    root = scratch_dir(spark, "stream")
+    src, out, ckpt, arch = f"{root}/in", f"{root}/bronze", f"{root}/_checkpoint", f"{root}/archive"
+    c = table(spark, sf_dir, "customer").select(*[f.name for f in CUSTOMER_HEADER.fields])
+    kw = dict(run_id=RUN_ID, now=NOW, archive_dir=arch)
+    write_csv(c.where(F.col("c_nationkey") < 12), src)
+    ingest_new_files(spark, src, CUSTOMER_HEADER, out, ckpt, CUSTOMER_STREAM_TARGET, **kw)
+    write_csv(c.where(F.col("c_nationkey") >= 12), src, mode="append")
+    ingest_new_files(spark, src, CUSTOMER_HEADER, out, ckpt, CUSTOMER_STREAM_TARGET, **kw)
+    ingest_new_files(spark, src, CUSTOMER_HEADER, out, ckpt, CUSTOMER_STREAM_TARGET, **kw)  # nothing new
+    return spark.read.parquet(out)
+
+
+QUERIES = {"full_pipeline": full_pipeline, "incremental_ingest": incremental_ingest}
+
+ORACLE = {
+    "full_pipeline": f"""
+        WITH dim AS (SELECT c_custkey, row_number() OVER (ORDER BY c_custkey) AS CUSTOMER_KEY FROM customer)
+        SELECT CAST(row_number() OVER (ORDER BY o.o_orderdate, d.CUSTOMER_KEY NULLS FIRST, o.o_orderkey) AS BIGINT)
+                 AS ORDER_KEY,
+               o.o_orderkey AS ORDER_ID, CAST(d.CUSTOMER_KEY AS BIGINT) AS CUSTOMER_KEY,
+               o.o_orderdate AS ORDER_DATE, CAST(o.o_totalprice AS FLOAT) AS AMOUNT, {audit_sql()}
+        FROM orders o LEFT JOIN dim d ON o.o_custkey = d.c_custkey""",
+    "incremental_ingest": f"""
+        SELECT c_custkey AS C_CUSTKEY, c_name AS C_NAME, c_nationkey AS C_NATIONKEY,
+               c_acctbal AS C_ACCTBAL, c_mktsegment AS C_MKTSEGMENT,
+               '{RUN_ID}' AS ADDED_BY, TIMESTAMP '{NOW}' AS ADDED_ON
+        FROM customer""",
+}
