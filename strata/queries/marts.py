@@ -93,3 +93,57 @@ ORACLE = {
                c.c_custkey AS C_CUSTKEY
         FROM supplier s LEFT JOIN customer c ON s.s_nationkey = c.c_nationkey""",
 }
+
+
+def logistics_gold(spark, sf_dir):
+    """The logistics gold pair on mapped tables: appointments from suppliers (several per
+    yard = nation), sales from orders with prices as text in three spellings."""
+    from strata.operators.transform import conform
+    from strata.plans.logistics import dim_appointment_data, fact_sales
+    from strata.schemas import SILVER_APPOINTMENT_DATA, SILVER_SALES_DATA_PRIOR_DAY
+
+    nation = table(spark, sf_dir, "nation")
+    appt = (table(spark, sf_dir, "supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+            .select(F.col("n_name").alias("YARD_NAME"),
+                    F.col("s_suppkey").cast("string").alias("SALES_ORDER_TICKET_ID"),
+                    F.col("s_name").alias("CARRIER_NAME")))
+    appt = conform(_fill_missing(appt, SILVER_APPOINTMENT_DATA), SILVER_APPOINTMENT_DATA)
+    price = F.col("o_totalprice").cast("string")
+    sales = (table(spark, sf_dir, "orders")
+             .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+             .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+             .select(F.col("o_custkey").cast("string").alias("YARD_ID"), F.col("n_name").alias("YARD"),
+                     F.concat_ws("#", "o_orderpriority", "o_orderkey").alias("COMMODITY_NAME"),
+                     F.when(F.col("o_orderstatus") == "O", F.format_number("o_totalprice", 2))
+                      .when(F.col("o_orderstatus") == "P", F.concat(F.lit(" "), price, F.lit(" ")))
+                      .otherwise(price).alias("PRICE"),
+                     F.concat(F.lit("$"), price).alias("SELL_PRICE"),
+                     price.alias("INVOICE_TOTAL")))
+    sales = conform(_fill_missing(sales, SILVER_SALES_DATA_PRIOR_DAY), SILVER_SALES_DATA_PRIOR_DAY)
+    dim = dim_appointment_data(appt, run_id=RUN_ID, now=NOW)
+    return fact_sales(sales, dim, run_id=RUN_ID, now=NOW)
+
+
+def _fill_missing(df, schema):
+    have = {c.lower() for c in df.columns}
+    return df.select("*", *[F.lit(None).cast(f.dataType).alias(f.name)
+                            for f in schema.fields if f.name.lower() not in have])
+
+
+QUERIES["logistics_gold"] = logistics_gold
+ORACLE["logistics_gold"] = f"""
+    WITH appt AS (
+        SELECT n.n_name AS YARD_NAME, CAST(s.s_suppkey AS VARCHAR) AS SALES_ORDER_ID, s.s_name AS CARRIER_NAME
+        FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey),
+    dim AS (
+        SELECT YARD_NAME, row_number() OVER (ORDER BY YARD_NAME, SALES_ORDER_ID, CARRIER_NAME) AS ADK FROM appt),
+    sales AS (
+        SELECT CAST(o.o_custkey AS VARCHAR) AS YARD_ID, n.n_name AS YARD,
+               o.o_orderpriority || '#' || o.o_orderkey AS COMMODITY_NAME,
+               o.o_orderstatus AS st, o.o_totalprice AS p
+        FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey)
+    SELECT CAST(row_number() OVER (ORDER BY s.YARD_ID, d.ADK NULLS FIRST, s.COMMODITY_NAME) AS INTEGER) AS SALES_KEY,
+           s.YARD_ID, CAST(d.ADK AS INTEGER) AS APPOINTMENT_DATA_KEY, s.COMMODITY_NAME,
+           CASE WHEN s.st = 'O' AND s.p >= 1000 THEN NULL ELSE CAST(s.p AS FLOAT) END AS PRICE,
+           CAST(NULL AS FLOAT) AS SELL_PRICE, CAST(s.p AS FLOAT) AS INVOICE_TOTAL, {audit_sql()}
+    FROM sales s LEFT JOIN dim d ON s.YARD = d.YARD_NAME"""
