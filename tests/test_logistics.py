@@ -1,0 +1,36 @@
+from pyspark.sql import functions as F
+
+from strata.operators.transform import conform
+from strata.plans.logistics import dim_appointment_data, fact_sales
+from strata.schemas import GOLD_FACT_SALES, SILVER_APPOINTMENT_DATA, SILVER_SALES_DATA_PRIOR_DAY
+
+
+def _fill(spark, rows, cols, schema):
+    df = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in cols))
+    have = set(cols)
+    df = df.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields if f.name not in have])
+    return conform(df, schema)
+
+
+def test_dimension_fanout_null_key_and_prices(spark):
+    appts = _fill(spark, [("Y1", "S1", "C1"), ("Y1", "S2", "C2"), ("Y2", "S3", "C3")],
+                  ["YARD_NAME", "SALES_ORDER_TICKET_ID", "CARRIER_NAME"], SILVER_APPOINTMENT_DATA)
+    prices = ["1.5", "1,234.5", "", " 2 ", "$3", "1e3", None]
+    sales = _fill(spark, [("10", "Y1" if i < 2 else ("Y9" if i == 2 else None), f"c{i}", p, p, p)
+                          for i, p in enumerate(prices)],
+                  ["YARD_ID", "YARD", "COMMODITY_NAME", "PRICE", "SELL_PRICE", "INVOICE_TOTAL"],
+                  SILVER_SALES_DATA_PRIOR_DAY)
+    dim = dim_appointment_data(appts, run_id="r", now="2024-01-01 00:00:00")
+    assert sorted((r.YARD_NAME, r.APPOINTMENT_DATA_KEY) for r in dim.collect()) == [("Y1", 1), ("Y1", 2), ("Y2", 3)]
+    fact = fact_sales(sales, dim, run_id="r", now="2024-01-01 00:00:00")
+    assert fact.schema.fieldNames() == GOLD_FACT_SALES.fieldNames()
+    rows = fact.collect()
+    # the two Y1 sales repeat once per Y1 appointment; Y9 and null yards keep a null key
+    assert len(rows) == 2 * 2 + 5
+    assert sorted(r.SALES_KEY for r in rows) == list(range(1, 10))
+    by_c = {}
+    for r in rows:
+        by_c.setdefault(r.COMMODITY_NAME, set()).add(r.PRICE)
+    assert by_c == {"c0": {1.5}, "c1": {None}, "c2": {None}, "c3": {2.0}, "c4": {None}, "c5": {1000.0},
+                    "c6": {None}}
+    assert {r.APPOINTMENT_DATA_KEY for r in rows if r.COMMODITY_NAME in ("c2", "c3")} == {None}
