@@ -47,15 +47,12 @@ def dense_number(
     """
     spark = df.sparkSession
     order = resolve_columns(df.columns, order_by, "order column")
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
     tagged = df.withColumn(_TAG, F.monotonically_increasing_id())
     if not deterministic_input:
         tagged = stage(tagged, "tagged")
     n = tagged.count()
-    parts = max(
-        int(spark.conf.get("spark.sql.shuffle.partitions")),
-        math.ceil(n / rows_per_partition),
-        1,
-    )
+    parts = max(width, math.ceil(n / rows_per_partition), 1)
     ranked = stage(
         tagged.repartitionByRange(parts, *order, _TAG)
         .sortWithinPartitions(*order, _TAG)

@@ -51,16 +51,19 @@ def build_dimension(
     now=None,
     schema: T.StructType | None = None,
     unique_on: Sequence[str] | None = None,
+    source_is_scan: bool = False,
 ) -> DataFrame:
     """Project attributes, number them in ``order_by``, stamp audit, conform.
 
     ``unique_on`` keeps one row per value (a proper dimension); by default the
-    rows are kept as they come, one per source row.
+    rows are kept as they come, one per source row. ``source_is_scan`` tells
+    the numbering that rows come straight from files (no shuffle upstream).
     """
     dim = select_as(source, attributes)
     if unique_on:
         dim = dim.dropDuplicates(list(unique_on))
-    dim = stamp_audit(dense_number(dim, order_by, key), run_id, now)
+        source_is_scan = False
+    dim = stamp_audit(dense_number(dim, order_by, key, deterministic_input=source_is_scan), run_id, now)
     return conform(dim, schema) if schema is not None else dim
 
 

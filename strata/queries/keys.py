@@ -11,7 +11,7 @@ from strata.queries.common import table
 def dense_keys(spark, sf_dir):
     """Orders numbered 1..N by (order date, order key) without a one-task window."""
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
-    return dense_number(o, ["o_orderdate", "o_orderkey"], "ORDER_KEY")
+    return dense_number(o, ["o_orderdate", "o_orderkey"], "ORDER_KEY", deterministic_input=True)
 
 
 def key_retention(spark, sf_dir):

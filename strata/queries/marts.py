@@ -24,7 +24,7 @@ def building_dimension(spark, sf_dir):
     return build_dimension(
         customers,
         {"c_custkey": "C_CUSTKEY", "c_name": "C_NAME", "c_nationkey": "C_NATIONKEY"},
-        key="CUSTOMER_KEY", order_by=["C_CUSTKEY"], run_id=RUN_ID, now=NOW,
+        key="CUSTOMER_KEY", order_by=["C_CUSTKEY"], run_id=RUN_ID, now=NOW, source_is_scan=True,
     )
 
 
@@ -48,7 +48,7 @@ def dim_build(spark, sf_dir):
         table(spark, sf_dir, "customer"),
         {"c_custkey": "C_CUSTKEY", "c_name": "C_NAME", "c_nationkey": "C_NATIONKEY",
          "c_mktsegment": "C_MKTSEGMENT"},
-        key="CUSTOMER_KEY", order_by=["C_NATIONKEY", "C_CUSTKEY"], run_id=RUN_ID, now=NOW,
+        key="CUSTOMER_KEY", order_by=["C_NATIONKEY", "C_CUSTKEY"], run_id=RUN_ID, now=NOW, source_is_scan=True,
     )
 
 
@@ -96,15 +96,16 @@ ORACLE = {
 
 
 def logistics_gold(spark, sf_dir):
-    """The logistics gold pair on mapped tables: appointments from suppliers (several per
-    yard = nation), sales from orders with prices as text in three spellings."""
+    """The logistics gold pair on mapped tables: appointments from suppliers, sales from
+    orders; a yard is (nation, key mod 10), so a yard has several appointments and its
+    sales repeat once per appointment. Prices arrive as text in three spellings."""
     from strata.operators.transform import conform
     from strata.plans.logistics import dim_appointment_data, fact_sales
     from strata.schemas import SILVER_APPOINTMENT_DATA, SILVER_SALES_DATA_PRIOR_DAY
 
     nation = table(spark, sf_dir, "nation")
     appt = (table(spark, sf_dir, "supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
-            .select(F.col("n_name").alias("YARD_NAME"),
+            .select(F.concat_ws("-", "n_name", F.col("s_suppkey") % 10).alias("YARD_NAME"),
                     F.col("s_suppkey").cast("string").alias("SALES_ORDER_TICKET_ID"),
                     F.col("s_name").alias("CARRIER_NAME")))
     appt = conform(_fill_missing(appt, SILVER_APPOINTMENT_DATA), SILVER_APPOINTMENT_DATA)
@@ -112,7 +113,8 @@ def logistics_gold(spark, sf_dir):
     sales = (table(spark, sf_dir, "orders")
              .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
              .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-             .select(F.col("o_custkey").cast("string").alias("YARD_ID"), F.col("n_name").alias("YARD"),
+             .select(F.col("o_custkey").cast("string").alias("YARD_ID"),
+                     F.concat_ws("-", "n_name", F.col("o_custkey") % 10).alias("YARD"),
                      F.concat_ws("#", "o_orderpriority", "o_orderkey").alias("COMMODITY_NAME"),
                      F.when(F.col("o_orderstatus") == "O", F.format_number("o_totalprice", 2))
                       .when(F.col("o_orderstatus") == "P", F.concat(F.lit(" "), price, F.lit(" ")))
@@ -133,12 +135,12 @@ def _fill_missing(df, schema):
 QUERIES["logistics_gold"] = logistics_gold
 ORACLE["logistics_gold"] = f"""
     WITH appt AS (
-        SELECT n.n_name AS YARD_NAME, CAST(s.s_suppkey AS VARCHAR) AS SALES_ORDER_ID, s.s_name AS CARRIER_NAME
+        SELECT n.n_name || '-' || (s.s_suppkey % 10) AS YARD_NAME, CAST(s.s_suppkey AS VARCHAR) AS SALES_ORDER_ID, s.s_name AS CARRIER_NAME
         FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey),
     dim AS (
         SELECT YARD_NAME, row_number() OVER (ORDER BY YARD_NAME, SALES_ORDER_ID, CARRIER_NAME) AS ADK FROM appt),
     sales AS (
-        SELECT CAST(o.o_custkey AS VARCHAR) AS YARD_ID, n.n_name AS YARD,
+        SELECT CAST(o.o_custkey AS VARCHAR) AS YARD_ID, n.n_name || '-' || (o.o_custkey % 10) AS YARD,
                o.o_orderpriority || '#' || o.o_orderkey AS COMMODITY_NAME,
                o.o_orderstatus AS st, o.o_totalprice AS p
         FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey)
