@@ -12,6 +12,9 @@ one task. ``dense_number`` gives the same numbers with every step partitioned:
 3. count rows per partition (one small aggregate, at most ``partitions`` rows),
    turn counts into offsets, and add them by a broadcast join whose size is
    bounded by the partition count.
+
+An input whose measured row count is at most ``small_rows`` skips all this:
+one sorted partition of that bounded size is cheaper than the extra jobs.
 """
 
 from __future__ import annotations
@@ -37,23 +40,30 @@ def dense_number(
     key: str,
     *,
     rows_per_partition: int = 2_000_000,
+    small_rows: int = 1_000_000,
     deterministic_input: bool = False,
 ) -> DataFrame:
     """Add ``key`` = 1..N (bigint) following ascending ``order_by`` (nulls first).
 
     Rows that tie on ``order_by`` get consecutive numbers in an unspecified
     order, as with ``row_number``. Set ``deterministic_input`` only when ``df``
-    is a plain file scan, to skip the first staging.
+    is a plain file scan, to skip the first staging. Inputs of at most
+    ``small_rows`` rows (counted first) are numbered in one sorted partition.
     """
     spark = df.sparkSession
     order = resolve_columns(df.columns, order_by, "order column")
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
     tagged = df.withColumn(_TAG, F.monotonically_increasing_id())
-    if not deterministic_input:
-        tagged = stage(tagged, "tagged")
     n = tagged.count()
+    if n <= small_rows:
+        # measured to be small: one sorted partition of at most `small_rows` rows,
+        # numbered in the same job that reads it (the tag only breaks ties)
+        w = Window.orderBy(*[F.col(c).asc_nulls_first() for c in order], _TAG)
+        return tagged.select(*df.columns, F.row_number().over(w).cast("long").alias(key))
+    if not deterministic_input:
+        tagged, n = stage(tagged, "tagged")
     parts = max(width, math.ceil(n / rows_per_partition), 1)
-    ranked = stage(
+    ranked, _ = stage(
         tagged.repartitionByRange(parts, *order, _TAG)
         .sortWithinPartitions(*order, _TAG)
         .withColumn(_PID, F.spark_partition_id())

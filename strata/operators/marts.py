@@ -41,6 +41,16 @@ def lookup_keys(fact: DataFrame, lookups: Sequence[DimensionLookup]) -> DataFram
     return out
 
 
+def _finish(df: DataFrame, key: str, schema: T.StructType | None) -> DataFrame:
+    """Conform to the schema; the surrogate key is cast strictly (overflow raises)."""
+    if schema is None:
+        return df
+    name = resolve_column(schema.fieldNames(), key)
+    if name is not None:
+        df = df.withColumn(key, F.col(key).cast(schema[name].dataType))
+    return conform(df, schema)
+
+
 def build_dimension(
     source: DataFrame,
     attributes: Mapping[str, str] | Sequence[str],
@@ -64,7 +74,7 @@ def build_dimension(
         dim = dim.dropDuplicates(list(unique_on))
         source_is_scan = False
     dim = stamp_audit(dense_number(dim, order_by, key, deterministic_input=source_is_scan), run_id, now)
-    return conform(dim, schema) if schema is not None else dim
+    return _finish(dim, key, schema)
 
 
 def build_fact(
@@ -85,4 +95,4 @@ def build_fact(
     """
     fact = lookup_keys(select_as(source, columns), lookups)
     fact = stamp_audit(dense_number(fact, order_by, key), run_id, now)
-    return conform(fact, schema) if schema is not None else fact
+    return _finish(fact, key, schema)

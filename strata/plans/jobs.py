@@ -68,13 +68,18 @@ def silver_transform(bronze: DataFrame, mapping: ColumnMapping, keys: Sequence[s
 
 def load_table(table: LayerTable, df: DataFrame, *, operation_type: str, is_full_load,
                keys: Sequence[str], run_id: str, now=None,
-               update_columns: Sequence[str] | None = None) -> int:
-    """K6 dispatch: replace (K2/K3) or upsert (K4/K5); returns rows written (K7)."""
+               update_columns: Sequence[str] | None = None, unique_keys: bool = False) -> int:
+    """K6 dispatch: replace (K2/K3) or upsert (K4/K5); returns rows written (K7).
+
+    ``unique_keys`` says ``df`` is already one row per key (e.g. deduplicated on
+    it), so the upsert skips its uniqueness check.
+    """
     mode = load_mode(operation_type, is_full_load)
     if mode == "replace":
         return table.replace(replace(df, table.schema, run_id=run_id, now=now))
     target = table.read()
-    return table.replace(upsert(target, df, keys, run_id=run_id, now=now, update_columns=update_columns))
+    return table.replace(upsert(target, df, keys, run_id=run_id, now=now,
+                                update_columns=update_columns, check=not unique_keys))
 
 
 def run_silver(ctx: LoadContext, objects: DataFrame, mapping: DataFrame) -> dict[str, int]:
@@ -88,7 +93,7 @@ def run_silver(ctx: LoadContext, objects: DataFrame, mapping: DataFrame) -> dict
         out[row["SILVER_TABLE_NAME"]] = load_table(
             silver, silver_transform(bronze, m, keys), operation_type=row["OPERATION_TYPE"],
             is_full_load=row["IS_FULL_LOAD"], keys=keys, run_id=ctx.run_id, now=ctx.now,
-            update_columns=m.merge_columns())
+            update_columns=m.merge_columns(), unique_keys=True)
     return out
 
 

@@ -43,12 +43,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def stage(df: DataFrame, tag: str = "stage") -> DataFrame:
-    """Write ``df`` as a parquet table in the shared folder and read it back.
+def stage(df: DataFrame, tag: str = "stage") -> tuple[DataFrame, int]:
+    """Write ``df`` as a parquet table in the shared folder; read it back, with its row count.
 
     Cuts lineage like ``checkpoint()``, but columnar and compressed; columns
-    computed before the write (row ids, partition ids) are frozen by it.
+    computed before the write (row ids, partition ids) are frozen by it. The
+    count is observed during the write, so it costs no extra job.
     """
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
+
     path = scratch_dir(df.sparkSession, tag)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    obs = Observation(f"stage-{tag}")
+    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    return df.sparkSession.read.parquet(path), int(obs.get["rows"])

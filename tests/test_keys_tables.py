@@ -8,12 +8,13 @@ from strata.operators.keys import assign_keys, dense_number
 from strata.sources.tables import LayerTable
 
 
-def test_dense_number_matches_window_with_ties_nulls_copies(spark):
+@pytest.mark.parametrize("small_rows", [0, 10**6])
+def test_dense_number_matches_window_with_ties_nulls_copies(spark, small_rows):
     rnd = random.Random(7)
     rows = [(rnd.choice([None, 1, 2, 3]), rnd.choice(["a", "b", None])) for _ in range(500)]
     rows += [(2, "b")] * 300  # a hot group of identical rows
     df = spark.createDataFrame(rows, "x int, y string").repartition(5)
-    out = dense_number(df, ["x", "y"], "K", rows_per_partition=50).collect()
+    out = dense_number(df, ["x", "y"], "K", rows_per_partition=50, small_rows=small_rows).collect()
     keys = sorted(r.K for r in out)
     assert keys == list(range(1, len(rows) + 1))
     # numbers follow the order: sorting by key gives a non-decreasing (x, y) sequence, nulls first
@@ -22,16 +23,19 @@ def test_dense_number_matches_window_with_ties_nulls_copies(spark):
     assert seq == sorted(seq)
 
 
-def test_dense_number_equals_row_number_on_total_order(spark):
+@pytest.mark.parametrize("small_rows,scan", [(0, False), (0, True), (10**6, False)])
+def test_dense_number_equals_row_number_on_total_order(spark, small_rows, scan):
     df = spark.range(0, 2000).select((F.col("id") * 7919 % 2000).alias("a"), (F.col("id") % 3).alias("b"))
-    ours = {(r.a, r.b): r.K for r in dense_number(df, ["b", "a"], "K").collect()}
+    ours = {(r.a, r.b): r.K for r in
+            dense_number(df, ["b", "a"], "K", small_rows=small_rows, deterministic_input=scan).collect()}
     ref = {(r.a, r.b): r.K for r in df.withColumn("K", F.row_number().over(Window.orderBy("b", "a"))).collect()}
     assert ours == ref
 
 
-def test_dense_number_empty(spark):
+@pytest.mark.parametrize("small_rows", [-1, 10])
+def test_dense_number_empty(spark, small_rows):
     df = spark.createDataFrame([], "a int")
-    out = dense_number(df, ["a"], "K")
+    out = dense_number(df, ["a"], "K", small_rows=small_rows)
     assert out.count() == 0 and out.columns == ["a", "K"]
 
 
