@@ -9,11 +9,12 @@ Spark's built-in tables refuse MERGE, so the upsert is a pure function
 * target rows with no match stay as they are (there is no delete);
 * ``=`` on keys, so a null key never matches: null-key source rows are inserted.
 
-It is planned as a left join target -> source plus an anti join source ->
-distinct target keys, rather than a full outer join: AQE can split a skewed
-key on the target side of a left join, and the distinct keys are collapsed by
-partial aggregation before their shuffle. A small source is broadcast by the
-planner's own size check.
+It is planned as a left join target -> source plus an anti join of the source
+against the matched keys, rather than a full outer join: AQE can split a
+skewed key on the target side of a left (or semi) join, and the matched keys
+are collapsed by partial aggregation before their shuffle. A small source is
+broadcast by the planner's own size check, so a large target is then read but
+never shuffled.
 """
 
 from __future__ import annotations
@@ -102,9 +103,14 @@ def upsert(
             kept.append(old.alias(c))
     kept_rows = matched.select(*kept)
 
-    tkeys_df = target.select(*[F.col(k).alias(f"__tk{i}") for i, k in enumerate(tkeys)]).distinct()
+    # keys present on both sides: a semi join of target keys against source keys
+    # (a small source is broadcast, so the target is not shuffled), then distinct
+    tk = target.select(*[F.col(k).alias(f"__tk{i}") for i, k in enumerate(tkeys)])
+    sk = source.select(*[F.col(k).alias(f"__qk{i}") for i, k in enumerate(skeys)])
+    both = tk.join(sk, [F.col(f"__tk{i}") == F.col(f"__qk{i}") for i in range(len(tkeys))],
+                   "left_semi").distinct()
     new = source.alias("__s").join(
-        tkeys_df, [F.col(f"__s.{k}") == F.col(f"__tk{i}") for i, k in enumerate(skeys)], "left_anti")
+        both, [F.col(f"__s.{k}") == F.col(f"__tk{i}") for i, k in enumerate(skeys)], "left_anti")
     inserted = new.select(*[
         (stamp[c.upper()] if c.upper() in AUDIT_COLUMNS
          else F.col(f"__s.{shared[c]}") if c in shared

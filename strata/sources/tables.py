@@ -28,8 +28,12 @@ class LayerTable:
         return f"LayerTable({self.root!r})"
 
     # ------------------------------------------------------------ versions
-    def versions(self) -> list[int]:
-        """Committed versions (folders with a ``_SUCCESS`` marker), from a listing."""
+    def versions(self, committed: bool = True) -> list[int]:
+        """Versions from a listing: committed ones have a ``_SUCCESS`` marker.
+
+        A write that died leaves a folder without the marker; readers skip it and
+        the next write takes a higher number.
+        """
         jvm = self.spark.sparkContext._jvm
         root = jvm.org.apache.hadoop.fs.Path(self.root)
         fs = root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
@@ -38,8 +42,11 @@ class LayerTable:
         found = []
         for status in fs.listStatus(root):
             m = _VERSION.fullmatch(status.getPath().getName())
-            if m and status.isDirectory() and fs.exists(jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")):
-                found.append(int(m.group(1)))
+            if not (m and status.isDirectory()):
+                continue
+            if committed and not fs.exists(jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")):
+                continue
+            found.append(int(m.group(1)))
         return sorted(found)
 
     def _path(self, version: int) -> str:
@@ -80,7 +87,7 @@ class LayerTable:
         return self._write_version(df)
 
     def _write_version(self, df: DataFrame) -> int:
-        vs = self.versions()
+        vs = self.versions(committed=False)
         obs = Observation("replace")
         df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(
             self._path((vs[-1] + 1) if vs else 1))

@@ -62,3 +62,15 @@ def test_layer_table_versions_and_readers(spark, workdir):
 def test_table_without_version_raises(spark, workdir):
     with pytest.raises(FileNotFoundError):
         LayerTable(spark, workdir).read()
+
+
+def test_failed_version_is_skipped(spark, workdir):
+    t = LayerTable(spark, workdir)
+    t.replace(spark.createDataFrame([(1,)], "a int"))
+    # a version folder without _SUCCESS, as a write that died leaves it
+    spark.createDataFrame([(99,)], "a int").write.parquet(f"{workdir}/v=000002")
+    fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{workdir}/v=000002/_SUCCESS")
+    fs_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(fs_path, False)
+    assert t.versions() == [1] and [r.a for r in t.read().collect()] == [1]
+    t.replace(spark.createDataFrame([(2,)], "a int"))
+    assert t.versions() == [1, 3] and [r.a for r in t.read().collect()] == [2]
