@@ -25,7 +25,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.functions.names import resolve_columns
+from strata.functions.names import resolve_column, resolve_columns
 from strata.session import stage
 
 _TAG = "__strata_tag"
@@ -52,6 +52,8 @@ def dense_number(
     """
     spark = df.sparkSession
     order = resolve_columns(df.columns, order_by, "order column")
+    if resolve_column(df.columns, key) is not None:
+        raise ValueError(f"key column {key!r} already exists in {df.columns}")
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
     tagged = df.withColumn(_TAG, F.monotonically_increasing_id())
     n = tagged.count()
