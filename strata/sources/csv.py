@@ -89,17 +89,19 @@ def csv_to_bronze(
     glob: str | None = "*.csv",
     uniform_header: bool = False,
     options: Mapping[str, str] | None = None,
+    file_column: str | None = None,
 ) -> DataFrame:
     """G1 without the write: read (S4/S6), normalise (P1), stamp (P2), conform.
 
     Each header group is conformed on its own, so a file that lacks a target
-    column fails the load, as loading it alone would.
+    column fails the load, as loading it alone would. ``file_column`` names a
+    column that receives each row's file name (kept if the schema has it).
     """
     audit = tuple(c for c in AUDIT_COLUMNS if c in schema.fieldNames())
-    parts = [
-        conform(stamp_audit(df, run_id, now, audit), schema)
-        for df in read_folder(spark, path, glob=glob, uniform_header=uniform_header, options=options)
-    ]
+    groups = read_folder(spark, path, glob=glob, uniform_header=uniform_header, options=options)
+    if file_column:
+        groups = [g.withColumn(file_column, F.col("_metadata.file_name")) for g in groups]
+    parts = [conform(stamp_audit(df, run_id, now, audit), schema) for df in groups]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -62,3 +62,10 @@ def test_gate(spark, workdir):
     assert ran == [1, 4]
     assert [r.PIPELINE_RUN_ID for r in c.audit.read().orderBy("PIPELINE_START_TIME").collect()] == ["r1", "r4"]
     assert c.status.read().count() == 1
+
+
+def test_file_name_lineage(spark, workdir):
+    write_csv(spark.createDataFrame([("a", "1")], "`Yard ID` string, `Price` string"), f"{workdir}/f")
+    schema = T.StructType([T.StructField("YARD_ID", T.StringType()), T.StructField("SOURCE_FILE", T.StringType())])
+    rows = csv_to_bronze(spark, f"{workdir}/f", schema, run_id="r", file_column="SOURCE_FILE").collect()
+    assert len(rows) == 1 and rows[0].SOURCE_FILE.startswith("part-") and rows[0].SOURCE_FILE.endswith(".csv")
