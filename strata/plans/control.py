@@ -14,7 +14,6 @@ from dataclasses import dataclass
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.operators.upsert import upsert
 from strata.schemas import PIPELINE_AUDIT_LOG, PIPELINE_RUN_STATUS
 from strata.sources.tables import LayerTable
 
@@ -43,10 +42,11 @@ class ControlTables:
         return bool(row[0])
 
     def set_flag(self, pipeline: str, completed: bool) -> None:
-        """Set (or create) the pipeline's flag, as an upsert of one row."""
+        """Set (or create) the pipeline's flag: every other row, plus this one."""
         spark = self.status.spark
         one = spark.createDataFrame([(pipeline, completed)], PIPELINE_RUN_STATUS)
-        self.status.replace(upsert(self.status.read(), one, ["PIPELINE_NAME"], run_id="", check=False))
+        others = self.status.read().where(~F.col("PIPELINE_NAME").eqNullSafe(pipeline))
+        self.status.replace(others.unionByName(one).coalesce(1))
 
     register = set_flag
 
