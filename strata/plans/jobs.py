@@ -21,6 +21,7 @@ from strata.plans.control import ControlTables, gated_run
 from strata.schemas import ADDED_ON
 from strata.sources.csv import csv_to_bronze
 from strata.sources.tables import Lakehouse, LayerTable
+from strata.streaming.ingest import ingest_into_table
 
 
 @dataclass
@@ -42,14 +43,29 @@ def bronze_object(ctx: LoadContext, source_dir: str, bronze: LayerTable) -> int:
     return bronze.append(df)
 
 
-def run_bronze(ctx: LoadContext, objects: DataFrame, *, active_only: bool = False) -> dict[str, int]:
-    """Every configured object (all rows, as the reference, unless ``active_only``)."""
+def run_bronze(ctx: LoadContext, objects: DataFrame, *, active_only: bool = False,
+               incremental: bool = False) -> dict[str, int]:
+    """Every configured object (all rows, as the reference, unless ``active_only``).
+
+    ``incremental`` loads only files not loaded before (K9) and archives loaded
+    files below ``<source root>/<ARCHIVE_PATH>/archive``; the stream's progress is
+    kept below the lake root.
+    """
     cfg = active(objects) if active_only else objects
+    root = ctx.source_root.rstrip("/")
     out = {}
-    for row in cfg.select("BRONZE_TABLE_NAME", "SOURCE_FILE_PATH").collect():
-        folder = f"{ctx.source_root.rstrip('/')}/{row['SOURCE_FILE_PATH'].strip('/')}"
-        out[row["BRONZE_TABLE_NAME"]] = bronze_object(
-            ctx, folder, ctx.lake.table("bronze", row["BRONZE_TABLE_NAME"]))
+    for row in cfg.select("BRONZE_TABLE_NAME", "SOURCE_FILE_PATH", "ARCHIVE_PATH").collect():
+        name = row["BRONZE_TABLE_NAME"]
+        folder = f"{root}/{row['SOURCE_FILE_PATH'].strip('/')}"
+        table = ctx.lake.table("bronze", name)
+        if not incremental:
+            out[name] = bronze_object(ctx, folder, table)
+            continue
+        sub = (row["ARCHIVE_PATH"] or "").strip("/")
+        archive = f"{root}/{sub}/archive" if sub else f"{root}/archive"
+        out[name] = ingest_into_table(
+            ctx.spark, folder, table, f"{ctx.lake.root}/_ingest/{name.lower()}",
+            run_id=ctx.run_id, now=ctx.now, archive_dir=archive, glob=ctx.glob or "*.csv")
     return out
 
 

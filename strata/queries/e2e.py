@@ -139,9 +139,41 @@ def incremental_ingest(spark, sf_dir):
     return spark.read.parquet(out)
 
 
-QUERIES = {"full_pipeline": full_pipeline, "incremental_ingest": incremental_ingest}
+def incremental_bronze(spark, sf_dir):
+    """Config-driven bronze in incremental mode: two drops of customers, two runs; each file
+    is loaded once, by the run that first sees it, then archived."""
+    from strata.plans.jobs import run_bronze
+    from strata.queries.common import NOW_2, RUN_ID_2
+
+    root = scratch_dir(spark, "incr")
+    src = f"{root}/landing"
+    lake = Lakehouse(spark, f"{root}/tables")
+    lake.table("bronze", "CUSTOMER").create(CUSTOMER_STREAM_TARGET)
+    objects = spark.createDataFrame([
+        ("CUSTOMER", "logistic", "customer/in", "customer", "customer/processed", "CUSTOMER", "CUSTOMER",
+         "upsert", "C_CUSTKEY", 0, 1)], OBJECTS_CONFIGURATION)
+    c = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("C Custkey"), F.col("c_name").alias("C Name"),
+        F.col("c_nationkey").alias("C NationKey"), F.col("c_acctbal").alias("C AcctBal"),
+        F.col("c_mktsegment").alias("C MktSegment"))
+    write_csv(c.where(F.col("C NationKey") < 12), f"{src}/customer/in")
+    run_bronze(LoadContext(spark, lake, src, RUN_ID, NOW), objects, incremental=True)
+    write_csv(c.where(F.col("C NationKey") >= 12), f"{src}/customer/in", mode="append")
+    run_bronze(LoadContext(spark, lake, src, RUN_ID_2, NOW_2), objects, incremental=True)
+    run_bronze(LoadContext(spark, lake, src, "run-0003", NOW_2), objects, incremental=True)  # nothing new
+    return lake.table("bronze", "CUSTOMER").read()
+
+
+QUERIES = {"full_pipeline": full_pipeline, "incremental_ingest": incremental_ingest,
+           "incremental_bronze": incremental_bronze}
 
 ORACLE = {
+    "incremental_bronze": f"""
+        SELECT c_custkey AS C_CUSTKEY, c_name AS C_NAME, c_nationkey AS C_NATIONKEY,
+               c_acctbal AS C_ACCTBAL, c_mktsegment AS C_MKTSEGMENT,
+               CASE WHEN c_nationkey < 12 THEN '{RUN_ID}' ELSE 'run-0002' END AS ADDED_BY,
+               CASE WHEN c_nationkey < 12 THEN TIMESTAMP '{NOW}' ELSE TIMESTAMP '2024-02-01 12:30:00' END AS ADDED_ON
+        FROM customer""",
     "full_pipeline": f"""
         WITH dim AS (SELECT c_custkey, row_number() OVER (ORDER BY c_custkey) AS CUSTOMER_KEY FROM customer)
         SELECT CAST(row_number() OVER (ORDER BY o.o_orderdate, d.CUSTOMER_KEY NULLS FIRST, o.o_orderkey) AS BIGINT)

@@ -63,8 +63,16 @@ class LayerTable:
 
     # ------------------------------------------------------------ reads
     def read(self) -> DataFrame:
-        """The current version."""
-        return self.spark.read.parquet(self.current_path())
+        """The current version (files below it too: streamed batches live in subfolders)."""
+        return self.spark.read.option("recursiveFileLookup", "true").parquet(self.current_path())
+
+    def write_batch(self, df: DataFrame, batch_id: int) -> None:
+        """Write one micro-batch into the current version, idempotently.
+
+        A replayed batch (same id) overwrites its own folder instead of adding
+        its rows twice.
+        """
+        df.write.mode("overwrite").parquet(f"{self.current_path()}/batch={batch_id:012d}")
 
     @property
     def schema(self) -> T.StructType:

@@ -13,11 +13,15 @@ of being misread.
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
 from strata.operators.transform import conform, normalize_headers, stamp_audit
 from strata.schemas import AUDIT_COLUMNS
+from strata.sources.csv import file_headers
+from strata.sources.tables import LayerTable
 
 
 def ingest_new_files(
@@ -52,3 +56,58 @@ def ingest_new_files(
     if query.exception() is not None:
         raise query.exception()
     return query.lastProgress or {}
+
+
+def discover_header(spark: SparkSession, source_dir: str, glob: str = "*.csv") -> T.StructType | None:
+    """The one header of the files waiting in ``source_dir`` (None if there are none).
+
+    A stream reads one layout; files with different headers raise here.
+    """
+    try:
+        headers = [r["header"] for r in file_headers(spark, source_dir, glob=glob)
+                   .select("header").distinct().collect()]
+    except Exception as e:  # noqa: BLE001 - an empty or missing folder
+        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
+            return None
+        raise
+    if not headers:
+        return None
+    if len(headers) > 1:
+        raise ValueError(f"files below {source_dir} have {len(headers)} different headers: {headers}")
+    names = next(csv.reader([headers[0]], escapechar="\\"))
+    return T.StructType([T.StructField(n, T.StringType()) for n in names])
+
+
+def ingest_into_table(
+    spark: SparkSession,
+    source_dir: str,
+    bronze: LayerTable,
+    checkpoint_dir: str,
+    *,
+    run_id: str,
+    now=None,
+    archive_dir: str | None = None,
+    header: T.StructType | None = None,
+    glob: str = "*.csv",
+) -> int:
+    """K9 into a layer table: new files only, each micro-batch written idempotently.
+
+    Returns the number of rows read. The header is discovered from the waiting
+    files unless given.
+    """
+    header = header or discover_header(spark, source_dir, glob)
+    if header is None:
+        return 0
+    target = bronze.schema
+    reader = (spark.readStream.format("csv").schema(header)
+              .option("header", True).option("enforceSchema", False).option("pathGlobFilter", glob))
+    if archive_dir:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
+    audit = tuple(c for c in AUDIT_COLUMNS if c in target.fieldNames())
+    rows = conform(stamp_audit(normalize_headers(reader.load(source_dir)), run_id, now, audit), target)
+    query = (rows.writeStream.foreachBatch(lambda df, batch_id: bronze.write_batch(df, batch_id))
+             .option("checkpointLocation", checkpoint_dir).trigger(availableNow=True).start())
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise query.exception()
+    return sum(int(p.get("numInputRows", 0)) for p in query.recentProgress)
