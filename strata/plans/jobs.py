@@ -6,7 +6,8 @@ Config rows are few and are collected; each object's work is one Spark plan
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,6 +35,19 @@ class LoadContext:
     run_id: str
     now: object = None
     glob: str | None = "*.csv"
+    workers: int = 4  # independent objects whose jobs may run side by side
+
+
+def _each(items: Iterable, fn: Callable, workers: int) -> list:
+    """Run ``fn`` on independent objects; their Spark jobs may run side by side.
+
+    The first failure is raised (after the running ones finish).
+    """
+    items = list(items)
+    if workers <= 1 or len(items) <= 1:
+        return [fn(x) for x in items]
+    with ThreadPoolExecutor(max_workers=min(workers, len(items))) as pool:
+        return list(pool.map(fn, items))
 
 
 # ------------------------------------------------------------------ bronze
@@ -53,20 +67,21 @@ def run_bronze(ctx: LoadContext, objects: DataFrame, *, active_only: bool = Fals
     """
     cfg = active(objects) if active_only else objects
     root = ctx.source_root.rstrip("/")
-    out = {}
-    for row in cfg.select("BRONZE_TABLE_NAME", "SOURCE_FILE_PATH", "ARCHIVE_PATH").collect():
+
+    def one(row) -> tuple[str, int]:
         name = row["BRONZE_TABLE_NAME"]
         folder = f"{root}/{row['SOURCE_FILE_PATH'].strip('/')}"
         table = ctx.lake.table("bronze", name)
         if not incremental:
-            out[name] = bronze_object(ctx, folder, table)
-            continue
+            return name, bronze_object(ctx, folder, table)
         sub = (row["ARCHIVE_PATH"] or "").strip("/")
         archive = f"{root}/{sub}/archive" if sub else f"{root}/archive"
-        out[name] = ingest_into_table(
+        return name, ingest_into_table(
             ctx.spark, folder, table, f"{ctx.lake.root}/_ingest/{name.lower()}",
             run_id=ctx.run_id, now=ctx.now, archive_dir=archive, glob=ctx.glob or "*.csv")
-    return out
+
+    rows = cfg.select("BRONZE_TABLE_NAME", "SOURCE_FILE_PATH", "ARCHIVE_PATH").collect()
+    return dict(_each(rows, one, ctx.workers))
 
 
 # ------------------------------------------------------------------ silver
@@ -100,17 +115,17 @@ def load_table(table: LayerTable, df: DataFrame, *, operation_type: str, is_full
 
 def run_silver(ctx: LoadContext, objects: DataFrame, mapping: DataFrame) -> dict[str, int]:
     """Every active object: bronze -> mapped, deduped rows -> silver."""
-    out = {}
-    for row in active(objects).collect():
+    def one(row) -> tuple[str, int]:
         keys = split_list(row["KEY_COLUMN_NAME"])
         m = load_mapping(mapping, row["SOURCE_NAME"], row["OBJECT_NAME"])
         bronze = ctx.lake.table("bronze", row["BRONZE_TABLE_NAME"]).read()
         silver = ctx.lake.table("silver", row["SILVER_TABLE_NAME"])
-        out[row["SILVER_TABLE_NAME"]] = load_table(
+        return row["SILVER_TABLE_NAME"], load_table(
             silver, silver_transform(bronze, m, keys), operation_type=row["OPERATION_TYPE"],
             is_full_load=row["IS_FULL_LOAD"], keys=keys, run_id=ctx.run_id, now=ctx.now,
             update_columns=m.merge_columns(), unique_keys=True)
-    return out
+
+    return dict(_each(active(objects).collect(), one, ctx.workers))
 
 
 # ------------------------------------------------------------------ gold
@@ -130,18 +145,19 @@ def run_gold(ctx: LoadContext, edw_config: DataFrame, builders: Sequence[GoldBui
     unknown = [r["OBJECT_NAME"] for r in rows if r["OBJECT_NAME"].lower() not in by_name]
     if unknown:
         raise ValueError(f"no gold builder for {unknown}")
-    rows.sort(key=lambda r: (by_name[r["OBJECT_NAME"].lower()].kind != "dimension", r["OBJECT_NAME"]))
-    out = {}
-    for row in rows:
+    def one(row) -> tuple[str, int]:
         b = by_name[row["OBJECT_NAME"].lower()]
         keys = split_list(row["GOLD_KEY_COLUMN_NAME"])
         listed = split_list(row["GOLD_COLUMN_NAMES"])
-        out[row["OBJECT_NAME"]] = load_table(
+        return row["OBJECT_NAME"], load_table(
             ctx.lake.table("gold", row["OBJECT_NAME"]), b.build(ctx),
             operation_type=row["OPERATION_TYPE"], is_full_load=row["IS_FULL_LOAD"], keys=keys,
             run_id=ctx.run_id, now=ctx.now,
             update_columns=gold_update_columns(listed, keys) if listed else None)
-    return out
+
+    dims = [r for r in rows if by_name[r["OBJECT_NAME"].lower()].kind == "dimension"]
+    facts = [r for r in rows if by_name[r["OBJECT_NAME"].lower()].kind != "dimension"]
+    return dict(_each(dims, one, ctx.workers) + _each(facts, one, ctx.workers))
 
 
 # ------------------------------------------------------------------ whole run
@@ -155,11 +171,14 @@ class LayerConfig:
 
 def create_tables(lake: Lakehouse, schemas: Mapping[tuple[str, str], T.StructType]) -> None:
     """K8: create every (layer, name) table that does not exist yet."""
-    for (layer, name), schema in schemas.items():
+    def one(item) -> None:
+        (layer, name), schema = item
         t = lake.table(layer, name)
         if not t.exists():
             t.create(schema)
 
+    _each(schemas.items(), one, 4)
+
 
 def run_layers(ctx: LoadContext, cfg: LayerConfig, control: ControlTables, pipeline: str,
                **gate) -> str:

@@ -54,6 +54,6 @@ def stage(df: DataFrame, tag: str = "stage") -> tuple[DataFrame, int]:
     from pyspark.sql import functions as F
 
     path = scratch_dir(df.sparkSession, tag)
-    obs = Observation(f"stage-{tag}")
+    obs = Observation()
     df.observe(obs, F.count(F.lit(1)).alias("rows")).write.parquet(path)
     return df.sparkSession.read.parquet(path), int(obs.get["rows"])

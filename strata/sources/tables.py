@@ -86,7 +86,7 @@ class LayerTable:
 
     def append(self, df: DataFrame) -> int:
         """K1: add rows to the current version; returns rows written."""
-        obs = Observation("append")
+        obs = Observation()
         df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(self.current_path())
         return int(obs.get["rows"])
 
@@ -96,7 +96,7 @@ class LayerTable:
 
     def _write_version(self, df: DataFrame) -> int:
         vs = self.versions(committed=False)
-        obs = Observation("replace")
+        obs = Observation()
         df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(
             self._path((vs[-1] + 1) if vs else 1))
         return int(obs.get["rows"])
