@@ -1,4 +1,4 @@
-"""The logistics objects: declared tables and the two gold builders.
+"""Yard sales and appointments: declared tables and the two gold builders.
 
 ``dim_appointment_data`` keys appointments in yard order and is *not* unique
 per yard, so ``fact_sales`` repeats a sale once per appointment of its yard

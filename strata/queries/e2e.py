@@ -81,20 +81,20 @@ def full_pipeline(spark, sf_dir):
         F.col("o_orderkey").alias("order_key")), f"{src}/orders", mode="append")
 
     objects = spark.createDataFrame([
-        ("CUSTOMER", "logistic", "customer", "customer", "", "CUSTOMER", "CUSTOMER", "Upsert", "CUSTOMER_ID", 0, 1),
-        ("ORDERS", "logistic", "orders", "orders", "", "ORDERS", "ORDERS", "upsert", " ORDER_ID ", 1, 1),
+        ("CUSTOMER", "erp", "customer", "customer", "", "CUSTOMER", "CUSTOMER", "Upsert", "CUSTOMER_ID", 0, 1),
+        ("ORDERS", "erp", "orders", "orders", "", "ORDERS", "ORDERS", "upsert", " ORDER_ID ", 1, 1),
     ], OBJECTS_CONFIGURATION)
     mapping = spark.createDataFrame([
-        ("logistic", "CUSTOMER", "CUST_KEY", "CUSTOMER_ID", "bigint", None),
-        ("logistic", "CUSTOMER", "CUST_NAME", "CUSTOMER_NAME", "string", None),
-        ("logistic", "CUSTOMER", "NATION_KEY", "NATION_ID", "int", None),
-        ("logistic", "CUSTOMER", "ACCT_BAL", "BALANCE", "double", "0"),
-        ("logistic", "CUSTOMER", "MKT_SEGMENT", "SEGMENT", "string", "UNKNOWN"),
-        ("Logistic", "orders", "ORDER_KEY", "ORDER_ID", "bigint", None),
-        ("Logistic", "orders", "CUST_KEY", "CUSTOMER_ID", "bigint", None),
-        ("Logistic", "orders", "ORDER_STATUS", "STATUS", "string", None),
-        ("Logistic", "orders", "TOTAL_PRICE", "AMOUNT", "double", None),
-        ("Logistic", "orders", "ORDER_DATE", "ORDER_DATE", "timestamp", None),
+        ("erp", "CUSTOMER", "CUST_KEY", "CUSTOMER_ID", "bigint", None),
+        ("erp", "CUSTOMER", "CUST_NAME", "CUSTOMER_NAME", "string", None),
+        ("erp", "CUSTOMER", "NATION_KEY", "NATION_ID", "int", None),
+        ("erp", "CUSTOMER", "ACCT_BAL", "BALANCE", "double", "0"),
+        ("erp", "CUSTOMER", "MKT_SEGMENT", "SEGMENT", "string", "UNKNOWN"),
+        ("Erp", "orders", "ORDER_KEY", "ORDER_ID", "bigint", None),
+        ("Erp", "orders", "CUST_KEY", "CUSTOMER_ID", "bigint", None),
+        ("Erp", "orders", "ORDER_STATUS", "STATUS", "string", None),
+        ("Erp", "orders", "TOTAL_PRICE", "AMOUNT", "double", None),
+        ("Erp", "orders", "ORDER_DATE", "ORDER_DATE", "timestamp", None),
     ], OBJECTS_COLUMN_MAPPING)
     edw = spark.createDataFrame([
         ("FACT_ORDERS", "upsert", "ORDER_KEY", "gold", "edw",
@@ -150,7 +150,7 @@ def incremental_bronze(spark, sf_dir):
     lake = Lakehouse(spark, f"{root}/tables")
     lake.table("bronze", "CUSTOMER").create(CUSTOMER_STREAM_TARGET)
     objects = spark.createDataFrame([
-        ("CUSTOMER", "logistic", "customer/in", "customer", "customer/processed", "CUSTOMER", "CUSTOMER",
+        ("CUSTOMER", "erp", "customer/in", "customer", "customer/processed", "CUSTOMER", "CUSTOMER",
          "upsert", "C_CUSTKEY", 0, 1)], OBJECTS_CONFIGURATION)
     c = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("C Custkey"), F.col("c_name").alias("C Name"),

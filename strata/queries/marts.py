@@ -95,12 +95,12 @@ ORACLE = {
 }
 
 
-def logistics_gold(spark, sf_dir):
-    """The logistics gold pair on mapped tables: appointments from suppliers, sales from
+def sales_gold(spark, sf_dir):
+    """The yard sales gold pair on mapped tables: appointments from suppliers, sales from
     orders; a yard is (nation, key mod 10), so a yard has several appointments and its
     sales repeat once per appointment. Prices arrive as text in three spellings."""
     from strata.operators.transform import conform
-    from strata.plans.logistics import dim_appointment_data, fact_sales
+    from strata.plans.yard_marts import dim_appointment_data, fact_sales
     from strata.schemas import SILVER_APPOINTMENT_DATA, SILVER_SALES_DATA_PRIOR_DAY
 
     nation = table(spark, sf_dir, "nation")
@@ -132,8 +132,8 @@ def _fill_missing(df, schema):
                             for f in schema.fields if f.name.lower() not in have])
 
 
-QUERIES["logistics_gold"] = logistics_gold
-ORACLE["logistics_gold"] = f"""
+QUERIES["sales_gold"] = sales_gold
+ORACLE["sales_gold"] = f"""
     WITH appt AS (
         SELECT n.n_name || '-' || (s.s_suppkey % 10) AS YARD_NAME, CAST(s.s_suppkey AS VARCHAR) AS SALES_ORDER_ID, s.s_name AS CARRIER_NAME
         FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey),

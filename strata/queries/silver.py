@@ -24,14 +24,14 @@ def mapping_rename(spark, sf_dir):
     """Supplier renamed by mapping rows: a swap, a rename onto an existing column, no-ops."""
     sup = table(spark, sf_dir, "supplier").withColumn("SUPPLIER_ID", F.lit("stale"))
     mapping = _mapping(spark, [
-        ("logistic", "SUPPLIER", "s_name", "s_acctbal", "string", None),
-        ("logistic", "SUPPLIER", "s_acctbal", "s_name", "double", None),
-        ("logistic", "SUPPLIER", "s_suppkey", "SUPPLIER_ID", "bigint", None),
-        ("logistic", "SUPPLIER", "s_nationkey", "s_nationkey", "int", None),
-        ("logistic", "SUPPLIER", "not_there", "X", "string", None),
+        ("erp", "SUPPLIER", "s_name", "s_acctbal", "string", None),
+        ("erp", "SUPPLIER", "s_acctbal", "s_name", "double", None),
+        ("erp", "SUPPLIER", "s_suppkey", "SUPPLIER_ID", "bigint", None),
+        ("erp", "SUPPLIER", "s_nationkey", "s_nationkey", "int", None),
+        ("erp", "SUPPLIER", "not_there", "X", "string", None),
         ("other", "SUPPLIER", "s_nationkey", "NATION", "int", None),
     ])
-    m = load_mapping(mapping, "LOGISTIC", "supplier")
+    m = load_mapping(mapping, "ERP", "supplier")
     return rename_columns(sup, m.renames)
 
 
@@ -44,13 +44,13 @@ def null_fill(spark, sf_dir):
         F.when(F.col("l_linenumber") == 1, None).otherwise(F.col("l_quantity")).alias("L_QUANTITY"),
         F.when(F.col("l_tax") == 0, None).otherwise(F.col("l_tax")).alias("L_TAX"))
     mapping = _mapping(spark, [
-        ("logistic", "LINEITEM", "l_returnflag", "L_RETURNFLAG", "string", "U"),
-        ("logistic", "LINEITEM", "l_discount", "L_DISCOUNT", "double", "0.5"),
-        ("logistic", "LINEITEM", "l_quantity", "L_QUANTITY", "double", "7"),
-        ("logistic", "LINEITEM", "l_tax", "L_TAX", "double", None),
-        ("logistic", "ORDERS", "l_tax", "L_TAX", "double", "9"),
+        ("erp", "LINEITEM", "l_returnflag", "L_RETURNFLAG", "string", "U"),
+        ("erp", "LINEITEM", "l_discount", "L_DISCOUNT", "double", "0.5"),
+        ("erp", "LINEITEM", "l_quantity", "L_QUANTITY", "double", "7"),
+        ("erp", "LINEITEM", "l_tax", "L_TAX", "double", None),
+        ("erp", "ORDERS", "l_tax", "L_TAX", "double", "9"),
     ])
-    return fill_nulls(li, load_mapping(mapping, "logistic", "LINEITEM").defaults)
+    return fill_nulls(li, load_mapping(mapping, "erp", "LINEITEM").defaults)
 
 
 def mapping_cast(spark, sf_dir):
@@ -65,13 +65,13 @@ def mapping_cast(spark, sf_dir):
          .otherwise(F.col("o_orderdate").cast("string")).alias("O_ORDERDATE"),
         F.col("o_orderstatus").alias("O_ORDERSTATUS"))
     mapping = _mapping(spark, [
-        ("logistic", "ORDERS", "O_ORDERKEY", "O_ORDERKEY", "bigint", None),
-        ("logistic", "ORDERS", "O_CUSTKEY", "O_CUSTKEY", "bigint", None),
-        ("logistic", "ORDERS", "O_TOTALPRICE", "O_TOTALPRICE", "double", None),
-        ("logistic", "ORDERS", "O_ORDERDATE", "O_ORDERDATE", "timestamp", None),
-        ("logistic", "ORDERS", "O_ORDERSTATUS", "O_ORDERSTATUS", "string", None),
+        ("erp", "ORDERS", "O_ORDERKEY", "O_ORDERKEY", "bigint", None),
+        ("erp", "ORDERS", "O_CUSTKEY", "O_CUSTKEY", "bigint", None),
+        ("erp", "ORDERS", "O_TOTALPRICE", "O_TOTALPRICE", "double", None),
+        ("erp", "ORDERS", "O_ORDERDATE", "O_ORDERDATE", "timestamp", None),
+        ("erp", "ORDERS", "O_ORDERSTATUS", "O_ORDERSTATUS", "string", None),
     ])
-    return cast_columns(text, load_mapping(mapping, "logistic", "orders").types)
+    return cast_columns(text, load_mapping(mapping, "erp", "orders").types)
 
 
 PART_TARGET = T.StructType([
@@ -93,7 +93,7 @@ def conform_schema(spark, sf_dir):
 def _mapping_from_customers(spark, sf_dir):
     c = table(spark, sf_dir, "customer")
     return c.select(
-        F.when(F.col("c_acctbal") >= 5000, F.lit("Logistic")).otherwise(F.lit("logistic")).alias("SOURCE_NAME"),
+        F.when(F.col("c_acctbal") >= 5000, F.lit("Erp")).otherwise(F.lit("erp")).alias("SOURCE_NAME"),
         F.when(F.col("c_nationkey") < 12, F.lower("c_mktsegment")).otherwise(F.col("c_mktsegment")).alias("OBJECT_NAME"),
         F.concat(F.lit("src_"), F.col("c_nationkey")).alias("SOURCE_COLUMN_NAME"),
         F.when(F.col("c_custkey") % 97 == 0, F.lit("Added_On"))
@@ -109,7 +109,7 @@ def _objects_from_customers(spark, sf_dir):
 
 def active_config(spark, sf_dir):
     """Mapped target columns of active objects: case-insensitive filters, distinct, sorted, no audit."""
-    return merge_columns_table(_mapping_from_customers(spark, sf_dir), "LOGISTIC",
+    return merge_columns_table(_mapping_from_customers(spark, sf_dir), "ERP",
                                _objects_from_customers(spark, sf_dir))
 
 
@@ -158,7 +158,7 @@ QUERIES = {
 }
 
 _MAP = """
-    SELECT CASE WHEN c_acctbal >= 5000 THEN 'Logistic' ELSE 'logistic' END AS SOURCE_NAME,
+    SELECT CASE WHEN c_acctbal >= 5000 THEN 'Erp' ELSE 'erp' END AS SOURCE_NAME,
            CASE WHEN c_nationkey < 12 THEN lower(c_mktsegment) ELSE c_mktsegment END AS OBJECT_NAME,
            CASE WHEN c_custkey % 97 = 0 THEN 'Added_On' ELSE 'COL_' || c_nationkey END AS TARGET_COLUMN_NAME
     FROM customer"""
@@ -188,7 +188,7 @@ ORACLE = {
              act AS (SELECT DISTINCT c_mktsegment AS OBJECT_NAME FROM customer WHERE c_mktsegment <> 'HOUSEHOLD')
         SELECT DISTINCT upper(m.OBJECT_NAME) AS OBJECT_NAME, m.TARGET_COLUMN_NAME
         FROM m JOIN act ON upper(m.OBJECT_NAME) = upper(act.OBJECT_NAME)
-        WHERE lower(m.SOURCE_NAME) = 'logistic'
+        WHERE lower(m.SOURCE_NAME) = 'erp'
           AND upper(m.TARGET_COLUMN_NAME) NOT IN ('ADDED_BY', 'ADDED_ON', 'MODIFIED_BY', 'MODIFIED_ON')""",
     "gold_columns": """
         WITH cfg AS (

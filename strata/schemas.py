@@ -43,7 +43,7 @@ def empty_table(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
-# Data columns of the two source objects of the logistics loads.
+# Data columns of the two source objects (sales, appointments).
 SALES_DATA_PRIOR_DAY_COLUMNS = (
     "YARD_ID", "YARD", "MATERIAL_NAME", "MATERIAL_CODE", "COMMODITY_NAME",
     "COMMODITY_TYPE", "OUTBOUND_TICKET_ID", "LATEST_SHIP_DATE", "LATEST_PAYMENT_DATE",

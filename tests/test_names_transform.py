@@ -96,8 +96,8 @@ def test_register_view_and_filters(spark):
     from strata.operators.transform import active, equals, iequals, not_null
     from strata.sources.tables import register_view
 
-    df = spark.createDataFrame([("Logistic", "A", 1, "x"), ("other", "a", 0, None)], "s string, o string, IS_RUN int, v string")
+    df = spark.createDataFrame([("Erp", "A", 1, "x"), ("other", "a", 0, None)], "s string, o string, IS_RUN int, v string")
     register_view(df, "cfg_view")
     assert spark.sql("select count(*) c from cfg_view").first().c == 2
-    assert df.where(iequals("s", "LOGISTIC") & equals("o", "A") & not_null("v")).count() == 1
+    assert df.where(iequals("s", "ERP") & equals("o", "A") & not_null("v")).count() == 1
     assert active(df).count() == 1

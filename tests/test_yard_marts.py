@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from strata.operators.transform import conform
-from strata.plans.logistics import dim_appointment_data, fact_sales
+from strata.plans.yard_marts import dim_appointment_data, fact_sales
 from strata.schemas import GOLD_FACT_SALES, SILVER_APPOINTMENT_DATA, SILVER_SALES_DATA_PRIOR_DAY
 
 
