@@ -13,8 +13,9 @@ one task. ``dense_number`` gives the same numbers with every step partitioned:
    turn counts into offsets, and add them by a broadcast join whose size is
    bounded by the partition count.
 
-An input whose measured row count is at most ``small_rows`` skips all this:
-one sorted partition of that bounded size is cheaper than the extra jobs.
+An input whose measured row count (observed during step 1) is at most
+``small_rows`` skips steps 2-3: one sorted partition of that bounded size is
+cheaper than the extra jobs.
 """
 
 from __future__ import annotations
@@ -56,14 +57,14 @@ def dense_number(
         raise ValueError(f"key column {key!r} already exists in {df.columns}")
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
     tagged = df.withColumn(_TAG, F.monotonically_increasing_id())
-    n = tagged.count()
+    if deterministic_input:
+        n = tagged.count()  # a file scan: cheap, and computing it again is exact
+    else:
+        tagged, n = stage(tagged, "tagged")  # upstream computed once; count observed
     if n <= small_rows:
-        # measured to be small: one sorted partition of at most `small_rows` rows,
-        # numbered in the same job that reads it (the tag only breaks ties)
+        # measured to be small: one sorted partition of at most `small_rows` rows
         w = Window.orderBy(*[F.col(c).asc_nulls_first() for c in order], _TAG)
         return tagged.select(*df.columns, F.row_number().over(w).cast("long").alias(key))
-    if not deterministic_input:
-        tagged, n = stage(tagged, "tagged")
     parts = max(width, math.ceil(n / rows_per_partition), 1)
     ranked, _ = stage(
         tagged.repartitionByRange(parts, *order, _TAG)

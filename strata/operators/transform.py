@@ -65,7 +65,7 @@ def rename_columns(df: DataFrame, mapping: Mapping[str, str] | Iterable[tuple[st
     rename: dict[str, str] = {}
     for src, tgt in pairs:
         actual = resolve_column(df.columns, src)
-        if actual is None or actual.lower() == tgt.lower():
+        if actual is None or actual == tgt:
             continue
         if actual in rename and rename[actual].lower() != tgt.lower():
             raise ValueError(f"column {actual!r} mapped to both {rename[actual]!r} and {tgt!r}")
@@ -79,7 +79,7 @@ def rename_columns(df: DataFrame, mapping: Mapping[str, str] | Iterable[tuple[st
     for c in df.columns:
         if c in rename:
             out.append(F.col(c).alias(rename[c]))
-        elif c.lower() in targets:
+        elif c.lower() in targets and targets[c.lower()] != c:
             continue  # replaced by a renamed column
         else:
             out.append(F.col(c))

@@ -101,3 +101,8 @@ def test_register_view_and_filters(spark):
     assert spark.sql("select count(*) c from cfg_view").first().c == 2
     assert df.where(iequals("s", "ERP") & equals("o", "A") & not_null("v")).count() == 1
     assert active(df).count() == 1
+
+
+def test_rename_case_only(spark):
+    df = spark.createDataFrame([(1, 2)], "yard_id int, b int")
+    assert rename_columns(df, [("yard_id", "YARD_ID"), ("b", "b")]).columns == ["YARD_ID", "b"]
