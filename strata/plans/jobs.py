@@ -181,10 +181,10 @@ def create_tables(lake: Lakehouse, schemas: Mapping[tuple[str, str], T.StructTyp
 
 
 def run_layers(ctx: LoadContext, cfg: LayerConfig, control: ControlTables, pipeline: str,
-               **gate) -> str:
+               *, incremental: bool = False, **gate) -> str:
     """Bronze, silver and gold under the run gate."""
     def work():
-        run_bronze(ctx, cfg.objects)
+        run_bronze(ctx, cfg.objects, incremental=incremental)
         run_silver(ctx, cfg.objects, cfg.mapping)
         run_gold(ctx, cfg.edw, cfg.builders)
     return gated_run(control, pipeline, ctx.run_id, work, **gate)
