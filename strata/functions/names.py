@@ -55,6 +55,13 @@ def resolve_columns(columns: Iterable[str], names: Iterable[str], what: str = "c
     return found
 
 
+def qcol(name: str):
+    """A column by its exact name, even with dots, spaces or backticks in it."""
+    from pyspark.sql import functions as F
+
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def split_list(text: str | None) -> list[str]:
     """Split a comma list from config and trim each item: ``"a, b ,c"`` -> ``[a, b, c]``."""
     if text is None:

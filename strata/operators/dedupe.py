@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.functions.names import resolve_columns
+from strata.functions.names import qcol, resolve_columns
 from strata.schemas import ADDED_ON
 
 _ROW = "__strata_row"
@@ -49,17 +49,17 @@ def dedupe_latest(
     order = [c for c in resolve_columns(df.columns, order_by, "order column") if c not in keys]
     rest = [c for c in df.columns if c not in keys and c not in order]
     if not rest and not order:
-        return df.select(*keys).distinct()
+        return df.select(*[qcol(k) for k in keys]).distinct()
     rank = [c for c in order + rest if _orderable(df.schema[c].dataType)]
-    value = F.struct(*order, *rest)
+    value = F.struct(*[qcol(c) for c in order + rest])
     if rank == order + rest:
         best = F.max(value)
     else:
-        best = F.max_by(value, F.struct(*rank))
-    out = df.groupBy(*keys).agg(best.alias(_ROW))
-    return out.select(*[F.col(c) if c in keys else F.col(f"{_ROW}.{c}").alias(c) for c in df.columns])
+        best = F.max_by(value, F.struct(*[qcol(c) for c in rank]))
+    out = df.groupBy(*[qcol(k) for k in keys]).agg(best.alias(_ROW))
+    return out.select(*[qcol(c) if c in keys else F.col(_ROW).getField(c).alias(c) for c in df.columns])
 
 
 def dedupe_any(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """A2 as the reference runs it: which duplicate survives is undefined."""
-    return df.dropDuplicates(resolve_columns(df.columns, keys, "key column"))
+    return df.dropDuplicates(resolve_columns(df.columns, keys, "key column"))  # takes exact names

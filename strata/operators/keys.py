@@ -26,7 +26,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.functions.names import resolve_column, resolve_columns
+from strata.functions.names import qcol, resolve_column, resolve_columns
 from strata.session import stage
 
 _TAG = "__strata_tag"
@@ -63,12 +63,12 @@ def dense_number(
         tagged, n = stage(tagged, "tagged")  # upstream computed once; count observed
     if n <= small_rows:
         # measured to be small: one sorted partition of at most `small_rows` rows
-        w = Window.orderBy(*[F.col(c).asc_nulls_first() for c in order], _TAG)
-        return tagged.select(*df.columns, F.row_number().over(w).cast("long").alias(key))
+        w = Window.orderBy(*[qcol(c).asc_nulls_first() for c in order], _TAG)
+        return tagged.select(*[qcol(c) for c in df.columns], F.row_number().over(w).cast("long").alias(key))
     parts = max(width, math.ceil(n / rows_per_partition), 1)
     ranked, _ = stage(
-        tagged.repartitionByRange(parts, *order, _TAG)
-        .sortWithinPartitions(*order, _TAG)
+        tagged.repartitionByRange(parts, *[qcol(c) for c in order], F.col(_TAG))
+        .sortWithinPartitions(*[qcol(c) for c in order], F.col(_TAG))
         .withColumn(_PID, F.spark_partition_id())
         .withColumn(_POS, F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33)),
         "ranked",
@@ -81,10 +81,9 @@ def dense_number(
             F.lit(0)))
         .select(_PID, _OFF)
     )
-    cols = [c for c in df.columns]
     return (
         ranked.join(F.broadcast(offsets), _PID)
-        .select(*cols, (F.col(_OFF) + F.col(_POS) + 1).cast("long").alias(key))
+        .select(*[qcol(c) for c in df.columns], (F.col(_OFF) + F.col(_POS) + 1).cast("long").alias(key))
     )
 
 

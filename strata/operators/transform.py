@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.functions.names import normalize_names, resolve_column, resolve_columns
+from strata.functions.names import normalize_names, qcol, resolve_column, resolve_columns
 from strata.functions.values import as_timestamp
 from strata.schemas import ADDED_BY, ADDED_ON, AUDIT_COLUMNS, MODIFIED_BY, MODIFIED_ON
 
@@ -46,7 +46,7 @@ def conform(df: DataFrame, schema: T.StructType, *, safe: bool = True) -> DataFr
     names = resolve_columns(df.columns, schema.fieldNames(), "target column")
     out = []
     for actual, field in zip(names, schema.fields):
-        c = F.col(actual)
+        c = qcol(actual)
         if df.schema[actual].dataType != field.dataType:
             c = c.try_cast(field.dataType) if safe else c.cast(field.dataType)
         out.append(c.alias(field.name))
@@ -78,17 +78,17 @@ def rename_columns(df: DataFrame, mapping: Mapping[str, str] | Iterable[tuple[st
     out = []
     for c in df.columns:
         if c in rename:
-            out.append(F.col(c).alias(rename[c]))
+            out.append(qcol(c).alias(rename[c]))
         elif c.lower() in targets and targets[c.lower()] != c:
             continue  # replaced by a renamed column
         else:
-            out.append(F.col(c))
+            out.append(qcol(c))
     return df.select(*out)
 
 
 def drop_columns(df: DataFrame, *names: str) -> DataFrame:
     """P10: drop columns (case-insensitive, absent names ignored)."""
-    return df.drop(*[c for c in (resolve_column(df.columns, n) for n in names) if c])
+    return df.drop(*[qcol(c) for c in (resolve_column(df.columns, n) for n in names) if c])
 
 
 # ---------------------------------------------------------------- P6
@@ -107,7 +107,7 @@ def fill_nulls(df: DataFrame, defaults: Mapping[str, str]) -> DataFrame:
     if not fills:
         return df
     return df.select(*[
-        F.coalesce(F.col(c), fills[c]).alias(c) if c in fills else F.col(c) for c in df.columns
+        F.coalesce(qcol(c), fills[c]).alias(c) if c in fills else qcol(c) for c in df.columns
     ])
 
 
@@ -123,8 +123,8 @@ def cast_columns(df: DataFrame, types: Mapping[str, str | T.DataType], *, safe:
         return df
     # a cast to the column's own type is removed by the optimizer
     return df.select(*[
-        (F.col(c).try_cast(casts[c]) if safe else F.col(c).cast(casts[c])).alias(c)
-        if c in casts else F.col(c)
+        (qcol(c).try_cast(casts[c]) if safe else qcol(c).cast(casts[c])).alias(c)
+        if c in casts else qcol(c)
         for c in df.columns
     ])
 
@@ -133,8 +133,8 @@ def cast_columns(df: DataFrame, types: Mapping[str, str | T.DataType], *, safe:
 def select_as(df: DataFrame, columns: Mapping[str, str] | Sequence[str]) -> DataFrame:
     """Select fixed columns, optionally aliased ``{source: alias}``."""
     if isinstance(columns, Mapping):
-        return df.select(*[F.col(s).alias(a) for s, a in columns.items()])
-    return df.select(*columns)
+        return df.select(*[qcol(s).alias(a) for s, a in columns.items()])
+    return df.select(*[qcol(c) for c in columns])
 
 
 # ---------------------------------------------------------------- F1-F5

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.functions.names import resolve_column, resolve_columns
+from strata.functions.names import qcol, resolve_column, resolve_columns
 from strata.functions.values import as_timestamp
 from strata.operators.transform import conform, stamp_audit
 from strata.schemas import ADDED_BY, ADDED_ON, AUDIT_COLUMNS, MODIFIED_BY, MODIFIED_ON, is_audit
@@ -40,8 +40,8 @@ def check_unique(source: DataFrame, keys: Sequence[str]) -> None:
     keys = resolve_columns(source.columns, keys, "key column")
     not_null = F.lit(True)
     for k in keys:
-        not_null = not_null & F.col(k).isNotNull()
-    dup = (source.where(not_null).groupBy(*keys).count()
+        not_null = not_null & qcol(k).isNotNull()
+    dup = (source.where(not_null).groupBy(*[qcol(k) for k in keys]).count()
            .where(F.col("count") > 1).limit(1).collect())
     if dup:
         raise DuplicateKeyError(f"source has duplicate keys {keys}: e.g. {dup[0].asDict()}")
@@ -84,17 +84,19 @@ def upsert(
 
     # source side of the match: keys and updated values under private names
     src = source.select(
-        *[F.col(k).alias(f"__sk{i}") for i, k in enumerate(skeys)],
-        *[F.col(shared[c]).cast(ttype[c]).alias(f"__su{j}") for j, c in enumerate(updates)],
+        *[qcol(k).alias(f"__sk{i}") for i, k in enumerate(skeys)],
+        *[qcol(shared[c]).cast(ttype[c]).alias(f"__su{j}") for j, c in enumerate(updates)],
         F.lit(True).alias("__hit"),
     )
     t = target.alias("__t")
-    matched = t.join(src, [F.col(f"__t.{k}") == F.col(f"__sk{i}") for i, k in enumerate(tkeys)], "left")
+    tq = lambda c: F.col("__t.`" + c.replace("`", "``") + "`")
+    sq = lambda c: F.col("__s.`" + c.replace("`", "``") + "`")
+    matched = t.join(src, [tq(k) == F.col(f"__sk{i}") for i, k in enumerate(tkeys)], "left")
     hit = F.coalesce(F.col("__hit"), F.lit(False))
     upd_index = {c: j for j, c in enumerate(updates)}
     kept = []
     for c in tcols:
-        old = F.col(f"__t.{c}")
+        old = tq(c)
         if c in upd_index:
             kept.append(F.when(hit, F.col(f"__su{upd_index[c]}")).otherwise(old).alias(c))
         elif c.upper() in (MODIFIED_BY, MODIFIED_ON):
@@ -105,15 +107,15 @@ def upsert(
 
     # keys present on both sides: a semi join of target keys against source keys
     # (a small source is broadcast, so the target is not shuffled), then distinct
-    tk = target.select(*[F.col(k).alias(f"__tk{i}") for i, k in enumerate(tkeys)])
-    sk = source.select(*[F.col(k).alias(f"__qk{i}") for i, k in enumerate(skeys)])
+    tk = target.select(*[qcol(k).alias(f"__tk{i}") for i, k in enumerate(tkeys)])
+    sk = source.select(*[qcol(k).alias(f"__qk{i}") for i, k in enumerate(skeys)])
     both = tk.join(sk, [F.col(f"__tk{i}") == F.col(f"__qk{i}") for i in range(len(tkeys))],
                    "left_semi").distinct()
     new = source.alias("__s").join(
-        both, [F.col(f"__s.{k}") == F.col(f"__tk{i}") for i, k in enumerate(skeys)], "left_anti")
+        both, [sq(k) == F.col(f"__tk{i}") for i, k in enumerate(skeys)], "left_anti")
     inserted = new.select(*[
         (stamp[c.upper()] if c.upper() in AUDIT_COLUMNS
-         else F.col(f"__s.{shared[c]}") if c in shared
+         else sq(shared[c]) if c in shared
          else F.lit(None)).cast(ttype[c]).alias(c)
         for c in tcols
     ])

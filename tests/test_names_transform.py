@@ -106,3 +106,19 @@ def test_register_view_and_filters(spark):
 def test_rename_case_only(spark):
     df = spark.createDataFrame([(1, 2)], "yard_id int, b int")
     assert rename_columns(df, [("yard_id", "YARD_ID"), ("b", "b")]).columns == ["YARD_ID", "b"]
+
+
+def test_operators_accept_dotted_names(spark):
+    from strata.operators.dedupe import dedupe_latest
+    from strata.operators.keys import dense_number
+    from strata.operators.upsert import upsert
+
+    df = spark.createDataFrame([(1, "x", 2), (1, "y", 3), (None, "z", 1)], "`a.b` int, `c d` string, `e.f` int")
+    assert rename_columns(df, {"a.b": "AB"}).columns == ["AB", "c d", "e.f"]
+    assert fill_nulls(df, {"a.b": "9"}).where("`a.b` = 9").count() == 1
+    assert cast_columns(df, {"a.b": "string"}).schema["a.b"].dataType == T.StringType()
+    assert dedupe_latest(df, ["a.b"], ["e.f"]).count() == 2
+    assert sorted(r["K"] for r in dense_number(df, ["e.f"], "K", small_rows=0).collect()) == [1, 2, 3]
+    t = stamp_audit(df, "t")
+    out = upsert(t, df.where("`e.f` = 3"), ["a.b"], run_id="s").collect()
+    assert len(out) == 3
