@@ -41,6 +41,7 @@ def dense_number(
     key: str,
     *,
     rows_per_partition: int = 2_000_000,
+    max_partitions: int = 50_000,
     small_rows: int = 1_000_000,
     deterministic_input: bool = False,
 ) -> DataFrame:
@@ -65,7 +66,8 @@ def dense_number(
         # measured to be small: one sorted partition of at most `small_rows` rows
         w = Window.orderBy(*[qcol(c).asc_nulls_first() for c in order], _TAG)
         return tagged.select(*[qcol(c) for c in df.columns], F.row_number().over(w).cast("long").alias(key))
-    parts = max(width, math.ceil(n / rows_per_partition), 1)
+    # capped: the range boundaries are sampled to the driver, per partition
+    parts = max(width, min(math.ceil(n / rows_per_partition), max_partitions), 1)
     ranked, _ = stage(
         tagged.repartitionByRange(parts, *[qcol(c) for c in order], F.col(_TAG))
         .sortWithinPartitions(*[qcol(c) for c in order], F.col(_TAG))

@@ -20,7 +20,7 @@ from strata.operators.upsert import load_mode, replace, upsert
 from strata.plans.config import ColumnMapping, gold_update_columns, load_mapping
 from strata.plans.control import ControlTables, gated_run
 from strata.schemas import ADDED_ON
-from strata.sources.csv import csv_to_bronze
+from strata.sources.csv import load_csv_folder
 from strata.sources.tables import Lakehouse, LayerTable
 from strata.streaming.ingest import ingest_into_table
 
@@ -53,8 +53,7 @@ def _each(items: Iterable, fn: Callable, workers: int) -> list:
 # ------------------------------------------------------------------ bronze
 def bronze_object(ctx: LoadContext, source_dir: str, bronze: LayerTable) -> int:
     """G1: load every file of one object folder into its bronze table (append)."""
-    df = csv_to_bronze(ctx.spark, source_dir, bronze.schema, run_id=ctx.run_id, now=ctx.now, glob=ctx.glob)
-    return bronze.append(df)
+    return load_csv_folder(ctx.spark, source_dir, bronze, run_id=ctx.run_id, now=ctx.now, glob=ctx.glob)
 
 
 def run_bronze(ctx: LoadContext, objects: DataFrame, *, active_only: bool = False,

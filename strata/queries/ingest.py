@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from strata.operators.transform import normalize_headers, rows_of_run, stamp_audit
 from strata.queries.common import NOW, NOW_2, RUN_ID, RUN_ID_2, table
 from strata.session import scratch_dir
-from strata.sources.csv import csv_to_bronze, read_csv, read_folder, write_csv
+from strata.sources.csv import csv_to_bronze, load_csv_folder, read_csv, write_csv
 from strata.sources.tables import LayerTable
 from strata.schemas import ADDED_BY, ADDED_ON
 
@@ -38,7 +38,7 @@ def csv_ingest(spark, sf_dir):
         F.col("c_mktsegment").alias("c mktsegment!"), F.lit("x").alias("Extra col"))
     drop = write_csv(src, scratch_dir(spark, "drop_customer"))
     bronze = LayerTable(spark, scratch_dir(spark, "bronze_customer")).create(CUSTOMER_BRONZE)
-    bronze.append(csv_to_bronze(spark, drop, CUSTOMER_BRONZE, run_id=RUN_ID, now=NOW))
+    load_csv_folder(spark, drop, bronze, run_id=RUN_ID, now=NOW)  # one checked pass: one layout
     return bronze.read()
 
 

@@ -2,13 +2,15 @@
 
 One ``spark.read.csv(folder)`` takes the first file's header for every file, so
 files whose columns come in another order are silently misread. ``read_folder``
-therefore finds each file's header with one distributed text scan, groups the
-files by header and reads each group with its own header; groups are then
-normalised and combined by column *name*.
+therefore either checks every file's header against the first one in a single
+read (``checked``), or finds each file's header with one distributed text scan,
+groups the files by header and reads each group with its own header
+(``grouped``); groups are normalised and combined by column *name*.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -56,21 +58,57 @@ def file_headers(spark: SparkSession, path: str, *, glob: str | None = "*.csv")
     return lines.groupBy("file").agg(F.min_by("value", "pos").alias("header"))
 
 
+# Fixed value: Spark's message when a file's header differs from the declared schema.
+HEADER_MISMATCH = "CSV header does not conform to the schema"
+_GENERATED = re.compile(r"_c\d+")
+
+
+def _checked_read(spark: SparkSession, path: str, glob: str | None,
+                  options: Mapping[str, str] | None) -> DataFrame | None:
+    """One read of every file, each file's header checked against the first file's.
+
+    ``None`` when the first header has blank or repeated names (Spark renames
+    those, so the check could not pass).
+    """
+    first = read_csv(spark, path, glob=glob, options=options).columns
+    if any(_GENERATED.fullmatch(c) for c in first) or len({c.lower() for c in first}) < len(first):
+        return None
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in first])
+    reader = (spark.read.schema(schema).option("header", True).option("enforceSchema", False))
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    for k, v in (options or {}).items():
+        reader = reader.option(k, v)
+    return reader.csv(path)
+
+
 def read_folder(
     spark: SparkSession,
     path: str,
     *,
     glob: str | None = "*.csv",
-    uniform_header: bool = False,
+    strategy: str = "grouped",
     options: Mapping[str, str] | None = None,
 ) -> list[DataFrame]:
-    """Every file below ``path``, one DataFrame per distinct header, names normalised.
+    """Every file below ``path``, names normalised (P1), as one DataFrame per layout.
+
+    ``strategy``:
 
-    ``uniform_header=True`` skips the header scan when all files are known to
-    share one layout (one read; a reordered file would then be misread).
+    * ``"grouped"``: one text scan finds each file's header; files are grouped by
+      header and each group is read with its own (always right, one extra pass);
+    * ``"checked"``: one read with the first file's header declared and every
+      file's header checked; a file in another layout fails the job with
+      ``HEADER_MISMATCH`` (see ``load_csv_folder``, which then falls back);
+    * ``"uniform"``: one read, no check (only for folders known to hold one layout).
     """
-    if uniform_header:
+    if strategy == "uniform":
         return [normalize_headers(read_csv(spark, path, glob=glob, options=options))]
+    if strategy == "checked":
+        df = _checked_read(spark, path, glob, options)
+        if df is not None:
+            return [normalize_headers(df)]
+    elif strategy != "grouped":
+        raise ValueError(f"unknown strategy {strategy!r}")
     groups = (file_headers(spark, path, glob=glob)
               .groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files"))
               .orderBy("header").collect())
@@ -87,7 +125,7 @@ def csv_to_bronze(
     run_id: str,
     now=None,
     glob: str | None = "*.csv",
-    uniform_header: bool = False,
+    strategy: str = "grouped",
     options: Mapping[str, str] | None = None,
     file_column: str | None = None,
 ) -> DataFrame:
@@ -98,7 +136,7 @@ def csv_to_bronze(
     column that receives each row's file name (kept if the schema has it).
     """
     audit = tuple(c for c in AUDIT_COLUMNS if c in schema.fieldNames())
-    groups = read_folder(spark, path, glob=glob, uniform_header=uniform_header, options=options)
+    groups = read_folder(spark, path, glob=glob, strategy=strategy, options=options)
     if file_column:
         groups = [g.withColumn(file_column, F.col("_metadata.file_name")) for g in groups]
     parts = [conform(stamp_audit(df, run_id, now, audit), schema) for df in groups]
@@ -108,6 +146,32 @@ def csv_to_bronze(
     return out
 
 
+def load_csv_folder(
+    spark: SparkSession,
+    path: str,
+    table,
+    *,
+    run_id: str,
+    now=None,
+    glob: str | None = "*.csv",
+    options: Mapping[str, str] | None = None,
+    file_column: str | None = None,
+) -> int:
+    """G1: append a folder of CSV files to a layer table; returns rows written.
+
+    Tries the single checked read first; if a file's header differs, the job
+    fails before it commits and the folder is read again grouped by header.
+    """
+    kw = dict(run_id=run_id, now=now, glob=glob, options=options, file_column=file_column)
+    schema = table.schema
+    try:
+        return table.append(csv_to_bronze(spark, path, schema, strategy="checked", **kw))
+    except Exception as e:  # noqa: BLE001 - only the header check falls back
+        if HEADER_MISMATCH not in str(e):
+            raise
+    return table.append(csv_to_bronze(spark, path, schema, strategy="grouped", **kw))
+
+
 def write_csv(df: DataFrame, path: str, *, mode: str = "errorifexists") -> str:
     """Write ``df`` as headed CSV files (used to drop test files into a folder)."""
     df.write.mode(mode).option("header", True).csv(path)

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.plans.control import ControlTables, gated_run
-from strata.sources.csv import csv_to_bronze, file_headers, read_folder, write_csv
+from strata.sources.csv import csv_to_bronze, file_headers, load_csv_folder, read_folder, write_csv
 from strata.sources.tables import LayerTable
 
 TARGET = T.StructType([
@@ -69,3 +69,19 @@ def test_file_name_lineage(spark, workdir):
     schema = T.StructType([T.StructField("YARD_ID", T.StringType()), T.StructField("SOURCE_FILE", T.StringType())])
     rows = csv_to_bronze(spark, f"{workdir}/f", schema, run_id="r", file_column="SOURCE_FILE").collect()
     assert len(rows) == 1 and rows[0].SOURCE_FILE.startswith("part-") and rows[0].SOURCE_FILE.endswith(".csv")
+
+
+def test_checked_read_and_fallback(spark, workdir):
+    target = T.StructType([T.StructField("YARD_ID", T.StringType()), T.StructField("PRICE", T.DoubleType())])
+    one, mixed = f"{workdir}/one", f"{workdir}/mixed"
+    write_csv(spark.createDataFrame([("y1", "1.5")], "`Yard.ID` string, `Price` string"), one)
+    write_csv(spark.createDataFrame([("y2", "2")], "`Yard.ID` string, `Price` string"), one, mode="append")
+    assert len(read_folder(spark, one, strategy="checked")) == 1
+    t1 = LayerTable(spark, f"{workdir}/t1").create(target)
+    assert load_csv_folder(spark, one, t1, run_id="r") == 2
+    write_csv(spark.createDataFrame([("y1", "1.5")], "`Yard.ID` string, `Price` string"), mixed)
+    write_csv(spark.createDataFrame([("3", "y3")], "`Price` string, `Yard.ID` string"), mixed, mode="append")
+    t2 = LayerTable(spark, f"{workdir}/t2").create(target)
+    assert load_csv_folder(spark, mixed, t2, run_id="r") == 2  # checked read fails, grouped read loads
+    assert sorted((r.YARD_ID, r.PRICE) for r in t2.read().collect()) == [("y1", 1.5), ("y3", 3.0)]
+    assert t2.versions() == [1]
