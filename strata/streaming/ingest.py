@@ -13,14 +13,12 @@ of being misread.
 
 from __future__ import annotations
 
-import csv
-
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
 from strata.operators.transform import conform, normalize_headers, stamp_audit
 from strata.schemas import AUDIT_COLUMNS
-from strata.sources.csv import file_headers
+from strata.sources.csv import read_csv
 from strata.sources.tables import LayerTable
 
 
@@ -59,22 +57,17 @@ def ingest_new_files(
 
 
 def discover_header(spark: SparkSession, source_dir: str, glob: str = "*.csv") -> T.StructType | None:
-    """The one header of the files waiting in ``source_dir`` (None if there are none).
+    """The header of the first waiting file in ``source_dir`` (None if there are none).
 
-    A stream reads one layout; files with different headers raise here.
+    Only that one line is read; the stream then checks every file's header
+    against it (``enforceSchema=false``), so a file in another layout fails.
     """
     try:
-        headers = [r["header"] for r in file_headers(spark, source_dir, glob=glob)
-                   .select("header").distinct().collect()]
+        names = read_csv(spark, source_dir, glob=glob).columns
     except Exception as e:  # noqa: BLE001 - an empty or missing folder
         if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
             return None
         raise
-    if not headers:
-        return None
-    if len(headers) > 1:
-        raise ValueError(f"files below {source_dir} have {len(headers)} different headers: {headers}")
-    names = next(csv.reader([headers[0]], escapechar="\\"))
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 
