@@ -57,3 +57,27 @@ def stage(df: DataFrame, tag: str = "stage") -> tuple[DataFrame, int]:
     obs = Observation()
     df.observe(obs, F.count(F.lit(1)).alias("rows")).write.parquet(path)
     return df.sparkSession.read.parquet(path), int(obs.get["rows"])
+
+
+def purge_scratch(spark: SparkSession, older_than_s: float, root: str | None = None) -> list[str]:
+    """Delete scratch folders (staged tables, CSV drops) older than ``older_than_s`` seconds.
+
+    Only folders directly below ``<checkpoint folder>/strata-work`` (or ``root``)
+    are considered. Call it between runs: a DataFrame still being read must not
+    lose its staged input.
+    """
+    import time
+
+    sc = spark.sparkContext
+    base = root or f"{checkpoint_root(spark)}/strata-work"
+    path = sc._jvm.org.apache.hadoop.fs.Path(base)
+    fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    cutoff = (time.time() - older_than_s) * 1000
+    removed = []
+    for status in fs.listStatus(path):
+        if status.isDirectory() and status.getModificationTime() < cutoff:
+            fs.delete(status.getPath(), True)
+            removed.append(status.getPath().toString())
+    return removed

@@ -74,3 +74,13 @@ def test_failed_version_is_skipped(spark, workdir):
     assert t.versions() == [1] and [r.a for r in t.read().collect()] == [1]
     t.replace(spark.createDataFrame([(2,)], "a int"))
     assert t.versions() == [1, 3] and [r.a for r in t.read().collect()] == [2]
+
+
+def test_purge_scratch_only_old_folders(spark, workdir):
+    from strata.session import purge_scratch
+
+    root = f"{workdir}/scratch"
+    spark.range(1).write.parquet(f"{root}/old")
+    assert purge_scratch(spark, 3600, root) == []          # younger than an hour: kept
+    removed = purge_scratch(spark, -1, root)                 # everything older than "the future"
+    assert len(removed) == 1 and removed[0].endswith("/old")
