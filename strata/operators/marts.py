@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.functions.names import resolve_column
+from strata.functions.names import qcol, resolve_column
 from strata.operators.keys import dense_number
 from strata.operators.transform import conform, select_as, stamp_audit
 
@@ -19,7 +19,8 @@ class DimensionLookup:
     """How a fact row finds a dimension's surrogate key.
 
     ``dimension`` holds at least ``dim_on`` and ``key``. It need not be unique
-    on ``dim_on``: then fact rows repeat once per match, as a left join does.
+    on ``dim_on``: a join value with several dimension rows gives its smallest
+    key, so every fact row keeps exactly one row (never one per matching pair).
     """
 
     dimension: DataFrame
@@ -31,12 +32,15 @@ class DimensionLookup:
 def lookup_keys(fact: DataFrame, lookups: Sequence[DimensionLookup]) -> DataFrame:
     """J1+P9: left-join each dimension and keep all fact columns plus its key.
 
-    Join strategy is left to the planner: a dimension under the broadcast
-    threshold is broadcast, a larger one is shuffled (AQE may split skew).
+    The dimension is first reduced to one key per join value (a partial
+    aggregate, so a hot value collapses map-side); the left join then cannot
+    multiply fact rows. Join strategy is left to the planner: a small reduced
+    dimension is broadcast, a larger one is shuffled (AQE may split skew).
     """
     out = fact
     for i, lk in enumerate(lookups):
-        right = lk.dimension.select(F.col(lk.dim_on).alias(f"__on_{i}"), F.col(lk.key))
+        right = (lk.dimension.groupBy(qcol(lk.dim_on).alias(f"__on_{i}"))
+                 .agg(F.min(qcol(lk.key)).alias(lk.key)))
         out = out.join(right, out[lk.fact_on] == right[f"__on_{i}"], "left").drop(f"__on_{i}")
     return out
 
@@ -65,8 +69,8 @@ def build_dimension(
 ) -> DataFrame:
     """Project attributes, number them in ``order_by``, stamp audit, conform.
 
-    ``unique_on`` keeps one row per value (a proper dimension); by default the
-    rows are kept as they come, one per source row. ``source_is_scan`` tells
+    ``unique_on`` keeps one row per value; by default the rows are kept as they
+    come, one per source row (a fact lookup then takes the smallest key per value). ``source_is_scan`` tells
     the numbering that rows come straight from files (no shuffle upstream).
     """
     dim = select_as(source, attributes)

@@ -1,10 +1,10 @@
 """Yard sales and appointments: declared tables and the two gold builders.
 
 ``dim_appointment_data`` keys appointments in yard order and is *not* unique
-per yard, so ``fact_sales`` repeats a sale once per appointment of its yard
-(pass ``unique_on=("YARD_NAME",)`` for one row per yard). Both orders get
-tie-break columns appended so that keys are reproducible; the declared order
-columns come first. Measures arrive as text and become 32-bit floats; text
+per yard. ``fact_sales`` gives each sale the smallest appointment key of its
+yard: one row per sale, never one per (sale, appointment) pair, which would
+grow with the square of a busy yard. Both orders get tie-break columns
+appended so that keys are reproducible; the declared order columns come first. Measures arrive as text and become 32-bit floats; text
 that is not a number becomes null.
 """
 
@@ -46,7 +46,7 @@ def dim_appointment_data(appointments: DataFrame, *, run_id: str, now=None,
 
 
 def fact_sales(sales: DataFrame, dim: DataFrame, *, run_id: str, now=None) -> DataFrame:
-    """Sales with the appointment key of their yard (left join on YARD = YARD_NAME)."""
+    """Sales with the first appointment key of their yard (left join on YARD = YARD_NAME)."""
     return build_fact(
         sales, ["YARD_ID", "COMMODITY_NAME", "PRICE", "SELL_PRICE", "INVOICE_TOTAL", "YARD"],
         [DimensionLookup(dim, fact_on="YARD", dim_on="YARD_NAME", key="APPOINTMENT_DATA_KEY")],

@@ -52,8 +52,9 @@ def dim_build(spark, sf_dir):
     )
 
 
-def fact_fanout(spark, sf_dir):
-    """J1 on a dimension that is not unique on the join column: facts repeat."""
+def fact_lookup_nonunique(spark, sf_dir):
+    """J1 on a dimension that is not unique on the join column (customers per nation):
+    each supplier gets one key, the nation's smallest, not one row per customer."""
     supplier = table(spark, sf_dir, "supplier").select(
         F.col("s_suppkey").alias("S_SUPPKEY"), F.col("s_nationkey").alias("S_NATIONKEY"),
         F.col("s_acctbal").alias("S_ACCTBAL"))
@@ -66,7 +67,7 @@ def fact_fanout(spark, sf_dir):
 QUERIES = {
     "fact_build": fact_build,
     "dim_build": dim_build,
-    "fact_fanout": fact_fanout,
+    "fact_lookup_nonunique": fact_lookup_nonunique,
 }
 
 ORACLE = {
@@ -88,17 +89,19 @@ ORACLE = {
                CAST(row_number() OVER (ORDER BY c_nationkey, c_custkey) AS BIGINT) AS CUSTOMER_KEY,
                {audit_sql()}
         FROM customer""",
-    "fact_fanout": """
+    "fact_lookup_nonunique": """
         SELECT s.s_suppkey AS S_SUPPKEY, s.s_nationkey AS S_NATIONKEY, s.s_acctbal AS S_ACCTBAL,
-               c.c_custkey AS C_CUSTKEY
-        FROM supplier s LEFT JOIN customer c ON s.s_nationkey = c.c_nationkey""",
+               c.C_CUSTKEY
+        FROM supplier s
+        LEFT JOIN (SELECT c_nationkey, min(c_custkey) AS C_CUSTKEY FROM customer GROUP BY c_nationkey) c
+          ON s.s_nationkey = c.c_nationkey""",
 }
 
 
 def sales_gold(spark, sf_dir):
     """The yard sales gold pair on mapped tables: appointments from suppliers, sales from
-    orders; a yard is (nation, key mod 10), so a yard has several appointments and its
-    sales repeat once per appointment. Prices arrive as text in three spellings."""
+    orders; a yard is (nation, key mod 10), so a yard has several appointments and a sale
+    takes its yard's first appointment key. Prices arrive as text in three spellings."""
     from strata.operators.transform import conform
     from strata.plans.yard_marts import dim_appointment_data, fact_sales
     from strata.schemas import SILVER_APPOINTMENT_DATA, SILVER_SALES_DATA_PRIOR_DAY
@@ -137,8 +140,9 @@ ORACLE["sales_gold"] = f"""
     WITH appt AS (
         SELECT n.n_name || '-' || (s.s_suppkey % 10) AS YARD_NAME, CAST(s.s_suppkey AS VARCHAR) AS SALES_ORDER_ID, s.s_name AS CARRIER_NAME
         FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey),
-    dim AS (
+    keyed AS (
         SELECT YARD_NAME, row_number() OVER (ORDER BY YARD_NAME, SALES_ORDER_ID, CARRIER_NAME) AS ADK FROM appt),
+    dim AS (SELECT YARD_NAME, min(ADK) AS ADK FROM keyed GROUP BY YARD_NAME),
     sales AS (
         SELECT CAST(o.o_custkey AS VARCHAR) AS YARD_ID, n.n_name || '-' || (o.o_custkey % 10) AS YARD,
                o.o_orderpriority || '#' || o.o_orderkey AS COMMODITY_NAME,

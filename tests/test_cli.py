@@ -54,7 +54,7 @@ def test_cli_runs_all_layers(spark, workdir):
     lake = Lakehouse(spark, f"{workdir}/lake")
     fact = lake.table("gold", "FACT_SALES").read()
     got = sorted((r.YARD_ID, r.APPOINTMENT_DATA_KEY, r.PRICE, r.SELL_PRICE) for r in fact.collect())
-    # Y1 has two appointments (keys 1, 2): its sale repeats; Y9 has none: null key
-    assert got == [("10", 1, 1.5, 2.0), ("10", 2, 1.5, 2.0), ("11", 3, None, None), ("12", None, 5.0, 6.0)]
+    # Y1 has two appointments (keys 1, 2): its sale takes the first; Y9 has none: null key
+    assert got == [("10", 1, 1.5, 2.0), ("11", 3, None, None), ("12", None, 5.0, 6.0)]
     assert {r.ADDED_BY for r in fact.collect()} == {"run-42"}
     assert lake.table("control", "audit").read().count() == 1

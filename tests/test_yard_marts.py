@@ -12,7 +12,7 @@ def _fill(spark, rows, cols, schema):
     return conform(df, schema)
 
 
-def test_dimension_fanout_null_key_and_prices(spark):
+def test_first_key_per_yard_null_key_and_prices(spark):
     appts = _fill(spark, [("Y1", "S1", "C1"), ("Y1", "S2", "C2"), ("Y2", "S3", "C3")],
                   ["YARD_NAME", "SALES_ORDER_TICKET_ID", "CARRIER_NAME"], SILVER_APPOINTMENT_DATA)
     prices = ["1.5", "1,234.5", "", " 2 ", "$3", "1e3", None]
@@ -25,9 +25,10 @@ def test_dimension_fanout_null_key_and_prices(spark):
     fact = fact_sales(sales, dim, run_id="r", now="2024-01-01 00:00:00")
     assert fact.schema.fieldNames() == GOLD_FACT_SALES.fieldNames()
     rows = fact.collect()
-    # the two Y1 sales repeat once per Y1 appointment; Y9 and null yards keep a null key
-    assert len(rows) == 2 * 2 + 5
-    assert sorted(r.SALES_KEY for r in rows) == list(range(1, 10))
+    # one row per sale: Y1 sales take Y1's first appointment key; Y9 and null yards get null
+    assert len(rows) == 7
+    assert sorted(r.SALES_KEY for r in rows) == list(range(1, 8))
+    assert {r.APPOINTMENT_DATA_KEY for r in rows if r.COMMODITY_NAME in ("c0", "c1")} == {1}
     by_c = {}
     for r in rows:
         by_c.setdefault(r.COMMODITY_NAME, set()).add(r.PRICE)
