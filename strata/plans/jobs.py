@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from strata.functions.names import split_list
 from strata.operators.dedupe import dedupe_latest
-from strata.operators.transform import active, cast_columns, conform, fill_nulls, rename_columns
+from strata.operators.transform import active, cast_columns, fill_nulls, rename_columns
 from strata.operators.upsert import load_mode, replace, upsert
 from strata.plans.config import ColumnMapping, gold_update_columns, load_mapping
 from strata.plans.control import ControlTables, gated_run

@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import Row
 
 from strata.operators.dedupe import dedupe_any, dedupe_latest
 from strata.operators.upsert import DuplicateKeyError, load_mode, replace, upsert
