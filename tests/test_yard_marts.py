@@ -35,3 +35,24 @@ def test_first_key_per_yard_null_key_and_prices(spark):
     assert by_c == {"c0": {1.5}, "c1": {None}, "c2": {None}, "c3": {2.0}, "c4": {None}, "c5": {1000.0},
                     "c6": {None}}
     assert {r.APPOINTMENT_DATA_KEY for r in rows if r.COMMODITY_NAME in ("c2", "c3")} == {None}
+
+
+def test_declared_tables(spark, workdir):
+    from pyspark.sql import types as T
+
+    from strata.plans.yard_marts import TABLES
+    from strata.schemas import AUDIT_COLUMNS
+    from strata.sources.tables import Lakehouse
+
+    sizes = {name: len(schema.fields) for name, schema in TABLES.items()}
+    assert sizes == {("bronze", "SALES_DATA_PRIOR_DAY"): 42, ("bronze", "APPOINTMENT_DATA"): 42,
+                     ("silver", "SALES_DATA_PRIOR_DAY"): 44, ("silver", "APPOINTMENT_DATA"): 43,
+                     ("gold", "DIM_APPOINTMENT_DATA"): 8, ("gold", "FACT_SALES"): 11}
+    assert "CUSTOMER_NAME" not in TABLES[("silver", "APPOINTMENT_DATA")].fieldNames()
+    for (layer, _), schema in TABLES.items():
+        tail = tuple(schema.fieldNames()[-(2 if layer == "bronze" else 4):])
+        assert tail == (AUDIT_COLUMNS[:2] if layer == "bronze" else AUDIT_COLUMNS)
+    assert TABLES[("gold", "FACT_SALES")]["PRICE"].dataType == T.FloatType()
+    lake = Lakehouse(spark, workdir)
+    t = lake.table("gold", "FACT_SALES").create(TABLES[("gold", "FACT_SALES")])
+    assert t.read().schema == TABLES[("gold", "FACT_SALES")] and t.read().count() == 0
