@@ -164,10 +164,58 @@ def incremental_bronze(spark, sf_dir):
     return lake.table("bronze", "CUSTOMER").read()
 
 
+def layers_rerun(spark, sf_dir):
+    """Two gated runs over config: run 1 loads orders before 1999; run 2 brings orders from
+    1998 on, repriced. Bronze is incremental (each file once); silver is an upsert, so
+    matched keys keep ADDED_* of run 1 and get MODIFIED_* of run 2, new keys are inserted."""
+    from strata.queries.common import NOW_2, RUN_ID_2
+
+    root = scratch_dir(spark, "rerun")
+    src = f"{root}/landing"
+    lake = Lakehouse(spark, f"{root}/tables")
+    create_tables(lake, {("bronze", "ORDERS"): BRONZE[("bronze", "ORDERS")],
+                         ("silver", "ORDERS"): SILVER[("silver", "ORDERS")]})
+    control = ControlTables(lake.table("control", "status"), lake.table("control", "audit")).create()
+    control.register("orders", True)
+    objects = spark.createDataFrame([
+        ("ORDERS", "erp", "orders", "orders", "orders_done", "ORDERS", "ORDERS", "upsert", "ORDER_ID", 0, 1),
+    ], OBJECTS_CONFIGURATION)
+    mapping = spark.createDataFrame([
+        ("erp", "ORDERS", "ORDER_KEY", "ORDER_ID", "bigint", None),
+        ("erp", "ORDERS", "CUST_KEY", "CUSTOMER_ID", "bigint", None),
+        ("erp", "ORDERS", "ORDER_STATUS", "STATUS", "string", None),
+        ("erp", "ORDERS", "TOTAL_PRICE", "AMOUNT", "double", None),
+        ("erp", "ORDERS", "ORDER_DATE", "ORDER_DATE", "timestamp", None),
+    ], OBJECTS_COLUMN_MAPPING)
+    cfg = LayerConfig(objects, mapping, spark.createDataFrame([], EDW_CONFIG), [])
+    o = table(spark, sf_dir, "orders")
+    drop = lambda df: df.select(
+        F.col("o_orderkey").alias("Order Key"), F.col("o_custkey").alias("Cust Key"),
+        F.col("o_orderstatus").alias("Order Status"), F.col("o_totalprice").alias("Total Price"),
+        F.col("o_orderdate").alias("Order Date"))
+    write_csv(drop(o.where(F.col("o_orderdate") < "1999-01-01")), f"{src}/orders")
+    first = run_layers(LoadContext(spark, lake, src, RUN_ID, NOW), cfg, control, "orders", incremental=True)
+    repriced = o.where(F.col("o_orderdate") >= "1998-01-01").withColumn("o_totalprice", F.col("o_totalprice") + 1.0)
+    write_csv(drop(repriced), f"{src}/orders", mode="append")
+    second = run_layers(LoadContext(spark, lake, src, RUN_ID_2, NOW_2), cfg, control, "orders", incremental=True)
+    assert (first, second) == ("completed", "completed"), (first, second)
+    return lake.table("silver", "ORDERS").read()
+
+
 QUERIES = {"full_pipeline": full_pipeline, "incremental_ingest": incremental_ingest,
-           "incremental_bronze": incremental_bronze}
+           "incremental_bronze": incremental_bronze, "layers_rerun": layers_rerun}
 
 ORACLE = {
+    "layers_rerun": f"""
+        SELECT o_orderkey AS ORDER_ID, o_custkey AS CUSTOMER_ID, o_orderstatus AS STATUS,
+               CASE WHEN o_orderdate >= TIMESTAMP '1998-01-01' THEN o_totalprice + 1.0 ELSE o_totalprice END
+                 AS AMOUNT,
+               o_orderdate AS ORDER_DATE,
+               CASE WHEN o_orderdate < TIMESTAMP '1999-01-01' THEN '{RUN_ID}' ELSE 'run-0002' END AS ADDED_BY,
+               CASE WHEN o_orderdate < TIMESTAMP '1999-01-01' THEN TIMESTAMP '{NOW}'
+                    ELSE TIMESTAMP '2024-02-01 12:30:00' END AS ADDED_ON,
+               'run-0002' AS MODIFIED_BY, TIMESTAMP '2024-02-01 12:30:00' AS MODIFIED_ON
+        FROM orders""",
     "incremental_bronze": f"""
         SELECT c_custkey AS C_CUSTKEY, c_name AS C_NAME, c_nationkey AS C_NATIONKEY,
                c_acctbal AS C_ACCTBAL, c_mktsegment AS C_MKTSEGMENT,
