@@ -49,6 +49,26 @@ class LayerTable:
             found.append(int(m.group(1)))
         return sorted(found)
 
+    def vacuum(self, keep: int = 2) -> list[int]:
+        """Delete all but the newest ``keep`` committed versions, and folders of writes that
+        died before those. Returns the deleted version numbers.
+
+        Run it between loads: a query still reading an old version would lose its files.
+        """
+        if keep < 1:
+            raise ValueError("keep at least the current version")
+        committed = self.versions()
+        if not committed:
+            return []
+        cutoff = committed[-keep] if len(committed) >= keep else committed[0]
+        doomed = [v for v in self.versions(committed=False) if v < cutoff]
+        jvm = self.spark.sparkContext._jvm
+        fs = jvm.org.apache.hadoop.fs.Path(self.root).getFileSystem(
+            self.spark.sparkContext._jsc.hadoopConfiguration())
+        for v in doomed:
+            fs.delete(jvm.org.apache.hadoop.fs.Path(self._path(v)), True)
+        return doomed
+
     def _path(self, version: int) -> str:
         return f"{self.root}/v={version:06d}"
 
@@ -112,6 +132,23 @@ class Lakehouse:
     def table(self, layer: str, name: str) -> LayerTable:
         return LayerTable(self.spark, f"{self.root}/{layer.lower()}/{name.lower()}")
 
+    def vacuum(self, keep: int = 2) -> dict[str, list[int]]:
+        """``LayerTable.vacuum`` for every table of every layer below the root."""
+        jvm = self.spark.sparkContext._jvm
+        root = jvm.org.apache.hadoop.fs.Path(self.root)
+        fs = root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        out = {}
+        if not fs.exists(root):
+            return out
+        for layer in fs.listStatus(root):
+            if not layer.isDirectory() or layer.getPath().getName().startswith(("_", ".")):
+                continue
+            for t in fs.listStatus(layer.getPath()):
+                if t.isDirectory() and not t.getPath().getName().startswith(("_", ".")):
+                    name = f"{layer.getPath().getName()}/{t.getPath().getName()}"
+                    out[name] = LayerTable(self.spark, f"{self.root}/{name}").vacuum(keep)
+        return out
+
 
 def register_view(df: DataFrame, name: str) -> DataFrame:
     """Make ``df`` visible to ``spark.sql`` under ``name``."""

@@ -49,7 +49,7 @@ def test_cli_runs_all_layers(spark, workdir):
     state = main(["--lake", f"{workdir}/lake", "--source-root", src, "--run-id", "run-42",
                   "--objects", f"{cfg}/objects", "--mapping", f"{cfg}/mapping", "--edw", f"{cfg}/edw",
                   "--tables", "strata.plans.yard_marts:TABLES",
-                  "--builders", "strata.plans.yard_marts:BUILDERS"], spark=spark)
+                  "--builders", "strata.plans.yard_marts:BUILDERS", "--keep-versions", "1"], spark=spark)
     assert state == "completed"
     lake = Lakehouse(spark, f"{workdir}/lake")
     fact = lake.table("gold", "FACT_SALES").read()
@@ -58,3 +58,4 @@ def test_cli_runs_all_layers(spark, workdir):
     assert got == [("10", 1, 1.5, 2.0), ("11", 3, None, None), ("12", None, 5.0, 6.0)]
     assert {r.ADDED_BY for r in fact.collect()} == {"run-42"}
     assert lake.table("control", "audit").read().count() == 1
+    assert lake.table("gold", "FACT_SALES").versions() == [2]  # the empty created version is vacuumed

@@ -84,3 +84,16 @@ def test_purge_scratch_only_old_folders(spark, workdir):
     assert purge_scratch(spark, 3600, root) == []          # younger than an hour: kept
     removed = purge_scratch(spark, -1, root)                 # everything older than "the future"
     assert len(removed) == 1 and removed[0].endswith("/old")
+
+
+def test_vacuum_keeps_newest_versions(spark, workdir):
+    from strata.sources.tables import Lakehouse
+
+    lake = Lakehouse(spark, workdir)
+    t = lake.table("silver", "x")
+    for i in range(4):
+        t.replace(spark.createDataFrame([(i,)], "a int"))
+    assert t.vacuum(keep=2) == [1, 2]
+    assert t.versions() == [3, 4] and [r.a for r in t.read().collect()] == [3]
+    lake.table("gold", "y").replace(spark.createDataFrame([(1,)], "a int"))
+    assert lake.vacuum(keep=1) == {"silver/x": [3], "gold/y": []}
