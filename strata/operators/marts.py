@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions.names import qcol, resolve_column
-from strata.operators.keys import dense_number
+from strata.operators.keys import assign_keys, dense_number
 from strata.operators.transform import conform, select_as, stamp_audit
 
 
@@ -66,19 +66,31 @@ def build_dimension(
     schema: T.StructType | None = None,
     unique_on: Sequence[str] | None = None,
     source_is_scan: bool = False,
+    existing: DataFrame | None = None,
+    natural_key: Sequence[str] | None = None,
 ) -> DataFrame:
     """Project attributes, number them in ``order_by``, stamp audit, conform.
 
     ``unique_on`` keeps one row per value; by default the rows are kept as they
-    come, one per source row (a fact lookup then takes the smallest key per value). ``source_is_scan`` tells
+    come, one per source row (a fact lookup then takes the smallest key per value).
+    With ``existing`` (the current dimension) and ``natural_key``, entities already
+    there keep their key and new ones are numbered from its maximum + 1 (D11), so a
+    merge on the surrogate key matches the same entity across runs. ``source_is_scan`` tells
     the numbering that rows come straight from files (no shuffle upstream).
     """
     dim = select_as(source, attributes)
     if unique_on:
         dim = dim.dropDuplicates(list(unique_on))
         source_is_scan = False
-    dim = stamp_audit(dense_number(dim, order_by, key, deterministic_input=source_is_scan), run_id, now)
-    return _finish(dim, key, schema)
+    if existing is not None:
+        # Entities already in the current dimension keep their key
+        if not natural_key:
+            raise ValueError("existing keys need a natural_key to match entities")
+        known = existing.select(*[qcol(c) for c in natural_key], qcol(key))
+        dim = assign_keys(dim, known, natural_key, key, order_by)
+    else:
+        dim = dense_number(dim, order_by, key, deterministic_input=source_is_scan)
+    return _finish(stamp_audit(dim, run_id, now), key, schema)
 
 
 def build_fact(

@@ -35,14 +35,22 @@ TABLES = {
 }
 
 
+DIM_NATURAL_KEY = ("YARD_NAME", "SALES_ORDER_ID", "CARRIER_NAME")
+
+
 def dim_appointment_data(appointments: DataFrame, *, run_id: str, now=None,
-                         unique_on: Sequence[str] | None = None) -> DataFrame:
-    """Yard, sales order, carrier; key in yard order."""
+                         unique_on: Sequence[str] | None = None,
+                         existing: DataFrame | None = None) -> DataFrame:
+    """Yard, sales order, carrier; key in yard order.
+
+    With ``existing`` (the current gold dimension), known rows keep their key.
+    """
     return build_dimension(
         appointments,
         {"YARD_NAME": "YARD_NAME", "SALES_ORDER_TICKET_ID": "SALES_ORDER_ID", "CARRIER_NAME": "CARRIER_NAME"},
-        key="APPOINTMENT_DATA_KEY", order_by=["YARD_NAME", "SALES_ORDER_ID", "CARRIER_NAME"],
-        run_id=run_id, now=now, schema=GOLD_DIM_APPOINTMENT_DATA, unique_on=unique_on)
+        key="APPOINTMENT_DATA_KEY", order_by=list(DIM_NATURAL_KEY),
+        run_id=run_id, now=now, schema=GOLD_DIM_APPOINTMENT_DATA, unique_on=unique_on,
+        existing=existing, natural_key=DIM_NATURAL_KEY if existing is not None else None)
 
 
 def fact_sales(sales: DataFrame, dim: DataFrame, *, run_id: str, now=None) -> DataFrame:
@@ -57,7 +65,8 @@ def fact_sales(sales: DataFrame, dim: DataFrame, *, run_id: str, now=None) -> Da
 
 def _dim(ctx: LoadContext) -> DataFrame:
     return dim_appointment_data(ctx.lake.table("silver", "APPOINTMENT_DATA").read(),
-                                run_id=ctx.run_id, now=ctx.now)
+                                run_id=ctx.run_id, now=ctx.now,
+                                existing=ctx.lake.table("gold", "DIM_APPOINTMENT_DATA").read())
 
 
 def _fact(ctx: LoadContext) -> DataFrame:

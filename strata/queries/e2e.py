@@ -50,7 +50,8 @@ def _dim_customer(ctx: LoadContext):
     return build_dimension(
         ctx.lake.table("silver", "CUSTOMER").read(), ["CUSTOMER_ID", "CUSTOMER_NAME", "SEGMENT"],
         key="CUSTOMER_KEY", order_by=["CUSTOMER_ID"], run_id=ctx.run_id, now=ctx.now,
-        schema=GOLD[("gold", "DIM_CUSTOMER")], source_is_scan=True)
+        schema=GOLD[("gold", "DIM_CUSTOMER")],
+        existing=ctx.lake.table("gold", "DIM_CUSTOMER").read(), natural_key=["CUSTOMER_ID"])
 
 
 def _fact_orders(ctx: LoadContext):

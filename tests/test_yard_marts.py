@@ -56,3 +56,15 @@ def test_declared_tables(spark, workdir):
     lake = Lakehouse(spark, workdir)
     t = lake.table("gold", "FACT_SALES").create(TABLES[("gold", "FACT_SALES")])
     assert t.read().schema == TABLES[("gold", "FACT_SALES")] and t.read().count() == 0
+
+
+def test_dimension_keeps_keys_across_runs(spark):
+    appts1 = _fill(spark, [("Y1", "S1", "C1"), ("Y2", "S2", "C2")],
+                   ["YARD_NAME", "SALES_ORDER_TICKET_ID", "CARRIER_NAME"], SILVER_APPOINTMENT_DATA)
+    first = dim_appointment_data(appts1, run_id="r1", now="2024-01-01 00:00:00")
+    appts2 = _fill(spark, [("Y0", "S0", "C0"), ("Y2", "S2", "C2"), ("Y1", "S1", "C1"), ("Y3", "S3", "C3")],
+                   ["YARD_NAME", "SALES_ORDER_TICKET_ID", "CARRIER_NAME"], SILVER_APPOINTMENT_DATA)
+    second = dim_appointment_data(appts2, run_id="r2", now="2024-01-02 00:00:00", existing=first)
+    got = {r.YARD_NAME: r.APPOINTMENT_DATA_KEY for r in second.collect()}
+    # Y1 and Y2 keep 1 and 2; new Y0 and Y3 follow the maximum, in yard order
+    assert got == {"Y1": 1, "Y2": 2, "Y0": 3, "Y3": 4}
