@@ -59,6 +59,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> st
     p.add_argument("--jdbc-url")
     p.add_argument("--jdbc-options", help="JSON file with connection options")
     p.add_argument("--incremental", action="store_true", help="load only new files, then archive them")
+    p.add_argument("--incremental-silver", action="store_true",
+                   help="silver upserts read only bronze rows newer than the last silver write")
     p.add_argument("--workers", type=int, default=4)
     p.add_argument("--keep-versions", type=int, default=0,
                    help="after a completed run, keep only this many versions per table (0: keep all)")
@@ -77,7 +79,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> st
         control.register(a.pipeline, True)
     ctx = LoadContext(spark, lake, a.source_root, a.run_id, workers=a.workers)
     layers = LayerConfig(cfg["objects"], cfg["mapping"], cfg["edw"], _load(a.builders))
-    state = run_layers(ctx, layers, control, a.pipeline, incremental=a.incremental)
+    state = run_layers(ctx, layers, control, a.pipeline, incremental=a.incremental,
+                       incremental_silver=a.incremental_silver)
     if state == "completed" and a.keep_versions > 0:
         lake.vacuum(a.keep_versions)
     print(json.dumps({"pipeline": a.pipeline, "run_id": a.run_id, "state": state}))

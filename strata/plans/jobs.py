@@ -11,6 +11,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions.names import split_list
@@ -19,7 +20,7 @@ from strata.operators.transform import active, cast_columns, fill_nulls, rename_
 from strata.operators.upsert import load_mode, replace, upsert
 from strata.plans.config import ColumnMapping, gold_update_columns, load_mapping
 from strata.plans.control import ControlTables, gated_run
-from strata.schemas import ADDED_ON
+from strata.schemas import ADDED_ON, MODIFIED_ON
 from strata.sources.csv import load_csv_folder
 from strata.sources.tables import Lakehouse, LayerTable
 from strata.streaming.ingest import ingest_into_table
@@ -112,13 +113,33 @@ def load_table(table: LayerTable, df: DataFrame, *, operation_type: str, is_full
                                 update_columns=update_columns, check=not unique_keys))
 
 
-def run_silver(ctx: LoadContext, objects: DataFrame, mapping: DataFrame) -> dict[str, int]:
-    """Every active object: bronze -> mapped, deduped rows -> silver."""
+def new_bronze_rows(bronze: DataFrame, silver: LayerTable) -> DataFrame:
+    """Bronze rows loaded after the silver table was last written.
+
+    The watermark is the newest MODIFIED_ON in silver; a run whose silver step
+    failed left its bronze rows above it, so the next run picks them up. Each
+    append writes its own files, so the filter skips old row groups by their
+    parquet statistics.
+    """
+    mark = silver.read().agg(F.max(MODIFIED_ON)).first()[0]
+    return bronze if mark is None else bronze.where(F.col(ADDED_ON) > F.lit(mark))
+
+
+def run_silver(ctx: LoadContext, objects: DataFrame, mapping: DataFrame, *,
+               incremental: bool = False) -> dict[str, int]:
+    """Every active object: bronze -> mapped, deduped rows -> silver.
+
+    By default all of bronze is read again, as the reference does. With
+    ``incremental``, upserting objects read only the bronze rows loaded since
+    the last silver write (full loads always read everything).
+    """
     def one(row) -> tuple[str, int]:
         keys = split_list(row["KEY_COLUMN_NAME"])
         m = load_mapping(mapping, row["SOURCE_NAME"], row["OBJECT_NAME"])
         bronze = ctx.lake.table("bronze", row["BRONZE_TABLE_NAME"]).read()
         silver = ctx.lake.table("silver", row["SILVER_TABLE_NAME"])
+        if incremental and load_mode(row["OPERATION_TYPE"], row["IS_FULL_LOAD"]) == "upsert":
+            bronze = new_bronze_rows(bronze, silver)
         return row["SILVER_TABLE_NAME"], load_table(
             silver, silver_transform(bronze, m, keys), operation_type=row["OPERATION_TYPE"],
             is_full_load=row["IS_FULL_LOAD"], keys=keys, run_id=ctx.run_id, now=ctx.now,
@@ -180,10 +201,14 @@ def create_tables(lake: Lakehouse, schemas: Mapping[tuple[str, str], T.StructTyp
 
 
 def run_layers(ctx: LoadContext, cfg: LayerConfig, control: ControlTables, pipeline: str,
-               *, incremental: bool = False, **gate) -> str:
-    """Bronze, silver and gold under the run gate."""
+               *, incremental: bool = False, incremental_silver: bool = False, **gate) -> str:
+    """Bronze, silver and gold under the run gate.
+
+    ``incremental``: bronze loads only new files (K9); ``incremental_silver``:
+    silver upserts only bronze rows newer than its last write.
+    """
     def work():
         run_bronze(ctx, cfg.objects, incremental=incremental)
-        run_silver(ctx, cfg.objects, cfg.mapping)
+        run_silver(ctx, cfg.objects, cfg.mapping, incremental=incremental_silver)
         run_gold(ctx, cfg.edw, cfg.builders)
     return gated_run(control, pipeline, ctx.run_id, work, **gate)

@@ -165,7 +165,7 @@ def incremental_bronze(spark, sf_dir):
     return lake.table("bronze", "CUSTOMER").read()
 
 
-def layers_rerun(spark, sf_dir):
+def _rerun(spark, sf_dir, incremental_silver: bool):
     """Two gated runs over config: run 1 loads orders before 1999; run 2 brings orders from
     1998 on, repriced. Bronze is incremental (each file once); silver is an upsert, so
     matched keys keep ADDED_* of run 1 and get MODIFIED_* of run 2, new keys are inserted."""
@@ -195,18 +195,44 @@ def layers_rerun(spark, sf_dir):
         F.col("o_orderstatus").alias("Order Status"), F.col("o_totalprice").alias("Total Price"),
         F.col("o_orderdate").alias("Order Date"))
     write_csv(drop(o.where(F.col("o_orderdate") < "1999-01-01")), f"{src}/orders")
-    first = run_layers(LoadContext(spark, lake, src, RUN_ID, NOW), cfg, control, "orders", incremental=True)
+    kw = dict(incremental=True, incremental_silver=incremental_silver)
+    first = run_layers(LoadContext(spark, lake, src, RUN_ID, NOW), cfg, control, "orders", **kw)
     repriced = o.where(F.col("o_orderdate") >= "1998-01-01").withColumn("o_totalprice", F.col("o_totalprice") + 1.0)
     write_csv(drop(repriced), f"{src}/orders", mode="append")
-    second = run_layers(LoadContext(spark, lake, src, RUN_ID_2, NOW_2), cfg, control, "orders", incremental=True)
+    second = run_layers(LoadContext(spark, lake, src, RUN_ID_2, NOW_2), cfg, control, "orders", **kw)
     assert (first, second) == ("completed", "completed"), (first, second)
     return lake.table("silver", "ORDERS").read()
 
 
+def layers_rerun(spark, sf_dir):
+    """Silver re-reads all of bronze each run (as the reference): every key present in run 2's
+    view of bronze is matched, so all existing rows get MODIFIED_* of run 2."""
+    return _rerun(spark, sf_dir, incremental_silver=False)
+
+
+def layers_rerun_incremental(spark, sf_dir):
+    """Silver reads only bronze rows newer than its last write: rows run 2 did not bring keep
+    MODIFIED_* of run 1."""
+    return _rerun(spark, sf_dir, incremental_silver=True)
+
+
 QUERIES = {"full_pipeline": full_pipeline, "incremental_ingest": incremental_ingest,
-           "incremental_bronze": incremental_bronze, "layers_rerun": layers_rerun}
+           "incremental_bronze": incremental_bronze, "layers_rerun": layers_rerun,
+           "layers_rerun_incremental": layers_rerun_incremental}
 
 ORACLE = {
+    "layers_rerun_incremental": f"""
+        SELECT o_orderkey AS ORDER_ID, o_custkey AS CUSTOMER_ID, o_orderstatus AS STATUS,
+               CASE WHEN o_orderdate >= TIMESTAMP '1998-01-01' THEN o_totalprice + 1.0 ELSE o_totalprice END
+                 AS AMOUNT,
+               o_orderdate AS ORDER_DATE,
+               CASE WHEN o_orderdate < TIMESTAMP '1999-01-01' THEN '{RUN_ID}' ELSE 'run-0002' END AS ADDED_BY,
+               CASE WHEN o_orderdate < TIMESTAMP '1999-01-01' THEN TIMESTAMP '{NOW}'
+                    ELSE TIMESTAMP '2024-02-01 12:30:00' END AS ADDED_ON,
+               CASE WHEN o_orderdate < TIMESTAMP '1998-01-01' THEN '{RUN_ID}' ELSE 'run-0002' END AS MODIFIED_BY,
+               CASE WHEN o_orderdate < TIMESTAMP '1998-01-01' THEN TIMESTAMP '{NOW}'
+                    ELSE TIMESTAMP '2024-02-01 12:30:00' END AS MODIFIED_ON
+        FROM orders""",
     "layers_rerun": f"""
         SELECT o_orderkey AS ORDER_ID, o_custkey AS CUSTOMER_ID, o_orderstatus AS STATUS,
                CASE WHEN o_orderdate >= TIMESTAMP '1998-01-01' THEN o_totalprice + 1.0 ELSE o_totalprice END
