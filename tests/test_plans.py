@@ -41,3 +41,16 @@ def test_filters_and_columns_reach_the_scan(spark):
     p = plan(conform(o.where(F.col("o_totalprice") > 1000), schema))
     assert "PushedFilters: [IsNotNull(o_totalprice), GreaterThan(o_totalprice,1000.0)]" in p
     assert "ReadSchema: struct<o_orderkey:bigint,o_totalprice:double>" in p
+
+
+def test_incremental_silver_filter_reaches_the_scan(spark, workdir):
+    from strata.plans.jobs import new_bronze_rows
+    from strata.sources.tables import LayerTable
+
+    bronze = LayerTable(spark, f"{workdir}/b")
+    bronze.replace(stamp_audit(spark.range(3), "r1", "2024-01-01 00:00:00", ("ADDED_BY", "ADDED_ON")))
+    silver = LayerTable(spark, f"{workdir}/s")
+    silver.replace(stamp_audit(spark.range(3), "r1", "2024-01-01 00:00:00"))
+    p = plan(new_bronze_rows(bronze.read(), silver))
+    assert "GreaterThan(ADDED_ON," in p
+    assert new_bronze_rows(bronze.read(), silver).count() == 0
