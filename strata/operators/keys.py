@@ -50,7 +50,8 @@ def dense_number(
     Rows that tie on ``order_by`` get consecutive numbers in an unspecified
     order, as with ``row_number``. Set ``deterministic_input`` only when ``df``
     is a plain file scan, to skip the first staging. Inputs of at most
-    ``small_rows`` rows (counted first) are numbered in one sorted partition.
+    ``small_rows`` rows (counted during the first write, or directly for a scan) are
+    numbered in one sorted partition.
     """
     spark = df.sparkSession
     order = resolve_columns(df.columns, order_by, "order column")
