@@ -19,7 +19,8 @@ from strata.sources.tables import LayerTable
 
 
 def _utc_now() -> str:
-    return _dt.datetime.now(_dt.UTC).strftime("%Y-%m-%d %H:%M:%S.%f")
+    # with its offset, so Spark reads the same instant whatever the session time zone
+    return _dt.datetime.now(_dt.UTC).isoformat(sep=" ")
 
 
 @dataclass

@@ -121,3 +121,14 @@ def test_operators_accept_dotted_names(spark):
     t = stamp_audit(df, "t")
     out = upsert(t, df.where("`e.f` = 3"), ["a.b"], run_id="s").collect()
     assert len(out) == 3
+
+
+def test_audit_time_with_offset_is_exact(spark):
+    import datetime as dt
+
+    from strata.functions.values import as_timestamp
+
+    aware = dt.datetime(2024, 1, 1, 12, 0, tzinfo=dt.timezone(dt.timedelta(hours=2)))
+    got = spark.range(1).select(as_timestamp(aware).alias("t"),
+                                as_timestamp("2024-01-01 10:00:00+00:00").alias("u")).first()
+    assert got.t == got.u
