@@ -82,23 +82,29 @@ def upsert(
     ts = as_timestamp(now)
     stamp = {MODIFIED_BY: F.lit(run_id), MODIFIED_ON: ts, ADDED_BY: F.lit(run_id), ADDED_ON: ts}
 
-    # source side of the match: keys and updated values under private names
-    src = source.select(
+    # Source rows with every key set are the only ones that can match. One
+    # projection of them feeds the match and the insert, so the two branches
+    # need the same shuffle of the source and Spark reuses it (a deduplicated
+    # source is then aggregated once, not once per branch).
+    set_keys = None
+    for k in skeys:
+        set_keys = qcol(k).isNotNull() if set_keys is None else set_keys & qcol(k).isNotNull()
+    values = [c for c in shared if c not in tkeys]
+    val_index = {c: j for j, c in enumerate(values)}
+    src = source.where(set_keys).select(
         *[qcol(k).alias(f"__sk{i}") for i, k in enumerate(skeys)],
-        *[qcol(shared[c]).cast(ttype[c]).alias(f"__su{j}") for j, c in enumerate(updates)],
-        F.lit(True).alias("__hit"),
+        *[qcol(shared[c]).cast(ttype[c]).alias(f"__sv{j}") for j, c in enumerate(values)],
     )
     t = target.alias("__t")
     tq = lambda c: F.col("__t.`" + c.replace("`", "``") + "`")
     sq = lambda c: F.col("__s.`" + c.replace("`", "``") + "`")
     matched = t.join(src, [tq(k) == F.col(f"__sk{i}") for i, k in enumerate(tkeys)], "left")
-    hit = F.coalesce(F.col("__hit"), F.lit(False))
-    upd_index = {c: j for j, c in enumerate(updates)}
+    hit = F.col("__sk0").isNotNull()  # src keys are never null, so set only on a match
     kept = []
     for c in tcols:
         old = tq(c)
-        if c in upd_index:
-            kept.append(F.when(hit, F.col(f"__su{upd_index[c]}")).otherwise(old).alias(c))
+        if c in updates:
+            kept.append(F.when(hit, F.col(f"__sv{val_index[c]}")).otherwise(old).alias(c))
         elif c.upper() in (MODIFIED_BY, MODIFIED_ON):
             kept.append(F.when(hit, stamp[c.upper()].cast(ttype[c])).otherwise(old).alias(c))
         else:
@@ -108,18 +114,26 @@ def upsert(
     # keys present on both sides: a semi join of target keys against source keys
     # (a small source is broadcast, so the target is not shuffled), then distinct
     tk = target.select(*[qcol(k).alias(f"__tk{i}") for i, k in enumerate(tkeys)])
-    sk = source.select(*[qcol(k).alias(f"__qk{i}") for i, k in enumerate(skeys)])
+    sk = src.select(*[F.col(f"__sk{i}").alias(f"__qk{i}") for i in range(len(skeys))])
     both = tk.join(sk, [F.col(f"__tk{i}") == F.col(f"__qk{i}") for i in range(len(tkeys))],
                    "left_semi").distinct()
-    new = source.alias("__s").join(
-        both, [sq(k) == F.col(f"__tk{i}") for i, k in enumerate(skeys)], "left_anti")
+    new = src.join(both, [F.col(f"__sk{i}") == F.col(f"__tk{i}") for i in range(len(skeys))], "left_anti")
+    key_index = {c: i for i, c in enumerate(tkeys)}
     inserted = new.select(*[
+        (stamp[c.upper()] if c.upper() in AUDIT_COLUMNS
+         else F.col(f"__sk{key_index[c]}") if c in key_index
+         else F.col(f"__sv{val_index[c]}") if c in val_index
+         else F.lit(None)).cast(ttype[c]).alias(c)
+        for c in tcols
+    ])
+    # rows with a null key never match (``=`` on keys): inserted as they are
+    unkeyed = source.alias("__s").where(~set_keys).select(*[
         (stamp[c.upper()] if c.upper() in AUDIT_COLUMNS
          else sq(shared[c]) if c in shared
          else F.lit(None)).cast(ttype[c]).alias(c)
         for c in tcols
     ])
-    return kept_rows.unionByName(inserted)
+    return kept_rows.unionByName(inserted).unionByName(unkeyed)
 
 
 def replace(

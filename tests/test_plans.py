@@ -54,3 +54,18 @@ def test_incremental_silver_filter_reaches_the_scan(spark, workdir):
     p = plan(new_bronze_rows(bronze.read(), silver))
     assert "GreaterThan(ADDED_ON," in p
     assert new_bronze_rows(bronze.read(), silver).count() == 0
+
+
+def test_upsert_reads_one_shuffle_of_a_deduplicated_source(spark):
+    o = spark.read.parquet(f"{SF}/orders.parquet").select(*ORDER_COLS)
+    src = dedupe_latest(stamp_audit(o, "b", None, ("ADDED_BY", "ADDED_ON")), ["o_orderkey"], ["ADDED_ON"])
+    out = upsert(stamp_audit(o.where(F.col("o_orderdate") < "1996-01-01"), "a"),
+                 src.drop("ADDED_BY", "ADDED_ON"), ["o_orderkey"], run_id="b", check=False)
+    with_broadcast = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert out.count() == o.count()
+        out.collect()  # the dataset's own adaptive plan is final after an action on it
+        assert "ReusedExchange" in plan(out)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", with_broadcast)
