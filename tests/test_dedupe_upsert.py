@@ -69,6 +69,20 @@ def test_upsert_composite_key_and_update_list(spark):
     assert got == {(1, "x"): ("A", 1.0, "old"), (1, "y"): ("B", 2.0, "n")}
 
 
+def test_upsert_composite_key_with_a_null_part_never_matches(spark):
+    schema = "k1 int, k2 string, v string, w double"
+    target = stamp_audit(spark.createDataFrame([(1, None, "t", 1.0), (2, "x", "t", 2.0)], schema),
+                         "old", "2020-01-01 00:00:00")
+    source = spark.createDataFrame([(1, None, "s", 3.0), (None, "x", "s", 4.0), (2, "x", "s", 5.0)], schema)
+    out = upsert(target, source, ["k1", "k2"], run_id="n", check=False).collect()
+    got = sorted(((r.k1, r.k2, r.v, r.w, r.ADDED_BY, r.MODIFIED_BY) for r in out), key=repr)
+    assert got == sorted([
+        (1, None, "t", 1.0, "old", "old"),  # target row with a null key part is kept as it is
+        (2, "x", "s", 5.0, "old", "n"),     # matched on both parts
+        (1, None, "s", 3.0, "n", "n"),      # null key part: inserted, never matched
+        (None, "x", "s", 4.0, "n", "n"),
+    ], key=repr)
+
 def test_replace_and_load_mode(spark):
     schema = _target(spark, [(1, "a")]).schema
     out = replace(spark.createDataFrame([(" 4 ", "d")], "k string, v string"), schema, run_id="r").collect()
