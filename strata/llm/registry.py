@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from strata.llm import exact_dedup
+from strata.llm import exact_dedup, license_scan, url_filter
 
 QUERIES = {}
 ORACLE = {}
-for _m in (exact_dedup,):
+for _m in (url_filter, license_scan, exact_dedup):
     QUERIES.update(_m.QUERIES)
     ORACLE.update(_m.ORACLE)
