@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from strata.llm import exact_dedup, license_scan, url_filter
+from strata.llm import exact_dedup, html_extract, license_scan, packing, url_filter
 
 QUERIES = {}
 ORACLE = {}
-for _m in (url_filter, license_scan, exact_dedup):
+for _m in (url_filter, packing, license_scan, html_extract, exact_dedup):
     QUERIES.update(_m.QUERIES)
     ORACLE.update(_m.ORACLE)
