@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from strata.llm import ann, exact_dedup, html_extract, license_scan, ngram_join, packing, suffix_dedup, url_filter
+from strata.llm import ann, exact_dedup, html_extract, license_scan, ngram_join, packing, quality_lm, suffix_dedup, url_filter
 
 QUERIES = {}
 ORACLE = {}
-for _m in (url_filter, packing, license_scan, ann, ngram_join, html_extract, suffix_dedup, exact_dedup):
+for _m in (url_filter, packing, quality_lm, license_scan, ann, ngram_join, html_extract, suffix_dedup, exact_dedup):
     QUERIES.update(_m.QUERIES)
     ORACLE.update(_m.ORACLE)
