@@ -1,7 +1,7 @@
 """Quality classifier (operator 3): interpolated modified Kneser-Ney n-grams, judged by perplexity.
 
 *Symbols.* A text is its UTF-8 bytes; a word that repeats the word before it becomes
-one mark, so stuttering text is as surprising as it should be. ``order - 1``
+one mark, and marks are no history, so every repeat is as surprising as the first. ``order - 1``
 zero bytes stand before a text. An n-gram fits a 64-bit integer, exactly.
 
 *Models.* One per language and fold: rows fall into two folds by hash, and trusted
@@ -41,7 +41,7 @@ from strata.session import stage
 ORDER = 5
 MARK = 1
 PRIOR = 200.0
-HIGH, MARGIN = 0.98, 1.0
+HIGH, MARGIN = 0.95, 6.0
 
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -64,25 +64,30 @@ def symbols(raw: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     again = np.flatnonzero(np.append(False, (h[1:] == h[:-1]) & (text[1:] == text[:-1])))
     if not len(again):
         return raw, offs
+    # the gap and the repeated word become one mark
     out = raw.copy()
-    out[s[again]] = MARK
+    out[e[again] - 1] = MARK
     drop = np.zeros(len(raw) + 1, np.int64)
-    np.add.at(drop, s[again] + 1, 1)
-    np.add.at(drop, e[again], -1)
+    np.add.at(drop, e[again - 1], 1)
+    np.add.at(drop, e[again] - 1, -1)
     keep = np.cumsum(drop[:-1]) == 0
     total = np.concatenate([[0], np.cumsum(keep)])
     return out[keep], total[offs]
 
 
 def grams(raw: np.ndarray, offs: np.ndarray, order: int) -> np.ndarray:
-    """The n-gram that ends at each symbol, as one integer (zero bytes before a text)."""
-    place = np.arange(len(raw)) - np.repeat(offs[:-1], np.diff(offs))
+    """The n-gram that ends at each symbol, as one integer (zero bytes before a text).
+
+    Marks are no history: the tenth repeat is as surprising as the first.
+    """
+    solid = raw != MARK
+    total = np.concatenate([[0], np.cumsum(solid)])        # symbols before each place, marks left out
+    place = total[:-1] - np.repeat(total[offs[:-1]], np.diff(offs))
+    plain = raw[solid].astype(np.int64)
     out = raw.astype(np.int64)
     for j in range(1, order):
-        prev = np.zeros(len(raw), np.int64)
-        prev[j:] = raw[:-j] if j < len(raw) else prev[j:]
-        prev[place < j] = 0
-        out |= prev << (8 * j)
+        ok = place >= j
+        out[ok] |= plain[total[:-1][ok] - j] << (8 * j)
     return out
 
 
