@@ -19,6 +19,7 @@ import uuid
 from collections.abc import Callable
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,7 +41,7 @@ def unpack_rows(blob: bytes) -> pa.Table:
     return pa.ipc.open_stream(pa.py_buffer(blob)).read_all().combine_chunks()
 
 
-def _blocks(text_col: str, id_col: str, id_name: str):
+def _blocks(text_col: str, id_col: str, id_name: str, block_bytes: int):
     def cut(batches):
         # a partition has fewer than 2^20 blocks of its rows
         number = TaskContext.get().partitionId() << 20
@@ -53,19 +54,19 @@ def _blocks(text_col: str, id_col: str, id_name: str):
                  pa.array([pack_rows(t)], pa.binary())], names=["block", id_name, "body"])
 
         for b in batches:
-            ends = pa.compute.cumulative_sum(pa.compute.fill_null(pa.compute.binary_length(b.column(text_col)), 0).cast(pa.int64()))
+            ends = pc.cumulative_sum(pc.fill_null(pc.binary_length(b.column(text_col)), 0).cast(pa.int64()))
             ends = ends.to_numpy(zero_copy_only=False)
             at = 0
             while at < b.num_rows:
                 done = int(ends[at - 1]) if at else 0
                 # rows that still fit; at least one into an empty block
-                upto = int(ends.searchsorted(done + BLOCK_BYTES - size, side="right"))
+                upto = int(ends.searchsorted(done + block_bytes - size, side="right"))
                 upto = max(upto, at + (not held))
                 if upto > at:
                     held.append(b.slice(at, upto - at))
                     size += int(ends[upto - 1]) - done
                     at = upto
-                if at < b.num_rows or size >= BLOCK_BYTES:
+                if at < b.num_rows or size >= block_bytes:
                     yield close()
                     number += 1
                     held, size = [], 0
@@ -78,14 +79,12 @@ def _blocks(text_col: str, id_col: str, id_name: str):
 class Blocks:
     """A bucketed table of blocks; ``drop`` removes its catalog entry (files go with the scratch folder)."""
 
-    def __init__(self, rows: DataFrame, id_col: str, text_col: str):
-        import pyarrow.compute  # noqa: F401
-
+    def __init__(self, rows: DataFrame, id_col: str, text_col: str, block_bytes: int = BLOCK_BYTES):
         self.spark = rows.sparkSession
         self.schema = rows.schema
         self.name = f"strata_blocks_{uuid.uuid4().hex[:12]}"
         buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        blocks = rows.mapInArrow(_blocks(text_col, id_col, "ids"), T.StructType([
+        blocks = rows.mapInArrow(_blocks(text_col, id_col, "ids", block_bytes), T.StructType([
             T.StructField("block", T.LongType()), T.StructField("ids", T.ArrayType(rows.schema[id_col].dataType)),
             T.StructField("body", T.BinaryType())]))
         (blocks.write.bucketBy(buckets, "block").option("path", scratch_dir(self.spark, "blocks"))

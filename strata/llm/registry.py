@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from strata.llm import ann, exact_dedup, html_extract, license_scan, ngram_join, packing, quality_lm, suffix_dedup, url_filter
+from strata.llm import ann, exact_dedup, html_extract, license_scan, ngram_join, packing, piece_codec, quality_lm, suffix_dedup, url_filter
 
 QUERIES = {"pipeline": corpus_pipeline.run}
 ORACLE = {} if corpus_pipeline.ORACLE_SQL is None else {"pipeline": corpus_pipeline.ORACLE_SQL}
-for _m in (url_filter, packing, quality_lm, license_scan, ann, ngram_join, html_extract, suffix_dedup, exact_dedup):
+for _m in (url_filter, packing, quality_lm, license_scan, ann, ngram_join, html_extract, suffix_dedup, exact_dedup, piece_codec):
     QUERIES.update(_m.QUERIES)
     ORACLE.update(_m.ORACLE)

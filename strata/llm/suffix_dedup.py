@@ -69,10 +69,11 @@ def sliding_min(x: np.ndarray, w: int) -> np.ndarray:
 
 
 class SpanHash:
-    """64-bit hashes of arbitrary spans of a byte array."""
+    """64-bit hashes of arbitrary spans of a byte array (or of an array with ``values`` as its hashes)."""
 
-    def __init__(self, raw: np.ndarray):
+    def __init__(self, raw: np.ndarray, values: np.ndarray | None = None):
         n = len(raw)
+        values = BYTE[raw] if values is None else values
         power = np.full(n + 1, BASE, np.uint64)
         power[0] = 1
         np.multiply.accumulate(power, out=power)
@@ -80,7 +81,7 @@ class SpanHash:
         self.inverse[0] = 1
         np.multiply.accumulate(self.inverse, out=self.inverse)
         self.sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(BYTE[raw] * power[:n], out=self.sums[1:])
+        np.cumsum(values * power[:n], out=self.sums[1:])
 
     def __call__(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         h = (self.sums[end] - self.sums[start]) * self.inverse[start]
