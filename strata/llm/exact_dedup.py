@@ -112,18 +112,20 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ``with_rows`` instead the input's own columns for the rows that stay.
     """
     names = docs.columns if with_rows else [id_col, text_col]
+    # own names inside: no column of the caller can clash, dots in names do no harm
+    own = {c: f"{OUT}c{i}" for i, c in enumerate(names)}
     norm = ascii_lower(F.col(f"`{text_col}`"))
-    keyed = docs.select(*[F.col(f"`{c}`") for c in names], F.unhex(F.sha2(norm, 256)).alias(OUT + "sha"),
+    keyed = docs.select(*[F.col(f"`{c}`").alias(own[c]) for c in names], F.unhex(F.sha2(norm, 256)).alias(OUT + "sha"),
                         F.substring(norm, 1, KEY_CHARS).alias(OUT + "lead"))
-    order = [F.col(OUT + "lead"), F.col(OUT + "sha"), F.col(f"`{id_col}`").desc_nulls_last()]
+    order = [F.col(OUT + "lead"), F.col(OUT + "sha"), F.col(own[id_col]).desc_nulls_last()]
     ordered = (keyed.repartitionByRange(*order).sortWithinPartitions(*order).drop(OUT + "lead"))
-    kept_fields = [f for f in ordered.schema if with_rows or f.name != text_col]
+    kept_fields = [f for f in ordered.schema if with_rows or f.name != own[text_col]]
     id_type = docs.schema[id_col].dataType
     schema = T.StructType(kept_fields + [
         T.StructField(OUT + "keep", id_type), T.StructField(OUT + "size", T.LongType()),
         T.StructField(OUT + "head", T.BooleanType()), T.StructField(OUT + "edge", T.BooleanType()),
         T.StructField(OUT + "pid", T.IntegerType())])
-    rows, _ = stage(ordered.mapInArrow(_runs(text_col, id_col, with_rows), schema), "exact-dedup")
+    rows, _ = stage(ordered.mapInArrow(_runs(own[text_col], own[id_col], with_rows), schema), "exact-dedup")
 
     # runs that may go on in a neighbouring partition: at most two per partition
     edges = (rows.filter(F.col(OUT + "edge") & F.col(OUT + "head"))
@@ -135,9 +137,9 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     whole = F.col(OUT + "total").isNotNull()
     kept = F.col(OUT + "head") & (~whole | (F.col(OUT + "pid") == F.col(OUT + "front")))
     if with_rows:
-        return joined.filter(kept).select(*[F.col(f"`{c}`") for c in docs.columns])
+        return joined.filter(kept).select(*[F.col(own[c]).alias(c) for c in names])
     return joined.select(
-        F.col(f"`{id_col}`"),
+        F.col(own[id_col]).alias(id_col),
         F.when(whole, F.col(OUT + "top")).otherwise(F.col(OUT + "keep")).alias("keep_id"),
         F.coalesce(OUT + "total", OUT + "size").alias("group_size"),
         kept.alias("kept"),
