@@ -186,11 +186,14 @@ def kneser_ney(counts: DataFrame, asked: DataFrame, order: int) -> DataFrame:
         of = lambda j: F.sum((F.col("c") == j).cast("double"))  # noqa: E731, B023
         # 4 numbers per model: a text's languages bound it
         d = level[k].groupBy("m").agg(*[of(j).alias(f"n{j}") for j in (1, 2, 3, 4)])
-        y = F.col("n1") / (F.col("n1") + 2 * F.col("n2"))
-        rate = lambda a, b, j: F.greatest(F.lit(0.05), F.least(F.lit(float(j) - 0.05), F.coalesce(j - (j + 1) * y * F.col(b) / F.col(a), F.lit(0.5 * j))))  # noqa: E731, B023
-        safe = lambda a: F.nullif(F.col(a), F.lit(0.0))
-        d = d.select("m", *[safe(c).alias(c) if c != "n4" else F.col(c) for c in ("n1", "n2", "n3", "n4")]).fillna(0.0, ["n2"])
-        d = d.select("m", rate("n1", "n2", 1).alias("d1"), rate("n2", "n3", 2).alias("d2"), rate("n3", "n4", 3).alias("d3"))
+        some = lambda c: F.nullif(c, F.lit(0.0))
+        y = F.col("n1") / some(F.col("n1") + 2 * F.col("n2"))
+
+        def rate(j: int, y=y, some=some) -> Column:
+            raw = j - (j + 1) * y * F.col(f"n{j + 1}") / some(F.col(f"n{j}"))
+            return F.greatest(F.lit(0.05), F.least(F.lit(j - 0.05), F.coalesce(raw, F.lit(0.5 * j)))).alias(f"d{j}")
+
+        d = d.select("m", rate(1), rate(2), rate(3))
         grams_k = level[k].withColumn("h", F.shiftright("g", 8))
         context = (grams_k.groupBy("m", "h").agg(F.sum("c").alias("all"), of(1).alias("e1"), of(2).alias("e2"), of(3).alias("e3"), F.count(F.lit(1)).alias("e"))
                    .join(F.broadcast(d), "m")
@@ -235,7 +238,7 @@ class QualityModel:
             long("block"), long("row"), T.StructField("id", docs.schema[id_col].dataType), T.StructField("lang", T.StringType()), T.StructField("trusted", T.BooleanType())]))
         raw, _ = stage(scored.join(names, ["block", "row"]), "quality-scores")
         # per language: mean bits per symbol and the quantiles of trusted rows; no row where nothing is trusted
-        mean = raw.filter("trusted").groupBy("lang").agg((F.sum("bits") / F.sum("n")).alias("mean"))
+        mean = raw.filter("trusted").groupBy("lang").agg((F.sum("bits") / F.nullif(F.sum("n"), F.lit(0).cast("long"))).alias("mean"))
         value = F.when(F.col("n") > 0, (F.col("bits") + prior * F.col("mean")) / (F.col("n") + prior))
         shrunk = raw.join(F.broadcast(mean), "lang", "left").withColumn("value", value)
         limits = (shrunk.filter("trusted AND n > 0").groupBy("lang")
