@@ -12,13 +12,15 @@ verification. Size and position in the prefix filter pairs inside the join.
 
 *Candidates.* (token, class) rows are range-partitioned and sorted; tokens of one
 class only are dropped in the stream. Token groups of up to ``small`` classes
-give their pairs. A larger group is a star: each class is paired with the group's
-leader, the class with the fewest rare tokens (the text that others were made
-from). When components are known, only groups that still hold several components
-are looked at again: members outside the leader's component against all others.
-No group's pairs are all written out, and no link between components is lost.
+give their pairs, cut down by sizes, places in the prefix and the other orders. A
+larger group gives one edge per class, to its leader (the class with the fewest rare
+tokens), so no group's pairs are written out. Whatever links is then in one
+component of these edges: a *cluster* of candidates.
 
-*Verification* intersects whole sets; a set is fetched once per class.
+*Verification.* Whole sets are fetched once per class and meet in their cluster. A
+cluster of more than ``BLOCK`` classes is cut into blocks by hash, and every two blocks
+meet in a task of their own, so no task grows with a cluster. A task counts all
+overlaps exactly and puts out a spanning set of the links, not the pairs.
 
 Defined results: null or empty texts and texts without words have an empty set and
 link with nothing; texts with fewer words than a shingle are one shingle; repeated
@@ -46,6 +48,8 @@ SMALL = 16
 #: bits of the bitmaps that are broadcast (8 MB)
 BITS = 1 << 26
 TEXTS = 1000
+#: classes of a cluster that meet others in one task
+BLOCK = 512
 
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -201,13 +205,18 @@ def _drop_single(batches):
 
 
 def _fetch(text_col, words, percent, wanted):
-    """Whole sets of wanted classes, with their prefixes under orders 2 and 3."""
+    """Whole sets of the wanted rows (by the hash of their id), with their prefixes under orders 2 and 3."""
 
     def run(batches):
         bits = wanted.value
-        rows = ((k, t) for k, t in _distinct_sets(batches, text_col, words) if bitmaps.test(bits, np.array([k[0]], np.int64))[0])
+
+        def rows():
+            for b in batches:
+                b = b.filter(pa.array(bitmaps.test(bits, b.column("id_hash").to_numpy(zero_copy_only=False))))
+                yield from _distinct_sets([b], text_col, words)
+
         kind = pa.list_(pa.int64())
-        for part in _blocks(rows, 200_000):
+        for part in _blocks(rows(), 200_000):
             other = [[], []]
             for _, t in part:
                 p = prefix_length(len(t), percent)
@@ -222,6 +231,59 @@ def _fetch(text_col, words, percent, wanted):
     return run
 
 
+def linked(sets: list[np.ndarray], percent: int) -> np.ndarray:
+    """Smallest member of each set's component, by the links among ``sets``."""
+    n = len(sets)
+    size = np.array([len(t) for t in sets], np.int64)
+    owner = np.repeat(np.arange(n), size)
+    _, token, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = count[token] > 1                       # a token of one set overlaps with nothing
+    owner, token = owner[shared], np.unique(token[shared], return_inverse=True)[1]
+    overlap = np.zeros((n, n), np.float32)
+    by = np.argsort(token, kind="stable")
+    owner, token = owner[by], token[by]
+    for lo in range(0, int(token.max(initial=-1)) + 1, 2048):
+        a, b = np.searchsorted(token, [lo, lo + 2048])
+        held = np.zeros((n, 2048), np.float32)
+        held[owner[a:b], token[a:b] - lo] = 1
+        overlap += held @ held.T
+    overlap = overlap.astype(np.int64)
+    link = 100 * overlap >= percent * (size[:, None] + size[None, :] - overlap)
+    np.fill_diagonal(link, True)
+    label = np.arange(n)
+    while True:
+        low = np.where(link, label[None, :], n).min(axis=1)
+        low = np.minimum(low, low[low])
+        if (low == label).all():
+            return label
+        label = low
+
+
+def _verify(percent: int):
+    """A spanning set of the links among the rows of each cluster in a task."""
+
+    def run(tab: pa.Table) -> pa.Table:
+        code = tab.column("cluster").to_numpy()
+        by = np.argsort(code, kind="stable")
+        lists = tab.column("tokens").combine_chunks()
+        flat, offs = lists.flatten().to_numpy(), np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
+        c1, c2 = tab.column("c1").to_numpy(), tab.column("c2").to_numpy()
+        a, b = [], []
+        for rows in np.split(by, np.flatnonzero(np.diff(code[by])) + 1):
+            # a class that was fetched twice counts once
+            _, first = np.unique(np.stack([c1[rows], c2[rows]]), axis=1, return_index=True)
+            rows = rows[first]
+            if len(rows) > 1:
+                label = linked([flat[offs[r]:offs[r + 1]] for r in rows.tolist()], percent)
+                own = np.flatnonzero(label != np.arange(len(rows)))
+                a.append(rows[own])
+                b.append(rows[label[own]])
+        a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b))
+        return pa.table({"x1": pa.array(c1[a]), "x2": pa.array(c2[a]), "y1": pa.array(c1[b]), "y2": pa.array(c2[b])})
+
+    return run
+
+
 def _fits(percent: int):
     """Sizes and prefix places allow the overlap that a link needs (sets ``l`` and ``r``)."""
     need = F.expr(f"div({percent} * (l.n + r.n) + {99 + percent}, {100 + percent})")
@@ -232,23 +294,13 @@ def _fits(percent: int):
 PAIR = ["l.c1 AS x1", "l.c2 AS x2", "r.c1 AS y1", "r.c2 AS y2"]
 
 
-def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (x1, x2, y1, y2) that pass orders 2 and 3 and then link."""
-
-    def both(df, cols):
-        for s in ("x", "y"):
-            side = sets.select(F.col("c1").alias(f"{s}1"), F.col("c2").alias(f"{s}2"), *[F.col(c).alias(f"{s}_{c}") for c in cols])
-            df = df.join(side, [f"{s}1", f"{s}2"])
-        return df
-
-    names = ["x1", "x2", "y1", "y2"]
-    near = both(pairs, ["p2", "p3"]).filter(F.arrays_overlap("x_p2", "y_p2") & F.arrays_overlap("x_p3", "y_p3")).select(*names)
-    near, n = stage(near, "ngram-near")
-    if not n:
-        return near
-    shared = F.size(F.array_intersect("x_tokens", "y_tokens"))
-    union = F.size("x_tokens") + F.size("y_tokens") - shared
-    return both(near, ["tokens"]).filter(shared * 100 >= union * percent).select(*names)
+def _other_orders(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (x1, x2, y1, y2) that share a token in the prefixes of orders 2 and 3 too."""
+    for s in ("x", "y"):
+        side = sets.select(F.col("c1").alias(f"{s}1"), F.col("c2").alias(f"{s}2"), F.col("p2").alias(f"{s}_p2"), F.col("p3").alias(f"{s}_p3"))
+        pairs = pairs.join(side, [f"{s}1", f"{s}2"])
+    return (pairs.filter(F.arrays_overlap("x_p2", "y_p2") & F.arrays_overlap("x_p3", "y_p3"))
+            .select("x1", "x2", "y1", "y2").distinct())
 
 
 def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
@@ -258,6 +310,7 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     share = spark.sparkContext.broadcast
     docs = docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))
     texts = docs.select(F.col(f"`{text_col}`"))
+    named = docs.select(F.xxhash64(F.col(f"`{id_col}`")).alias("id_hash"), F.col(f"`{text_col}`"))
     rows, _ = stage(docs.mapInArrow(_sets(id_col, text_col, words), T.StructType([
         docs.schema[id_col], *[T.StructField(c, T.LongType()) for c in ("n", "c1", "c2")]])), "ngram-rows")
 
@@ -269,58 +322,50 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                     .repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_drop_single, cols)
                     .dropDuplicates(["t", "c1", "c2"]), "ngram-prefixes")
 
-    groups = (cand.groupBy("t").agg(F.count(F.lit(1)).alias("g"), F.min(F.struct("rare", "c1", "c2", "n", "pos")).alias("lead"))
+    groups = (cand.groupBy("t").agg(F.count(F.lit(1)).alias("g"), F.min(F.struct("rare", "c1", "c2")).alias("lead"))
               .filter("g > 1"))
     members, _ = stage(cand.join(groups, "t"), "ngram-groups")
     few = members.filter(F.col("g") <= small).select("t", "c1", "c2", "n", "pos")
     many = members.filter(F.col("g") > small)
     apart = F.expr("l.c1 < r.c1 OR (l.c1 = r.c1 AND l.c2 < r.c2)")
     close = few.alias("l").join(few.alias("r"), (F.col("l.t") == F.col("r.t")) & apart & _fits(percent)).selectExpr(*PAIR)
-    star = (many.selectExpr("struct(c1, c2, n, pos) AS l", "lead AS r")
-            .filter("l.c1 != r.c1 OR l.c2 != r.c2").filter(_fits(percent)).selectExpr(*PAIR))
-    ordered = lambda df: df.selectExpr(  # noqa: E731  smaller key first, each pair once
-        "IF(x1 < y1 OR (x1 = y1 AND x2 < y2), struct(x1, x2, y1, y2), struct(y1 AS x1, y2 AS x2, x1 AS y1, x2 AS y2)) AS p").select("p.*").distinct()
-    pairs, n_pairs = stage(ordered(close.unionByName(star)), "ngram-pairs")
-
-    classes = rows.filter("n > 0").groupBy("c1", "c2").agg(F.min(id_col).alias("doc")).select(
-        "c1", "c2", F.struct("doc", "c1", "c2").alias("node"))
-    if n_pairs:
-        wanted = (pairs.selectExpr("x1 AS c1").union(pairs.selectExpr("y1 AS c1")).union(many.select("c1")))
-        wanted = share(bitmaps.build(wanted, "c1", bits))
-        sets, _ = stage(texts.mapInArrow(_fetch(text_col, words, percent, wanted), "c1 long, c2 long, p2 array<long>, p3 array<long>, tokens array<long>")
-                        .dropDuplicates(["c1", "c2"]), "ngram-sets")
-        links, _ = stage(_verify(pairs, sets, percent), "ngram-links")
-        roots = _roots(links, classes)
-        # groups with several components left: members outside the leader's component against the others
-        labelled = (many.join(roots.withColumnRenamed("root", "own"), ["c1", "c2"], "left")
-                    .withColumn("own", F.coalesce("own", F.expr("struct(CAST(NULL AS STRING) AS doc, c1, c2)").cast(roots.schema["root"].dataType))))
-        lead = roots.select(F.col("c1").alias("lc1"), F.col("c2").alias("lc2"), F.col("root").alias("lead_root"))
-        labelled = (labelled.join(lead, (F.col("lead.c1") == F.col("lc1")) & (F.col("lead.c2") == F.col("lc2")), "left")
-                    .withColumn("outside", ~F.col("own").eqNullSafe(F.col("lead_root")) & ~((F.col("c1") == F.col("lead.c1")) & (F.col("c2") == F.col("lead.c2"))))
-                    .select("t", "c1", "c2", "n", "pos", "own", "outside"))
-        labelled, _ = stage(labelled, "ngram-open")
-        out = labelled.filter("outside").alias("l")
-        rest, n_rest = stage(ordered(out.join(labelled.alias("r"), (F.col("l.t") == F.col("r.t")) & (F.col("l.own") != F.col("r.own")) & _fits(percent))
-                                     .selectExpr(*PAIR)).join(pairs, ["x1", "x2", "y1", "y2"], "left_anti"), "ngram-rest")
-        if n_rest:
-            more = _verify(rest, sets, percent)
-            roots = _roots(links.unionByName(more), classes)
-        labels, _ = stage(classes.join(roots, ["c1", "c2"], "left").select("c1", "c2", F.coalesce("root", "node")["doc"].alias("component")), "ngram-labels")
-    else:
-        labels, _ = stage(classes.select("c1", "c2", F.col("node.doc").alias("component")), "ngram-labels")
+    pairs, _ = stage(close.distinct(), "ngram-pairs")
+    star = many.filter("c1 != lead.c1 OR c2 != lead.c2").selectExpr("c1 AS x1", "c2 AS x2", "lead.c1 AS y1", "lead.c2 AS y2").distinct()
+    star, n_star = stage(star, "ngram-star")
+
+    classes, _ = stage(rows.filter("n > 0").groupBy("c1", "c2").agg(F.min(id_col).alias("doc")), "ngram-classes")
+    both = pairs.unionByName(star)
+    wanted = both.selectExpr("x1 AS c1", "x2 AS c2").union(both.selectExpr("y1 AS c1", "y2 AS c2")).distinct()
+    bitmap = share(bitmaps.build(classes.join(wanted, ["c1", "c2"]).select(F.xxhash64("doc").alias("h")), "h", bits))
+    sets, _ = stage(named.mapInArrow(_fetch(text_col, words, percent, bitmap), "c1 long, c2 long, p2 array<long>, p3 array<long>, tokens array<long>"), "ngram-sets")
+
+    # clusters of candidates: components of the pairs that pass every order, and of the stars
+    edges = _other_orders(pairs, sets).unionByName(star).select(F.struct("x1", "x2").alias("x"), F.struct("y1", "y2").alias("y"))
+    edges = edges.selectExpr("named_struct('c1', x.x1, 'c2', x.x2) AS x", "named_struct('c1', y.y1, 'c2', y.y2) AS y")
+    members, n_members = stage(components(edges).select("node.c1", "node.c2", F.xxhash64("root").alias("cluster")), "ngram-clusters")
+    blocks = members.groupBy("cluster").agg(F.expr(f"div(count(1) + {BLOCK - 1}, {BLOCK})").alias("blocks"))
+    shards = max(1, n_members // BLOCK)
+    # small clusters share tasks; of a large one, every two blocks meet in a task
+    met = (members.join(blocks, "cluster")
+           .withColumn("b", F.pmod(F.xxhash64("c1", "c2", F.lit(6)), F.col("blocks")))
+           .withColumn("o", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+           .select("c1", "c2", "cluster", F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("cluster"), F.lit(shards))).otherwise(F.col("cluster")).alias("task"),
+                   F.when(F.col("blocks") == 1, F.lit(-1).cast("long")).otherwise(F.least("b", "o")).alias("b"), F.greatest("b", "o").alias("o")))
+    links, n_links = stage(met.join(sets.select("c1", "c2", "tokens"), ["c1", "c2"]).groupBy("task", "b", "o")
+                           .applyInArrow(_verify(percent), "x1 long, x2 long, y1 long, y2 long"), "ngram-links")
+    node = classes.select("c1", "c2", F.struct("doc", "c1", "c2").alias("node"))
+    labels = node.select("c1", "c2", F.col("node.doc").alias("component"))
+    if n_links:
+        side = lambda s: node.select(F.col("c1").alias(f"{s}1"), F.col("c2").alias(f"{s}2"), F.col("node").alias(s))
+        linked_nodes = links.join(side("x"), ["x1", "x2"]).join(side("y"), ["y1", "y2"]).select("x", "y")
+        roots = components(linked_nodes).select("node.c1", "node.c2", "root")
+        labels = node.join(roots, ["c1", "c2"], "left").select("c1", "c2", F.coalesce("root", "node")["doc"].alias("component"))
+    labels, _ = stage(labels, "ngram-labels")
     return (rows.join(labels, ["c1", "c2"], "left")
             .select(F.col(f"`{id_col}`"), F.col("n").alias("n_shingles"),
                     F.when(F.col("n") > 0, F.col("component")).otherwise(F.col(f"`{id_col}`")).alias("component_id")))
 
 
-def _roots(links: DataFrame, classes: DataFrame) -> DataFrame:
-    """c1, c2 and the root node (smallest id first) of every class that has a link."""
-    side = lambda s: classes.select(F.col("c1").alias(f"{s}1"), F.col("c2").alias(f"{s}2"), F.col("node").alias(s))
-    edges = links.join(side("x"), ["x1", "x2"]).join(side("y"), ["y1", "y2"]).select("x", "y")
-    out, _ = stage(components(edges).select("node.c1", "node.c2", "root"), "ngram-roots")
-    return out
-
-
 def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_groups(table(spark, sf_dir, "documents"))
 

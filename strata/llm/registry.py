@@ -2,11 +2,31 @@
 
 from __future__ import annotations
 
-import corpus_pipeline
+import functools
+
 from strata.llm import ann, exact_dedup, html_extract, license_scan, ngram_join, packing, piece_codec, quality_lm, suffix_dedup, url_filter
+from strata.llm.common import ship_package
+
+
+
+def pipeline(spark, sf_dir):
+    # the module imports this subpackage, so it is imported when the query is called
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+def _shipped(query):
+    @functools.wraps(query)
+    def call(spark, sf_dir):
+        ship_package(spark)
+        return query(spark, sf_dir)
+
+    return call
+
 
-QUERIES = {"pipeline": corpus_pipeline.run}
-ORACLE = {} if corpus_pipeline.ORACLE_SQL is None else {"pipeline": corpus_pipeline.ORACLE_SQL}
+QUERIES = {"pipeline": _shipped(pipeline)}
+ORACLE = {}
 for _m in (url_filter, packing, quality_lm, license_scan, ann, ngram_join, html_extract, suffix_dedup, exact_dedup, piece_codec):
-    QUERIES.update(_m.QUERIES)
+    QUERIES.update({name: _shipped(query) for name, query in _m.QUERIES.items()})
     ORACLE.update(_m.ORACLE)
