@@ -32,7 +32,7 @@ BLOCK_BYTES = 8 << 20
 
 def pack_rows(batch: pa.RecordBatch | pa.Table) -> bytes:
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))) as w:
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 6))) as w:
         w.write(batch)
     return sink.getvalue().to_pybytes()
 

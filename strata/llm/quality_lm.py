@@ -38,7 +38,11 @@ from strata.llm.common import table, utf8
 from strata.llm.suffix_dedup import SpanHash
 from strata.session import stage
 
-ORDER = 5
+ORDER = 4
+#: bytes of text in a block: larger blocks ask for fewer n-grams twice
+BLOCK_BYTES = 20 << 20
+#: block numbers that differ below this bit are answered together (blocks of 512 input partitions)
+SALT_BIT = 29
 MARK = 1
 PRIOR = 200.0
 HIGH, MARGIN = 0.95, 6.0
@@ -224,16 +228,19 @@ class QualityModel:
                            *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns) if c not in (id_col, text_col)],
                            F.col(f"`{text_col}`").isNull().alias("empty"))
         self.own = {id_col: "id", text_col: "text"}
-        self.blocks = Blocks(rows, "id", "text")
+        self.blocks = Blocks(rows, "id", "text", BLOCK_BYTES)
         long = lambda c: T.StructField(c, T.LongType())
         known = trusted.select(F.col(f"`{id_col}`").alias("id")).filter("id IS NOT NULL").distinct()
         learn, _ = stage(self.blocks.ids().join(known, "id").select("block", "row"), "quality-trusted")
         asks, _ = stage(self.blocks.meet(learn, _ask(order), T.StructType([long("block"), long("m"), long("g"), long("n")])), "quality-asks")
         counts, n = stage(asks.filter("n > 0").groupBy("m", "g").agg(F.sum("n").alias("c")), "quality-counts")
-        questions = asks.filter("n = 0").select("block", "m", "g")
-        answers, _ = stage(kneser_ney(counts, questions.select("m", "g").distinct(), order)
-                           .select("m", "g", (-F.log2("p")).cast("float").alias("bits")), "quality-answers")
-        scored = self.blocks.meet(questions.join(answers, ["m", "g"]), _score(order), "block long, row long, bits double, n long")
+        # every question once per salt, with the blocks that asked
+        questions, _ = stage(asks.filter("n = 0").groupBy("m", "g", F.shiftright("block", SALT_BIT).alias("salt"))
+                             .agg(F.collect_list("block").alias("asked")), "quality-questions")
+        answers = (kneser_ney(counts, questions.select("m", "g").distinct(), order)
+                   .select("m", "g", (-F.log2("p")).cast("float").alias("bits")))
+        back = questions.join(answers, ["m", "g"]).select("m", "g", "bits", F.explode("asked").alias("block"))
+        scored = self.blocks.meet(back, _score(order), "block long, row long, bits double, n long")
         names = self.blocks.meet(learn.withColumn("t", F.lit(True)), _names, T.StructType([
             long("block"), long("row"), T.StructField("id", docs.schema[id_col].dataType), T.StructField("lang", T.StringType()), T.StructField("trusted", T.BooleanType())]))
         raw, _ = stage(scored.join(names, ["block", "row"]), "quality-scores")
