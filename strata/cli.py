@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame, SparkSession
 from strata.plans.control import ControlTables
 from strata.plans.jobs import LayerConfig, LoadContext, create_tables, run_layers
 from strata.schemas import EDW_CONFIG, OBJECTS_COLUMN_MAPPING, OBJECTS_CONFIGURATION
+from strata.operators.transform import conform, normalize_headers
+from strata.sources.csv import read_csv
 from strata.sources.jdbc import read_table
 from strata.sources.tables import Lakehouse
 
@@ -36,7 +38,8 @@ def read_config(spark: SparkSession, where: str, fmt: str, schema, jdbc_url: str
     if fmt == "parquet":
         return spark.read.parquet(where)
     if fmt == "csv":
-        return spark.read.option("header", True).schema(schema).csv(where)
+        # by header name, in any column order; then typed
+        return conform(normalize_headers(read_csv(spark, where)), schema)
     if fmt == "jdbc":
         if not jdbc_url:
             raise ValueError("--jdbc-url is required with --config-format jdbc")
@@ -59,8 +62,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> st
     p.add_argument("--jdbc-url")
     p.add_argument("--jdbc-options", help="JSON file with connection options")
     p.add_argument("--incremental", action="store_true", help="load only new files, then archive them")
-    p.add_argument("--incremental-silver", action="store_true",
-                   help="silver upserts read only bronze rows newer than the last silver write")
+    p.add_argument("--whole-silver", action="store_true",
+                   help="silver upserts read all of bronze, not only the batches not consumed yet")
     p.add_argument("--workers", type=int, default=4)
     p.add_argument("--keep-versions", type=int, default=0,
                    help="after a completed run, keep only this many versions per table (0: keep all)")
@@ -80,7 +83,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> st
     ctx = LoadContext(spark, lake, a.source_root, a.run_id, workers=a.workers)
     layers = LayerConfig(cfg["objects"], cfg["mapping"], cfg["edw"], _load(a.builders))
     state = run_layers(ctx, layers, control, a.pipeline, incremental=a.incremental,
-                       incremental_silver=a.incremental_silver)
+                       incremental_silver=not a.whole_silver)
     if state == "completed" and a.keep_versions > 0:
         lake.vacuum(a.keep_versions)
     print(json.dumps({"pipeline": a.pipeline, "run_id": a.run_id, "state": state}))

@@ -24,13 +24,3 @@ def as_timestamp(now: None | str | _dt.datetime | Column) -> Column:
         # an aware datetime keeps its offset (an exact instant); a naive one is wall clock
         now = now.isoformat(sep=" ") if now.tzinfo else now.strftime("%Y-%m-%d %H:%M:%S.%f")
     return F.lit(now).cast(T.TimestampType())
-
-
-def typed_literal(value, data_type: T.DataType) -> Column:
-    """A literal of exactly ``data_type`` for a value collected from Spark."""
-    if value is None:
-        return F.lit(None).cast(data_type)
-    if isinstance(data_type, T.TimestampNTZType):
-        # via text: wall-clock exact whatever the session or Python time zone
-        return F.lit(value.strftime("%Y-%m-%d %H:%M:%S.%f")).cast(data_type)
-    return F.lit(value).cast(data_type)

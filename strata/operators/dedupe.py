@@ -1,4 +1,4 @@
-"""Distinct values (A1) and deduplication on keys (A2).
+"""Deduplication on keys (A2).
 
 ``dedupe_latest`` is an aggregate, not a window: each map task first keeps one
 row per key (partial aggregation), so a key holding a third of all rows is
@@ -19,11 +19,6 @@ from strata.schemas import ADDED_ON
 _ROW = "__strata_row"
 
 
-def distinct_values(df: DataFrame, column: str) -> DataFrame:
-    """A1."""
-    return df.select(column).distinct()
-
-
 def _orderable(dt: T.DataType) -> bool:
     if isinstance(dt, T.MapType | T.VariantType):
         return False
@@ -58,8 +53,3 @@ def dedupe_latest(
         best = F.max_by(value, F.struct(*[qcol(c) for c in rank]))
     out = df.groupBy(*[qcol(k) for k in keys]).agg(best.alias(_ROW))
     return out.select(*[qcol(c) if c in keys else F.col(_ROW).getField(c).alias(c) for c in df.columns])
-
-
-def dedupe_any(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """A2 as the reference runs it: which duplicate survives is undefined."""
-    return df.dropDuplicates(resolve_columns(df.columns, keys, "key column"))  # takes exact names

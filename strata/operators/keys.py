@@ -13,9 +13,8 @@ one task. ``dense_number`` gives the same numbers with every step partitioned:
    turn counts into offsets, and add them by a broadcast join whose size is
    bounded by the partition count.
 
-An input whose measured row count (observed during step 1) is at most
-``small_rows`` skips steps 2-3: one sorted partition of that bounded size is
-cheaper than the extra jobs.
+Where the order is unique by itself (``total_order``), step 1 is not needed: no tag
+and one staged table instead of two. The plan is the same at every size.
 """
 
 from __future__ import annotations
@@ -27,6 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.names import qcol, resolve_column, resolve_columns
+from strata.operators.upsert import DuplicateKeyError
 from strata.session import stage
 
 _TAG = "__strata_tag"
@@ -41,37 +41,33 @@ def dense_number(
     key: str,
     *,
     rows_per_partition: int = 2_000_000,
-    max_partitions: int = 50_000,
-    small_rows: int = 1_000_000,
     deterministic_input: bool = False,
+    total_order: bool = False,
 ) -> DataFrame:
     """Add ``key`` = 1..N (bigint) following ascending ``order_by`` (nulls first).
 
     Rows that tie on ``order_by`` get consecutive numbers in an unspecified
     order, as with ``row_number``. Set ``deterministic_input`` only when ``df``
-    is a plain file scan, to skip the first staging. Inputs of at most
-    ``small_rows`` rows (counted during the first write, or directly for a scan) are
-    numbered in one sorted partition.
+    is a plain file scan, to skip the first staging; set ``total_order`` only when no
+    two rows tie on ``order_by``, which needs neither tag nor first staging.
     """
     spark = df.sparkSession
     order = resolve_columns(df.columns, order_by, "order column")
     if resolve_column(df.columns, key) is not None:
         raise ValueError(f"key column {key!r} already exists in {df.columns}")
-    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tagged = df.withColumn(_TAG, F.monotonically_increasing_id())
-    if deterministic_input:
-        n = tagged.count()  # a file scan: cheap, and computing it again is exact
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    by = [qcol(c).asc_nulls_first() for c in order]
+    if total_order:
+        tagged = df     # the order decides alone: computing the input again changes nothing
     else:
-        tagged, n = stage(tagged, "tagged")  # upstream computed once; count observed
-    if n <= small_rows:
-        # measured to be small: one sorted partition of at most `small_rows` rows
-        w = Window.orderBy(*[qcol(c).asc_nulls_first() for c in order], _TAG)
-        return tagged.select(*[qcol(c) for c in df.columns], F.row_number().over(w).cast("long").alias(key))
-    # capped: the range boundaries are sampled to the driver, per partition
-    parts = max(width, min(math.ceil(n / rows_per_partition), max_partitions), 1)
+        tagged = df.withColumn(_TAG, F.monotonically_increasing_id())
+        if not deterministic_input:
+            tagged, n = stage(tagged, "tagged")  # upstream computed once; count observed
+            parts = max(parts, math.ceil(n / rows_per_partition))
+        by.append(F.col(_TAG))
     ranked, _ = stage(
-        tagged.repartitionByRange(parts, *[qcol(c) for c in order], F.col(_TAG))
-        .sortWithinPartitions(*[qcol(c) for c in order], F.col(_TAG))
+        tagged.repartitionByRange(parts, *by)
+        .sortWithinPartitions(*by)
         .withColumn(_PID, F.spark_partition_id())
         .withColumn(_POS, F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33)),
         "ranked",
@@ -99,17 +95,30 @@ def assign_keys(
 ) -> DataFrame:
     """Entities already in ``existing`` keep their key; new ones get max + n.
 
-    ``existing`` holds (natural key..., key), unique on the natural key. The
-    natural key matches null-safely, so a null entity keeps one key too.
+    Both sides must hold an entity once: a natural key that repeats (nulls count
+    as equal) raises ``DuplicateKeyError``, since a second row would take a second
+    key and the table would grow with every run. The natural key matches null-safely.
     """
     nk = resolve_columns(batch.columns, natural_key, "natural key")
-    known = existing.select(*[F.col(c).alias(f"__k_{i}") for i, c in enumerate(natural_key)],
-                            F.col(key).alias(_OFF))
+    check_one_row_each(batch, nk, "batch")
+    check_one_row_each(existing, natural_key, "existing keys")
+    known = existing.select(*[qcol(c).alias(f"__k_{i}") for i, c in enumerate(natural_key)],
+                            qcol(key).alias(_OFF))
     cond = [batch[c].eqNullSafe(known[f"__k_{i}"]) for i, c in enumerate(nk)]
     joined = batch.join(known, cond, "left")
     cols = [c for c in batch.columns if c != key]
-    old = joined.where(F.col(_OFF).isNotNull()).select(*cols, F.col(_OFF).cast("long").alias(key))
-    fresh = joined.where(F.col(_OFF).isNull()).select(*cols)
-    top = existing.agg(F.max(key)).first()[0] or 0
-    numbered = dense_number(fresh, order_by, key)
+    old = joined.where(F.col(_OFF).isNotNull()).select(*[qcol(c) for c in cols], F.col(_OFF).cast("long").alias(key))
+    fresh = joined.where(F.col(_OFF).isNull()).select(*[qcol(c) for c in cols])
+    top = existing.agg(F.max(qcol(key))).first()[0] or 0
+    order = resolve_columns(batch.columns, order_by, "order column")
+    # an order that holds the natural key is unique
+    numbered = dense_number(fresh, order, key, total_order=set(nk) <= set(order))
     return old.unionByName(numbered.withColumn(key, F.col(key) + F.lit(int(top))))
+
+
+def check_one_row_each(df: DataFrame, keys: Sequence[str], what: str) -> None:
+    """Raise ``DuplicateKeyError`` if a key occurs twice (null equals null)."""
+    dup = (df.groupBy(*[qcol(k) for k in keys]).agg(F.count(F.lit(1)).alias(_POS))
+           .where(F.col(_POS) > 1).limit(1).collect())
+    if dup:
+        raise DuplicateKeyError(f"{what}: key {list(keys)} repeats, e.g. {dup[0].asDict()}")

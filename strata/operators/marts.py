@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions.names import qcol, resolve_column
+from strata.operators.dedupe import dedupe_latest
 from strata.operators.keys import assign_keys, dense_number
 from strata.operators.transform import conform, select_as, stamp_audit
 
@@ -45,14 +46,17 @@ def lookup_keys(fact: DataFrame, lookups: Sequence[DimensionLookup]) -> DataFram
     return out
 
 
-def _finish(df: DataFrame, key: str, schema: T.StructType | None) -> DataFrame:
-    """Conform to the schema; the surrogate key is cast strictly (overflow raises)."""
+def _finish(df: DataFrame, key: str, schema: T.StructType | None, *, safe: bool = False) -> DataFrame:
+    """Conform to the schema; the surrogate key is cast strictly (overflow raises).
+
+    ``safe``: other values that do not fit their type become null instead of raising.
+    """
     if schema is None:
         return df
     name = resolve_column(schema.fieldNames(), key)
     if name is not None:
         df = df.withColumn(key, F.col(key).cast(schema[name].dataType))
-    return conform(df, schema)
+    return conform(df, schema, safe=safe)
 
 
 def build_dimension(
@@ -71,21 +75,23 @@ def build_dimension(
 ) -> DataFrame:
     """Project attributes, number them in ``order_by``, stamp audit, conform.
 
-    ``unique_on`` keeps one row per value; by default the rows are kept as they
-    come, one per source row (a fact lookup then takes the smallest key per value).
-    With ``existing`` (the current dimension) and ``natural_key``, entities already
-    there keep their key and new ones are numbered from its maximum + 1 (D11), so a
-    merge on the surrogate key matches the same entity across runs. ``source_is_scan`` tells
+    ``unique_on`` keeps one row per value (the greatest by ``order_by``, then by the
+    other columns); by default the rows are kept as they come, one per source row (a
+    fact lookup then takes the smallest key per value). With ``existing`` (the current
+    dimension) and ``natural_key`` there is one row per natural key, entities already
+    there keep their key and new ones are numbered from its maximum + 1 (D11), so
+    repeated runs neither grow the dimension nor move a key. ``source_is_scan`` tells
     the numbering that rows come straight from files (no shuffle upstream).
     """
     dim = select_as(source, attributes)
     if unique_on:
-        dim = dim.dropDuplicates(list(unique_on))
+        dim = dedupe_latest(dim, unique_on, order_by)
         source_is_scan = False
     if existing is not None:
         # Entities already in the current dimension keep their key
         if not natural_key:
             raise ValueError("existing keys need a natural_key to match entities")
+        dim = dedupe_latest(dim, natural_key, order_by)
         known = existing.select(*[qcol(c) for c in natural_key], qcol(key))
         dim = assign_keys(dim, known, natural_key, key, order_by)
     else:
@@ -103,12 +109,22 @@ def build_fact(
     run_id: str,
     now=None,
     schema: T.StructType | None = None,
+    existing: DataFrame | None = None,
+    natural_key: Sequence[str] | None = None,
 ) -> DataFrame:
     """Project, look up dimension keys, number in ``order_by``, stamp, conform.
 
     With a schema, measures are cast with ``try_cast``: text that is not a
-    number becomes null instead of failing the load.
+    number becomes null instead of failing the load. With ``existing`` (the current
+    fact) and ``natural_key``, facts already there keep their key (D11); a natural
+    key that repeats in the source raises, since no row may be lost here.
     """
     fact = lookup_keys(select_as(source, columns), lookups)
-    fact = stamp_audit(dense_number(fact, order_by, key), run_id, now)
-    return _finish(fact, key, schema)
+    if existing is not None:
+        if not natural_key:
+            raise ValueError("existing keys need a natural_key to match facts")
+        known = existing.select(*[qcol(c) for c in natural_key], qcol(key))
+        fact = assign_keys(fact, known, natural_key, key, order_by)
+    else:
+        fact = dense_number(fact, order_by, key)
+    return _finish(stamp_audit(fact, run_id, now), key, schema, safe=True)

@@ -37,11 +37,12 @@ def stamp_audit(
 
 
 # ---------------------------------------------------------------- P3 / P4
-def conform(df: DataFrame, schema: T.StructType, *, safe: bool = True) -> DataFrame:
+def conform(df: DataFrame, schema: T.StructType, *, safe: bool = False) -> DataFrame:
     """P3+P4: one select that orders, casts and keeps exactly the target columns.
 
-    Extra columns are dropped; a missing target column raises. ``safe`` uses
-    ``try_cast`` (bad text becomes null), otherwise ``cast`` follows ANSI mode.
+    Extra columns are dropped; a missing target column raises. A value that does not
+    fit its type raises too (ANSI cast), for replace and merge alike; only ``safe``
+    (fact measures) uses ``try_cast``, which makes it null.
     """
     names = resolve_columns(df.columns, schema.fieldNames(), "target column")
     out = []

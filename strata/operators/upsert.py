@@ -98,7 +98,12 @@ def upsert(
     t = target.alias("__t")
     tq = lambda c: F.col("__t.`" + c.replace("`", "``") + "`")
     sq = lambda c: F.col("__s.`" + c.replace("`", "``") + "`")
-    matched = t.join(src, [tq(k) == F.col(f"__sk{i}") for i, k in enumerate(tkeys)], "left")
+    # target rows with a null key never match; sent past the join, they cannot meet in one partition
+    t_keyed = None
+    for k in tkeys:
+        t_keyed = tq(k).isNotNull() if t_keyed is None else t_keyed & tq(k).isNotNull()
+    matched = t.where(t_keyed).join(src, [tq(k) == F.col(f"__sk{i}") for i, k in enumerate(tkeys)], "left")
+    past = t.where(~t_keyed).select(*[tq(c).alias(c) for c in tcols])
     hit = F.col("__sk0").isNotNull()  # src keys are never null, so set only on a match
     kept = []
     for c in tcols:
@@ -112,11 +117,17 @@ def upsert(
     kept_rows = matched.select(*kept)
 
     # keys present on both sides: a semi join of target keys against source keys
-    # (a small source is broadcast, so the target is not shuffled), then distinct
-    tk = target.select(*[qcol(k).alias(f"__tk{i}") for i, k in enumerate(tkeys)])
+    # (a small source is broadcast, so the target is not shuffled), then distinct. The
+    # salted shuffle in between keeps the join's layout from being reused by distinct,
+    # which would forbid AQE to split a hot key of the target
+    tk = target.where(F.expr(" AND ".join(f"`{k.replace('`', '``')}` IS NOT NULL" for k in tkeys))).select(*[qcol(k).alias(f"__tk{i}") for i, k in enumerate(tkeys)])
     sk = src.select(*[F.col(f"__sk{i}").alias(f"__qk{i}") for i in range(len(skeys))])
     both = tk.join(sk, [F.col(f"__tk{i}") == F.col(f"__qk{i}") for i in range(len(tkeys))],
-                   "left_semi").distinct()
+                   "left_semi")
+    width = int(target.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    both = (both.withColumn("__salt", F.pmod(F.spark_partition_id(), F.lit(16)))
+            .repartition(width, *[F.col(f"__tk{i}") for i in range(len(tkeys))], "__salt")
+            .drop("__salt").distinct())
     new = src.join(both, [F.col(f"__sk{i}") == F.col(f"__tk{i}") for i in range(len(skeys))], "left_anti")
     key_index = {c: i for i, c in enumerate(tkeys)}
     inserted = new.select(*[
@@ -133,7 +144,7 @@ def upsert(
          else F.lit(None)).cast(ttype[c]).alias(c)
         for c in tcols
     ])
-    return kept_rows.unionByName(inserted).unionByName(unkeyed)
+    return kept_rows.unionByName(past).unionByName(inserted).unionByName(unkeyed)
 
 
 def replace(

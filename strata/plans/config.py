@@ -81,18 +81,9 @@ def merge_columns_table(mapping: DataFrame, source_name: str, objects: DataFrame
     return rows.join(act, "OBJECT_NAME").distinct().orderBy("OBJECT_NAME", "TARGET_COLUMN_NAME")
 
 
-def gold_columns(edw_config: DataFrame, object_name: str) -> list[str]:
-    """P13 (+O1, O2, O3): first column list of an object in sort order, split and trimmed."""
-    row = (edw_config.where(F.col("OBJECT_NAME") == object_name)
-           .orderBy("GOLD_COLUMN_NAMES").select("GOLD_COLUMN_NAMES").first())
-    if row is None or not split_list(row["GOLD_COLUMN_NAMES"]):
-        raise ValueError(f"no gold columns found for {object_name}")
-    return split_list(row["GOLD_COLUMN_NAMES"])
-
-
-def gold_update_columns(columns: Iterable[str], keys: Iterable[str]) -> list[str]:
-    """Columns a gold merge updates: not audit, not a key, not protected."""
-    keys_l = {k.lower() for k in keys}
+def gold_update_columns(columns: Iterable[str], keys: Iterable[str], surrogate: str | None = None) -> list[str]:
+    """Columns a gold merge updates: not audit, not a key, not protected, never the surrogate key."""
+    keys_l = {k.lower() for k in [*keys, *([surrogate] if surrogate else [])]}
     prot = {p.lower() for p in PROTECTED_GOLD_COLUMNS}
     return [c for c in columns if not is_audit(c) and c.lower() not in keys_l and c.lower() not in prot]
 

@@ -6,6 +6,7 @@ Config rows are few and are collected; each object's work is one Spark plan
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -14,17 +15,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.functions.names import split_list
+from strata.functions.names import qcol, resolve_column, split_list
 from strata.operators.dedupe import dedupe_latest
 from strata.operators.transform import active, cast_columns, fill_nulls, rename_columns
 from strata.operators.upsert import load_mode, replace, upsert
 from strata.plans.config import ColumnMapping, gold_update_columns, load_mapping
 from strata.plans.control import ControlTables, gated_run
-from strata.schemas import ADDED_ON, MODIFIED_ON
+from strata.schemas import ADDED_ON
 from strata.sources.csv import load_csv_folder
 from strata.sources.tables import Lakehouse, LayerTable
 from strata.streaming.ingest import ingest_into_table
 
+_LOG = logging.getLogger(__name__)
+
 
 @dataclass
 class LoadContext:
@@ -35,7 +38,7 @@ class LoadContext:
     source_root: str
     run_id: str
     now: object = None
-    glob: str | None = "*.csv"
+    glob: str | None = None  # a filter is the caller's choice; by default every file is loaded
     workers: int = 4  # independent objects whose jobs may run side by side
 
 
@@ -51,6 +54,23 @@ def _each(items: Iterable, fn: Callable, workers: int) -> list:
         return list(pool.map(fn, items))
 
 
+def _each_target(rows: Sequence, target: str, fn: Callable, workers: int) -> dict[str, int]:
+    """Run ``fn`` on config rows: rows with one target table in order, different targets side by side.
+
+    Two loads of one table at a time would both build on the same version. Returns rows
+    written per target, added up.
+    """
+    groups: dict[str, list] = {}
+    for r in rows:
+        groups.setdefault(r[target].lower(), []).append(r)
+
+    def in_order(group: list) -> tuple[str, int]:
+        done = [fn(r) for r in group]
+        return done[0][0], sum(n for _, n in done)
+
+    return dict(_each(groups.values(), in_order, workers))
+
+
 # ------------------------------------------------------------------ bronze
 def bronze_object(ctx: LoadContext, source_dir: str, bronze: LayerTable) -> int:
     """G1: load every file of one object folder into its bronze table (append)."""
@@ -78,10 +98,10 @@ def run_bronze(ctx: LoadContext, objects: DataFrame, *, active_only: bool = Fals
         archive = f"{root}/{sub}/archive" if sub else f"{root}/archive"
         return name, ingest_into_table(
             ctx.spark, folder, table, f"{ctx.lake.root}/_ingest/{name.lower()}",
-            run_id=ctx.run_id, now=ctx.now, archive_dir=archive, glob=ctx.glob or "*.csv")
+            run_id=ctx.run_id, now=ctx.now, archive_dir=archive, glob=ctx.glob)
 
     rows = cfg.select("BRONZE_TABLE_NAME", "SOURCE_FILE_PATH", "ARCHIVE_PATH").collect()
-    return dict(_each(rows, one, ctx.workers))
+    return _each_target(rows, "BRONZE_TABLE_NAME", one, ctx.workers)
 
 
 # ------------------------------------------------------------------ silver
@@ -113,39 +133,71 @@ def load_table(table: LayerTable, df: DataFrame, *, operation_type: str, is_full
                                 update_columns=update_columns, check=not unique_keys))
 
 
-def new_bronze_rows(bronze: DataFrame, silver: LayerTable) -> DataFrame:
-    """Bronze rows loaded after the silver table was last written.
+def consumed_table(ctx: LoadContext, silver_name: str) -> LayerTable:
+    """(BRONZE_TABLE_NAME, BATCH): the bronze batches that a silver table has taken in."""
+    table = ctx.lake.table("silver_consumed", silver_name)
+    return table if table.exists() else table.create(CONSUMED)
 
-    The watermark is the newest MODIFIED_ON in silver; a run whose silver step
-    failed left its bronze rows above it, so the next run picks them up. Each
-    append writes its own files, so the filter skips old row groups by their
-    parquet statistics.
+
+CONSUMED = T.StructType([T.StructField("BRONZE_TABLE_NAME", T.StringType()), T.StructField("BATCH", T.StringType())])
+
+
+def split_bad_keys(df: DataFrame, mapping: ColumnMapping, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows whose key columns fit their mapped types, and the others.
+
+    A key that cannot be cast would become null, and the dedupe would fold all
+    such rows into one; they are kept apart instead. Other columns become null.
     """
-    mark = silver.read().agg(F.max(MODIFIED_ON)).first()[0]
-    return bronze if mark is None else bronze.where(F.col(ADDED_ON) > F.lit(mark))
+    types = {k.lower(): t for k, t in mapping.types.items() if t}
+    bad = F.lit(False)
+    for k in keys:
+        actual = resolve_column(df.columns, k)
+        if actual is not None and k.lower() in types:
+            bad = bad | (qcol(actual).isNotNull() & qcol(actual).try_cast(types[k.lower()]).isNull())
+    return df.where(~bad), df.where(bad)
 
 
 def run_silver(ctx: LoadContext, objects: DataFrame, mapping: DataFrame, *,
-               incremental: bool = False) -> dict[str, int]:
+               incremental: bool = True) -> dict[str, int]:
     """Every active object: bronze -> mapped, deduped rows -> silver.
 
-    By default all of bronze is read again, as the reference does. With
-    ``incremental``, upserting objects read only the bronze rows loaded since
-    the last silver write (full loads always read everything).
+    Upserting objects take in the bronze batches that their silver table has not
+    consumed yet, whatever their timestamps; a full load, or ``incremental=False``,
+    reads all of bronze. The batches are recorded after the silver version is
+    published: a run that dies in between takes them in once more, which the
+    upsert makes harmless. Rows with keys that cannot be cast go to the table
+    ``silver_rejects`` and are counted in the log.
     """
     def one(row) -> tuple[str, int]:
         keys = split_list(row["KEY_COLUMN_NAME"])
         m = load_mapping(mapping, row["SOURCE_NAME"], row["OBJECT_NAME"])
-        bronze = ctx.lake.table("bronze", row["BRONZE_TABLE_NAME"]).read()
-        silver = ctx.lake.table("silver", row["SILVER_TABLE_NAME"])
+        bronze = ctx.lake.table("bronze", row["BRONZE_TABLE_NAME"])
+        name = row["SILVER_TABLE_NAME"]
+        silver, consumed = ctx.lake.table("silver", name), consumed_table(ctx, name)
+        batches = bronze.batches()      # batches that come later are left to the next run
+        rows = bronze.read()
         if incremental and load_mode(row["OPERATION_TYPE"], row["IS_FULL_LOAD"]) == "upsert":
-            bronze = new_bronze_rows(bronze, silver)
-        return row["SILVER_TABLE_NAME"], load_table(
-            silver, silver_transform(bronze, m, keys), operation_type=row["OPERATION_TYPE"],
-            is_full_load=row["IS_FULL_LOAD"], keys=keys, run_id=ctx.run_id, now=ctx.now,
-            update_columns=m.merge_columns(), unique_keys=True)
-
-    return dict(_each(active(objects).collect(), one, ctx.workers))
+            seen = {r["BATCH"] for r in consumed.read().where(F.col("BRONZE_TABLE_NAME") == row["BRONZE_TABLE_NAME"]).collect()}
+            batches = [b for b in batches if b not in seen]
+            rows = bronze.read_batches(batches)
+        renamed = fill_nulls(rename_columns(rows, m.renames), m.defaults)
+        good, bad = split_bad_keys(renamed, m, keys)
+        if m.types:
+            rejects = ctx.lake.table("silver_rejects", name)
+            if not rejects.exists():
+                rejects.create(bad.schema)
+            n = rejects.write_batch(bad, f"{ctx.run_id}-{row['OBJECT_NAME']}".lower())
+            if n:
+                _LOG.warning("%s: %d rows have keys that cannot be cast; see silver_rejects", name, n)
+        written = load_table(
+            silver, dedupe_latest(cast_columns(good, m.types), keys, (ADDED_ON,)),
+            operation_type=row["OPERATION_TYPE"], is_full_load=row["IS_FULL_LOAD"], keys=keys, run_id=ctx.run_id,
+            now=ctx.now, update_columns=m.merge_columns(), unique_keys=True)
+        if batches:
+            consumed.append(ctx.spark.createDataFrame([(row["BRONZE_TABLE_NAME"], b) for b in batches], CONSUMED))
+        return name, written
+
+    return _each_target(active(objects).collect(), "SILVER_TABLE_NAME", one, ctx.workers)
 
 
 # ------------------------------------------------------------------ gold
@@ -156,6 +208,7 @@ class GoldBuilder:
     name: str
     build: Callable[[LoadContext], DataFrame]
     kind: str = "dimension"
+    key: str | None = None  # the surrogate key: set on insert, never updated on a match
 
 
 def run_gold(ctx: LoadContext, edw_config: DataFrame, builders: Sequence[GoldBuilder]) -> dict[str, int]:
@@ -168,16 +221,15 @@ def run_gold(ctx: LoadContext, edw_config: DataFrame, builders: Sequence[GoldBui
     def one(row) -> tuple[str, int]:
         b = by_name[row["OBJECT_NAME"].lower()]
         keys = split_list(row["GOLD_KEY_COLUMN_NAME"])
-        listed = split_list(row["GOLD_COLUMN_NAMES"])
+        table = ctx.lake.table("gold", row["OBJECT_NAME"])
+        listed = split_list(row["GOLD_COLUMN_NAMES"]) or table.schema.fieldNames()
         return row["OBJECT_NAME"], load_table(
-            ctx.lake.table("gold", row["OBJECT_NAME"]), b.build(ctx),
-            operation_type=row["OPERATION_TYPE"], is_full_load=row["IS_FULL_LOAD"], keys=keys,
-            run_id=ctx.run_id, now=ctx.now,
-            update_columns=gold_update_columns(listed, keys) if listed else None)
+            table, b.build(ctx), operation_type=row["OPERATION_TYPE"], is_full_load=row["IS_FULL_LOAD"],
+            keys=keys, run_id=ctx.run_id, now=ctx.now, update_columns=gold_update_columns(listed, keys, b.key))
 
     dims = [r for r in rows if by_name[r["OBJECT_NAME"].lower()].kind == "dimension"]
     facts = [r for r in rows if by_name[r["OBJECT_NAME"].lower()].kind != "dimension"]
-    return dict(_each(dims, one, ctx.workers) + _each(facts, one, ctx.workers))
+    return {**_each_target(dims, "OBJECT_NAME", one, ctx.workers), **_each_target(facts, "OBJECT_NAME", one, ctx.workers)}
 
 
 # ------------------------------------------------------------------ whole run
@@ -201,11 +253,11 @@ def create_tables(lake: Lakehouse, schemas: Mapping[tuple[str, str], T.StructTyp
 
 
 def run_layers(ctx: LoadContext, cfg: LayerConfig, control: ControlTables, pipeline: str,
-               *, incremental: bool = False, incremental_silver: bool = False, **gate) -> str:
+               *, incremental: bool = False, incremental_silver: bool = True, **gate) -> str:
     """Bronze, silver and gold under the run gate.
 
     ``incremental``: bronze loads only new files (K9); ``incremental_silver``:
-    silver upserts only bronze rows newer than its last write.
+    silver upserts only the bronze batches that it has not consumed.
     """
     def work():
         run_bronze(ctx, cfg.objects, incremental=incremental)

@@ -76,6 +76,6 @@ def _fact(ctx: LoadContext) -> DataFrame:
 
 
 BUILDERS = (
-    GoldBuilder("DIM_APPOINTMENT_DATA", _dim, "dimension"),
-    GoldBuilder("FACT_SALES", _fact, "fact"),
+    GoldBuilder("DIM_APPOINTMENT_DATA", _dim, "dimension", key="APPOINTMENT_DATA_KEY"),
+    GoldBuilder("FACT_SALES", _fact, "fact", key="SALES_KEY"),
 )

@@ -9,17 +9,17 @@ from strata.queries.common import table
 
 
 def dense_keys(spark, sf_dir):
-    """Orders numbered 1..N by (order date, order key) on the range-partitioned path
-    (``small_rows=0``: never the one-partition window, whatever the size)."""
+    """Orders numbered 1..N by (order date, order key) by range partitions;
+    the order is unique, so one table is staged."""
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
-    return dense_number(o, ["o_orderdate", "o_orderkey"], "ORDER_KEY", deterministic_input=True, small_rows=0)
+    return dense_number(o, ["o_orderdate", "o_orderkey"], "ORDER_KEY", total_order=True)
 
 
 def key_retention(spark, sf_dir):
     """Orders before 1998 keyed first; all orders keyed again: old keys kept, new ones max + n."""
     o = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("O_ORDERKEY"), F.col("o_orderdate").alias("O_ORDERDATE"))
-    first = dense_number(o.where(F.col("O_ORDERDATE") < "1998-01-01"), ["O_ORDERKEY"], "ORDER_KEY", small_rows=0)
+    first = dense_number(o.where(F.col("O_ORDERDATE") < "1998-01-01"), ["O_ORDERKEY"], "ORDER_KEY", total_order=True)
     return assign_keys(o, first.select("O_ORDERKEY", "ORDER_KEY"), ["O_ORDERKEY"], "ORDER_KEY",
                        order_by=["O_ORDERKEY"])
 

@@ -42,6 +42,7 @@ def upsert_gold(spark, sf_dir):
     gold.replace(stamp_audit(sup.where(F.col("S_NATIONKEY") < 15), RUN_ID, NOW))
     source = (sup.where(F.col("S_NATIONKEY") >= 10)
               .withColumn("S_ACCTBAL", F.col("S_ACCTBAL") + 100.0)
+              .withColumn("S_NATIONKEY", F.col("S_NATIONKEY") + 50)  # not listed: kept on a match
               .withColumn("S_NAME", F.concat(F.col("S_NAME"), F.lit("/v2"))))
     listed = split_list("S_SUPPKEY, S_NAME ,S_ACCTBAL, ADDED_BY, ADDED_ON, MODIFIED_BY, MODIFIED_ON")
     gold.replace(upsert(gold.read(), source, ["S_SUPPKEY"], run_id=RUN_ID_2, now=NOW_2,
@@ -104,11 +105,12 @@ ORACLE = {
     "upsert_gold": f"""
         WITH t AS (SELECT s_suppkey AS S_SUPPKEY, s_name AS S_NAME, s_nationkey AS S_NATIONKEY,
                           s_acctbal AS S_ACCTBAL FROM supplier WHERE s_nationkey < 15),
-             s AS (SELECT s_suppkey AS S_SUPPKEY, s_name || '/v2' AS S_NAME, s_nationkey AS S_NATIONKEY,
+             s AS (SELECT s_suppkey AS S_SUPPKEY, s_name || '/v2' AS S_NAME, s_nationkey + 50 AS S_NATIONKEY,
                           s_acctbal + 100.0 AS S_ACCTBAL FROM supplier WHERE s_nationkey >= 10)
         SELECT t.*, {audit_sql()} FROM t WHERE S_SUPPKEY NOT IN (SELECT S_SUPPKEY FROM s)
         UNION ALL
-        SELECT s.*, {audit_sql(RUN_ID, NOW, RUN_ID_2, NOW_2)} FROM s WHERE S_SUPPKEY IN (SELECT S_SUPPKEY FROM t)
+        SELECT s.S_SUPPKEY, s.S_NAME, t.S_NATIONKEY, s.S_ACCTBAL, {audit_sql(RUN_ID, NOW, RUN_ID_2, NOW_2)}
+        FROM s JOIN t ON s.S_SUPPKEY = t.S_SUPPKEY
         UNION ALL
         SELECT s.*, {audit_sql(RUN_ID_2, NOW_2)} FROM s WHERE S_SUPPKEY NOT IN (SELECT S_SUPPKEY FROM t)""",
     "upsert_null_keys": f"""

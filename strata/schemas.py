@@ -1,13 +1,10 @@
 """Declared table schemas (K8) and audit column names.
 
-A target table's schema decides what a load keeps and how it casts (P3/P4);
-``empty_table`` is the equivalent of ``CREATE OR REPLACE TABLE`` with declared
-columns.
+A target table's schema decides what a load keeps and how it casts (P3/P4).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 # Audit column names, as declared in the layered tables.
@@ -39,10 +36,6 @@ def with_audit(schema: T.StructType, audit: tuple[str, ...] = AUDIT_COLUMNS) ->
     return T.StructType(list(schema.fields) + audit_fields(audit))
 
 
-def empty_table(spark: SparkSession, schema: T.StructType) -> DataFrame:
-    return spark.createDataFrame([], schema)
-
-
 # Data columns of the two source objects (sales, appointments).
 SALES_DATA_PRIOR_DAY_COLUMNS = (
     "YARD_ID", "YARD", "MATERIAL_NAME", "MATERIAL_CODE", "COMMODITY_NAME",

@@ -37,12 +37,6 @@ def scratch_dir(spark: SparkSession, tag: str) -> str:
     return f"{checkpoint_root(spark)}/strata-work/{tag}-{uuid.uuid4().hex[:12]}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` to the reliable checkpoint folder (survives executor loss)."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def stage(df: DataFrame, tag: str = "stage") -> tuple[DataFrame, int]:
     """Write ``df`` as a parquet table in the shared folder; read it back, with its row count.
 

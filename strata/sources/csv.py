@@ -2,23 +2,29 @@
 
 One ``spark.read.csv(folder)`` takes the first file's header for every file, so
 files whose columns come in another order are silently misread. ``read_folder``
-therefore either checks every file's header against the first one in a single
-read (``checked``), or finds each file's header with one distributed text scan,
-groups the files by header and reads each group with its own header
-(``grouped``); groups are normalised and combined by column *name*.
+first reads the first line of every file (in executor tasks over the distributed
+file list), groups files by header and reads each layout with its own names.
+Every file below the folder is loaded, whatever its name; a ``glob`` is the
+caller's choice, and ``skipped_files`` says what it leaves out.
 """
 
 from __future__ import annotations
 
+import logging
 import re
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.operators.transform import conform, normalize_headers, stamp_audit
+from strata.functions.names import normalize_names
+from strata.operators.transform import conform, stamp_audit
 from strata.schemas import AUDIT_COLUMNS
+from strata.session import stage
+
+_LOG = logging.getLogger(__name__)
 
 
 def read_csv(
@@ -38,83 +44,121 @@ def read_csv(
     return reader.csv(path)
 
 
-def file_headers(spark: SparkSession, path: str, *, glob: str | None = "*.csv") -> DataFrame:
-    """(file, header): the first non-empty line of every file below ``path``.
-
-    Only splits that start at byte 0 can hold a header; within one task rows
-    come in file order, so the lowest row id of a file is its first line.
-    """
-    reader = spark.read
+def list_files(spark: SparkSession, path: str, *, glob: str | None = None) -> DataFrame:
+    """(file, length): every file of a folder; only the listing is read, not the content."""
+    reader = spark.read.format("binaryFile")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    lines = (
-        reader.text(path)
-        .select("value", F.col("_metadata.file_path").alias("file"),
-                F.col("_metadata.file_block_start").alias("start"))
-        .where(F.col("start") == 0)
-        .withColumn("pos", F.monotonically_increasing_id())
-        .where(F.length(F.trim("value")) > 0)
-    )
-    return lines.groupBy("file").agg(F.min_by("value", "pos").alias("header"))
+    return reader.load(path).select(F.col("path").alias("file"), "length")
 
 
-# Fixed value: Spark's message when a file's header differs from the declared schema.
-HEADER_MISMATCH = "CSV header does not conform to the schema"
-_GENERATED = re.compile(r"_c\d+")
+def skipped_files(spark: SparkSession, path: str, glob: str | None) -> DataFrame:
+    """(file): files of a folder that ``glob`` leaves out."""
+    every = list_files(spark, path).select("file")
+    return every.limit(0) if glob is None else every.join(list_files(spark, path, glob=glob).select("file"), "file", "left_anti")
 
 
-def _checked_read(spark: SparkSession, path: str, glob: str | None,
-                  options: Mapping[str, str] | None) -> DataFrame | None:
-    """One read of every file, each file's header checked against the first file's.
+def first_lines(files: DataFrame) -> DataFrame:
+    """(file, header): the first non-empty line of each file, read in executor tasks.
 
-    ``None`` when the first header has blank or repeated names (Spark renames
-    those, so the check could not pass).
+    A task opens its files through Arrow's file systems and reads until the first
+    line is complete. A file on a store that Arrow cannot open raises.
     """
-    first = read_csv(spark, path, glob=glob, options=options).columns
-    if any(_GENERATED.fullmatch(c) for c in first) or len({c.lower() for c in first}) < len(first):
-        return None
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in first])
-    reader = (spark.read.schema(schema).option("header", True).option("enforceSchema", False))
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
+    def run(batches):
+        import io
+
+        import pyarrow as pa
+        from pyarrow import fs
+
+        for b in batches:
+            heads = []
+            for name in b.column(0).to_pylist():
+                scheme, _, rest = name.partition(":")
+                if scheme == "file":
+                    # a plain path: a URI would have to escape spaces and brackets
+                    store, at = fs.LocalFileSystem(), "/" + rest.lstrip("/")
+                else:
+                    host = name.split("/", 3)
+                    store, _ = fs.FileSystem.from_uri("/".join(host[:3]))
+                    at = host[3] if scheme in ("s3", "s3a", "gs", "abfs", "abfss") else "/" + host[3]
+                with store.open_input_stream(at) as raw, io.TextIOWrapper(io.BufferedReader(raw), "utf-8-sig", "replace", newline=None) as text:
+                    heads.append(next((line.rstrip("\r\n") for line in text if line.strip()), None))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(heads, pa.string())], names=["file", "header"])
+
+    return files.select("file").mapInArrow(run, "file string, header string").where(F.col("header").isNotNull())
+
+
+def file_headers(spark: SparkSession, path: str, *, glob: str | None = None) -> DataFrame:
+    """(file, header): the first non-empty line of every file below ``path``; empty files have none."""
+    return first_lines(list_files(spark, path, glob=glob).repartition("file"))
+
+
+def escape_path(path: str) -> str:
+    """A path whose glob characters stand for themselves."""
+    return re.sub(r"([*?\[\]{}\\])", r"\\\1", path)
+
+
+def header_names(spark: SparkSession, header: str, options: Mapping[str, str] | None = None) -> list[str]:
+    """Column names of a header line, named as Spark's reader names blank and repeated ones."""
+    reader = spark.read.option("header", True)
     for k, v in (options or {}).items():
         reader = reader.option(k, v)
-    return reader.csv(path)
+    return reader.csv(spark.sparkContext.parallelize([header], 1)).columns
 
 
 def read_folder(
     spark: SparkSession,
     path: str,
     *,
-    glob: str | None = "*.csv",
-    strategy: str = "grouped",
+    glob: str | None = None,
     options: Mapping[str, str] | None = None,
+    with_file: bool = False,
 ) -> list[DataFrame]:
     """Every file below ``path``, names normalised (P1), as one DataFrame per layout.
 
-    ``strategy``:
-
-    * ``"grouped"``: one text scan finds each file's header; files are grouped by
-      header and each group is read with its own (always right, one extra pass);
-    * ``"checked"``: one read with the first file's header declared and every
-      file's header checked; a file in another layout fails the job with
-      ``HEADER_MISMATCH`` (see ``load_csv_folder``, which then falls back);
-    * ``"uniform"``: one read, no check (only for folders known to hold one layout).
+    The distinct headers (few) come to the driver, the files do not: with several
+    layouts, each one reads the folder and keeps the rows of its own files by a
+    join on the file's path. A row's position decides its column, under the header of its own
+    file. ``with_file`` adds the file's name as ``FILE_NAME``.
     """
-    if strategy == "uniform":
-        return [normalize_headers(read_csv(spark, path, glob=glob, options=options))]
-    if strategy == "checked":
-        df = _checked_read(spark, path, glob, options)
-        if df is not None:
-            return [normalize_headers(df)]
-    elif strategy != "grouped":
-        raise ValueError(f"unknown strategy {strategy!r}")
-    groups = (file_headers(spark, path, glob=glob)
-              .groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files"))
-              .orderBy("header").collect())
-    if not groups:
-        raise FileNotFoundError(f"no files matching {glob!r} below {path}")
-    return [normalize_headers(read_csv(spark, list(g["files"]), options=options)) for g in groups]
+    heads, _ = stage(file_headers(spark, path, glob=glob), "csv-headers")
+    layouts = [r["header"] for r in heads.select("header").distinct().orderBy("header").collect()]
+    if not layouts:
+        raise FileNotFoundError(f"no files with a header {'matching ' + repr(glob) + ' ' if glob else ''}below {path}")
+    out = []
+    for header in layouts:
+        names = header_names(spark, header, options)
+        schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names))])
+        reader = spark.read.schema(schema).option("header", True)
+        if glob:
+            reader = reader.option("pathGlobFilter", glob)
+        for k, v in (options or {}).items():
+            reader = reader.option(k, v)
+        rows = reader.csv(path)
+        if len(layouts) > 1:
+            rows = _of_files(rows, heads.where(F.col("header") == header))
+        else:
+            rows = rows.select("*", F.col("_metadata.file_name").alias(FILE_NAME))
+        cols = [F.col(f"c{i}").alias(n) for i, n in enumerate(normalize_names(names))]
+        out.append(rows.select(*cols, *([FILE_NAME] if with_file else [])))
+    return out
+
+
+#: column of ``read_folder`` that holds each row's file name
+FILE_NAME = "__strata_file"
+
+
+def plain_path(col):
+    """A file's path without URI escapes or authority slashes, as ``list_files`` and metadata both give it."""
+    return F.regexp_replace(col, "^file:/+", "file:/")
+
+
+def _of_files(rows: DataFrame, files: DataFrame) -> DataFrame:
+    """Rows of the given files; Spark chooses how to join, a large file may be split."""
+    # metadata paths are URL-encoded ("+" stands for itself there)
+    decoded = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    tagged = rows.select("*", plain_path(decoded).alias("__strata_path"), F.col("_metadata.file_name").alias(FILE_NAME))
+    return tagged.join(files.select(plain_path(F.col("file")).alias("__strata_path")), "__strata_path", "left_semi").drop("__strata_path")
 
 
 def csv_to_bronze(
@@ -124,26 +168,22 @@ def csv_to_bronze(
     *,
     run_id: str,
     now=None,
-    glob: str | None = "*.csv",
-    strategy: str = "grouped",
+    glob: str | None = None,
     options: Mapping[str, str] | None = None,
     file_column: str | None = None,
 ) -> DataFrame:
     """G1 without the write: read (S4/S6), normalise (P1), stamp (P2), conform.
 
-    Each header group is conformed on its own, so a file that lacks a target
+    Each layout is conformed on its own, so a file that lacks a target
     column fails the load, as loading it alone would. ``file_column`` names a
     column that receives each row's file name (kept if the schema has it).
     """
     audit = tuple(c for c in AUDIT_COLUMNS if c in schema.fieldNames())
-    groups = read_folder(spark, path, glob=glob, strategy=strategy, options=options)
+    groups = read_folder(spark, path, glob=glob, options=options, with_file=True)
     if file_column:
-        groups = [g.withColumn(file_column, F.col("_metadata.file_name")) for g in groups]
-    parts = [conform(stamp_audit(df, run_id, now, audit), schema) for df in groups]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        groups = [g.withColumn(file_column, F.col(FILE_NAME)) for g in groups]
+    parts = [conform(stamp_audit(df.drop(FILE_NAME), run_id, now, audit), schema) for df in groups]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def load_csv_folder(
@@ -153,23 +193,21 @@ def load_csv_folder(
     *,
     run_id: str,
     now=None,
-    glob: str | None = "*.csv",
+    glob: str | None = None,
     options: Mapping[str, str] | None = None,
     file_column: str | None = None,
 ) -> int:
     """G1: append a folder of CSV files to a layer table; returns rows written.
 
-    Tries the single checked read first; if a file's header differs, the job
-    fails before it commits and the folder is read again grouped by header.
+    Files that ``glob`` leaves out are logged.
     """
-    kw = dict(run_id=run_id, now=now, glob=glob, options=options, file_column=file_column)
-    schema = table.schema
-    try:
-        return table.append(csv_to_bronze(spark, path, schema, strategy="checked", **kw))
-    except Exception as e:  # noqa: BLE001 - only the header check falls back
-        if HEADER_MISMATCH not in str(e):
-            raise
-    return table.append(csv_to_bronze(spark, path, schema, strategy="grouped", **kw))
+    if glob:
+        skipped = skipped_files(spark, path, glob)
+        n = skipped.count()
+        if n:
+            _LOG.warning("%d files below %s do not match %r, e.g. %s", n, path, glob, skipped.first()["file"])
+    return table.append(csv_to_bronze(spark, path, table.schema, run_id=run_id, now=now, glob=glob,
+                                      options=options, file_column=file_column))
 
 
 def write_csv(df: DataFrame, path: str, *, mode: str = "errorifexists") -> str:

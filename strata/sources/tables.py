@@ -9,6 +9,7 @@ plan reads deletes the data first). The newest version is the table.
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -86,13 +87,41 @@ class LayerTable:
         """The current version (files below it too: streamed batches live in subfolders)."""
         return self.spark.read.option("recursiveFileLookup", "true").parquet(self.current_path())
 
-    def write_batch(self, df: DataFrame, batch_id: int) -> None:
-        """Write one micro-batch into the current version, idempotently.
+    def write_batch(self, df: DataFrame, name: str) -> int:
+        """Write one batch into its own folder of the current version; returns rows written.
 
-        A replayed batch (same id) overwrites its own folder instead of adding
-        its rows twice.
+        A replayed batch (same name) overwrites its own folder instead of adding
+        its rows twice; another stream's or run's batches have other names.
         """
-        df.write.mode("overwrite").parquet(f"{self.current_path()}/batch={batch_id:012d}")
+        obs = Observation()
+        df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(
+            f"{self.current_path()}/batch={name}")
+        return int(obs.get["rows"])
+
+    def batches(self) -> list[str]:
+        """Names of the batches of the current version that are complete."""
+        jvm = self.spark.sparkContext._jvm
+        root = jvm.org.apache.hadoop.fs.Path(self.current_path())
+        fs = root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        found = []
+        for status in fs.listStatus(root):
+            name = status.getPath().getName()
+            if status.isDirectory() and name.startswith("batch=") and fs.exists(
+                    jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")):
+                found.append(name.removeprefix("batch="))
+        # rows that a replace published lie beside the batches; they count as one
+        return [self.current_path().rsplit("/", 1)[1], *sorted(found)]
+
+    def read_batches(self, names: list[str]) -> DataFrame:
+        """Only the given batches."""
+        beside = _VERSION.fullmatch(names[0]) if names else None
+        parts = [f"{self.current_path()}/batch={n}" for n in names[bool(beside):]]
+        out = self.read().limit(0)
+        if parts:
+            out = self.spark.read.option("recursiveFileLookup", "true").schema(self.schema).parquet(*parts)
+        if beside:
+            out = out.unionByName(self.read().where(~F.col("_metadata.file_path").contains("/batch=")))
+        return out
 
     @property
     def schema(self) -> T.StructType:
@@ -105,10 +134,8 @@ class LayerTable:
         return self
 
     def append(self, df: DataFrame) -> int:
-        """K1: add rows to the current version; returns rows written."""
-        obs = Observation()
-        df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(self.current_path())
-        return int(obs.get["rows"])
+        """K1: add rows to the current version, as a batch of their own; returns rows written."""
+        return self.write_batch(df, uuid.uuid4().hex[:16])
 
     def replace(self, df: DataFrame) -> int:
         """K2/K3: publish ``df`` as the next version; returns rows written (K7)."""

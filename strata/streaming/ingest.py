@@ -3,24 +3,47 @@
 Re-aimed from "move the whole folder after the load": a file stream with
 ``trigger(availableNow=True)`` processes every file not yet recorded in its
 checkpoint and stops; ``cleanSource="archive"`` moves files that earlier
-batches committed into ``archive_dir``. The parquet file sink commits through
-its own log, so a retried batch does not duplicate rows.
+batches committed into ``archive_dir``. Files of any name, suffix and age are loaded;
+a file older than the newest one is not skipped (``maxFileAge``).
 
-A stream needs a declared schema; ``enforceSchema=false`` makes every file's
-header be checked against it, so a file in another column order fails instead
-of being misread.
+``ingest_into_table`` reads each file under its own header, so files in several layouts
+load in one run. ``ingest_new_files``
+is for folders of one declared layout and checks every file's header against it.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import uuid
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.functions.names import normalize_names
 from strata.operators.transform import conform, normalize_headers, stamp_audit
 from strata.schemas import AUDIT_COLUMNS
-from strata.sources.csv import read_csv
+from strata.sources.csv import escape_path, first_lines, header_names
 from strata.sources.tables import LayerTable
 
+#: the stream's age limit is switched off: a back-fill with old file times is loaded like any file
+ANY_AGE = "36500d"
+
+
+def _reader(spark: SparkSession, schema: T.StructType, glob: str | None, archive_dir: str | None):
+    reader = spark.readStream.format("csv").schema(schema).option("header", True).option("maxFileAge", ANY_AGE)
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    if archive_dir:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
+    return reader
+
+
+def _finish(query) -> None:
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise query.exception()
+
 
 def ingest_new_files(
     spark: SparkSession,
@@ -33,15 +56,11 @@ def ingest_new_files(
     run_id: str,
     now=None,
     archive_dir: str | None = None,
-    glob: str = "*.csv",
+    glob: str | None = None,
     max_files_per_trigger: int | None = None,
 ) -> dict:
-    """Run one incremental load; returns the last progress report of the query."""
-    reader = (spark.readStream.format("csv").schema(header)
-              .option("header", True).option("enforceSchema", False)
-              .option("pathGlobFilter", glob))
-    if archive_dir:
-        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
+    """Run one incremental load of one layout; returns the last progress report of the query."""
+    reader = _reader(spark, header, glob, archive_dir).option("enforceSchema", False)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     audit = tuple(c for c in AUDIT_COLUMNS if c in target_schema.fieldNames())
@@ -50,25 +69,32 @@ def ingest_new_files(
     query = (rows.writeStream.format("parquet").outputMode("append")
              .option("checkpointLocation", checkpoint_dir)
              .trigger(availableNow=True).start(target_dir))
-    query.awaitTermination()
-    if query.exception() is not None:
-        raise query.exception()
+    _finish(query)
     return query.lastProgress or {}
 
 
-def discover_header(spark: SparkSession, source_dir: str, glob: str = "*.csv") -> T.StructType | None:
-    """The header of the first waiting file in ``source_dir`` (None if there are none).
+def stream_identity(spark: SparkSession, checkpoint_dir: str) -> str:
+    """A name that lives and dies with a checkpoint: kept in a file inside it.
 
-    Only that one line is read; the stream then checks every file's header
-    against it (``enforceSchema=false``), so a file in another layout fails.
+    Batch numbers start at 0 again under a new or lost checkpoint; with this name in
+    the batch's folder they cannot meet the folders of the old one.
     """
-    try:
-        names = read_csv(spark, source_dir, glob=glob).columns
-    except Exception as e:  # noqa: BLE001 - an empty or missing folder
-        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
-            return None
-        raise
-    return T.StructType([T.StructField(n, T.StringType()) for n in names])
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(checkpoint_dir, "strata-stream")
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(path):
+        with_name = spark.read.text(path.toString()).first()
+        if with_name is not None:
+            return with_name["value"]
+    name = uuid.uuid4().hex[:16]
+    out = fs.create(path, True)
+    out.write(bytearray(f"{name}\n".encode()))
+    out.close()
+    return name
+
+
+#: files of one micro-batch, at most; their names come to the driver
+FILES_PER_BATCH = 10_000
 
 
 def ingest_into_table(
@@ -80,27 +106,53 @@ def ingest_into_table(
     run_id: str,
     now=None,
     archive_dir: str | None = None,
-    header: T.StructType | None = None,
-    glob: str = "*.csv",
+    glob: str | None = None,
 ) -> int:
     """K9 into a layer table: new files only, each micro-batch written idempotently.
 
-    Returns the number of rows read. The header is discovered from the waiting
-    files unless given.
+    Returns the number of rows written. The stream hands out file names (it reads no
+    content, and rows of files with spaces in their names would come twice); the files of a
+    micro-batch are grouped by their own headers and read layout by layout.
     """
-    header = header or discover_header(spark, source_dir, glob)
-    if header is None:
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(source_dir)
+    if not folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
         return 0
     target = bronze.schema
-    reader = (spark.readStream.format("csv").schema(header)
-              .option("header", True).option("enforceSchema", False).option("pathGlobFilter", glob))
+    audit = tuple(c for c in AUDIT_COLUMNS if c in target.fieldNames())
+    reader = (spark.readStream.format("binaryFile").option("maxFileAge", ANY_AGE)
+              .schema("path string, modificationTime timestamp, length long, content binary")
+              .option("maxFilesPerTrigger", FILES_PER_BATCH))
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
     if archive_dir:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
-    audit = tuple(c for c in AUDIT_COLUMNS if c in target.fieldNames())
-    rows = conform(stamp_audit(normalize_headers(reader.load(source_dir)), run_id, now, audit), target)
-    query = (rows.writeStream.foreachBatch(lambda df, batch_id: bronze.write_batch(df, batch_id))
+    name = stream_identity(spark, checkpoint_dir)
+    # the files of earlier batches: after a restart a stream may hand out files again
+    # whose names its own log has to escape
+    done = LayerTable(spark, f"{checkpoint_dir}/strata-files")
+    if not done.exists():
+        done.create(T.StructType([T.StructField("file", T.StringType()), T.StructField("batch", T.StringType())]))
+    written: list[int] = []
+
+    def load(batch: DataFrame, batch_id: int) -> None:
+        label = f"{name}-{batch_id:012d}"
+        # a replayed batch may take its own files again
+        before = done.read().where(F.col("batch") != label).select("file")
+        files = batch.select(F.col("path").alias("file")).distinct().join(before, "file", "left_anti")
+        heads = first_lines(files.repartition("file")).collect()      # at most FILES_PER_BATCH rows
+        parts = []
+        for header in sorted({r["header"] for r in heads}):
+            own = [escape_path(r["file"]) for r in heads if r["header"] == header]
+            names = normalize_names(header_names(spark, header))
+            schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+            rows = spark.read.schema(schema).option("header", True).csv(own)
+            parts.append(conform(stamp_audit(rows, run_id, now, audit), target))
+        if parts:
+            written.append(bronze.write_batch(reduce(DataFrame.unionByName, parts), label))
+            done.write_batch(spark.createDataFrame([(r["file"], label) for r in heads], "file string, batch string"), label)
+
+    query = (reader.load(source_dir).select("path").writeStream.foreachBatch(load)
              .option("checkpointLocation", checkpoint_dir).trigger(availableNow=True).start())
-    query.awaitTermination()
-    if query.exception() is not None:
-        raise query.exception()
-    return sum(int(p.get("numInputRows", 0)) for p in query.recentProgress)
+    _finish(query)
+    return sum(written)

@@ -70,17 +70,22 @@ def test_file_name_lineage(spark, workdir):
     assert len(rows) == 1 and rows[0].SOURCE_FILE.startswith("part-") and rows[0].SOURCE_FILE.endswith(".csv")
 
 
-def test_checked_read_and_fallback(spark, workdir):
+def test_layouts_and_odd_names(spark, workdir):
+    from strata.queries.rerun import drop_files
+    from strata.sources.csv import skipped_files
+
     target = T.StructType([T.StructField("YARD_ID", T.StringType()), T.StructField("PRICE", T.DoubleType())])
-    one, mixed = f"{workdir}/one", f"{workdir}/mixed"
-    write_csv(spark.createDataFrame([("y1", "1.5")], "`Yard.ID` string, `Price` string"), one)
-    write_csv(spark.createDataFrame([("y2", "2")], "`Yard.ID` string, `Price` string"), one, mode="append")
-    assert len(read_folder(spark, one, strategy="checked")) == 1
-    t1 = LayerTable(spark, f"{workdir}/t1").create(target)
-    assert load_csv_folder(spark, one, t1, run_id="r") == 2
-    write_csv(spark.createDataFrame([("y1", "1.5")], "`Yard.ID` string, `Price` string"), mixed)
-    write_csv(spark.createDataFrame([("3", "y3")], "`Price` string, `Yard.ID` string"), mixed, mode="append")
-    t2 = LayerTable(spark, f"{workdir}/t2").create(target)
-    assert load_csv_folder(spark, mixed, t2, run_id="r") == 2  # checked read fails, grouped read loads
-    assert sorted((r.YARD_ID, r.PRICE) for r in t2.read().collect()) == [("y1", 1.5), ("y3", 3.0)]
-    assert t2.versions() == [1]
+    folder = f"{workdir}/odd"
+    drop_files(spark, spark.createDataFrame([("y1", "1.5")], "`Yard.ID` string, `Price` string").coalesce(1), folder, "Sales Day {i}.csv")
+    drop_files(spark, spark.createDataFrame([("2", "y2")], "`Price` string, `Yard.ID` string").coalesce(1), folder, "Sales [{i}].CSV")
+    drop_files(spark, spark.createDataFrame([("y3", "3", "e")], "`Yard.ID` string, `Price` string, `Extra` string").coalesce(1), folder, "S{x}%20+{i}")
+    t = LayerTable(spark, f"{workdir}/odd_t").create(target)
+    assert load_csv_folder(spark, folder, t, run_id="r") == 3
+    assert sorted((r.YARD_ID, r.PRICE) for r in t.read().collect()) == [("y1", 1.5), ("y2", 2.0), ("y3", 3.0)]
+    assert t.versions() == [1]
+    assert load_csv_folder(spark, folder, t, run_id="r", glob="*.csv") == 1
+    assert skipped_files(spark, folder, "*.csv").count() == 2
+    bad = f"{workdir}/bad"
+    write_csv(spark.createDataFrame([("y1", "cheap")], "`Yard.ID` string, `Price` string"), bad)
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        load_csv_folder(spark, bad, t, run_id="r")

@@ -5,16 +5,16 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from strata.operators.keys import assign_keys, dense_number
+from strata.operators.upsert import DuplicateKeyError
 from strata.sources.tables import LayerTable
 
 
-@pytest.mark.parametrize("small_rows", [0, 10**6])
-def test_dense_number_matches_window_with_ties_nulls_copies(spark, small_rows):
+def test_dense_number_matches_window_with_ties_nulls_copies(spark):
     rnd = random.Random(7)
     rows = [(rnd.choice([None, 1, 2, 3]), rnd.choice(["a", "b", None])) for _ in range(500)]
     rows += [(2, "b")] * 300  # a hot group of identical rows
     df = spark.createDataFrame(rows, "x int, y string").repartition(5)
-    out = dense_number(df, ["x", "y"], "K", rows_per_partition=50, small_rows=small_rows).collect()
+    out = dense_number(df, ["x", "y"], "K", rows_per_partition=50).collect()
     keys = sorted(r.K for r in out)
     assert keys == list(range(1, len(rows) + 1))
     # numbers follow the order: sorting by key gives a non-decreasing (x, y) sequence, nulls first
@@ -23,19 +23,19 @@ def test_dense_number_matches_window_with_ties_nulls_copies(spark, small_rows):
     assert seq == sorted(seq)
 
 
-@pytest.mark.parametrize("small_rows,scan", [(0, False), (0, True), (10**6, False)])
-def test_dense_number_equals_row_number_on_total_order(spark, small_rows, scan):
+@pytest.mark.parametrize("how", [{}, {"deterministic_input": True}, {"total_order": True}])
+def test_dense_number_equals_row_number_on_total_order(spark, how):
     df = spark.range(0, 2000).select((F.col("id") * 7919 % 2000).alias("a"), (F.col("id") % 3).alias("b"))
     ours = {(r.a, r.b): r.K for r in
-            dense_number(df, ["b", "a"], "K", small_rows=small_rows, deterministic_input=scan).collect()}
+            dense_number(df, ["b", "a"], "K", **how).collect()}
     ref = {(r.a, r.b): r.K for r in df.withColumn("K", F.row_number().over(Window.orderBy("b", "a"))).collect()}
     assert ours == ref
 
 
-@pytest.mark.parametrize("small_rows", [-1, 10])
-def test_dense_number_empty(spark, small_rows):
+@pytest.mark.parametrize("total_order", [False, True])
+def test_dense_number_empty(spark, total_order):
     df = spark.createDataFrame([], "a int")
-    out = dense_number(df, ["a"], "K", small_rows=small_rows)
+    out = dense_number(df, ["a"], "K", total_order=total_order)
     assert out.count() == 0 and out.columns == ["a", "K"]
 
 
@@ -46,6 +46,14 @@ def test_assign_keys_keeps_existing(spark):
     assert got == {"a": 1, "b": 2, None: 3, "c": 4, "d": 5}
 
 
+def test_assign_keys_wants_one_row_per_entity(spark):
+    batch = spark.createDataFrame([("a",), ("b",)], "n string")
+    with pytest.raises(DuplicateKeyError):
+        assign_keys(batch.union(batch), spark.createDataFrame([], "n string, K long"), ["n"], "K", ["n"])
+    with pytest.raises(DuplicateKeyError):
+        assign_keys(batch, spark.createDataFrame([(None, 1), (None, 2)], "n string, K long"), ["n"], "K", ["n"])
+
+
 def test_layer_table_versions_and_readers(spark, workdir):
     t = LayerTable(spark, workdir)
     assert t.versions() == []

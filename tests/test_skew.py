@@ -32,7 +32,7 @@ def test_upsert_hot_target_key(spark):
 
 def test_numbering_hot_copies_spread(spark):
     df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("k"))
-    out = dense_number(df, ["k"], "KEY_NO", rows_per_partition=100, small_rows=0)
+    out = dense_number(df, ["k"], "KEY_NO", rows_per_partition=100)
     assert sorted(r.KEY_NO for r in out.collect()) == list(range(1, 3001))
     # the 1,000 copies of key 0 are numbered 1..1000 and spread over several partitions
     hot = out.where("k = 0")

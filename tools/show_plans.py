@@ -38,7 +38,7 @@ def main() -> None:
             t("customer").select("c_custkey", F.col("c_custkey").alias("CUSTOMER_KEY")),
             "o_custkey", "c_custkey", "CUSTOMER_KEY")]),
         "dense_number, range path (W1/W2)": dense_number(
-            o, ["o_orderdate", "o_orderkey"], "ORDER_KEY", deterministic_input=True, small_rows=0),
+            o, ["o_orderdate", "o_orderkey"], "ORDER_KEY", total_order=True),
     }
     for name, df in shows.items():
         print(f"### {name}\n```")
