@@ -76,6 +76,15 @@ def _blocks(text_col: str, id_col: str, id_name: str, block_bytes: int):
     return cut
 
 
+def bucketed(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` written once to the shared folder, bucketed by ``keys``: joins and groups on them do not shuffle it."""
+    spark = df.sparkSession
+    name = f"strata_bucketed_{uuid.uuid4().hex[:12]}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.bucketBy(buckets, *keys).option("path", scratch_dir(spark, "bucketed")).saveAsTable(name)
+    return spark.table(name)
+
+
 class Blocks:
     """A bucketed table of blocks; ``drop`` removes its catalog entry (files go with the scratch folder)."""
 

@@ -18,8 +18,8 @@ tokens), so no group's pairs are written out. Whatever links is then in one
 component of these edges: a *cluster* of candidates.
 
 *Verification.* Whole sets are fetched once per class and meet in their cluster. A
-cluster of more than ``BLOCK`` classes is cut into blocks by hash, and every two blocks
-meet in a task of their own, so no task grows with a cluster. A task counts all
+cluster of more than ``BLOCK`` classes is cut into overlapping bands of set size, a band
+of more than that into blocks by hash, and every two blocks meet in a task of their own, so no task grows with a cluster. A task counts all
 overlaps exactly and puts out a spanning set of the links, not the pairs.
 
 Defined results: null or empty texts and texts without words have an empty set and
@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.llm import bitmaps
+from strata.llm.blocks import bucketed
 from strata.llm.common import LOWER_BYTES, table, utf8
 from strata.llm.components import components
 from strata.llm.suffix_dedup import SpanHash, mix
@@ -43,8 +44,10 @@ from strata.session import stage
 
 WORDS = 3
 PERCENT = 90
-#: token groups up to this many classes give all their pairs; also the count from which a token is common
-SMALL = 16
+#: token groups up to this many classes give their pairs
+SMALL = 256
+#: a token is common when more texts have it among their first ones
+COMMON = 32
 #: bits of the bitmaps that are broadcast (8 MB)
 BITS = 1 << 26
 TEXTS = 1000
@@ -215,17 +218,18 @@ def _fetch(text_col, words, percent, wanted):
                 b = b.filter(pa.array(bitmaps.test(bits, b.column("id_hash").to_numpy(zero_copy_only=False))))
                 yield from _distinct_sets([b], text_col, words)
 
-        kind = pa.list_(pa.int64())
+        kind, half = pa.list_(pa.int64()), pa.list_(pa.int32())
         for part in _blocks(rows(), 200_000):
             other = [[], []]
             for _, t in part:
                 p = prefix_length(len(t), percent)
                 for j in (1, 2):
                     o = order_key(t, j)
-                    other[j - 1].append((np.partition(o, p - 1)[:p] if p < len(o) else o).view(np.int64))
+                    # half of each hash: a chance match costs a verification, nothing else
+                    other[j - 1].append(((np.partition(o, p - 1)[:p] if p < len(o) else o) >> np.uint64(16)).astype(np.uint32).view(np.int32))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([k[0] for k, _ in part], pa.int64()), pa.array([k[1] for k, _ in part], pa.int64()),
-                 pa.array(other[0], kind), pa.array(other[1], kind), pa.array([t.view(np.int64) for _, t in part], kind)],
+                 pa.array(other[0], half), pa.array(other[1], half), pa.array([t.view(np.int64) for _, t in part], kind)],
                 names=["c1", "c2", "p2", "p3", "tokens"])
 
     return run
@@ -297,14 +301,14 @@ PAIR = ["l.c1 AS x1", "l.c2 AS x2", "r.c1 AS y1", "r.c2 AS y2"]
 def _other_orders(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs (x1, x2, y1, y2) that share a token in the prefixes of orders 2 and 3 too."""
     for s in ("x", "y"):
-        side = sets.select(F.col("c1").alias(f"{s}1"), F.col("c2").alias(f"{s}2"), F.col("p2").alias(f"{s}_p2"), F.col("p3").alias(f"{s}_p3"))
-        pairs = pairs.join(side, [f"{s}1", f"{s}2"])
+        side = sets.select("c1", "c2", F.col("p2").alias(f"{s}_p2"), F.col("p3").alias(f"{s}_p3"))
+        pairs = pairs.withColumns({"c1": F.col(f"{s}1"), "c2": F.col(f"{s}2")}).join(side, ["c1", "c2"]).drop("c1", "c2")
     return (pairs.filter(F.arrays_overlap("x_p2", "y_p2") & F.arrays_overlap("x_p3", "y_p3"))
             .select("x1", "x2", "y1", "y2").distinct())
 
 
 def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
-                   percent: int = PERCENT, small: int = SMALL, bits: int = BITS) -> DataFrame:
+                   percent: int = PERCENT, small: int = SMALL, common_from: int = COMMON, bits: int = BITS) -> DataFrame:
     """id, ``n_shingles`` and ``component_id`` (smallest id reachable by links) per row."""
     spark = docs.sparkSession
     share = spark.sparkContext.broadcast
@@ -315,7 +319,7 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         docs.schema[id_col], *[T.StructField(c, T.LongType()) for c in ("n", "c1", "c2")]])), "ngram-rows")
 
     counts = texts.mapInArrow(_first_tokens(text_col, words, percent), "t long, n long")
-    common = share(bitmaps.build(counts.groupBy("t").agg(F.sum("n").alias("n")).filter(F.col("n") > small), "t", bits))
+    common = share(bitmaps.build(counts.groupBy("t").agg(F.sum("n").alias("n")).filter(F.col("n") > common_from), "t", bits))
     order = ["t", "c1", "c2"]
     cols = "t long, c1 long, c2 long, n long, pos long, rare long"
     cand, _ = stage(texts.mapInArrow(_prefixes(text_col, words, percent, common), cols)
@@ -333,23 +337,32 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     star = many.filter("c1 != lead.c1 OR c2 != lead.c2").selectExpr("c1 AS x1", "c2 AS x2", "lead.c1 AS y1", "lead.c2 AS y2").distinct()
     star, n_star = stage(star, "ngram-star")
 
-    classes, _ = stage(rows.filter("n > 0").groupBy("c1", "c2").agg(F.min(id_col).alias("doc")), "ngram-classes")
+    classes, _ = stage(rows.filter("n > 0").groupBy("c1", "c2").agg(F.min(id_col).alias("doc"), F.first("n").alias("n")), "ngram-classes")
     both = pairs.unionByName(star)
     wanted = both.selectExpr("x1 AS c1", "x2 AS c2").union(both.selectExpr("y1 AS c1", "y2 AS c2")).distinct()
     bitmap = share(bitmaps.build(classes.join(wanted, ["c1", "c2"]).select(F.xxhash64("doc").alias("h")), "h", bits))
-    sets, _ = stage(named.mapInArrow(_fetch(text_col, words, percent, bitmap), "c1 long, c2 long, p2 array<long>, p3 array<long>, tokens array<long>"), "ngram-sets")
+    # the sets are the bulk of the work: bucketed, they are written once and shuffled once, to their tasks
+    sets = bucketed(named.mapInArrow(_fetch(text_col, words, percent, bitmap), "c1 long, c2 long, p2 array<int>, p3 array<int>, tokens array<long>"), "c1", "c2")
 
     # clusters of candidates: components of the pairs that pass every order, and of the stars
     edges = _other_orders(pairs, sets).unionByName(star).select(F.struct("x1", "x2").alias("x"), F.struct("y1", "y2").alias("y"))
     edges = edges.selectExpr("named_struct('c1', x.x1, 'c2', x.x2) AS x", "named_struct('c1', y.y1, 'c2', y.y2) AS y")
-    members, n_members = stage(components(edges).select("node.c1", "node.c2", F.xxhash64("root").alias("cluster")), "ngram-clusters")
-    blocks = members.groupBy("cluster").agg(F.expr(f"div(count(1) + {BLOCK - 1}, {BLOCK})").alias("blocks"))
-    shards = max(1, n_members // BLOCK)
-    # small clusters share tasks; of a large one, every two blocks meet in a task
-    met = (members.join(blocks, "cluster")
+    members, _ = stage(components(edges).select("node.c1", "node.c2", F.xxhash64("root").alias("cluster")), "ngram-clusters")
+    # a cluster larger than a block is cut by size first: sets of sizes more than one band apart cannot link
+    whole = members.groupBy("cluster").agg(F.count(F.lit(1)).alias("whole"))
+    band = F.floor(F.ln("n") / -F.ln(F.lit(percent / 100))).cast("long")
+    cell = F.when(F.col("whole") <= BLOCK, F.array(F.lit(-2).cast("long"))).otherwise(F.array(band, band - 1))
+    cells, n_cells = stage(members.join(classes.select("c1", "c2", "n"), ["c1", "c2"]).join(whole, "cluster")
+                           .select("c1", "c2", "cluster", F.explode(cell).alias("cell")), "ngram-cells")
+    blocks = (cells.groupBy("cluster", "cell").agg(F.count(F.lit(1)).alias("held")).filter("held > 1")
+              .withColumn("blocks", F.expr(f"div(held + {BLOCK - 1}, {BLOCK})")))
+    shards = max(1, n_cells // BLOCK)
+    # small clusters share tasks; of a large cell, every two blocks meet in a task
+    met = (cells.join(blocks, ["cluster", "cell"])
+           .withColumn("own", F.xxhash64("cluster", "cell"))
            .withColumn("b", F.pmod(F.xxhash64("c1", "c2", F.lit(6)), F.col("blocks")))
            .withColumn("o", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-           .select("c1", "c2", "cluster", F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("cluster"), F.lit(shards))).otherwise(F.col("cluster")).alias("task"),
+           .select("c1", "c2", F.col("own").alias("cluster"), F.when(F.col("blocks") == 1, F.pmod("own", F.lit(shards))).otherwise(F.col("own")).alias("task"),
                    F.when(F.col("blocks") == 1, F.lit(-1).cast("long")).otherwise(F.least("b", "o")).alias("b"), F.greatest("b", "o").alias("o")))
     links, n_links = stage(met.join(sets.select("c1", "c2", "tokens"), ["c1", "c2"]).groupBy("task", "b", "o")
                            .applyInArrow(_verify(percent), "x1 long, x2 long, y1 long, y2 long"), "ngram-links")

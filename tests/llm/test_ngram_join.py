@@ -30,8 +30,9 @@ def roots(n, links):
     return [find(i) for i in range(n)]
 
 
-@pytest.mark.parametrize(("words", "percent", "small"), [(3, 90, 16), (2, 80, 2), (5, 80, 16)])
-def test_against_all_pairs(spark, words, percent, small):
+@pytest.mark.parametrize(("words", "percent", "small", "block"), [(3, 90, 16, 512), (2, 80, 2, 5), (5, 80, 256, 512)])
+def test_against_all_pairs(spark, monkeypatch, words, percent, small, block):
+    monkeypatch.setattr("strata.llm.ngram_join.BLOCK", block)      # 5: large clusters are cut
     rng = np.random.default_rng(words)
     vocabulary = [f"w{i}" for i in range(60)]
     texts = []
@@ -48,7 +49,7 @@ def test_against_all_pairs(spark, words, percent, small):
              if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j])]
     want = roots(len(texts), links)
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    got = {r.doc_id: r for r in similar_groups(docs, words=words, percent=percent, small=small, bits=1 << 20).collect()}
+    got = {r.doc_id: r for r in similar_groups(docs, words=words, percent=percent, small=small, common_from=small, bits=1 << 20).collect()}
     assert len(got) == len(texts)
     assert [(got[i].n_shingles, got[i].component_id) for i in range(len(texts))] == [(len(s), r) for s, r in zip(sets, want, strict=True)]
 
