@@ -36,15 +36,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.blocks import Blocks
+from strata.llm.blocks import Blocks, unpack_rows
 from strata.llm.common import table
 from strata.llm.suffix_dedup import C1, C2, SpanHash, mix
 
 SPACE = "▁"
 #: characters in a unit whose cuts fit a 64-bit mask
 LONGEST = 60
-BLOCK_BYTES = 20 << 20
-TEXTS = 2 << 20
+BLOCK_BYTES = 16 << 20
+TEXTS = 1 << 18
 #: block numbers that differ below this bit are answered together (blocks of 512 input partitions)
 SALT_BIT = 29
 
@@ -179,13 +179,12 @@ def _texts(rows: pa.Table):
 
 def _ask(vocab):
     def run(batches):
-        from strata.llm.blocks import unpack_rows
-
         for b in batches:
             for block, body in zip(b.column("block").to_pylist(), b.column("body"), strict=True):
                 units = Units(vocab.value)
                 for part in _texts(unpack_rows(body.as_py())):
                     units.cut(part)
+                pa.default_memory_pool().release_unused()
                 words = [w for w in units.number if 1 < len(w) <= LONGEST]
                 for k in range(0, len(words), 100_000):
                     some = words[k:k + 100_000]
@@ -231,13 +230,15 @@ def lattice(units: DataFrame, vocab: Vocabulary, kind: str, keys: list[str], car
     return grouped.select(*keys, *carry, fold.alias("cuts"))
 
 
-def _apply(vocab, kind):
+def _apply(vocab, kind, with_text):
     def run(block, rows, answers):
         if rows is None:
             raise RuntimeError("an answer without its block")
         v = vocab.value
         units = Units(v)
-        parts = [units.cut(p) for p in _texts(rows)]
+        parts = [(number.astype(np.int32), count) for number, count in map(units.cut, _texts(rows))]
+        names = rows.column("id")
+        del rows
         cuts = np.zeros(len(units.number), np.int64)
         cuts[answers.column("u").to_numpy()] = answers.column("cuts").to_numpy()
         split = v.merge if kind == "bpe" else v.viterbi
@@ -260,7 +261,10 @@ def _apply(vocab, kind):
         ids = np.array(flat, np.int32)
         begin = np.cumsum(size) - size
         lists, offsets, base = [], [np.zeros(1, np.int64)], 0
-        for number, count in parts:
+        units.number.clear()
+        parts.reverse()
+        while parts:            # each part goes as its ids come
+            number, count = parts.pop()
             n = size[number]
             at = np.repeat(begin[number] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
             lists.append(ids[at])
@@ -268,18 +272,24 @@ def _apply(vocab, kind):
             offsets.append(total + base)
             base += int(n.sum())
         values = np.concatenate(lists) if lists else np.zeros(0, np.int32)
-        out = pa.LargeListArray.from_arrays(pa.array(np.concatenate(offsets)), pa.array(values, pa.int32())).cast(pa.list_(pa.int32()))
-        return pa.table({"id": rows.column("id"), "ids": out})
+        ends = np.concatenate(offsets)
+        out = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int32()))
+        del lists
+        cols = {"id": names, "ids": out}
+        if with_text:
+            cols["text"] = pa.array(Speller(v).texts(values, ends), pa.string())
+        pa.default_memory_pool().release_unused()
+        return pa.table(cols)
 
     return run
 
 
-def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text", kind: str = "bpe") -> DataFrame:
-    """id and ``ids`` (array of int) per row."""
-    return encode_with(docs, Vocabulary.load(model), id_col, text_col, kind)
+def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text", kind: str = "bpe", with_text: bool = False) -> DataFrame:
+    """id and ``ids`` (array of int) per row; ``with_text`` adds ``text``, decoded from the ids in the same task."""
+    return encode_with(docs, Vocabulary.load(model), id_col, text_col, kind, with_text)
 
 
-def encode_with(docs: DataFrame, vocab: Vocabulary, id_col: str, text_col: str, kind: str) -> DataFrame:
+def encode_with(docs: DataFrame, vocab: Vocabulary, id_col: str, text_col: str, kind: str, with_text: bool = False) -> DataFrame:
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(vocab)       # the vocabulary file
     blocks = Blocks(docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")), "id", "text", BLOCK_BYTES)
@@ -289,8 +299,9 @@ def encode_with(docs: DataFrame, vocab: Vocabulary, id_col: str, text_col: str,
                 .agg(F.collect_list(F.struct("block", "u")).alias("asked")))
     solved = lattice(distinct, vocab, kind, ["unit", "salt"], ["asked"]).filter("cuts IS NOT NULL")
     answers = solved.select("cuts", F.explode("asked").alias("a")).select("a.block", "a.u", "cuts")
-    out = blocks.meet(answers, _apply(shared, kind), T.StructType([
-        T.StructField("id", docs.schema[id_col].dataType), T.StructField("ids", T.ArrayType(T.IntegerType()))]))
+    out = blocks.meet(answers, _apply(shared, kind, with_text), T.StructType([
+        T.StructField("id", docs.schema[id_col].dataType), T.StructField("ids", T.ArrayType(T.IntegerType())),
+        *([T.StructField("text", T.StringType())] if with_text else [])]))
     return out.withColumnRenamed("id", id_col)
 
 
@@ -299,34 +310,44 @@ def decode(encoded: DataFrame, model: str, ids_col: str = "ids", to: str = "text
     return decode_with(encoded, Vocabulary.load(model), ids_col, to)
 
 
+class Speller:
+    """Bytes of each id, and the texts that runs of ids stand for."""
+
+    def __init__(self, vocab: Vocabulary):
+        body = [b""] * vocab.size
+        for i, p, _ in vocab.pieces:
+            body[i] = p.replace(SPACE, " ").encode("utf-8", "surrogatepass")
+        for k, i in enumerate(vocab.byte_ids or ()):
+            body[i] = bytes([k])
+        self.size = np.array([len(x) for x in body], np.int64)
+        self.begin = np.cumsum(self.size) - self.size
+        self.flat = np.frombuffer(b"".join(body), np.uint8)
+
+    def texts(self, ids: np.ndarray, ends: np.ndarray, some: int = 500) -> list[str]:
+        """Texts of ``ids[ends[i]:ends[i + 1]]``, some at a time; the dummy space in front goes."""
+        out = []
+        for k in range(0, len(ends) - 1, some):
+            cut = ends[k:k + some + 1]
+            part = ids[cut[0]:cut[-1]]
+            n = self.size[part]
+            text = self.flat[np.repeat(self.begin[part] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))].tobytes()
+            at = np.concatenate([[0], np.cumsum(n)])[cut - cut[0]].tolist()
+            for a, b in zip(at, at[1:], strict=False):
+                t = text[a:b].decode("utf-8", "replace")
+                out.append(t[1:] if t.startswith(" ") else t)
+        return out
+
+
 def decode_with(encoded: DataFrame, vocab: Vocabulary, ids_col: str, to: str) -> DataFrame:
-    body = [b""] * vocab.size
-    for i, p, _ in vocab.pieces:
-        body[i] = p.replace(SPACE, " ").encode("utf-8", "surrogatepass")
-    for k, i in enumerate(vocab.byte_ids or ()):
-        body[i] = bytes([k])
-    shared = encoded.sparkSession.sparkContext.broadcast(body)      # the vocabulary file
+    shared = encoded.sparkSession.sparkContext.broadcast(vocab)      # the vocabulary file
 
     def run(batches):
-        parts = shared.value
-        size = np.array([len(x) for x in parts], np.int64)
-        begin = np.cumsum(size) - size
-        flat = np.frombuffer(b"".join(parts), np.uint8)
+        spell = Speller(shared.value)
         for b in batches:
             lists = b.column(ids_col)
-            out = []
-            for k in range(0, b.num_rows, 500):
-                part = lists.slice(k, 500)
-                ids = part.flatten().to_numpy(zero_copy_only=False)
-                n = size[ids]
-                at = np.repeat(begin[ids] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-                text = flat[at].tobytes()
-                count = part.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-                a = 0
-                for e in np.concatenate([[0], np.cumsum(n)])[np.cumsum(count)].tolist():
-                    t = text[a:e].decode("utf-8", "replace")
-                    out.append(t[1:] if t.startswith(" ") else t)
-                    a = e
+            ids = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+            count = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            out = spell.texts(ids, np.concatenate([[0], np.cumsum(count, dtype=np.int64)]))
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.string())], names=[*b.schema.names, to])
 
     return encoded.mapInArrow(run, T.StructType([*encoded.schema, T.StructField(to, T.StringType())]))
@@ -336,7 +357,7 @@ def op10_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     model = public_tokenizers.path("piece_bpe_32k.model")
-    out = decode(encode(table(spark, sf_dir, "documents"), model), model)
+    out = encode(table(spark, sf_dir, "documents"), model, with_text=True)
     return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("text", 256).alias("text_sha256"))
 
 
