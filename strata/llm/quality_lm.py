@@ -38,7 +38,7 @@ from strata.llm.common import table, utf8
 from strata.llm.suffix_dedup import SpanHash
 from strata.session import stage
 
-ORDER = 4
+ORDER = 5
 #: bytes of text in a block: larger blocks ask for fewer n-grams twice
 BLOCK_BYTES = 20 << 20
 #: block numbers that differ below this bit are answered together (blocks of 512 input partitions)
@@ -185,8 +185,13 @@ def kneser_ney(counts: DataFrame, asked: DataFrame, order: int) -> DataFrame:
         # continuation counts: the (k+1)-grams that end in a k-gram differ in their first symbol
         level[k] = (level[k + 1].groupBy("m", F.col("g").bitwiseAND(F.lit((1 << (8 * k)) - 1)).alias("g"))
                     .agg(F.count(F.lit(1)).alias("c")))
-    out = asked.withColumn("p", F.lit(0.0)).withColumn("w", F.lit(1.0))
-    for k in range(order, 0, -1):
+    mask = lambda k: F.lit((1 << (8 * k)) - 1)
+    # shorter n-grams are fewer: each is looked up once, not once per question that ends in it
+    need = {order: asked.select("m", "g")}
+    for k in range(order - 1, 0, -1):
+        need[k] = need[k + 1].select("m", F.col("g").bitwiseAND(mask(k)).alias("g")).distinct()
+    below = None
+    for k in range(1, order + 1):
         of = lambda j: F.sum((F.col("c") == j).cast("double"))  # noqa: E731, B023
         # 4 numbers per model: a text's languages bound it
         d = level[k].groupBy("m").agg(*[of(j).alias(f"n{j}") for j in (1, 2, 3, 4)])
@@ -203,14 +208,18 @@ def kneser_ney(counts: DataFrame, asked: DataFrame, order: int) -> DataFrame:
                    .join(F.broadcast(d), "m")
                    .select("m", "h", "all", "d1", "d2", "d3",
                            ((F.col("d1") * F.col("e1") + F.col("d2") * F.col("e2") + F.col("d3") * (F.col("e") - F.col("e1") - F.col("e2"))) / F.col("all")).alias("b")))
-        mask = F.lit((1 << (8 * k)) - 1)
-        out = (out.withColumn("gk", F.col("g").bitwiseAND(mask)).withColumn("hk", F.shiftright("gk", 8))
-               .join(context.select("m", F.col("h").alias("hk"), "all", "d1", "d2", "d3", "b"), ["m", "hk"], "left")
-               .join(level[k].select("m", F.col("g").alias("gk"), "c"), ["m", "gk"], "left"))
         off = F.when(F.col("c") == 1, F.col("d1")).when(F.col("c") == 2, F.col("d2")).otherwise(F.col("d3"))
         seen = F.when(F.col("c").isNotNull(), F.greatest(F.col("c") - off, F.lit(0.0)) / F.col("all")).otherwise(F.lit(0.0))
-        out = out.select("m", "g", (F.col("p") + F.col("w") * seen).alias("p"), (F.col("w") * F.coalesce("b", F.lit(1.0))).alias("w"))
-    return out.select("m", "g", (F.col("p") + F.col("w") / 256).alias("p"))
+        out = (need[k].join(level[k], ["m", "g"], "left").withColumn("h", F.shiftright("g", 8))
+               .join(context, ["m", "h"], "left")
+               .select("m", "g", seen.alias("seen"), F.coalesce("b", F.lit(1.0)).alias("w")))
+        if below is None:
+            out = out.withColumn("low", F.lit(1 / 256))
+        else:
+            out = (out.withColumn("s", F.col("g").bitwiseAND(mask(k - 1)))
+                   .join(below.select("m", F.col("g").alias("s"), F.col("p").alias("low")), ["m", "s"]))
+        below = out.select("m", "g", (F.col("seen") + F.col("w") * F.col("low")).alias("p"))
+    return below
 
 
 class QualityModel:

@@ -106,3 +106,13 @@ def test_edge_rows(spark, edge_docs, no_docs):
 def test_query(spark):
     rows = op3_quality_classifier(spark, "/root/testdata/sf0.001").collect()
     assert len(rows) == 200 and len({r.doc_id for r in rows}) == 200
+
+
+def test_four_symbols_of_context(spark):
+    """Crossed endings differ from the trusted texts only by the symbol four places back."""
+    plain, crossed = "qabcx---zabcy---" * 10, "qabcy---zabcx---" * 10
+    rows = [(i, crossed if i >= 100 else plain, "en") for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = QualityModel(docs, spark.createDataFrame([(i,) for i in range(80)], "doc_id long"))
+    bits = {r.id: r.bits for r in model.scores.collect()}
+    assert min(bits[i] for i in range(100, 120)) > 1.5 * max(bits[i] for i in range(80, 100))
