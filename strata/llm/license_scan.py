@@ -3,8 +3,9 @@
 Texts are lower-cased (A-Z) and read as words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+``.
 Word counts come from byte tables over whole Arrow batches. Only texts that
 hold one of the gate words are normalised (words joined by one space) and
-matched: first the base phrases at every place, then each rule whose keyword
-occurs. A detection that lies inside one of higher priority, or inside a longer
+matched: first the base phrases at every place, then each rule of whose
+necessary words one occurs. The gate is the necessary words of all phrases and
+rules, derived from their patterns, so a text without one has no detection. A detection that lies inside one of higher priority, or inside a longer
 one of the same priority, is suppressed; with equal intervals the earlier rule wins.
 
 No shuffle and no join: each text is judged in the task that reads it, so a hot
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.llm.common import LOWER_BYTES, table, utf8
-from strata.llm.license_rules import GATE, build_rules
+from strata.llm.license_rules import build_rules, necessary_words
 
 # The base phrases and their labels
 BASE = [("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc")]
@@ -83,6 +84,16 @@ class Scanner:
         self.base = [(f"base:{p}", label, (" " + p + " ").encode(), len(p.split())) for p, label in base]
         self.rules = [(rid, label, prio, key.encode(), re.compile(rf"(?<= )(?:{pat})(?= )".encode()), w)
                       for rid, label, prio, key, pat, w in rules]
+        needs = [necessary_words(pat) for _, _, _, _, pat, _ in rules]
+        self.needs = [None if n is None else {w.encode() for w in n} for n in needs]
+        self.words = sorted(set().union(*[n for n in self.needs if n]))
+
+    def gate(self) -> list[bytes] | None:
+        """Words of which every text with a detection has one; None if every text must be scanned."""
+        phrases = [necessary_words(re.escape(rid.removeprefix("base:"))) for rid, *_ in self.base]
+        if None in self.needs or None in phrases:
+            return None
+        return sorted({*self.words, *(w.encode() for n in phrases for w in n)})
 
     def scan(self, text: bytes) -> list[tuple]:
         """Detections in one lower-cased text; ``start`` and ``end`` are word numbers, end exclusive."""
@@ -97,8 +108,10 @@ class Scanner:
                 out.append([rid, label, k, k + n, 0, BASE_WEIGHT, True, True])
                 i = norm.find(phrase, i + 1)
         found, rows = [], []
+        held = {w for w in self.words if w in norm}
         for order, (rid, label, prio, key, rx, weight) in enumerate(self.rules):
-            if key not in norm:
+            needs = self.needs[order]
+            if key not in norm or (needs is not None and held.isdisjoint(needs)):
                 continue
             for m in rx.finditer(norm):
                 s = int(np.searchsorted(at, m.start() - 1))
@@ -114,7 +127,7 @@ class Scanner:
 def _scan_batches(id_col, text_col, base, rules, gate):
     def run(batches):
         scanner = Scanner(base, rules)
-        gates = [g.encode() for g in gate]
+        gates = scanner.gate() if gate is None else [g.encode() for g in gate]
         out_type = pa.list_(pa.struct([
             ("rule", pa.string()), ("label", pa.string()), ("start", pa.int64()), ("end", pa.int64()),
             ("priority", pa.int32()), ("weight", pa.float64()), ("base", pa.bool_()), ("kept", pa.bool_())]))
@@ -129,17 +142,19 @@ def _scan_batches(id_col, text_col, base, rules, gate):
             begin[first] = word[first]
             total = np.concatenate([[0], np.cumsum(begin)])
             n_words = total[offs[1:]] - total[offs[:-1]]
-            buf = low.tobytes()
-            hit = np.zeros(len(offs) - 1, bool)
-            for g in gates:
+            # a space for every byte outside of words, and one before each text and after the last
+            buf = np.insert(np.where(word, low, np.uint8(32)), offs, 32).tobytes()
+            at = offs + np.arange(len(offs))
+            hit = np.full(len(offs) - 1, gates is None)
+            for g in gates or []:
                 i = buf.find(g)
                 while i >= 0:
-                    d = int(np.searchsorted(offs, i, side="right")) - 1
+                    d = int(np.searchsorted(at, i, side="right")) - 1
                     hit[d] = True
-                    i = buf.find(g, int(offs[d + 1]))     # on to the next text
+                    i = buf.find(g, int(at[d + 1]))     # on to the next text
             found = [[] for _ in range(len(hit))]
             for d in np.flatnonzero(hit):
-                found[d] = [dict(zip(names, r, strict=True)) for r in scanner.scan(buf[offs[d]:offs[d + 1]])]
+                found[d] = [dict(zip(names, r, strict=True)) for r in scanner.scan(buf[at[d] + 1:at[d + 1]])]
             yield pa.RecordBatch.from_arrays(
                 [b.column(id_col), pa.array(n_words, pa.int64()), pa.array(found, out_type)],
                 names=[id_col, "n_words", "detections"])
@@ -153,9 +168,8 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     schema = T.StructType([docs.schema[id_col], T.StructField("n_words", T.LongType()),
                            T.StructField("detections", T.ArrayType(DETECTION))])
     base = BASE if base is None else base
-    gate = GATE if gate is None else gate
-    # a base phrase passes the gate through its longest word
-    gate = list(dict.fromkeys([*gate, *(max(p.split(), key=len) for p, _ in base)]))
+    if gate is not None:     # a base phrase passes a given gate through its longest word
+        gate = list(dict.fromkeys([*gate, *(max(p.split(), key=len) for p, _ in base)]))
     return docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")).mapInArrow(
         _scan_batches(id_col, text_col, base, build_rules() if rules is None else rules, gate), schema)
 

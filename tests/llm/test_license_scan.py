@@ -59,3 +59,47 @@ def test_query_columns(spark):
     assert len(rows) == 200 and all(0 <= r.score <= 1 for r in rows)
     assert all((r.first_word is None) == (r.n_base == 0) for r in rows)
     assert scan_licenses(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def example(items, rng):
+    """A random text that the parsed pattern fits, look-ahead left aside."""
+    out = ""
+    for op, arg in items:
+        name = str(op)
+        if name == "LITERAL":
+            out += chr(arg)
+        elif name == "IN":
+            kind, one = arg[rng.integers(len(arg))]
+            out += chr(one if str(kind) == "LITERAL" else rng.integers(one[0], one[1] + 1))
+        elif name == "BRANCH":
+            out += example(arg[1][rng.integers(len(arg[1]))], rng)
+        elif name == "SUBPATTERN":
+            out += example(arg[3], rng)
+        elif name == "MAX_REPEAT":
+            out += "".join(example(arg[2], rng) for _ in range(rng.integers(arg[0], arg[1] + 1)))
+        else:
+            assert name == "ASSERT_NOT", name
+    return out
+
+
+def every_rule(rules, text):
+    """Detections of all rules by their patterns alone: no gate, no keyword."""
+    norm = " " + " ".join(words(text)) + " "
+    return sorted((rid, norm[:m.start() - 1].count(" "), norm[:m.end()].count(" "))
+                  for rid, rx in rules for m in rx.finditer(norm))
+
+
+def test_gate_and_keywords_lose_nothing(spark):
+    rng = np.random.default_rng(4)
+    rules = [(r[0], re.compile(rf"(?<= )(?:{r[4]})(?= )")) for r in build_rules()]
+    texts = ["Released under MIT.", "Distributed under the BSD 3-Clause.", "This work is in the public\ndomain.",
+             "Provided under Creative-Commons Attribution 4.0", "released under expat", "SPDX-License-Identifier: GFDL-1.3-only"]
+    for (rid, rx), rule in zip(rules, build_rules(), strict=True):
+        tree = re._parser.parse(rule[4])
+        own = [t for t in (example(tree, rng) for _ in range(24)) if rx.search(f" {' '.join(words(t))} ")][:6]
+        assert own, rid
+        texts += ["".join(str(rng.choice([" ", "\n", "-", ", "])) if c == " " else c for c in t.title()) for t in own]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = {r.doc_id: sorted((d.rule, d.start, d.end) for d in r.detections if not d.base) for r in scan_licenses(docs).collect()}
+    for i, t in enumerate(texts):
+        assert got[i] == every_rule(rules, t) and got[i], t
