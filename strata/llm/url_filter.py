@@ -5,10 +5,13 @@ and URLs without a rule get the verdict of boosted trees trained on labelled
 URLs. Features: lengths, path depth, digit ratio, entropy of the host, counts of
 parameters, dots and hyphens, and statistics of the host's last labels.
 
-Only training sees a bounded sample (``max_train`` labelled URLs, by hash);
-scoring is a projection over the whole table. The suffix statistics come from
-that bounded sample too, so the table that is broadcast has at most
-``2 x max_train`` rows whatever the input's size. There is no shuffle of URLs.
+Only the trees are fitted on a bounded sample (``max_train`` labelled URLs, by
+hash). The suffix statistics are grouped sums over all labelled URLs; fitting
+leaves a row's own label out of them, so a name seen once looks like a new one.
+Scoring is a projection over the whole table and a join with the statistics:
+a broadcast if their size, measured when they are staged, is under
+``BROADCAST_ROWS`` and ``BROADCAST_BYTES``, else a salted shuffle (a busy name
+goes to ``SALTS`` tasks). Both give the same rows.
 
 Defined results: a null URL, or one without ``://``, has empty host and path,
 fits no rule and is allowed; repeated rows and ids are judged row by row; an
@@ -25,6 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm.common import UPPER, table
+from strata.session import stage
 
 # The host and path rules of the query
 RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
@@ -35,6 +39,8 @@ BAD_WORDS = ["casino", "bets", "betting", "poker", "pills", "viagra", "adult", "
 
 #: labelled URLs used for training, at most (about; drawn by hash)
 MAX_TRAIN = 20_000
+#: suffix tables up to this size are broadcast; larger ones are joined by a shuffle with so many salts
+BROADCAST_ROWS, BROADCAST_BYTES, SALTS = 100_000, 4 << 20, 16
 NUMERIC = ["f_len", "f_host_len", "f_depth", "f_digits", "f_entropy", "f_params", "f_hyphens", "f_dots",
            "f_longest", "f_vowels", "f_secure", "f_tld_rate", "f_tld_n", "f_name_rate", "f_name_n"]
 
@@ -89,15 +95,28 @@ def lexical_features(df: DataFrame) -> DataFrame:
 class UrlModel:
     """Trained trees and suffix statistics; ``score`` adds the probability that a URL is unwanted."""
 
-    def __init__(self, trees, suffixes, constant):
-        self.trees, self.suffixes, self.constant = trees, suffixes, constant
-
-    def with_suffixes(self, df: DataFrame) -> DataFrame:
-        tld = self.suffixes.select(F.col("suffix").alias("__tld"), F.col("rate").alias("f_tld_rate"), F.col("n").alias("f_tld_n"))
-        name = self.suffixes.select(F.col("suffix").alias("__name"), F.col("rate").alias("f_name_rate"), F.col("n").alias("f_name_n"))
-        # at most 2 x max_train suffixes
-        df = df.join(F.broadcast(tld), "__tld", "left").join(F.broadcast(name), "__name", "left")
-        return df.fillna(0.5, ["f_tld_rate", "f_name_rate"]).fillna(0.0, ["f_tld_n", "f_name_n"])
+    def __init__(self, trees, suffixes, constant, small=()):
+        # suffixes: suffix, bad, seen; small: of "tld" and "name", the tables that fit a broadcast
+        self.trees, self.suffixes, self.constant, self.small = trees, suffixes, constant, small
+
+    def with_suffixes(self, df: DataFrame, own: str | None = None) -> DataFrame:
+        """Rate and count of a URL's suffixes; ``own``: a labelled row's label, which is left out of both."""
+        columns = [F.col(f"`{c}`") for c in df.columns]
+        for kind in ("tld", "name"):
+            # a top-level name has no dot
+            side = (self.suffixes.filter(~F.col("suffix").contains(".")) if kind == "tld" else self.suffixes).withColumnRenamed("suffix", f"__{kind}")
+            if kind in self.small:
+                df = df.join(F.broadcast(side), f"__{kind}", "left")
+            else:
+                df = (df.withColumn("__salt", F.pmod(F.xxhash64(*columns), F.lit(SALTS)))
+                      .join(side.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))),
+                            [f"__{kind}", "__salt"], "left").drop("__salt"))
+            bad, seen = F.coalesce("bad", F.lit(0.0)), F.coalesce("seen", F.lit(0).cast("long"))
+            if own:
+                bad, seen = bad - F.col(own), seen - 1
+            df = (df.withColumn(f"f_{kind}_rate", (bad + 1) / (seen + 2)).withColumn(f"f_{kind}_n", F.log2(seen + F.lit(1.0)))
+                  .drop("bad", "seen"))
+        return df
 
     def score(self, df: DataFrame) -> DataFrame:
         if self.trees is None:
@@ -125,22 +144,27 @@ def train(labelled: DataFrame, url_col: str = "url", label_col: str = "label",
     share = lambda n: max(1, (2 * n + max_train - 1) // max_train)
     draw = F.pmod(F.xxhash64("__u", F.lit(11)), F.when(F.col("label") == 1, F.lit(share(seen.get(1, 0)))).otherwise(F.lit(share(seen.get(0, 0)))))
     host, path = host_and_path(F.col("__u"))
-    sample = rows.filter(draw == 0) if total > max_train else rows
-    sample = lexical_features(sample.withColumn("host", host).withColumn("path", path)).persist()
+    named = lambda df: lexical_features(df.withColumn("host", host).withColumn("path", path))
+    # a host of one label is its own top-level name: counted once
+    suffixes, _ = stage(named(rows).select(F.explode(F.array_distinct(F.array("__tld", "__name"))).alias("suffix"), "label")
+                        .groupBy("suffix").agg(F.sum("label").alias("bad"), F.count(F.lit(1)).alias("seen")), "url-suffixes")
+    model = UrlModel(None, suffixes, 0.0, _small(suffixes))
+    sample = named(rows.filter(draw == 0) if total > max_train else rows)
+    data = VectorAssembler(inputCols=NUMERIC, outputCol="features").transform(model.with_suffixes(sample, "label"))
+    data = data.select("features", "label").persist()
     try:
-        suffixes = (sample.select(F.explode(F.array("__tld", "__name")).alias("suffix"), "label")
-                    .groupBy("suffix").agg(F.sum("label").alias("bad"), F.count(F.lit(1)).alias("seen"))
-                    .select("suffix", ((F.col("bad") + 1) / (F.col("seen") + 2)).alias("rate"),
-                            F.log2(F.col("seen") + F.lit(1.0)).alias("n")))
-        suffixes = sample.sparkSession.createDataFrame(suffixes.toPandas(), "suffix string, rate double, n double") \
-            if sample.head(1) else suffixes
-        model = UrlModel(None, suffixes, 0.0)
-        data = VectorAssembler(inputCols=NUMERIC, outputCol="features").transform(model.with_suffixes(sample))
         model.trees = GBTClassifier(featuresCol="features", labelCol="label", maxIter=rounds, maxDepth=depth,
-                                    stepSize=0.3, seed=7, maxBins=32).fit(data.select("features", "label"))
+                                    stepSize=0.3, seed=7, maxBins=32).fit(data)
         return model
     finally:
-        sample.unpersist()
+        data.unpersist()
+
+
+def _small(suffixes: DataFrame) -> tuple[str, ...]:
+    """Which of the suffix tables (top-level names, all names) may be broadcast: measured, not estimated."""
+    top = F.when(~F.col("suffix").contains("."), F.octet_length("suffix"))
+    r = suffixes.agg(F.count(top).alias("tld"), F.sum(top).alias("tld_b"), F.count("suffix").alias("name"), F.sum(F.octet_length("suffix")).alias("name_b")).first()
+    return tuple(k for k in ("tld", "name") if r[k] <= BROADCAST_ROWS and (r[f"{k}_b"] or 0) <= BROADCAST_BYTES)
 
 
 def filter_urls(pages: DataFrame, model: UrlModel, id_col: str = "page_id", url_col: str = "url",

@@ -74,3 +74,24 @@ def test_one_class_and_empty(spark, pages):
     model = train(spark.createDataFrame([("http://a.org/", 0)], "url string, label int"))
     assert {r.verdict for r in filter_urls(pages, model, rules=[]).collect()} == {"allow"}
     assert filter_urls(pages.limit(0), model).count() == 0
+
+
+def test_suffix_statistics_of_all_labels(spark):
+    """A tenth of the names gets into the sample; the statistics hold all of them, and a URL never its own label."""
+    labelled = spark.createDataFrame([(f"http://a.n{i % 700}.org/{i}", int(i % 700 < 250)) for i in range(2800)]
+                                     + [(f"http://a.once{i}.com/{i}", i % 2) for i in range(600)], "url string, label int")
+    model = train(labelled, max_train=200, rounds=4)
+    pages = spark.createDataFrame([(i, f"http://b.n{i}.org/9") for i in range(701)], "page_id long, url string")
+    host, path = host_and_path(F.col("__u"))
+    named = lexical_features(pages.withColumnRenamed("url", "__u").withColumn("host", host).withColumn("path", path))
+    stats = {r.page_id: (r.f_name_rate, r.f_name_n) for r in model.with_suffixes(named).collect()}
+    assert stats == {i: (0.5, 0.0) if i == 700 else ((5 if i < 250 else 1) / 6, math.log2(5)) for i in range(701)}
+    want = {r.page_id: (r.verdict, r.p_block) for r in filter_urls(pages, model, rules=[]).collect()}
+    assert all((want[i][0] == "block") == (i < 250) for i in range(700))
+    # fitting: a name seen once looks like a new one
+    once = labelled.filter("url LIKE '%once%'").withColumnsRenamed({"url": "__u"}).withColumn("host", host).withColumn("path", path)
+    assert {(r.f_name_rate, r.f_name_n) for r in model.with_suffixes(lexical_features(once), "label").collect()} == {(0.5, 0.0)}
+    # the salted join of large statistics gives the same
+    assert set(model.small) == {"tld", "name"}
+    model.small = ()
+    assert {r.page_id: (r.verdict, r.p_block) for r in filter_urls(pages, model, rules=[]).collect()} == want
