@@ -366,7 +366,7 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                    F.when(F.col("blocks") == 1, F.lit(-1).cast("long")).otherwise(F.least("b", "o")).alias("b"), F.greatest("b", "o").alias("o")))
     links, n_links = stage(met.join(sets.select("c1", "c2", "tokens"), ["c1", "c2"]).groupBy("task", "b", "o")
                            .applyInArrow(_verify(percent), "x1 long, x2 long, y1 long, y2 long"), "ngram-links")
-    node = classes.select("c1", "c2", F.struct("doc", "c1", "c2").alias("node"))
+    node = classes.select("c1", "c2", F.struct(F.col("doc").isNull().alias("none"), "doc", "c1", "c2").alias("node"))    # no id: last
     labels = node.select("c1", "c2", F.col("node.doc").alias("component"))
     if n_links:
         side = lambda s: node.select(F.col("c1").alias(f"{s}1"), F.col("c2").alias(f"{s}2"), F.col("node").alias(s))

@@ -96,3 +96,14 @@ def test_empty_and_odd_tables(spark, stages, edge_docs):
     for name, stage in C.STAGES[:-1]:
         out = stage(spark, odd, SF)
         assert out.columns == odd.columns and out.count() > 0, name
+
+
+def test_near_with_null_and_repeated_ids(spark):
+    from strata.llm.ngram_join import similar_groups
+
+    base = " ".join(f"w{i}" for i in range(60))
+    rows = [(None, base + " a"), (4, base + " b"), (7, base + " c"), (7, "another text that stands alone with its words"), (9, "x y z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.component_id) for r in similar_groups(docs, words=5, percent=80).collect()}
+    assert got == {(None, 4), (4, 4), (7, 4), (7, 7), (9, 9)}
+    assert {tuple(r) for r in C.near(spark, docs, SF).collect()} == {rows[0], rows[1], rows[3], rows[4]}
