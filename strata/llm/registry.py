@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import functools
 
-from strata.llm import ann, exact_dedup, html_extract, license_scan, ngram_join, packing, piece_codec, quality_lm, suffix_dedup, url_filter
+from strata.llm import (ann, conversation_repair, exact_dedup, html_extract, license_scan, ngram_join, packing, periodic_runs, piece_codec,
+                        quality_lm, secret_scan, suffix_dedup, url_filter)
 from strata.llm.common import ship_package
 
 
@@ -27,6 +28,7 @@ def _shipped(query):
 
 QUERIES = {"pipeline": _shipped(pipeline)}
 ORACLE = {}
-for _m in (url_filter, packing, quality_lm, license_scan, ann, ngram_join, html_extract, suffix_dedup, exact_dedup, piece_codec):
+for _m in (url_filter, packing, quality_lm, license_scan, ann, ngram_join, html_extract, suffix_dedup, exact_dedup, piece_codec,
+           conversation_repair, periodic_runs, secret_scan):
     QUERIES.update({name: _shipped(query) for name, query in _m.QUERIES.items()})
     ORACLE.update(_m.ORACLE)
