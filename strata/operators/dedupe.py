@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.functions.names import qcol, resolve_columns
+from strata.functions.names import qcol, resolve_column, resolve_columns
 from strata.schemas import ADDED_ON
 
 _ROW = "__strata_row"
@@ -53,3 +53,29 @@ def dedupe_latest(
         best = F.max_by(value, F.struct(*[qcol(c) for c in rank]))
     out = df.groupBy(*[qcol(k) for k in keys]).agg(best.alias(_ROW))
     return out.select(*[qcol(c) if c in keys else F.col(_ROW).getField(c).alias(c) for c in df.columns])
+
+
+_HELD = "__strata_held"
+
+
+def newer_rows(
+    new: DataFrame,
+    held: DataFrame,
+    keys: Sequence[str],
+    order_by: Sequence[str] = (ADDED_ON,),
+) -> DataFrame:
+    """Rows of ``new`` (one per key) that beat every row of ``held`` with their key, by the order of ``dedupe_latest``.
+
+    One aggregate over both sides; a row that equals a held one does not beat it.
+    Of ``held``, only rows whose key is in ``new`` reach the aggregate (null keys
+    are one key). A column that ``held`` lacks counts as null there.
+    """
+    held = held.select(*[(qcol(h) if h else F.lit(None)).cast(new.schema[c].dataType).alias(c)
+                         for c, h in ((c, resolve_column(held.columns, c)) for c in new.columns)])
+    keys = resolve_columns(new.columns, keys, "key column")
+    mine = new.select(*[qcol(k).alias(f"__k{i}") for i, k in enumerate(keys)])
+    same = [qcol(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)]
+    both = (held.join(mine, same, "left_semi").withColumn(_HELD, F.lit(True))
+            .unionByName(new.withColumn(_HELD, F.lit(False))))
+    # the flag is the last column to decide: of equal rows, the held one stays
+    return dedupe_latest(both, keys, order_by).where(~F.col(_HELD)).drop(_HELD)

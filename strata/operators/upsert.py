@@ -15,13 +15,17 @@ skewed key on the target side of a left (or semi) join, and the matched keys
 are collapsed by partial aggregation before their shuffle. A small source is
 broadcast by the planner's own size check, so a large target is then read but
 never shuffled.
+
+``null_keys="missing"`` makes inserts of null-key rows repeatable: of equal rows,
+only as many are inserted as the target does not hold yet, so a batch that is
+taken in again adds nothing. ``counts`` observes what became of the rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -56,13 +60,20 @@ def upsert(
     now=None,
     update_columns: Sequence[str] | None = None,
     check: bool = True,
+    null_keys: str = "insert",
+    counts: Observation | None = None,
 ) -> DataFrame:
     """K4/K5: the target's new contents, in target column order and types.
 
     ``update_columns`` (default: every non-key, non-audit column both sides
     have) are copied on match; audit columns and keys are never updated from
     the source. Insert binds source columns to target columns by name.
+    ``null_keys``: ``insert`` every null-key source row, or only the ``missing`` ones.
+    ``counts`` receives the numbers of updated, unchanged, inserted and null_key
+    (inserted with a null key) rows when the result is written.
     """
+    if null_keys not in ("insert", "missing"):
+        raise ValueError(f"null_keys is 'insert' or 'missing', not {null_keys!r}")
     tcols = target.columns
     tkeys = resolve_columns(tcols, keys, "target key")
     skeys = resolve_columns(source.columns, keys, "source key")
@@ -103,7 +114,7 @@ def upsert(
     for k in tkeys:
         t_keyed = tq(k).isNotNull() if t_keyed is None else t_keyed & tq(k).isNotNull()
     matched = t.where(t_keyed).join(src, [tq(k) == F.col(f"__sk{i}") for i, k in enumerate(tkeys)], "left")
-    past = t.where(~t_keyed).select(*[tq(c).alias(c) for c in tcols])
+    past = t.where(~t_keyed).select(*[tq(c).alias(c) for c in tcols], F.lit("unchanged").alias(_KIND))
     hit = F.col("__sk0").isNotNull()  # src keys are never null, so set only on a match
     kept = []
     for c in tcols:
@@ -114,7 +125,8 @@ def upsert(
             kept.append(F.when(hit, stamp[c.upper()].cast(ttype[c])).otherwise(old).alias(c))
         else:
             kept.append(old.alias(c))
-    kept_rows = matched.select(*kept)
+    kind = lambda name: F.lit(name).alias(_KIND)
+    kept_rows = matched.select(*kept, F.when(hit, "updated").otherwise("unchanged").alias(_KIND))
 
     # keys present on both sides: a semi join of target keys against source keys
     # (a small source is broadcast, so the target is not shuffled), then distinct. The
@@ -136,15 +148,49 @@ def upsert(
          else F.col(f"__sv{val_index[c]}") if c in val_index
          else F.lit(None)).cast(ttype[c]).alias(c)
         for c in tcols
-    ])
+    ], kind("inserted"))
     # rows with a null key never match (``=`` on keys): inserted as they are
+    plain = [c for c in tcols if not is_audit(c)]
     unkeyed = source.alias("__s").where(~set_keys).select(*[
-        (stamp[c.upper()] if c.upper() in AUDIT_COLUMNS
-         else sq(shared[c]) if c in shared
-         else F.lit(None)).cast(ttype[c]).alias(c)
-        for c in tcols
-    ])
-    return kept_rows.unionByName(past).unionByName(inserted).unionByName(unkeyed)
+        (sq(shared[c]) if c in shared else F.lit(None)).cast(ttype[c]).alias(c) for c in plain])
+    if null_keys == "missing":
+        unkeyed = missing_rows(unkeyed, past.select(*[qcol(c) for c in plain]))
+    unkeyed = unkeyed.select(*[
+        (stamp[c.upper()].cast(ttype[c]) if is_audit(c) else qcol(c)).alias(c) for c in tcols], kind("null_key"))
+    out = kept_rows.unionByName(past).unionByName(inserted).unionByName(unkeyed)
+    if counts is not None:
+        out = out.observe(counts, *[F.count_if(F.col(_KIND) == k).alias(k) for k in ROW_KINDS])
+    return out.drop(_KIND)
+
+
+#: what an upsert did with a row of the new contents
+ROW_KINDS = ("updated", "unchanged", "inserted", "null_key")
+_KIND = "__strata_kind"
+
+#: copies of one row that one task writes
+_COPIES = 100_000
+
+
+def missing_rows(rows: DataFrame, held: DataFrame) -> DataFrame:
+    """Rows that ``held`` (same columns) has too few of: n equal rows against m leave n - m.
+
+    Equal rows are counted by a hash of the whole row (partial aggregates, so a row that
+    repeats without end is no hot key) and written out again in parts of 100,000 copies.
+    """
+    cols = rows.columns
+    row = F.struct(*[qcol(c) for c in cols])
+    by_hash = lambda df, *aggs: df.groupBy(_row_hash(cols).alias("__h")).agg(*aggs)
+    want = by_hash(rows, F.count(F.lit(1)).alias("__n"), F.first(row).alias("__row"))
+    have = by_hash(held, F.count(F.lit(1)).alias("__m"))
+    short = want.join(have, "__h", "left").withColumn("__k", F.col("__n") - F.coalesce("__m", F.lit(0))).where("__k > 0")
+    parts = (short.select("__row", "__k", F.explode(F.expr(f"sequence(0L, (__k - 1) div {_COPIES})")).alias("__p"))
+             .repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    copies = parts.select("__row", F.explode(F.expr(f"sequence(1L, least({_COPIES}L, __k - __p * {_COPIES}))")).alias("__c"))
+    return copies.select(*[F.col("__row").getField(c).alias(c) for c in cols])
+
+
+def _row_hash(cols: Sequence[str]) -> Column:
+    return F.sha2(F.to_json(F.struct(*[qcol(c).alias(f"c{i}") for i, c in enumerate(cols)])), 256)
 
 
 def replace(

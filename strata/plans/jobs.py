@@ -11,18 +11,21 @@ from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions.names import qcol, resolve_column, split_list
-from strata.operators.dedupe import dedupe_latest
+from strata.operators.dedupe import dedupe_latest, newer_rows
+from strata.operators.partitions import upsert_partitions
 from strata.operators.transform import active, cast_columns, fill_nulls, rename_columns
-from strata.operators.upsert import load_mode, replace, upsert
+from strata.operators.upsert import ROW_KINDS, load_mode, replace, upsert
 from strata.plans.config import ColumnMapping, gold_update_columns, load_mapping
 from strata.plans.control import ControlTables, gated_run
 from strata.schemas import ADDED_ON
+from strata.session import stage
 from strata.sources.csv import load_csv_folder
+from strata.sources.partitioned import PartitionedTable
 from strata.sources.tables import Lakehouse, LayerTable
 from strata.streaming.ingest import ingest_into_table
 
@@ -117,20 +120,33 @@ def silver_transform(bronze: DataFrame, mapping: ColumnMapping, keys: Sequence[s
     return dedupe_latest(df, keys, order_by)
 
 
-def load_table(table: LayerTable, df: DataFrame, *, operation_type: str, is_full_load,
+def load_table(table: LayerTable | PartitionedTable, df: DataFrame, *, operation_type: str, is_full_load,
                keys: Sequence[str], run_id: str, now=None,
-               update_columns: Sequence[str] | None = None, unique_keys: bool = False) -> int:
+               update_columns: Sequence[str] | None = None, unique_keys: bool = False,
+               null_keys: str = "insert", counts: dict | None = None) -> int:
     """K6 dispatch: replace (K2/K3) or upsert (K4/K5); returns rows written (K7).
 
     ``unique_keys`` says ``df`` is already one row per key (e.g. deduplicated on
-    it), so the upsert skips its uniqueness check.
+    it), so the upsert skips its uniqueness check. An upsert into a partitioned
+    table rewrites the touched partitions only. ``counts`` receives the rows
+    written by kind: updated, unchanged, inserted, null_key.
     """
     mode = load_mode(operation_type, is_full_load)
     if mode == "replace":
-        return table.replace(replace(df, table.schema, run_id=run_id, now=now))
-    target = table.read()
-    return table.replace(upsert(target, df, keys, run_id=run_id, now=now,
-                                update_columns=update_columns, check=not unique_keys))
+        written = table.replace(replace(df, table.schema, run_id=run_id, now=now))
+        (counts if counts is not None else {}).update(dict.fromkeys(ROW_KINDS, 0) | {"inserted": written})
+        return written
+    kinds = Observation()
+    kw = dict(run_id=run_id, now=now, update_columns=update_columns, check=not unique_keys, null_keys=null_keys, counts=kinds)
+    if isinstance(table, PartitionedTable):
+        written = upsert_partitions(table, df, keys, **kw)
+    else:
+        written = table.replace(upsert(table.read(), df, keys, **kw))
+    # without rows, the plan is cut short before the counts
+    seen = {k: kinds.get[k] for k in ROW_KINDS} if written else dict.fromkeys(ROW_KINDS, 0)
+    _LOG.info("%s: %s", table, seen)
+    (counts if counts is not None else {}).update(seen)
+    return written
 
 
 def consumed_table(ctx: LoadContext, silver_name: str) -> LayerTable:
@@ -139,6 +155,32 @@ def consumed_table(ctx: LoadContext, silver_name: str) -> LayerTable:
     return table if table.exists() else table.create(CONSUMED)
 
 
+def order_table(ctx: LoadContext, silver_name: str, object_name: str) -> LayerTable:
+    """The winning bronze row of every key that an object brought into a silver table, one batch per load.
+
+    A batch that comes late is held against it, so an older row cannot replace a newer one.
+    """
+    return ctx.lake.table("silver_order", f"{silver_name}--{object_name}")
+
+
+#: loads after which the winners are folded into one row per key again
+ORDER_BATCHES = 16
+
+
+def record_winners(table: LayerTable, won: DataFrame, keys: Sequence[str], *, whole: bool) -> None:
+    """Add this load's winning rows; ``whole``: they are all there is."""
+    if whole or not table.exists():
+        table.replace(won)
+        return
+    held = table.read()
+    if held.schema != won.schema:       # the mapping changed
+        table.replace(held.unionByName(won, allowMissingColumns=True).select(*[qcol(c) for c in won.columns]))
+    elif len(table.batches()) > ORDER_BATCHES:
+        table.replace(dedupe_latest(held.unionByName(won), keys, (ADDED_ON,)))
+    else:
+        table.append(won)
+
+
 CONSUMED = T.StructType([T.StructField("BRONZE_TABLE_NAME", T.StringType()), T.StructField("BATCH", T.StringType())])
 
 
@@ -163,10 +205,13 @@ def run_silver(ctx: LoadContext, objects: DataFrame, mapping: DataFrame, *,
 
     Upserting objects take in the bronze batches that their silver table has not
     consumed yet, whatever their timestamps; a full load, or ``incremental=False``,
-    reads all of bronze. The batches are recorded after the silver version is
-    published: a run that dies in between takes them in once more, which the
-    upsert makes harmless. Rows with keys that cannot be cast go to the table
-    ``silver_rejects`` and are counted in the log.
+    reads all of bronze. Of a key's rows in several batches the newest wins, in
+    whatever order the batches come: a row is upserted only if it beats the row
+    that the object brought in before (``order_table``). The batches are recorded
+    after the silver version is published: a run that dies in between takes them
+    in once more, and since equal rows do not win and null-key rows are inserted
+    only where they are missing, that adds nothing. Rows with keys that cannot be
+    cast go to the table ``silver_rejects`` and are counted in the log.
     """
     def one(row) -> tuple[str, int]:
         keys = split_list(row["KEY_COLUMN_NAME"])
@@ -175,13 +220,17 @@ def run_silver(ctx: LoadContext, objects: DataFrame, mapping: DataFrame, *,
         name = row["SILVER_TABLE_NAME"]
         silver, consumed = ctx.lake.table("silver", name), consumed_table(ctx, name)
         batches = bronze.batches()      # batches that come later are left to the next run
-        rows = bronze.read()
-        if incremental and load_mode(row["OPERATION_TYPE"], row["IS_FULL_LOAD"]) == "upsert":
-            seen = {r["BATCH"] for r in consumed.read().where(F.col("BRONZE_TABLE_NAME") == row["BRONZE_TABLE_NAME"]).collect()}
-            batches = [b for b in batches if b not in seen]
+        rows, seen = bronze.read(), []
+        step = incremental and load_mode(row["OPERATION_TYPE"], row["IS_FULL_LOAD"]) == "upsert"
+        if step:
+            taken = {r["BATCH"] for r in consumed.read().where(F.col("BRONZE_TABLE_NAME") == row["BRONZE_TABLE_NAME"]).collect()}
+            seen, batches = [b for b in batches if b in taken], [b for b in batches if b not in taken]
             rows = bronze.read_batches(batches)
-        renamed = fill_nulls(rename_columns(rows, m.renames), m.defaults)
-        good, bad = split_bad_keys(renamed, m, keys)
+
+        def mapped(some):
+            return split_bad_keys(fill_nulls(rename_columns(some, m.renames), m.defaults), m, keys)
+
+        good, bad = mapped(rows)
         if m.types:
             rejects = ctx.lake.table("silver_rejects", name)
             if not rejects.exists():
@@ -189,10 +238,17 @@ def run_silver(ctx: LoadContext, objects: DataFrame, mapping: DataFrame, *,
             n = rejects.write_batch(bad, f"{ctx.run_id}-{row['OBJECT_NAME']}".lower())
             if n:
                 _LOG.warning("%s: %d rows have keys that cannot be cast; see silver_rejects", name, n)
+        won = dedupe_latest(cast_columns(good, m.types), keys, (ADDED_ON,))
+        winners = order_table(ctx, name, row["OBJECT_NAME"])
+        if step and winners.exists():
+            won = newer_rows(won, winners.read(), keys, (ADDED_ON,))
+        elif step and seen:      # batches taken in before winners were kept
+            won = newer_rows(won, cast_columns(mapped(bronze.read_batches(seen))[0], m.types), keys, (ADDED_ON,))
+        won, _ = stage(won, "silver-winners")       # upserted, then recorded
         written = load_table(
-            silver, dedupe_latest(cast_columns(good, m.types), keys, (ADDED_ON,)),
-            operation_type=row["OPERATION_TYPE"], is_full_load=row["IS_FULL_LOAD"], keys=keys, run_id=ctx.run_id,
-            now=ctx.now, update_columns=m.merge_columns(), unique_keys=True)
+            silver, won, operation_type=row["OPERATION_TYPE"], is_full_load=row["IS_FULL_LOAD"], keys=keys,
+            run_id=ctx.run_id, now=ctx.now, update_columns=m.merge_columns(), unique_keys=True, null_keys="missing")
+        record_winners(winners, won, keys, whole=not step)
         if batches:
             consumed.append(ctx.spark.createDataFrame([(row["BRONZE_TABLE_NAME"], b) for b in batches], CONSUMED))
         return name, written

@@ -7,10 +7,10 @@ names. Audit values are fixed by ``RUN_ID`` / ``NOW`` so they compare.
 
 from __future__ import annotations
 
-from strata.queries import ingest, keys, marts, silver, upsert, control, e2e, rerun
+from strata.queries import ingest, keys, marts, merge, silver, upsert, control, e2e, rerun
 
 QUERIES = {}
 ORACLE = {}
-for _m in (marts, keys, ingest, silver, upsert, control, e2e, rerun):
+for _m in (marts, keys, ingest, silver, upsert, control, e2e, rerun, merge):
     QUERIES.update(_m.QUERIES)
     ORACLE.update(_m.ORACLE)

@@ -10,11 +10,14 @@ from __future__ import annotations
 
 import re
 import uuid
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.sources.partitioned import PartitionedTable
+
 _VERSION = re.compile(r"v=(\d+)")
 
 
@@ -150,14 +153,21 @@ class LayerTable:
 
 
 class Lakehouse:
-    """Tables by layer and name below one root (e.g. in the shared folder)."""
+    """Tables by layer and name below one root (e.g. in the shared folder).
 
-    def __init__(self, spark: SparkSession, root: str):
+    ``partition_by``: partition columns of the tables (layer, name) that have them;
+    upserts into those rewrite only the partitions that they touch.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, partition_by: Mapping[tuple[str, str], Sequence[str]] | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.partition_by = {(a.lower(), b.lower()): tuple(c) for (a, b), c in (partition_by or {}).items()}
 
-    def table(self, layer: str, name: str) -> LayerTable:
-        return LayerTable(self.spark, f"{self.root}/{layer.lower()}/{name.lower()}")
+    def table(self, layer: str, name: str) -> LayerTable | PartitionedTable:
+        path = f"{self.root}/{layer.lower()}/{name.lower()}"
+        columns = self.partition_by.get((layer.lower(), name.lower()))
+        return PartitionedTable(self.spark, path, columns) if columns else LayerTable(self.spark, path)
 
     def vacuum(self, keep: int = 2) -> dict[str, list[int]]:
         """``LayerTable.vacuum`` for every table of every layer below the root."""
