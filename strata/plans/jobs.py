@@ -24,7 +24,7 @@ from strata.plans.config import ColumnMapping, gold_update_columns, load_mapping
 from strata.plans.control import ControlTables, gated_run
 from strata.schemas import ADDED_ON
 from strata.session import stage
-from strata.sources.csv import load_csv_folder
+from strata.sources.csv import REJECTS, load_csv_folder
 from strata.sources.partitioned import PartitionedTable
 from strata.sources.tables import Lakehouse, LayerTable
 from strata.streaming.ingest import ingest_into_table
@@ -43,6 +43,8 @@ class LoadContext:
     now: object = None
     glob: str | None = None  # a filter is the caller's choice; by default every file is loaded
     workers: int = 4  # independent objects whose jobs may run side by side
+    csv_options: Mapping[str, str] | None = None  # options of Spark's CSV reader, for every file
+    hidden_files: bool = False  # load files whose names start with "_" or "." too
 
 
 def _each(items: Iterable, fn: Callable, workers: int) -> list:
@@ -77,7 +79,14 @@ def _each_target(rows: Sequence, target: str, fn: Callable, workers: int) -> dic
 # ------------------------------------------------------------------ bronze
 def bronze_object(ctx: LoadContext, source_dir: str, bronze: LayerTable) -> int:
     """G1: load every file of one object folder into its bronze table (append)."""
-    return load_csv_folder(ctx.spark, source_dir, bronze, run_id=ctx.run_id, now=ctx.now, glob=ctx.glob)
+    return load_csv_folder(ctx.spark, source_dir, bronze, run_id=ctx.run_id, now=ctx.now, glob=ctx.glob,
+                           options=ctx.csv_options, hidden=ctx.hidden_files, rejects=reject_table(ctx, bronze))
+
+
+def reject_table(ctx: LoadContext, bronze: LayerTable) -> LayerTable:
+    """Malformed records of a bronze table's files."""
+    table = ctx.lake.table("bronze_rejects", bronze.root.rsplit("/", 1)[1])
+    return table if table.exists() else table.create(REJECTS)
 
 
 def run_bronze(ctx: LoadContext, objects: DataFrame, *, active_only: bool = False,
@@ -101,7 +110,8 @@ def run_bronze(ctx: LoadContext, objects: DataFrame, *, active_only: bool = Fals
         archive = f"{root}/{sub}/archive" if sub else f"{root}/archive"
         return name, ingest_into_table(
             ctx.spark, folder, table, f"{ctx.lake.root}/_ingest/{name.lower()}",
-            run_id=ctx.run_id, now=ctx.now, archive_dir=archive, glob=ctx.glob)
+            run_id=ctx.run_id, now=ctx.now, archive_dir=archive, glob=ctx.glob,
+            options=ctx.csv_options, hidden=ctx.hidden_files, rejects=reject_table(ctx, table))
 
     rows = cfg.select("BRONZE_TABLE_NAME", "SOURCE_FILE_PATH", "ARCHIVE_PATH").collect()
     return _each_target(rows, "BRONZE_TABLE_NAME", one, ctx.workers)

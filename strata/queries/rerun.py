@@ -14,7 +14,7 @@ from strata.queries.common import NOW, NOW_2, RUN_ID, RUN_ID_2, audit_sql, table
 from strata.queries.e2e import BRONZE, CUSTOMER_STREAM_TARGET, GOLD, SILVER
 from strata.schemas import EDW_CONFIG, OBJECTS_COLUMN_MAPPING, OBJECTS_CONFIGURATION
 from strata.session import scratch_dir
-from strata.sources.csv import load_csv_folder, write_csv
+from strata.sources.csv import REJECTS, load_csv_folder, write_csv
 from strata.sources.tables import Lakehouse, LayerTable
 from strata.streaming.ingest import ingest_into_table
 
@@ -84,6 +84,60 @@ def csv_layout_change(spark, sf_dir):
             .unionByName(step.read().withColumn("HOW", F.lit("incremental"))))
 
 
+def csv_nested_folders(spark, sf_dir):
+    """Customers in subfolders two deep and under hidden names, in three layouts, loaded plain and incrementally."""
+    root = scratch_dir(spark, "nested")
+    c = _customers(spark, sf_dir)
+    target = T.StructType([f for f in CUSTOMER_STREAM_TARGET if f.name != "C_MKTSEGMENT"])
+    kw = dict(run_id=RUN_ID, now=NOW, hidden=True)
+
+    def first(folder):
+        drop_files(spark, c.where("`C NationKey` < 5"), folder, "top {i}.csv")
+        drop_files(spark, c.where("`C NationKey` BETWEEN 5 AND 9").select("C AcctBal", "C NationKey", "C Name", "C Custkey"), f"{folder}/day=1/[a]", "deep{i}.csv")
+        drop_files(spark, c.where("`C NationKey` BETWEEN 10 AND 13"), f"{folder}/day=1", "_late{i}.csv")
+
+    def second(folder):
+        drop_files(spark, c.where("`C NationKey` BETWEEN 14 AND 18").withColumn("Extra", F.lit("e")), f"{folder}/day=2", "x{i}.csv")
+        drop_files(spark, c.where("`C NationKey` > 18"), f"{folder}/_held/more", ".z{i}.csv")
+
+    plain = LayerTable(spark, f"{root}/plain").create(target)
+    first(f"{root}/a")
+    second(f"{root}/a")
+    load_csv_folder(spark, f"{root}/a", plain, **kw)
+    step = LayerTable(spark, f"{root}/step").create(target)
+    for drop in (first, second, lambda folder: None):
+        drop(f"{root}/b")
+        ingest_into_table(spark, f"{root}/b", step, f"{root}/_checkpoint", **kw)
+    return (plain.read().withColumn("HOW", F.lit("plain"))
+            .unionByName(step.read().withColumn("HOW", F.lit("incremental"))))
+
+
+def csv_rejects(spark, sf_dir):
+    """Suppliers as lines of which some have a value too many or too few: the surplus goes to the reject
+    table whole, the short lines are padded; two layouts, loaded plain and incrementally."""
+    root = scratch_dir(spark, "rejects")
+    sup = table(spark, sf_dir, "supplier")
+    quoted = F.concat(F.lit('"'), F.col("s_name"), F.lit(', Ltd"'))
+    tail = F.when(F.col("s_suppkey") % 7 == 3, ",surplus").otherwise("")
+    wide = F.concat_ws(",", "s_suppkey", quoted, F.when(F.col("s_suppkey") % 5 != 1, F.col("s_nationkey").cast("string")))
+    turned = F.concat_ws(",", "s_nationkey", "s_suppkey", quoted)
+    for name, some, line, head in (("a", sup.where("s_suppkey % 2 = 0"), F.concat(wide, F.when(F.col("s_suppkey") % 5 != 1, tail).otherwise("")), "S Suppkey,S Name,S NationKey"),
+                                   ("b", sup.where("s_suppkey % 2 = 1"), F.concat(turned, tail), "S NationKey,S Suppkey,S Name")):
+        lines = spark.createDataFrame([(head,)], "value string").unionByName(some.select(line.alias("value")))
+        lines.coalesce(1).write.text(f"{root}/in/{name}")
+    target = T.StructType([T.StructField("S_SUPPKEY", T.LongType()), T.StructField("S_NAME", T.StringType()),
+                           T.StructField("S_NATIONKEY", T.IntegerType())])
+    out = []
+    for how in ("plain", "incremental"):
+        t, bad = LayerTable(spark, f"{root}/{how}").create(target), LayerTable(spark, f"{root}/{how}-rejects").create(REJECTS)
+        if how == "plain":
+            load_csv_folder(spark, f"{root}/in", t, run_id=RUN_ID, now=NOW, rejects=bad)
+        else:
+            ingest_into_table(spark, f"{root}/in", t, f"{root}/_checkpoint", run_id=RUN_ID, now=NOW, rejects=bad)
+        out += [t.read().withColumn("HOW", F.lit(how)), bad.read().select("HEADER", "VALUE_COUNT", "RECORD", "ADDED_BY").withColumn("HOW", F.lit(how))]
+    return out[0].unionByName(out[1], True).unionByName(out[2], True).unionByName(out[3], True)
+
+
 def dim_rerun(spark, sf_dir):
     """A dimension over a natural key that repeats in the source, built and merged three times."""
     gold = LayerTable(spark, scratch_dir(spark, "dim_rerun"))
@@ -213,7 +267,7 @@ def upsert_hot_key(spark, sf_dir):
     return upsert(target, sup, ["K"], run_id=RUN_ID_2, now=NOW_2)
 
 
-QUERIES = {f.__name__: f for f in (incremental_late_files, csv_layout_change, dim_rerun, gold_rerun, silver_bad_keys,
+QUERIES = {f.__name__: f for f in (incremental_late_files, csv_layout_change, csv_nested_folders, csv_rejects, dim_rerun, gold_rerun, silver_bad_keys,
                                    two_sources_one_silver, bronze_two_runs, upsert_hot_key)}
 
 _CUST = ("c_custkey AS C_CUSTKEY, c_name AS C_NAME, CAST(c_nationkey AS INTEGER) AS C_NATIONKEY, "
@@ -230,6 +284,21 @@ ORACLE = {
     "csv_layout_change": f"""
         SELECT {_CUST}, '{RUN_ID}' AS ADDED_BY, TIMESTAMP '{NOW}' AS ADDED_ON, HOW
         FROM customer, (VALUES ('plain'), ('incremental')) AS h(HOW)""",
+    "csv_nested_folders": f"""
+        SELECT {_CUST}, '{RUN_ID}' AS ADDED_BY, TIMESTAMP '{NOW}' AS ADDED_ON, HOW
+        FROM customer, (VALUES ('plain'), ('incremental')) AS h(HOW)""",
+    "csv_rejects": f"""
+        WITH s AS (SELECT *, s_suppkey % 2 = 0 AS wide, s_suppkey % 7 = 3 AND (s_suppkey % 2 = 1 OR s_suppkey % 5 <> 1) AS bad,
+                          '"' || s_name || ', Ltd"' AS q FROM supplier)
+        SELECT CASE WHEN bad THEN NULL ELSE CAST(s_suppkey AS BIGINT) END AS S_SUPPKEY,
+               CASE WHEN bad THEN NULL ELSE s_name || ', Ltd' END AS S_NAME,
+               CASE WHEN bad OR (wide AND s_suppkey % 5 = 1) THEN NULL ELSE CAST(s_nationkey AS INTEGER) END AS S_NATIONKEY, HOW,
+               CASE WHEN bad THEN CASE WHEN wide THEN 'S Suppkey,S Name,S NationKey' ELSE 'S NationKey,S Suppkey,S Name' END END AS HEADER,
+               CASE WHEN bad THEN CAST(4 AS INTEGER) END AS VALUE_COUNT,
+               CASE WHEN bad THEN CASE WHEN wide THEN s_suppkey || ',' || q || ',' || s_nationkey || ',surplus'
+                                       ELSE s_nationkey || ',' || s_suppkey || ',' || q || ',surplus' END END AS RECORD,
+               CASE WHEN bad THEN '{RUN_ID}' END AS ADDED_BY
+        FROM s, (VALUES ('plain'), ('incremental')) AS h(HOW)""",
     "dim_rerun": f"""
         WITH d AS (SELECT DISTINCT p_brand AS BRAND, p_type AS KIND, p_brand < 'Brand#4' AS early FROM part)
         SELECT CAST(row_number() OVER (ORDER BY CASE WHEN early THEN 0 ELSE 1 END, BRAND, KIND) AS BIGINT) AS PART_KEY,

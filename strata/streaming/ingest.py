@@ -13,17 +13,18 @@ is for folders of one declared layout and checks every file's header against it.
 
 from __future__ import annotations
 
+import hashlib
 import uuid
-from functools import reduce
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.functions.names import normalize_names
 from strata.operators.transform import conform, normalize_headers, stamp_audit
 from strata.schemas import AUDIT_COLUMNS
-from strata.sources.csv import escape_path, first_lines, header_names
+from strata.session import scratch_dir
+from strata.sources.csv import csv_parts, escape_path, first_lines, hidden_files, list_files, unhide, write_parts
 from strata.sources.tables import LayerTable
 
 #: the stream's age limit is switched off: a back-fill with old file times is loaded like any file
@@ -96,6 +97,9 @@ def stream_identity(spark: SparkSession, checkpoint_dir: str) -> str:
 #: files of one micro-batch, at most; their names come to the driver
 FILES_PER_BATCH = 10_000
 
+#: batches after which the names of loaded files are written together
+FILE_LOG_BATCHES = 32
+
 
 def ingest_into_table(
     spark: SparkSession,
@@ -107,20 +111,25 @@ def ingest_into_table(
     now=None,
     archive_dir: str | None = None,
     glob: str | None = None,
+    options: Mapping[str, str] | None = None,
+    hidden: bool = False,
+    rejects: LayerTable | None = None,
 ) -> int:
     """K9 into a layer table: new files only, each micro-batch written idempotently.
 
-    Returns the number of rows written. The stream hands out file names (it reads no
-    content, and rows of files with spaces in their names would come twice); the files of a
-    micro-batch are grouped by their own headers and read layout by layout.
+    Returns the number of rows written. The stream hands out file names, subfolders
+    included (it reads no content, and rows of files with spaces in their names would
+    come twice); the files of a micro-batch are scanned once, each under its own header.
+    ``options`` go to the CSV reader. ``hidden`` loads files with hidden names too,
+    which a stream does not see, as a batch of their own. ``rejects`` receives
+    malformed records (see ``strata.sources.csv``).
     """
     jvm = spark.sparkContext._jvm
     folder = jvm.org.apache.hadoop.fs.Path(source_dir)
     if not folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
         return 0
     target = bronze.schema
-    audit = tuple(c for c in AUDIT_COLUMNS if c in target.fieldNames())
-    reader = (spark.readStream.format("binaryFile").option("maxFileAge", ANY_AGE)
+    reader = (spark.readStream.format("binaryFile").option("maxFileAge", ANY_AGE).option("recursiveFileLookup", True)
               .schema("path string, modificationTime timestamp, length long, content binary")
               .option("maxFilesPerTrigger", FILES_PER_BATCH))
     if glob:
@@ -133,26 +142,37 @@ def ingest_into_table(
     done = LayerTable(spark, f"{checkpoint_dir}/strata-files")
     if not done.exists():
         done.create(T.StructType([T.StructField("file", T.StringType()), T.StructField("batch", T.StringType())]))
+    elif len(done.batches()) > FILE_LOG_BATCHES:
+        done.replace(done.read().distinct().coalesce(1))
+        done.vacuum(1)
     written: list[int] = []
 
+    def load_files(heads: DataFrame, known: list, label: str) -> None:
+        """``heads``: (file, header) of files to read; ``known``: the names to remember."""
+        paths = [escape_path(r["file"]) for r in heads.collect()]       # at most FILES_PER_BATCH
+        if paths:
+            written.append(write_parts(
+                *csv_parts(spark, paths, heads, target, run_id=run_id, now=now, options=options), target,
+                lambda rows: bronze.write_batch(rows, label),
+                None if rejects is None else lambda rows: rejects.write_batch(rows, label)))
+            done.write_batch(spark.createDataFrame([(f, label) for f in known], "file string, batch string"), label)
+
     def load(batch: DataFrame, batch_id: int) -> None:
         label = f"{name}-{batch_id:012d}"
         # a replayed batch may take its own files again
         before = done.read().where(F.col("batch") != label).select("file")
         files = batch.select(F.col("path").alias("file")).distinct().join(before, "file", "left_anti")
-        heads = first_lines(files.repartition("file")).collect()      # at most FILES_PER_BATCH rows
-        parts = []
-        for header in sorted({r["header"] for r in heads}):
-            own = [escape_path(r["file"]) for r in heads if r["header"] == header]
-            names = normalize_names(header_names(spark, header))
-            schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-            rows = spark.read.schema(schema).option("header", True).csv(own)
-            parts.append(conform(stamp_audit(rows, run_id, now, audit), target))
-        if parts:
-            written.append(bronze.write_batch(reduce(DataFrame.unionByName, parts), label))
-            done.write_batch(spark.createDataFrame([(r["file"], label) for r in heads], "file string, batch string"), label)
+        found = first_lines(files.repartition("file")).collect()        # at most FILES_PER_BATCH rows
+        load_files(spark.createDataFrame(found, "file string, header string"), [r["file"] for r in found], label)
 
     query = (reader.load(source_dir).select("path").writeStream.foreachBatch(load)
              .option("checkpointLocation", checkpoint_dir).trigger(availableNow=True).start())
     _finish(query)
+    if hidden:
+        seen = {r["file"] for r in done.read().select("file").collect()} if (names := hidden_files(spark, source_dir)) else set()
+        names = [f for f in names if f not in seen]
+        copies = unhide(spark, names, scratch_dir(spark, "unhidden"))
+        if copies:
+            label = f"{name}-hidden-{hashlib.sha256(chr(10).join(names).encode()).hexdigest()[:16]}"
+            load_files(first_lines(list_files(spark, copies).repartition("file")), names, label)
     return sum(written)
