@@ -1,20 +1,23 @@
 """Surrogate keys: dense numbering in a total order (W1/W2) and key retention.
 
 ``row_number().over(Window.orderBy(...))`` without a partition puts every row in
-one task. ``dense_number`` gives the same numbers with every step partitioned:
-
-1. tag rows with ``monotonically_increasing_id`` and freeze the tag by staging
-   (so a retried task cannot change it); the tag breaks ties, so even a group
-   of identical rows spreads over many range partitions;
-2. range-partition on (order columns, tag), sort within partitions, record each
-   row's partition id and position; stage again so counts and positions come
-   from the same rows;
-3. count rows per partition (one small aggregate, at most ``partitions`` rows),
-   turn counts into offsets, and add them by a broadcast join whose size is
-   bounded by the partition count.
-
-Where the order is unique by itself (``total_order``), step 1 is not needed: no tag
-and one staged table instead of two. The plan is the same at every size.
+one task. ``dense_number`` gives the same numbers with every step partitioned, and
+moves only what the order needs:
+
+1. rows are named by their order columns and a 128-bit hash of the whole row; equal
+   rows are counted under one name (a partial aggregate, so a row that repeats
+   without end is no hot key), and the names are staged: order columns, hash, count;
+2. names are range-partitioned and sorted on (order columns, hash), so even a group
+   of ties spreads over many partitions; running totals of the counts within each
+   partition are staged (hash, count, start);
+3. one row per partition gives the offsets (a broadcast join whose size is bounded
+   by the partition count);
+4. the numbers are joined back to the rows by the hash. Of equal rows one is taken
+   and written out under each of its numbers.
+
+Rows themselves are staged once, unless computing them again gives the same rows
+(``deterministic_input``); then they are not staged at all. A row whose hash has no
+number, because it changed in between, raises. The plan is the same at every size.
 """
 
 from __future__ import annotations
@@ -22,17 +25,43 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.functions.names import qcol, resolve_column, resolve_columns
 from strata.operators.upsert import DuplicateKeyError
 from strata.session import stage
 
-_TAG = "__strata_tag"
-_PID = "__strata_pid"
-_POS = "__strata_pos"
-_OFF = "__strata_off"
+_H1, _H2 = "__strata_h1", "__strata_h2"
+_N, _PID, _START, _OFF, _FIRST = "__strata_n", "__strata_pid", "__strata_start", "__strata_off", "__strata_first"
+_ROW, _PART, _POS = "__strata_row", "__strata_part", "__strata_pos"
+
+#: copies of one row that one task writes, at most
+_COPIES = 100_000
+
+
+def row_name(df: DataFrame, columns: Sequence[str]) -> list[Column]:
+    """Two 64-bit hashes of the given columns; nulls count by their place, 0.0 and -0.0 are equal."""
+    flat = [F.to_json(F.struct(qcol(c))) if isinstance(df.schema[c].dataType, T.StructType | T.ArrayType | T.MapType) else qcol(c)
+            for c in columns]
+    nulls = [qcol(c).isNull() for c in columns]
+    return [F.xxhash64(*flat, *nulls).alias(_H1), F.xxhash64(F.lit(7), *flat[::-1], *nulls).alias(_H2)]
+
+
+def _running_totals(batches):
+    """Sorted (h1, h2, n) of one partition -> with the partition's number and the rows before."""
+    import numpy as np
+    import pyarrow as pa
+    from pyspark import TaskContext
+
+    before, part = 0, TaskContext.get().partitionId()
+    for b in batches:
+        n = b.column(2).to_numpy(zero_copy_only=False)
+        upto = before + np.cumsum(n, dtype=np.int64)
+        yield pa.RecordBatch.from_arrays(
+            [*b.columns, pa.array(np.full(len(n), part, np.int32)), pa.array(upto - n)], names=[_H1, _H2, _N, _PID, _START])
+        before = int(upto[-1]) if len(n) else before
 
 
 def dense_number(
@@ -46,44 +75,52 @@ def dense_number(
 ) -> DataFrame:
     """Add ``key`` = 1..N (bigint) following ascending ``order_by`` (nulls first).
 
-    Rows that tie on ``order_by`` get consecutive numbers in an unspecified
-    order, as with ``row_number``. Set ``deterministic_input`` only when ``df``
-    is a plain file scan, to skip the first staging; set ``total_order`` only when no
-    two rows tie on ``order_by``, which needs neither tag nor first staging.
+    Rows that tie on ``order_by`` get consecutive numbers in the order of their
+    hashes. Set ``deterministic_input`` only when computing ``df`` again gives the
+    same rows, in whatever order (a file scan, and what exact operators make of it):
+    no row is staged then. Set ``total_order`` only when no two rows tie on
+    ``order_by``: the hash is then of these columns alone, and a tie raises.
     """
-    spark = df.sparkSession
-    order = resolve_columns(df.columns, order_by, "order column")
-    if resolve_column(df.columns, key) is not None:
-        raise ValueError(f"key column {key!r} already exists in {df.columns}")
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    by = [qcol(c).asc_nulls_first() for c in order]
+    spark, cols = df.sparkSession, df.columns
+    order = resolve_columns(cols, order_by, "order column")
+    if resolve_column(cols, key) is not None:
+        raise ValueError(f"key column {key!r} already exists in {cols}")
+    if not deterministic_input:
+        df, _ = stage(df, "unnumbered")
+    name = row_name(df, order if total_order else cols)
+    names, n = stage(df.select(*[qcol(c).alias(f"__o{i}") for i, c in enumerate(order)], *name)
+                     .groupBy(*[f"__o{i}" for i in range(len(order))], _H1, _H2).agg(F.count(F.lit(1)).alias(_N)), "names")
     if total_order:
-        tagged = df     # the order decides alone: computing the input again changes nothing
-    else:
-        tagged = df.withColumn(_TAG, F.monotonically_increasing_id())
-        if not deterministic_input:
-            tagged, n = stage(tagged, "tagged")  # upstream computed once; count observed
-            parts = max(parts, math.ceil(n / rows_per_partition))
-        by.append(F.col(_TAG))
+        names = names.withColumn(_N, F.when(F.col(_N) > 1, F.raise_error(F.lit(f"rows tie on {order}"))).otherwise(F.col(_N)).cast("long"))
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(n / rows_per_partition))
+    by = [*[F.col(f"__o{i}").asc_nulls_first() for i in range(len(order))], F.col(_H1), F.col(_H2)]
     ranked, _ = stage(
-        tagged.repartitionByRange(parts, *by)
-        .sortWithinPartitions(*by)
-        .withColumn(_PID, F.spark_partition_id())
-        .withColumn(_POS, F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33)),
-        "ranked",
-    )
+        names.repartitionByRange(parts, *by).sortWithinPartitions(*by).select(_H1, _H2, _N)
+        .mapInArrow(_running_totals, f"{_H1} long, {_H2} long, {_N} long, {_PID} int, {_START} long"), "ranked")
     # at most `parts` rows: a bounded single-partition window and broadcast
     offsets = (
-        ranked.groupBy(_PID).agg(F.count(F.lit(1)).alias("n"))
+        ranked.groupBy(_PID).agg(F.sum(_N).alias("n"))
         .withColumn(_OFF, F.coalesce(
             F.sum("n").over(Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)),
             F.lit(0)))
         .select(_PID, _OFF)
     )
-    return (
-        ranked.join(F.broadcast(offsets), _PID)
-        .select(*[qcol(c) for c in df.columns], (F.col(_OFF) + F.col(_POS) + 1).cast("long").alias(key))
-    )
+    numbers = ranked.join(F.broadcast(offsets), _PID).select(_H1, _H2, _N, (F.col(_OFF) + F.col(_START)).alias(_FIRST))
+    lost = F.raise_error(F.lit("a row changed while it was numbered; leave deterministic_input unset"))
+    found = (df.select(*[qcol(c) for c in cols], *name).join(numbers, [_H1, _H2], "left")
+             .withColumn(_N, F.when(F.col(_N).isNull(), lost).otherwise(F.col(_N)).cast("long")))
+    single = found.where(F.col(_N) == 1).select(*[qcol(c) for c in cols], (F.col(_FIRST) + 1).cast("long").alias(key))
+    if total_order:
+        return single
+    equal = (found.where(F.col(_N) > 1).groupBy(_H1, _H2)
+             .agg(F.first(F.struct(*[qcol(c) for c in cols])).alias(_ROW), F.max(_N).alias(_N), F.max(_FIRST).alias(_FIRST)))
+    share = max(1, min(_COPIES, rows_per_partition))
+    split = (equal.select(_ROW, _N, _FIRST, F.explode(F.expr(f"sequence(0L, ({_N} - 1) div {share})")).alias(_PART))
+             .repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    copies = split.select(_ROW, _FIRST, F.explode(F.expr(
+        f"sequence({_PART} * {share}, least({_N}, ({_PART} + 1) * {share}) - 1)")).alias(_POS))
+    return single.unionByName(copies.select(
+        *[F.col(_ROW).getField(c).alias(c) for c in cols], (F.col(_FIRST) + F.col(_POS) + 1).cast("long").alias(key)))
 
 
 def assign_keys(
@@ -92,6 +129,8 @@ def assign_keys(
     natural_key: Sequence[str],
     key: str,
     order_by: Sequence[str],
+    *,
+    deterministic_input: bool = False,
 ) -> DataFrame:
     """Entities already in ``existing`` keep their key; new ones get max + n.
 
@@ -112,7 +151,7 @@ def assign_keys(
     top = existing.agg(F.max(qcol(key))).first()[0] or 0
     order = resolve_columns(batch.columns, order_by, "order column")
     # an order that holds the natural key is unique
-    numbered = dense_number(fresh, order, key, total_order=set(nk) <= set(order))
+    numbered = dense_number(fresh, order, key, total_order=set(nk) <= set(order), deterministic_input=deterministic_input)
     return old.unionByName(numbered.withColumn(key, F.col(key) + F.lit(int(top))))
 
 

@@ -81,21 +81,23 @@ def build_dimension(
     dimension) and ``natural_key`` there is one row per natural key, entities already
     there keep their key and new ones are numbered from its maximum + 1 (D11), so
     repeated runs neither grow the dimension nor move a key. ``source_is_scan`` tells
-    the numbering that rows come straight from files (no shuffle upstream).
+    the numbering that ``source`` gives the same rows when it is computed again (a
+    table read, and what exact operators make of it): no row is staged then.
     """
     dim = select_as(source, attributes)
     if unique_on:
         dim = dedupe_latest(dim, unique_on, order_by)
-        source_is_scan = False
     if existing is not None:
         # Entities already in the current dimension keep their key
         if not natural_key:
             raise ValueError("existing keys need a natural_key to match entities")
         dim = dedupe_latest(dim, natural_key, order_by)
         known = existing.select(*[qcol(c) for c in natural_key], qcol(key))
-        dim = assign_keys(dim, known, natural_key, key, order_by)
+        dim = assign_keys(dim, known, natural_key, key, order_by, deterministic_input=source_is_scan)
     else:
-        dim = dense_number(dim, order_by, key, deterministic_input=source_is_scan)
+        low = {c.lower() for c in order_by}
+        dim = dense_number(dim, order_by, key, deterministic_input=source_is_scan,
+                           total_order=bool(unique_on) and {c.lower() for c in unique_on} <= low)
     return _finish(stamp_audit(dim, run_id, now), key, schema)
 
 
@@ -111,6 +113,7 @@ def build_fact(
     schema: T.StructType | None = None,
     existing: DataFrame | None = None,
     natural_key: Sequence[str] | None = None,
+    source_is_scan: bool = False,
 ) -> DataFrame:
     """Project, look up dimension keys, number in ``order_by``, stamp, conform.
 
@@ -124,7 +127,7 @@ def build_fact(
         if not natural_key:
             raise ValueError("existing keys need a natural_key to match facts")
         known = existing.select(*[qcol(c) for c in natural_key], qcol(key))
-        fact = assign_keys(fact, known, natural_key, key, order_by)
+        fact = assign_keys(fact, known, natural_key, key, order_by, deterministic_input=source_is_scan)
     else:
-        fact = dense_number(fact, order_by, key)
+        fact = dense_number(fact, order_by, key, deterministic_input=source_is_scan)
     return _finish(stamp_audit(fact, run_id, now), key, schema, safe=True)

@@ -130,6 +130,29 @@ def cast_columns(df: DataFrame, types: Mapping[str, str | T.DataType], *, safe:
     ])
 
 
+CAST_ERRORS = "CAST_ERRORS"
+
+
+def cast_with_errors(df: DataFrame, types: Mapping[str, str | T.DataType]) -> DataFrame:
+    """P7, and in the same pass ``CAST_ERRORS``: (column, value, type) of every value that the cast makes null.
+
+    A value that was null before is no error. The errors are of the columns in
+    ``types`` that ``df`` has, in their order; a row without any has an empty array.
+    """
+    named = {resolve_column(df.columns, n): n for n, t in types.items() if t}
+    errors = []
+    for actual in (c for c in named if c is not None):
+        type_ = types[named[actual]]
+        text = type_ if isinstance(type_, str) else type_.simpleString()
+        errors.append(F.when(
+            qcol(actual).isNotNull() & qcol(actual).try_cast(type_).isNull(),
+            F.struct(F.lit(actual).alias("column"), qcol(actual).cast("string").alias("value"), F.lit(text).alias("type"))))
+    none = F.array().cast("array<struct<column:string,value:string,type:string>>")
+    found = F.array_compact(F.array(*errors)) if errors else none
+    marked = df.withColumn(CAST_ERRORS, found)
+    return cast_columns(marked, {n: types[n] for a, n in named.items() if a is not None})
+
+
 # ---------------------------------------------------------------- P8 / P9
 def select_as(df: DataFrame, columns: Mapping[str, str] | Sequence[str]) -> DataFrame:
     """Select fixed columns, optionally aliased ``{source: alias}``."""

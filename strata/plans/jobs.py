@@ -18,12 +18,12 @@ from pyspark.sql import types as T
 from strata.functions.names import qcol, resolve_column, split_list
 from strata.operators.dedupe import dedupe_latest, newer_rows
 from strata.operators.partitions import upsert_partitions
-from strata.operators.transform import active, cast_columns, fill_nulls, rename_columns
+from strata.operators.transform import CAST_ERRORS, active, cast_columns, cast_with_errors, fill_nulls, rename_columns, stamp_audit
 from strata.operators.upsert import ROW_KINDS, load_mode, replace, upsert
 from strata.plans.config import ColumnMapping, gold_update_columns, load_mapping
 from strata.plans.control import ControlTables, gated_run
-from strata.schemas import ADDED_ON
-from strata.session import stage
+from strata.schemas import ADDED_BY, ADDED_ON
+from strata.session import owned_scratch, stage
 from strata.sources.csv import REJECTS, load_csv_folder
 from strata.sources.partitioned import PartitionedTable
 from strata.sources.tables import Lakehouse, LayerTable
@@ -101,6 +101,10 @@ def run_bronze(ctx: LoadContext, objects: DataFrame, *, active_only: bool = Fals
     root = ctx.source_root.rstrip("/")
 
     def one(row) -> tuple[str, int]:
+        with owned_scratch(ctx.spark):
+            return load(row)
+
+    def load(row) -> tuple[str, int]:
         name = row["BRONZE_TABLE_NAME"]
         folder = f"{root}/{row['SOURCE_FILE_PATH'].strip('/')}"
         table = ctx.lake.table("bronze", name)
@@ -209,6 +213,21 @@ def split_bad_keys(df: DataFrame, mapping: ColumnMapping, keys: Sequence[str]) -
     return df.where(~bad), df.where(bad)
 
 
+#: values that a silver cast made null
+CAST_ERROR = T.StructType([*(T.StructField(c, T.StringType()) for c in ("OBJECT_NAME", "KEY", "COLUMN_NAME", "VALUE", "TYPE")),
+                           T.StructField(ADDED_BY, T.StringType()), T.StructField(ADDED_ON, T.TimestampType())])
+
+
+def cast_error_rows(rows: DataFrame, types: Mapping[str, str], keys: Sequence[str], object_name: str, run_id: str, now) -> DataFrame:
+    """One row per value that a cast to its mapped type makes null, with the row's key as JSON."""
+    keyed = [qcol(c).alias(k) for k, c in ((k, resolve_column(rows.columns, k)) for k in keys) if c is not None]
+    found = cast_with_errors(rows.withColumn("__strata_key", F.to_json(F.struct(*keyed)) if keyed else F.lit(None).cast("string")), types)
+    each = found.where(F.size(CAST_ERRORS) > 0).select("__strata_key", F.explode(CAST_ERRORS).alias("e"))
+    return stamp_audit(each.select(
+        F.lit(object_name).alias("OBJECT_NAME"), F.col("__strata_key").alias("KEY"), F.col("e.column").alias("COLUMN_NAME"),
+        F.col("e.value").alias("VALUE"), F.col("e.type").alias("TYPE")), run_id, now, (ADDED_BY, ADDED_ON))
+
+
 def run_silver(ctx: LoadContext, objects: DataFrame, mapping: DataFrame, *,
                incremental: bool = True) -> dict[str, int]:
     """Every active object: bronze -> mapped, deduped rows -> silver.
@@ -221,9 +240,15 @@ def run_silver(ctx: LoadContext, objects: DataFrame, mapping: DataFrame, *,
     after the silver version is published: a run that dies in between takes them
     in once more, and since equal rows do not win and null-key rows are inserted
     only where they are missing, that adds nothing. Rows with keys that cannot be
-    cast go to the table ``silver_rejects`` and are counted in the log.
+    cast go to the table ``silver_rejects``, other values that a cast makes null to
+    ``silver_cast_errors``; both are counted in the log. Staged tables go when an
+    object's load ends.
     """
     def one(row) -> tuple[str, int]:
+        with owned_scratch(ctx.spark):
+            return load(row)
+
+    def load(row) -> tuple[str, int]:
         keys = split_list(row["KEY_COLUMN_NAME"])
         m = load_mapping(mapping, row["SOURCE_NAME"], row["OBJECT_NAME"])
         bronze = ctx.lake.table("bronze", row["BRONZE_TABLE_NAME"])
@@ -248,6 +273,13 @@ def run_silver(ctx: LoadContext, objects: DataFrame, mapping: DataFrame, *,
             n = rejects.write_batch(bad, f"{ctx.run_id}-{row['OBJECT_NAME']}".lower())
             if n:
                 _LOG.warning("%s: %d rows have keys that cannot be cast; see silver_rejects", name, n)
+            errors = ctx.lake.table("silver_cast_errors", name)
+            if not errors.exists():
+                errors.create(CAST_ERROR)
+            n = errors.write_batch(cast_error_rows(good, m.types, keys, row["OBJECT_NAME"], ctx.run_id, ctx.now),
+                                   f"{ctx.run_id}-{row['OBJECT_NAME']}".lower())
+            if n:
+                _LOG.warning("%s: %d values cannot be cast and are null; see silver_cast_errors", name, n)
         won = dedupe_latest(cast_columns(good, m.types), keys, (ADDED_ON,))
         winners = order_table(ctx, name, row["OBJECT_NAME"])
         if step and winners.exists():
@@ -284,7 +316,12 @@ def run_gold(ctx: LoadContext, edw_config: DataFrame, builders: Sequence[GoldBui
     unknown = [r["OBJECT_NAME"] for r in rows if r["OBJECT_NAME"].lower() not in by_name]
     if unknown:
         raise ValueError(f"no gold builder for {unknown}")
+
     def one(row) -> tuple[str, int]:
+        with owned_scratch(ctx.spark):
+            return load(row)
+
+    def load(row) -> tuple[str, int]:
         b = by_name[row["OBJECT_NAME"].lower()]
         keys = split_list(row["GOLD_KEY_COLUMN_NAME"])
         table = ctx.lake.table("gold", row["OBJECT_NAME"])

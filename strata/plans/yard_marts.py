@@ -40,39 +40,40 @@ DIM_NATURAL_KEY = ("YARD_NAME", "SALES_ORDER_ID", "CARRIER_NAME")
 
 def dim_appointment_data(appointments: DataFrame, *, run_id: str, now=None,
                          unique_on: Sequence[str] | None = None,
-                         existing: DataFrame | None = None) -> DataFrame:
+                         existing: DataFrame | None = None, source_is_scan: bool = False) -> DataFrame:
     """Yard, sales order, carrier; key in yard order.
 
     With ``existing`` (the current gold dimension), known rows keep their key.
+    ``source_is_scan``: as for ``build_dimension``.
     """
     return build_dimension(
         appointments,
         {"YARD_NAME": "YARD_NAME", "SALES_ORDER_TICKET_ID": "SALES_ORDER_ID", "CARRIER_NAME": "CARRIER_NAME"},
         key="APPOINTMENT_DATA_KEY", order_by=list(DIM_NATURAL_KEY),
-        run_id=run_id, now=now, schema=GOLD_DIM_APPOINTMENT_DATA, unique_on=unique_on,
+        run_id=run_id, now=now, schema=GOLD_DIM_APPOINTMENT_DATA, unique_on=unique_on, source_is_scan=source_is_scan,
         existing=existing, natural_key=DIM_NATURAL_KEY if existing is not None else None)
 
 
-def fact_sales(sales: DataFrame, dim: DataFrame, *, run_id: str, now=None) -> DataFrame:
+def fact_sales(sales: DataFrame, dim: DataFrame, *, run_id: str, now=None, source_is_scan: bool = False) -> DataFrame:
     """Sales with the first appointment key of their yard (left join on YARD = YARD_NAME)."""
     return build_fact(
         sales, ["YARD_ID", "COMMODITY_NAME", "PRICE", "SELL_PRICE", "INVOICE_TOTAL", "YARD"],
         [DimensionLookup(dim, fact_on="YARD", dim_on="YARD_NAME", key="APPOINTMENT_DATA_KEY")],
         key="SALES_KEY",
         order_by=["YARD_ID", "APPOINTMENT_DATA_KEY", "COMMODITY_NAME", "PRICE", "SELL_PRICE", "INVOICE_TOTAL"],
-        run_id=run_id, now=now, schema=GOLD_FACT_SALES)
+        run_id=run_id, now=now, schema=GOLD_FACT_SALES, source_is_scan=source_is_scan)
 
 
 def _dim(ctx: LoadContext) -> DataFrame:
     return dim_appointment_data(ctx.lake.table("silver", "APPOINTMENT_DATA").read(),
                                 run_id=ctx.run_id, now=ctx.now,
-                                existing=ctx.lake.table("gold", "DIM_APPOINTMENT_DATA").read())
+                                existing=ctx.lake.table("gold", "DIM_APPOINTMENT_DATA").read(), source_is_scan=True)
 
 
 def _fact(ctx: LoadContext) -> DataFrame:
     return fact_sales(ctx.lake.table("silver", "SALES_DATA_PRIOR_DAY").read(),
                       ctx.lake.table("gold", "DIM_APPOINTMENT_DATA").read(),
-                      run_id=ctx.run_id, now=ctx.now)
+                      run_id=ctx.run_id, now=ctx.now, source_is_scan=True)
 
 
 BUILDERS = (

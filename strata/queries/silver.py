@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.operators.transform import cast_columns, conform, fill_nulls, rename_columns
+from strata.operators.transform import CAST_ERRORS, cast_columns, cast_with_errors, conform, fill_nulls, rename_columns
 from strata.plans.config import (
     gold_columns_table,
     gold_config_with_paths,
@@ -74,6 +74,25 @@ def mapping_cast(spark, sf_dir):
     return cast_columns(text, load_mapping(mapping, "erp", "orders").types)
 
 
+def cast_errors(spark, sf_dir):
+    """Orders carried as text, some of it unusable: the cast values, and each value that the cast made null."""
+    o = table(spark, sf_dir, "orders")
+    text = o.select(
+        F.col("o_orderkey").cast("string").alias("O_ORDERKEY"),
+        F.when(F.col("o_custkey") % 11 == 4, F.concat(F.lit("c-"), F.col("o_custkey").cast("string")))
+         .when(F.col("o_custkey") % 11 == 5, F.lit(None)).otherwise(F.col("o_custkey").cast("string")).alias("O_CUSTKEY"),
+        F.when(F.col("o_orderstatus") == "P", F.lit("not a date")).otherwise(F.col("o_orderdate").cast("string")).alias("O_ORDERDATE"))
+    mapping = _mapping(spark, [
+        ("erp", "ORDERS", "O_ORDERKEY", "O_ORDERKEY", "bigint", None),
+        ("erp", "ORDERS", "O_CUSTKEY", "o_custkey", "bigint", None),
+        ("erp", "ORDERS", "O_ORDERDATE", "O_ORDERDATE", "timestamp", None),
+        ("erp", "ORDERS", "GONE", "GONE", "int", None)])
+    out = cast_with_errors(text, load_mapping(mapping, "erp", "orders").types)
+    each = out.select("*", F.explode_outer(CAST_ERRORS).alias("e"))
+    return each.select("O_ORDERKEY", "O_CUSTKEY", "O_ORDERDATE", F.upper("e.column").alias("ERROR_COLUMN"),
+                       F.col("e.value").alias("ERROR_VALUE"), F.col("e.type").alias("ERROR_TYPE"))
+
+
 PART_TARGET = T.StructType([
     T.StructField("P_PARTKEY", T.LongType()),
     T.StructField("P_NAME", T.StringType()),
@@ -151,6 +170,7 @@ QUERIES = {
     "mapping_rename": mapping_rename,
     "null_fill": null_fill,
     "mapping_cast": mapping_cast,
+    "cast_errors": cast_errors,
     "conform_schema": conform_schema,
     "active_config": active_config,
     "gold_columns": gold_columns,
@@ -174,6 +194,15 @@ ORACLE = {
                CASE WHEN l_linenumber = 1 THEN 7.0 ELSE l_quantity END AS L_QUANTITY,
                CASE WHEN l_tax = 0 THEN NULL ELSE l_tax END AS L_TAX
         FROM lineitem""",
+    "cast_errors": """
+        WITH o AS (SELECT o_orderkey AS O_ORDERKEY, CASE WHEN o_custkey % 11 IN (4, 5) THEN NULL ELSE o_custkey END AS O_CUSTKEY,
+                          CASE WHEN o_orderstatus = 'P' THEN NULL ELSE CAST(o_orderdate AS TIMESTAMP) END AS O_ORDERDATE,
+                          o_custkey % 11 = 4 AS bad_cust, o_orderstatus = 'P' AS bad_date, 'c-' || o_custkey AS cust FROM orders)
+        SELECT O_ORDERKEY, O_CUSTKEY, O_ORDERDATE, 'O_CUSTKEY' AS ERROR_COLUMN, cust AS ERROR_VALUE, 'bigint' AS ERROR_TYPE FROM o WHERE bad_cust
+        UNION ALL
+        SELECT O_ORDERKEY, O_CUSTKEY, O_ORDERDATE, 'O_ORDERDATE', 'not a date', 'timestamp' FROM o WHERE bad_date
+        UNION ALL
+        SELECT O_ORDERKEY, O_CUSTKEY, O_ORDERDATE, NULL, NULL, NULL FROM o WHERE NOT bad_cust AND NOT bad_date""",
     "mapping_cast": """
         SELECT o_orderkey AS O_ORDERKEY, o_custkey AS O_CUSTKEY,
                CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE o_totalprice END AS O_TOTALPRICE,

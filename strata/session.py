@@ -10,9 +10,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: scratch folders of the load that runs in this thread, if it owns them
+_OWNED: ContextVar[list[str] | None] = ContextVar("strata_owned_scratch", default=None)
+
 
 def checkpoint_root(spark: SparkSession) -> str:
     """Return the session's checkpoint folder, setting one only where unset."""
@@ -34,7 +40,30 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 def scratch_dir(spark: SparkSession, tag: str) -> str:
     """A fresh, unused folder below the shared checkpoint folder."""
-    return f"{checkpoint_root(spark)}/strata-work/{tag}-{uuid.uuid4().hex[:12]}"
+    path = f"{checkpoint_root(spark)}/strata-work/{tag}-{uuid.uuid4().hex[:12]}"
+    owned = _OWNED.get()
+    if owned is not None:
+        owned.append(path)
+    return path
+
+
+@contextmanager
+def owned_scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete the scratch folders that the body creates when it ends, failed or not.
+
+    For a load that has published its result: a DataFrame that still reads a staged
+    table must not leave the body.
+    """
+    paths: list[str] = []
+    token = _OWNED.set(paths)
+    try:
+        yield
+    finally:
+        _OWNED.reset(token)
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for p in paths:
+            path = jvm.org.apache.hadoop.fs.Path(p)
+            path.getFileSystem(conf).delete(path, True)
 
 
 def stage(df: DataFrame, tag: str = "stage") -> tuple[DataFrame, int]:
