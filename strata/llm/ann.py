@@ -1,7 +1,9 @@
 """Approximate nearest neighbours (operator 5): robust-pruned directed graphs, one per shard.
 
 Vectors are spread over shards of about ``shard_rows`` by hash. Per shard a
-graph is grown in batches: greedy searches from the medoid propose neighbours,
+graph is grown in batches: greedy searches propose neighbours, from the nearest of
+some pivots (the medoid and nodes far from each other, so that no dense group of
+vectors is cut off),
 relaxed distance pruning (factor ``alpha``) keeps diverse edges, reverse edges are
 pruned back to the degree bound. Every query is searched in every shard by beam
 search, and the shards' nearest are merged. The index covers every row.
@@ -9,8 +11,11 @@ search, and the shards' nearest are merged. The index covers every row.
 Equal vectors are one node: a group of copies as large as a third of the table
 costs one node, and only its ``k + 1`` smallest ids can ever be among the k nearest
 (ties go to the smaller id), so only those are kept, by a group limit that Spark
-applies before the shuffle. Queries come in blocks of ``block_rows``; a shard meets
-one block per task, so neither side of a task grows with the input.
+applies before the shuffle. Queries come in blocks of about 32 MB; a shard meets
+one block per task, so neither side of a task grows with the input, and the index
+is shuffled once per block, not once per few thousand queries. The search keeps at
+least as many nodes as a vector has components, since long vectors lie at more
+equal distances.
 
 Scores of what is found are computed in double precision on the original vectors.
 
@@ -32,21 +37,42 @@ from strata.llm.common import table
 from strata.session import stage
 
 SHARD_ROWS = 4096
-BLOCK_ROWS = 4096
+#: bytes of query vectors (doubles) in a block: an index is copied once per block
+BLOCK_BYTES = 32 << 20
 DEGREE, BEAM, ALPHA = 28, 56, 1.2
 SEARCH_BEAM = 96
 BATCH = 256
+#: nodes spread over a shard, of which a search starts from the nearest few
+PIVOTS, STARTS = 256, 8
 
 
-def beam_search(x: np.ndarray, graph: np.ndarray, entry: int, q: np.ndarray, beam: int):
-    """Nearest nodes that greedy search meets: ids and squared distances (rows x beam, by distance; -1 pads)."""
+def pivots(x: np.ndarray, entry: int) -> np.ndarray:
+    """Nodes far from each other (farthest first, from ``entry``), so that every dense group has one near."""
+    out, near = [entry], 2 - 2 * (x @ x[entry])
+    while len(out) < min(PIVOTS, len(x)):
+        p = int(near.argmax())
+        if near[p] <= 1e-6:
+            break
+        out.append(p)
+        near = np.minimum(near, 2 - 2 * (x @ x[p]))
+    return np.array(out)
+
+
+def beam_search(x: np.ndarray, graph: np.ndarray, entry: int | np.ndarray, q: np.ndarray, beam: int):
+    """Nearest nodes that greedy search meets: ids and squared distances (rows x beam, by distance; -1 pads).
+
+    The search starts from the nearest of the entry nodes.
+    """
+    entry = np.atleast_1d(entry)
     rows = np.arange(len(q))
     ids = np.full((len(q), beam), -1, np.int64)
     dist = np.full((len(q), beam), np.inf, np.float32)
     done = np.ones((len(q), beam), bool)
-    ids[:, 0], dist[:, 0], done[:, 0] = entry, 2 - 2 * (q @ x[entry]), False
+    start = (2 - 2 * (q @ x[entry].T)).astype(np.float32)
+    few = np.argsort(start, axis=1, kind="stable")[:, :min(STARTS, beam)]
+    ids[:, :few.shape[1]], dist[:, :few.shape[1]], done[:, :few.shape[1]] = entry[few], np.take_along_axis(start, few, 1), False
     seen = np.zeros((len(q), len(x)), bool)
-    seen[:, entry] = True
+    seen[rows[:, None], entry[few]] = True
     while True:
         open_dist = np.where(done, np.inf, dist)
         pick = open_dist.argmin(axis=1)
@@ -105,12 +131,13 @@ def build_graph(x: np.ndarray, degree: int = DEGREE, beam: int = BEAM, alpha: fl
     graph = np.full((n, degree), -1, np.int64)
     entry = int((x @ x.mean(axis=0)).argmax()) if n else 0
     order = np.random.default_rng(seed).permutation(n)
-    order = np.concatenate([[entry], order[order != entry]]) if n else order
+    spread = pivots(x, entry) if n else order
+    order = np.concatenate([spread, order[~np.isin(order, spread)]])
     at = 1
     while at < n:
         p = order[at:at + min(BATCH, max(8, at // 2))]
+        found, _ = beam_search(x, graph, spread[:at], x[p], beam)
         at += len(p)
-        found, _ = beam_search(x, graph, entry, x[p], beam)
         # the batch's own members may be neighbours too while the graph is small
         if len(p) and at <= 4 * BATCH:
             found = np.concatenate([found, np.tile(p, (len(p), 1))], axis=1)
@@ -156,7 +183,7 @@ def _build(tab: pa.Table) -> pa.Table:
     x = _unit(_matrix(tab.column("vec"), np.float64))
     graph, entry = build_graph(x)
     keep = [row[row >= 0].astype(np.int32) for row in graph]
-    start = np.arange(tab.num_rows) == entry
+    start = np.isin(np.arange(tab.num_rows), pivots(x, entry))
     return pa.table({"shard": tab.column("shard"), "node": pa.array(np.arange(tab.num_rows, dtype=np.int32)),
                      "vec_id": tab.column("vec_id"), "k1": tab.column("k1"), "k2": tab.column("k2"), "vec": tab.column("vec"),
                      "edges": pa.array(keep, pa.list_(pa.int32())), "entry": pa.array(start)})
@@ -167,6 +194,11 @@ def cosine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a * b).sum(axis=-1) / (np.sqrt((a * a).sum(axis=-1)) * np.sqrt((b * b).sum(axis=-1)))
 
 
+def beam_for(dims: int, beam: int, k: int) -> int:
+    """Nodes that a search keeps: distances of long vectors differ less, so the beam grows with their length."""
+    return max(beam, dims, 4 * k)
+
+
 def _search(k: int, beam: int):
     def run(index: pa.Table, queries: pa.Table) -> pa.Table:
         names = {"query_id": pa.int64(), "k1": pa.int64(), "k2": pa.int64(), "score": pa.float64(), "rep": pa.int64()}
@@ -179,14 +211,14 @@ def _search(k: int, beam: int):
         graph = np.full((len(x), max(1, max(len(e) for e in lists))), -1, np.int64)
         for i, e in enumerate(lists):
             graph[i, :len(e)] = e
-        entry = int(np.flatnonzero(index.column("entry").to_numpy())[0])
+        entry = np.flatnonzero(index.column("entry").to_numpy())
         ids = index.column("vec_id").to_numpy()
         q = _matrix(queries.column("vec"), np.float64)
         qid = queries.column("query_id").to_numpy()
         cols = [[], [], []]
         for s in range(0, len(q), BATCH):
             part = q[s:s + BATCH]
-            found, _ = beam_search(x, graph, entry, _unit(part), max(beam, 4 * k))
+            found, _ = beam_search(x, graph, entry, _unit(part), beam_for(x.shape[1], beam, k))
             score = cosine(full[np.maximum(found, 0)], part[:, None, :])
             score[found < 0] = -np.inf
             rep = ids[np.maximum(found, 0)]
@@ -233,10 +265,16 @@ def build_index(vectors: DataFrame, k: int, shard_rows: int = SHARD_ROWS) -> tup
 
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding",
-            shard_rows: int = SHARD_ROWS, beam: int = SEARCH_BEAM, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """query_id, rank, vec_id, score: the k nearest rows found for each query row, its own id left out."""
+            shard_rows: int = SHARD_ROWS, beam: int = SEARCH_BEAM, block_rows: int | None = None) -> DataFrame:
+    """query_id, rank, vec_id, score: the k nearest rows found for each query row, its own id left out.
+
+    ``block_rows`` (default: what ``BLOCK_BYTES`` hold of the longest query vector) is how many
+    queries meet a shard in one task.
+    """
     index, members, shards = build_index(usable(vectors, id_col, vec_col), k, shard_rows)
     asked, n = stage(usable(queries, id_col, vec_col).select(F.col("vec_id").alias("query_id"), "vec"), "ann-queries")
+    if block_rows is None:
+        block_rows = max(1, BLOCK_BYTES // (8 * int(asked.agg(F.max(F.size("vec"))).first()[0] or 1)))
     blocks = max(1, -(-n // block_rows))
     # the stated query set in blocks: every shard meets every block once
     asked = (asked.withColumn("block", F.pmod(F.xxhash64("query_id", F.lit(9)), F.lit(blocks)).cast("int"))

@@ -1,6 +1,7 @@
 import numpy as np
+import pytest
 
-from strata.llm.ann import build_graph, nearest, robust_prune
+from strata.llm.ann import SEARCH_BEAM, SHARD_ROWS, beam_for, beam_search, build_graph, nearest, pivots, robust_prune
 
 
 def exact(ids, vecs, query, k):
@@ -35,6 +36,24 @@ def test_recall_and_scores(spark):
     assert hit / total >= 0.9
 
 
+@pytest.mark.parametrize("dims, kind", [(64, "random"), (384, "random"), (64, "clusters"), (384, "clusters"), (64, "many"), (384, "many")])
+def test_recall_of_a_full_shard(dims, kind):
+    """Recall at 5 of one production shard, by brute force."""
+    rng = np.random.default_rng(dims)
+    x = rng.normal(size=(SHARD_ROWS, dims)).astype(np.float32)
+    if kind != "random":
+        groups = {"clusters": 40, "many": 700}[kind]
+        x = (x * 0.3 + rng.normal(size=(groups, dims))[rng.integers(0, groups, SHARD_ROWS)]).astype(np.float32)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    graph, entry = build_graph(x)
+    q = np.arange(0, SHARD_ROWS, 50)
+    found, _ = beam_search(x, graph, pivots(x, entry), x[q], beam_for(dims, SEARCH_BEAM, 5))
+    best = np.argsort(-(x[q] @ x.T), axis=1)[:, :6]
+    hit = sum(len(set(f[:6]) & set(b)) - 1 for f, b in zip(found, best, strict=True))
+    print(dims, kind, hit / (5 * len(q)))
+    assert hit / (5 * len(q)) >= 0.9, hit / (5 * len(q))
+
+
 def test_vectors_that_take_no_part(spark):
     rows = [(0, [1.0, 0.0]), (1, None), (2, []), (3, [0.0, 0.0]), (4, [1.0, None]), (5, [float("nan"), 1.0]), (6, [float("inf"), 1.0]),
             (50, [1.0, 1.0]), (7, [2.0, 0.0]), (8, [1.0, 0.0, 0.0]), (0, [0.0, 1.0])]
