@@ -6,6 +6,16 @@ around it says (inside an article, inside a menu/footer/side container, heading,
 list entry). A decision tree, grown here on the small labelled table below,
 says which blocks are main text.
 
+Containers are told by their tag and by whole tokens of class, id, role and label:
+``sidebar`` and ``comment-list`` mark a side container, ``has-sidebar``,
+``legal-news`` and ``social-policy`` do not, since a word beside the side word says
+something else. A token that also names the main text or a wrapper
+(``content-sidebar-wrap``) is weak: a main container inside it counts as main again.
+Inside comments, menus, footers and the like nothing does.
+
+Tags are read by the rules for attributes: a stray quote is part of a name or an
+unquoted value. Text of inline media and formulas belongs to its block.
+
 No shuffle: a page is judged in the task that reads it.
 
 Defined results: null or empty html gives the empty text; a page without any
@@ -27,13 +37,15 @@ from pyspark.sql import types as T
 
 from strata.llm.common import table
 
+#: attributes: names may hold quotes; a value is quoted, or runs to the next space
+ATTRS = r"(?:[\s/]++|=?[^\s/>=]++(?:\s*+=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>\"'][^\s>]*+|(?=>)))?+|=)*+"
 # one pattern for everything that starts with "<": comments, raw-text elements, tags, declarations
 TOKEN = re.compile(
     r"<(?:!--(?:>|.*?(?:--!?>|\Z))"
-    r"|(?P<raw>script|style|noscript|template|textarea|title|svg|iframe|select|option|button|math|object|canvas|audio|video)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*+(?:(?<=/)>|>.*?(?:</(?P=raw)\s*>|\Z))"
-    r"|(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attr>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
+    r"|(?P<raw>script|style|noscript|template|textarea|title|iframe|select|option|button)(?=[\s/>])" + ATTRS + r"(?:(?<=/)>|>.*?(?:</(?P=raw)\s*>|\Z))"
+    r"|(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attr>" + ATTRS + r")>"
     r"|[!?/][^>]*>)", re.S | re.I)
-HINT = re.compile(r"\b(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+HINT = re.compile(r"(?:^|(?<=[\s/\"']))(class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 
 # Tags that end a text block
 BLOCK = frozenset("""address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption
@@ -41,7 +53,7 @@ figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend
 summary table tbody td tfoot th thead tr ul caption""".split())
 # Containers whose nesting is tracked
 CONTAINER = frozenset("""article aside blockquote dialog div dl fieldset figure footer form header head main menu nav
-ol section table ul details""".split())
+ol section table td ul details""".split())
 # Containers that never hold main text
 SIDE = frozenset("nav footer aside form menu dialog head fieldset".split())
 # Words of class, id or role that mark such containers
@@ -50,7 +62,17 @@ banner sidebar side widget comment comments reply replies respond discussion dis
 notices alert newsletter subscribe subscription signup login share sharing social related recommended recommendations
 menu menubar nav navbar navigation breadcrumb breadcrumbs pagination pager footer foot masthead topbar toolbar popup
 modal overlay legal copyright skip search searchbox tags tagcloud toc trackback complementary contentinfo form""".split())
-MAIN_WORD = frozenset("article main content story post entry articlebody postbody".split())
+MAIN_WORD = frozenset("article main content story post entry articlebody postbody body text".split())
+# Words that name a place or a shape and leave a token's meaning alone
+PLACE_WORD = frozenset("""list lists box block section area left right top bottom upper lower site page global primary secondary
+links link item items bar posts articles stories title heading head form inner row column col panel holder module region
+zone slot unit thread count more buttons button icons icon us this fixed sticky mobile desktop large small
+wide narrow first last 1 2 3""".split())
+# Words of wrappers, which hold main text as well as what stands beside it
+WRAP_WORD = frozenset("wrap wrapper wrapping container outer layout grid columns holder".split())
+# Reader comments and the like, whatever else a token says, unless it only says that there are some
+COMMENT_WORD = frozenset("comment comments disqus replies gdpr advertisement breadcrumb breadcrumbs".split())
+STATE_WORD = frozenset("has no with without hide show open closed allow enable enabled disable disabled off on".split())
 
 # The labelled table. Columns: words, link density, words and link density of the block before
 # and after, inside a side container, inside a main container, heading, list entry; label 1 is main text.
@@ -62,6 +84,9 @@ LABELLED = np.array([
     (40, .10, 14, .00, 0, .00, 0, 1, 0, 0, 1), (300, .02, 9, .00, 0, .00, 0, 1, 0, 0, 1), (5, .00, 0, .00, 0, .00, 0, 1, 0, 0, 1),
     (8, .00, 300, .00, 4, .00, 0, 1, 0, 0, 1), (1, .00, 1, .00, 1, .00, 0, 1, 1, 0, 1), (18, .50, 40, .00, 30, .00, 0, 1, 0, 0, 1),
     (70, .00, 5, .00, 0, .00, 0, 1, 0, 0, 1), (12, .00, 1, .00, 12, .00, 0, 1, 0, 0, 1), (4, 1.0, 60, .00, 50, .00, 0, 1, 0, 0, 1),
+    # the same beside link lists, adverts and comments
+    (21, .00, 20, .00, 11, 1.0, 0, 1, 0, 0, 1), (18, .00, 9, 1.0, 24, .00, 0, 1, 0, 0, 1), (6, .00, 4, 1.0, 5, 1.0, 0, 1, 0, 0, 1),
+    (35, .10, 3, 1.0, 12, .90, 0, 1, 0, 0, 1), (2, .00, 1, 1.0, 30, .00, 0, 1, 1, 0, 1), (11, .00, 25, .00, 2, 1.0, 0, 1, 0, 1, 1),
     # main text of pages without a main container
     (80, .00, 7, .00, 60, .00, 0, 0, 0, 0, 1), (45, .05, 80, .00, 90, .00, 0, 0, 0, 0, 1), (30, .00, 45, .05, 28, .00, 0, 0, 0, 0, 1),
     (12, .00, 70, .00, 50, .00, 0, 0, 0, 0, 1), (7, .00, 2, .00, 95, .00, 0, 0, 1, 0, 1), (150, .10, 4, 1.0, 6, .90, 0, 0, 0, 0, 1),
@@ -109,26 +134,50 @@ def judge(tree, row) -> int:
     return tree
 
 
+NEITHER, SIDE_KIND, MAIN_KIND, WEAK_SIDE = 0, 1, 2, 3
+
+
+def _token(token: str) -> int:
+    """What one token of a class, id, role or label says of its container."""
+    words = [w for w in re.split(r"[^a-z0-9]+", re.sub(r"(?<=[a-z])(?=[A-Z])", "-", token).lower()) if w]
+    side = [w for w in words if w in SIDE_WORD]
+    if any(w in COMMENT_WORD for w in words) and not any(w in STATE_WORD for w in words):
+        return SIDE_KIND
+    if side and all(w in SIDE_WORD or w in PLACE_WORD or w in MAIN_WORD or w in WRAP_WORD or w.isdigit() for w in words):
+        return WEAK_SIDE if any(w in MAIN_WORD or w in WRAP_WORD for w in words) else SIDE_KIND
+    if not side and words and any(w in MAIN_WORD for w in words) and all(w in MAIN_WORD or w in PLACE_WORD or w in WRAP_WORD for w in words):
+        return MAIN_KIND
+    return NEITHER
+
+
 def _kind(tag: str, attr: str) -> int:
-    """1: side container, 2: main container, 0: neither."""
+    """Side container, main container, weak side container or neither."""
     if tag in SIDE:
-        return 1
-    words: set[str] = set()
+        return SIDE_KIND
+    said = set()
+    comments = False
     if "=" in attr:
         for m in HINT.finditer(attr):
-            words.update(re.split(r"[^a-z]+", (m[1] or m[2] or m[3] or "").lower()))
-    if tag not in ("article", "main", "body") and words & SIDE_WORD:
-        return 1
-    if tag in ("article", "main") or words & MAIN_WORD:
-        return 2
-    return 0
+            value = m[2] if m[2] is not None else m[3] if m[3] is not None else m[4]
+            # a label is one phrase, the others are tokens
+            for token in [value] if m[1].lower() == "aria-label" else value.split():
+                k = _token(token)
+                said.add(k)
+                comments |= k == SIDE_KIND and any(w in COMMENT_WORD for w in re.split(r"[^a-z]+", token.lower()))
+    if tag in ("article", "main"):
+        return SIDE_KIND if comments and tag == "article" else MAIN_KIND
+    if tag == "body":
+        return NEITHER
+    if MAIN_KIND in said and not comments:
+        return MAIN_KIND
+    return SIDE_KIND if SIDE_KIND in said else WEAK_SIDE if WEAK_SIDE in said else NEITHER
 
 
 def blocks(page: str) -> list[list]:
     """Flat text blocks in page order: [text, words, link density, side, main, heading, entry]."""
     out: list[list] = []
-    stack: list[tuple[str, int]] = []
-    side = main = in_link = 0
+    stack: list[tuple[str, int, int]] = []      # tag, kind, weak side containers that a main container put aside
+    side = weak = main = in_link = 0
     heading = entry = False
     parts: list[str] = []
     linked = 0
@@ -138,17 +187,18 @@ def blocks(page: str) -> list[list]:
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                out.append([text, text.count(" ") + 1, min(1.0, linked / len(text)), int(side > 0), int(main > 0),
+                out.append([text, text.count(" ") + 1, min(1.0, linked / len(text)), int(side > 0 or weak > 0), int(main > 0),
                             int(heading), int(entry)])
             parts.clear()
         linked = 0
 
     def pop(to: int):
-        nonlocal side, main
+        nonlocal side, weak, main
         while len(stack) > to:
-            _, k = stack.pop()
-            side -= k == 1
-            main -= k == 2
+            _, k, aside = stack.pop()
+            side -= k == SIDE_KIND
+            main -= k == MAIN_KIND
+            weak = aside if k == MAIN_KIND else weak - (k == WEAK_SIDE)
 
     def say(raw: str):
         nonlocal linked
@@ -157,8 +207,14 @@ def blocks(page: str) -> list[list]:
         if in_link:
             linked += len(text.strip())
 
-    at = 0
-    for m in TOKEN.finditer(page):
+    # a tag that is not closed by any ">" is cut off by the end of the page
+    upto = page.rfind(">") + 1
+    at, open_end = 0, False
+    for m in TOKEN.finditer(page, 0, upto):
+        # a comment or raw element that nothing closes runs to the end of the page
+        open_end = m.end() == upto and m["tag"] is None and (
+            not page.endswith("-->", 0, upto) if page.startswith("<!--", m.start()) else
+            bool(m["raw"]) and not re.search(r"</%s\s*>\Z|/>\Z" % m["raw"], m[0], re.I))
         if m.start() > at:
             say(page[at:m.start()])
         at = m.end()
@@ -176,6 +232,13 @@ def blocks(page: str) -> list[list]:
             in_link = 0
             heading = not ends and len(tag) == 2 and tag[0] == "h" and tag[1].isdigit()
             entry = not ends and tag in ("li", "dt", "dd", "td", "th")
+            if tag in ("td", "th", "tr"):       # a cell ends where the next one or its row begins
+                for i in range(len(stack) - 1, -1, -1):
+                    if stack[i][0] == "table":
+                        break
+                    if stack[i][0] == "td":
+                        pop(i)
+                        break
             if tag in CONTAINER:
                 if ends:
                     for i in range(len(stack) - 1, -1, -1):
@@ -185,17 +248,18 @@ def blocks(page: str) -> list[list]:
                 elif not m["attr"].endswith("/"):
                     k = _kind(tag, m["attr"])
                     # a page header holds no main text; the header of an article does
-                    if tag == "header" and k == 0 and not main:
-                        k = 1
-                    stack.append((tag, k))
-                    side += k == 1
-                    main += k == 2
+                    if tag == "header" and k == NEITHER and not main:
+                        k = SIDE_KIND
+                    stack.append((tag, k, weak))
+                    side += k == SIDE_KIND
+                    main += k == MAIN_KIND
+                    weak = 0 if k == MAIN_KIND else weak + (k == WEAK_SIDE)
             elif tag == "body" and not ends:
                 pop(0)          # an unclosed head ends here
-    if at < len(page):
+    if at < len(page) and not open_end:
         rest = page[at:]
-        cut = rest.rfind("<")   # a tag that the end of the page cuts off
-        say(rest[:cut] if cut >= 0 and re.match(r"<[a-zA-Z/!]", rest[cut:]) else rest)
+        cut = re.search(r"<[a-zA-Z/!?]", page[upto:])
+        say(rest[:cut.start() + upto - at] if cut else rest)
     flush()
     return out
 
