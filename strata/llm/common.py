@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import zipfile
 from pathlib import Path
@@ -39,6 +40,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder that no plan reads any more."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of steps whose results are written.
+
+    It does so when the driver has collected their plans, which may be long after
+    the disks are full; a step that needs much disk asks for it between its parts.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def ascii_lower(col: Column) -> Column:
     """Lower-case A-Z only; null counts as empty text."""
     return F.translate(F.coalesce(col, F.lit("")), UPPER, UPPER.lower())

@@ -225,7 +225,8 @@ def token_pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
 
 
 def place(pieces: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Add ``sequence_id`` and ``offset`` to pieces with a ``length`` column; other columns pass through."""
+    """Add ``sequence_id`` and ``offset`` to pieces with a ``length`` column (columns of these names are replaced); other columns pass through."""
+    pieces = pieces.drop("sequence_id", "offset")
 
     def number(batches):
         seen = np.zeros(window + 1, np.int64)

@@ -58,8 +58,9 @@ ALLOW = [
     r"^[0-9_=+/-]+$",
     r"^/?([A-Za-z]{2,}[/_-])+[A-Za-z]*$",
 ]
-#: the text before a candidate that is a published digest
-ALLOW_BEFORE = r"(?i)(sha-?[0-9]{1,3}|md5|digest|checksum|commit|etag)[\"']?[ :=-]{1,3}[\"']?$"
+#: the text before a candidate that is a published digest; the mark stands for the candidate's start
+START_MARK = "\x01"
+ALLOW_BEFORE = r"(?i)(sha-?[0-9]{1,3}|md5|digest|checksum|commit|etag)[\"']?[ :=-]{1,3}[\"']?\x01"
 BEFORE_CHARS = 16
 
 SPAN = "struct<kind:string,start:bigint,end:bigint>"
@@ -150,7 +151,7 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     for kind, chars, window, bits in classes:
         df = _places(df, "p", _class_pattern(chars, window))
-        allowed = " OR ".join([f"x.s RLIKE {_text(a)}" for a in allow] + [f"x.before RLIKE {_text(ALLOW_BEFORE)}"])
+        allowed = " OR ".join([f"x.s RLIKE {_text(a)}" for a in allow] + [f"concat(x.before, char(1)) RLIKE {_text(ALLOW_BEFORE)}"])
         df = df.withColumn("p", F.expr(f"filter(p, x -> NOT ({allowed}))"))
         df = df.withColumn("p", F.expr(
             "transform(p, x -> named_struct('start', x.start, 'idx', "
@@ -184,5 +185,52 @@ def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.sha2(_listed("base"), 256).alias("base_sha256"), _listed("spans").alias("spans"))
 
 
+def _oracle() -> str:
+    """DuckDB SQL: matches by splitting, every window's characters counted from scratch, windows joined as islands."""
+    quote = lambda v: "'" + v.replace("'", "''") + "'"
+    # DuckDB's engine folds letters beyond ASCII and knows no back-references: both are spelled out
+    folded = "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in "password|passwd|secret|token|api_?key")
+    assign = BASE[0][1].replace("(?i)(password|passwd|secret|token|api_?key)", f"({folded})")
+    patterns = [(k, assign if k == "assign" else p, g, n) for k, p, g, n in BASE]
+    patterns += [(k, _class_pattern(chars, window), 0, window) for k, chars, window, _ in CLASSES]
+    found = " UNION ALL ".join(
+        f"SELECT rid, t, {quote(k)} AS kind, {i} AS k, {n} AS least, regexp_extract_all(t, {quote(p)}, 0) AS m, "
+        f"regexp_extract_all(t, {quote(p)}, {g}) AS g, string_split_regex(t, {quote(p)}) AS gaps FROM d"
+        for i, (k, p, g, n) in enumerate(patterns))
+    runs = "|".join(("\\" + c if c in "+/=-" else c) + "{8}" for c in "abcdefghijklmnopqrstuvwxyz0123456789+/=_-")
+    allowed = " OR ".join(f"regexp_matches(s, {quote(a.replace('|(.)' + chr(92) + '1{7}', ''))})" for a in ALLOW)
+    limits = " ".join(f"WHEN {quote(k)} THEN {most_sum(w, b)}" for k, _, w, b in CLASSES)
+    base = ", ".join(quote(k) for k, *_ in BASE)
+    return f"""
+        WITH d AS (SELECT doc_id, row_number() OVER () AS rid, coalesce(text, '') AS t FROM documents),
+             f AS ({found}),
+             e AS (SELECT rid, t, kind, k, least, unnest(m) AS s, unnest(g) AS g, unnest(gaps[1:len(m)]) AS gap, generate_subscripts(m, 1) AS i
+                   FROM f WHERE len(m) > 0),
+             p AS (SELECT *, CAST(sum(length(gap)) OVER w + coalesce(sum(length(s)) OVER (PARTITION BY rid, kind ORDER BY i
+                          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start
+                   FROM e WINDOW w AS (PARTITION BY rid, kind ORDER BY i)),
+             b AS (SELECT rid, kind, k, start, start + length(s) AS stop FROM p WHERE kind IN ({base}) AND length(g) >= least),
+             c AS (SELECT rid, kind, k, i, s, start, least FROM p
+                   WHERE kind NOT IN ({base}) AND NOT ({allowed} OR regexp_matches(lower(s), {quote(runs)})
+                         OR regexp_matches(right(left(t, CAST(start AS BIGINT)), {BEFORE_CHARS}) || chr(1), {quote(ALLOW_BEFORE)}))),
+             w AS (SELECT rid, kind, k, i, start, least, unnest(range(0, length(s) - least + 1)) AS o, s FROM c),
+             h AS (SELECT rid, kind, k, i, start, least, o FROM w
+                   WHERE list_sum(list_transform(map_values(list_histogram(string_split(substr(s, CAST(o AS BIGINT) + 1, least), ''))),
+                                                 lambda n: CAST(round(n * log2(n) * 1e6) AS BIGINT))) <= CASE kind {limits} END),
+             j AS (SELECT *, sum(CASE WHEN o > before + least THEN 1 ELSE 0 END) OVER (PARTITION BY rid, kind, i ORDER BY o) AS island
+                   FROM (SELECT *, lag(o) OVER (PARTITION BY rid, kind, i ORDER BY o) AS before FROM h)),
+             x AS (SELECT rid, kind, any_value(k) AS k, any_value(start) + min(o) AS start, any_value(start) + max(o) + any_value(least) AS stop
+                   FROM j GROUP BY rid, kind, i, island),
+             a AS (SELECT rid, kind, k, start, stop FROM b UNION ALL
+                   SELECT rid, kind, k, start, stop FROM x WHERE NOT EXISTS (
+                       SELECT 1 FROM b WHERE b.rid = x.rid AND b.start <= x.start AND x.stop <= b.stop)),
+             g AS (SELECT rid, {", ".join(f"count(*) FILTER (kind = {quote(k)}) AS n_{k}" for k, *_ in BASE)},
+                          string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, k) FILTER (kind IN ({base})) AS base,
+                          string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, k) AS spans FROM a GROUP BY rid)
+        SELECT doc_id, {", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k, *_ in BASE)},
+               sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+        FROM d LEFT JOIN g USING (rid)"""
+
+
 QUERIES = {"op13_secret_scan": op13_secret_scan}
-ORACLE = {}
+ORACLE = {"op13_secret_scan": _oracle()}

@@ -103,3 +103,9 @@ def test_padding(spark):
     lone = {r.length: len(r.ids) for r in sequences(place(pieces.filter("doc_id = 1"), 8), 8).collect()}
     assert lone == {4: 16}                                     # a power of two is not padded
     assert token_pieces(pieces.selectExpr("doc_id", "'' AS text"), PATH).count() == 7
+
+
+def test_place_replaces_columns_of_its_names(spark):
+    pieces = spark.createDataFrame([(1, 4096, "x", "y"), (2, 9, "x", "y"), (3, 9, None, None)], "doc_id long, length long, sequence_id string, offset string")
+    got = place(pieces).collect()
+    assert {(r.doc_id, r.offset) for r in got} in ({(1, 0), (2, 0), (3, 9)}, {(1, 0), (2, 9), (3, 0)}) and len(got[0]) == 4

@@ -63,3 +63,8 @@ def test_edge_rows(spark, edge_docs, no_docs, model):
     v = Vocabulary.load(PATH)
     ids = spark.createDataFrame([(1, None), (2, []), (3, [3 + 0xC3]), (4, model.encode("ok"))], "doc_id long, ids array<int>")
     assert {r.doc_id: r.text for r in decode_with(ids, v, "ids", "text").collect()} == {1: "", 2: "", 3: "�", 4: "ok"}
+
+
+def test_decode_replaces_a_column_of_its_name(spark, model):
+    df = spark.createDataFrame([(1, model.encode("over there"), "old")], "doc_id long, ids array<int>, text string")
+    assert decode(df, PATH).collect()[0].text == "over there"

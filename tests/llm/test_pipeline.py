@@ -96,6 +96,14 @@ def test_empty_and_odd_tables(spark, stages, edge_docs):
     for name, stage in C.STAGES[:-1]:
         out = stage(spark, odd, SF)
         assert out.columns == odd.columns and out.count() > 0, name
+    packed = C.pack(spark, odd, SF)
+    assert packed.select("doc_id").distinct().count() == odd.select("doc_id").distinct().count()
+    assert packed.filter("offset + length > 4096").count() == 0
+    # names that the stages use inside
+    clash = stages["exact"].limit(20).selectExpr("*", "lang AS `__spans`", "source AS `__kept`", "n_chars AS `__n_bytes`", "lang AS spans", "lang AS `sequence.id`")
+    for name, stage in C.STAGES[:-1]:
+        out = stage(spark, clash, SF)
+        assert out.columns == clash.columns and out.filter("`__spans` != lang").count() == 0, name
 
 
 def test_near_with_null_and_repeated_ids(spark):

@@ -116,3 +116,61 @@ def test_four_symbols_of_context(spark):
     model = QualityModel(docs, spark.createDataFrame([(i,) for i in range(80)], "doc_id long"))
     bits = {r.id: r.bits for r in model.scores.collect()}
     assert min(bits[i] for i in range(100, 120)) > 1.5 * max(bits[i] for i in range(80, 100))
+
+
+def test_query_against_brute_force(spark, tmp_path):
+    """Bits, thresholds and decisions of every row, read off the definition: folds, models, shrinking and quantiles."""
+    rng = np.random.default_rng(9)
+    words = ["the", "river", "runs", "to", "a", "wide", "sea", "under", "stone", "and"]
+    rows = []
+    for i in range(60):
+        w = list(rng.choice(words, int(rng.integers(0, 25))))
+        if i % 7 == 3:
+            w = ["zq" + "".join(chr(int(c)) for c in rng.integers(33, 120, 12)) for _ in w]
+        rows.append((i, " ".join(w) + (" and and and" if i % 5 == 0 else ""), ["en", "de", None][i % 3]))
+    rows += [(60, None, "en"), (61, "", "en"), (62, "lonely", "fr"), (5, rows[5][1], rows[5][2])]
+    trusted = [r[0] for r in rows if r[0] < 62 and r[0] % 7 != 3 and r[0] % 4]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    labels = [(i, 1 if i in trusted else 0, 0) for i in range(62)] + [(None, 1, 0)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    folds = {(r.doc_id, r.text): r.f for r in spark.createDataFrame(rows, "doc_id long, text string, lang string")
+             .selectExpr("doc_id", "text", "xxhash64(3, doc_id, text) & 1 AS f").collect()}
+
+    def own_grams(text):
+        raw = np.frombuffer((text or "").encode(), np.uint8)
+        out, offs = symbols(raw, np.array([0, len(raw)]))
+        return grams(out, offs, 5).tolist() if len(out) else []
+
+    counts = defaultdict(Counter)
+    for d, text, lang in rows:
+        if d in trusted:            # a row trains the model that scores the other fold
+            counts[lang, folds[d, text] ^ 1].update(own_grams(text))
+    models = {k: brute(c, 5) for k, c in counts.items()}
+    bits, size = [], []
+    for d, text, lang in rows:
+        g = own_grams(text)
+        p = models.get((lang, folds[d, text]), lambda _: 1 / 256) if g else None
+        low = (lambda x, p=p: p(x)) if p else None
+        bits.append(sum(-math.log2(low(x)) for x in g))
+        size.append(len(g))
+    got = sorted((tuple(r) for r in op3_quality_classifier(spark, str(tmp_path)).collect()), key=repr)
+    want = []
+    for lang in {r[2] for r in rows}:
+        own = [i for i, r in enumerate(rows) if r[2] == lang]
+        known = [i for i in own if rows[i][0] in trusted]
+        total = sum(size[i] for i in known)
+        mean = sum(bits[i] for i in known) / total if total else None
+        value = {i: (bits[i] + 200 * mean) / (size[i] + 200) if size[i] and mean is not None else None for i in own}
+        ranked = sorted(value[i] for i in known if size[i])
+        limit = None
+        if ranked:
+            half, high = (ranked[max(math.ceil(q * len(ranked)) - 1, 0)] for q in (0.5, 0.95))
+            limit = high + 6 * (high - half)
+        for i in own:
+            keep = True if limit is None or value[i] is None else value[i] <= limit
+            want.append((rows[i][0], lang, size[i], value[i] and 2 ** value[i], limit and 2 ** limit, keep))
+    want.sort(key=repr)
+    assert len(got) == len(want) and {r[5] for r in want} == {True, False}
+    for a, b in zip(sorted(got, key=lambda r: (r[0], repr(r[1]))), sorted(want, key=lambda r: (r[0], repr(r[1]))), strict=True):
+        assert a[:3] == b[:3] and a[5] == b[5], (a, b)
+        assert all((x is None) == (y is None) and (x is None or math.isclose(x, y, rel_tol=1e-4)) for x, y in zip(a[3:5], b[3:5], strict=True)), (a, b)

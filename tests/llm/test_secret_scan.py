@@ -4,7 +4,7 @@ import random
 import re
 from collections import Counter
 
-from strata.llm.secret_scan import (ALLOW, ALLOW_BEFORE, BASE, BEFORE_CHARS, CLASSES, bits_table, most_sum,
+from strata.llm.secret_scan import (ALLOW, ALLOW_BEFORE, BASE, BEFORE_CHARS, CLASSES, ORACLE, START_MARK, bits_table, most_sum,
                                     op13_secret_scan, running_total, scan_secrets)
 
 PATTERNS = [
@@ -23,7 +23,7 @@ def brute(text):
         for m in re.finditer("[" + re.escape(chars) + "]{" + str(window) + ",}", text):
             s = m.group()
             before = text[max(0, m.start() - 200):m.start()]
-            if any(re.search(a, s) for a in ALLOW) or re.search(ALLOW_BEFORE, before[-BEFORE_CHARS:]):
+            if any(re.search(a, s) for a in ALLOW) or re.search(ALLOW_BEFORE, before[-BEFORE_CHARS:] + START_MARK):
                 continue
             at = None
             for i in range(len(s) - window + 1):
@@ -103,3 +103,16 @@ def test_running_total_and_table(spark):
         assert got == [sum(r[:i + 1]) for i in range(len(r))]
     assert bits_table(4) == [0, 0, 2_000_000, 4_754_888, 8_000_000]
     assert most_sum(16, 4.0) == 0 and len(BASE) == 3
+
+
+def test_sql_against_brute_force():
+    import duckdb
+    import pandas as pd
+
+    cases = texts()
+    con = duckdb.connect()
+    con.register("documents", pd.DataFrame({"doc_id": range(len(cases)), "text": pd.Series(cases, dtype="string")}))
+    for i, n_assign, n_access, n_hex, sha, spans in con.execute(ORACLE["op13_secret_scan"]).fetchall():
+        base, want, n = brute(cases[i])
+        assert spans == want, cases[i]
+        assert (sha, n_assign, n_access, n_hex) == (hashlib.sha256(base.encode()).hexdigest(), n["assign"], n["access"], n["hex"])

@@ -78,3 +78,9 @@ def test_edge_rows(edge_docs, no_docs):
     assert left[7, 7] == ""                      # all of it is in the longer text too
     assert len(left[8, 8]) < 200 and left[8, 8].endswith("tail")
     assert remove_repeats(no_docs).count() == 0
+
+
+def test_remove_repeats_replaces_columns_of_its_names(spark):
+    df = spark.createDataFrame([(1, "a" * 450, "s", "n"), (2, "b", "s", None)], "doc_id long, text string, `__spans` string, `__n_bytes` string")
+    got = {r.doc_id: r for r in remove_repeats(df).collect()}
+    assert (got[1]["__n_bytes"], bytes(got[1]["__kept"]), got[2]["__n_bytes"]) == (450, b"", 1)
