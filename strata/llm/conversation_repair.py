@@ -446,5 +446,62 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("sha", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
 
 
+#: DuckDB SQL: the cheapest edits row by row in a recursive query, without an agenda; crc32 by its table
+_SQL = """
+    WITH RECURSIVE
+    crc AS (SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+                   lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+    convs AS (SELECT conv_id, row_number() OVER () AS cid FROM (SELECT DISTINCT conv_id FROM conversations)),
+    src AS (SELECT cid, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                   coalesce(CAST(conversations.conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key
+            FROM conversations JOIN convs ON conversations.conv_id IS NOT DISTINCT FROM convs.conv_id),
+    code AS (SELECT src.*, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT),
+                    list_transform(string_split(key, ''), lambda ch: CAST(ord(ch) AS BIGINT))),
+                    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS code FROM src, crc),
+    hurt AS (SELECT cid, turn, CASE WHEN code = 4 THEN 'user' ELSE role END AS role,
+                    CASE code WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+                    unnest(CASE WHEN code = 3 THEN [0, 1] ELSE [0] END) AS copy
+             FROM code WHERE code <> 0),
+    ends AS (SELECT *, left(role, 1) AS ini, right(rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1) AS last FROM hurt),
+    num AS (SELECT cid, turn, role, text, ini, last,
+                   row_number() OVER (PARTITION BY cid ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS i FROM ends),
+    rows_ AS (SELECT *, CASE WHEN last = '' THEN 'blank'
+                             WHEN row_number() OVER (PARTITION BY cid, role, text ORDER BY i) > 1 THEN 'duplicate'
+                             WHEN last NOT IN ('.', '!', '?') THEN 'truncated' ELSE 'none' END AS fault,
+                     coalesce(lag(ini) OVER (PARTITION BY cid ORDER BY i) || ini NOT IN ('su', 'ua', 'au'), false) AS illegal FROM num),
+    turns(q, ini, r) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)),
+    inserts(q, r, c, a) AS (VALUES (0, 0, 0, ''), (0, 2, 3, 'I'), (0, 3, 6, 'II'), (1, 1, 0, ''), (1, 2, 3, 'I'), (1, 3, 6, 'II'),
+                                   (2, 2, 0, ''), (2, 3, 3, 'I'), (3, 3, 0, ''), (3, 2, 3, 'I')),
+    edits AS (SELECT cid, i, q, q AS r, 4 AS c, 'D' AS a FROM rows_, (SELECT DISTINCT q FROM inserts)
+              UNION ALL
+              SELECT cid, i, q, r, CASE WHEN fault = 'truncated' THEN 3 ELSE 0 END, 'K' FROM rows_ JOIN turns USING (ini)
+              WHERE fault NOT IN ('blank', 'duplicate')
+              UNION ALL
+              SELECT cid, i, q, r, CASE WHEN fault = 'truncated' THEN 6 ELSE 3 END, 'R' FROM rows_, turns
+              WHERE fault NOT IN ('blank', 'duplicate') AND turns.ini IN ('u', 'a')),
+    steps AS (SELECT cid, i, edits.q, inserts.r, edits.c + inserts.c AS c, edits.a || inserts.a AS a
+              FROM edits JOIN inserts ON edits.r = inserts.q),
+    best AS (SELECT cid, CAST(0 AS BIGINT) AS i, r AS q, {'c': c, 'a': a} AS w FROM (SELECT DISTINCT cid FROM rows_), inserts WHERE q = 0
+             UNION ALL
+             SELECT best.cid, best.i + 1, steps.r, min({'c': best.w.c + steps.c, 'a': best.w.a || steps.a})
+             FROM best JOIN steps ON steps.cid = best.cid AND steps.i = best.i + 1 AND steps.q = best.q
+             GROUP BY best.cid, best.i, steps.r),
+    sums AS (SELECT cid, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+                    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+                    count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (illegal) AS illegal FROM rows_ GROUP BY cid),
+    goal AS (SELECT best.cid, min(w) AS w FROM best JOIN sums ON sums.cid = best.cid AND sums.n = best.i WHERE q IN (0, 3) GROUP BY best.cid),
+    letters AS (SELECT cid, p, substr(w.a, CAST(p AS BIGINT), 1) AS e FROM (SELECT cid, w, unnest(range(1, length(w.a) + 1)) AS p FROM goal)),
+    placed AS (SELECT *, count(*) FILTER (e <> 'I') OVER (PARTITION BY cid ORDER BY p) AS i FROM letters),
+    kept AS (SELECT placed.cid, p, e, rows_.role, rows_.text, rows_.ini, row_number() OVER (PARTITION BY placed.cid ORDER BY p) - 1 AS o
+             FROM placed LEFT JOIN rows_ ON e <> 'I' AND rows_.cid = placed.cid AND rows_.i = placed.i WHERE e <> 'D'),
+    lines AS (SELECT cid, CASE WHEN e = 'K' THEN role
+                               WHEN (o - max(CASE WHEN o = 0 AND e = 'K' AND ini = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY cid)) % 2 = 0 THEN 'user'
+                               ELSE 'assistant' END || ':' || CASE WHEN e = 'I' THEN '' ELSE text END AS line, p FROM kept),
+    texts AS (SELECT cid, string_agg(line, chr(10) ORDER BY p) AS text FROM lines GROUP BY cid)
+    SELECT conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+           coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(w.c, 0) AS BIGINT) AS cost,
+           coalesce(w.a, '') AS audit, sha256(coalesce(texts.text, '')) AS repaired_sha256
+    FROM convs LEFT JOIN sums USING (cid) LEFT JOIN goal USING (cid) LEFT JOIN texts USING (cid)"""
+
 QUERIES = {"op11_conversation_repair": op11_conversation_repair}
-ORACLE = {}
+ORACLE = {"op11_conversation_repair": _SQL}

@@ -6,7 +6,7 @@ import zlib
 
 import pytest
 
-from strata.llm.conversation_repair import Row, cheapest_repair, digests, op11_conversation_repair, repair_conversations
+from strata.llm.conversation_repair import ORACLE, Row, cheapest_repair, digests, op11_conversation_repair, repair_conversations
 
 GRAMMAR = re.compile("(s?(ua)+)?")
 
@@ -188,3 +188,17 @@ def test_empty_table_and_clashing_names(spark):
     df = spark.createDataFrame([("x", 1, "user", "A.", 1, 1, "q", "z"), ("x", 2, "assistant", "B.", 2, 2, None, None)], schema)
     assert repair_conversations(df).summary.columns[0] == "conv_id"
     assert [tuple(r) for r in repair_conversations(df).summary.collect()] == [("x", 2, 0, 0, 0, 0, 0, 0, "KK")]
+
+
+def test_sql_against_plain_python():
+    import duckdb
+    import pandas as pd
+
+    rows = random_rows(11, 200, 9) + [(None, t, "user", "Hm.") for t in (1, None, 2, 2)] + [(9000, None, None, None)] * 3
+    rows += [(c, 1, "user", "Once.") for c in range(10000, 10060)]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
+    con.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", rows)
+    got = {r[0]: tuple(r[1:]) for r in con.execute(ORACLE["op11_conversation_repair"]).fetchall()}
+    assert got == expected(rows)
+    assert len(pd.DataFrame(got)) == 8
