@@ -9,7 +9,7 @@ from strata.operators.transform import normalize_headers, rows_of_run, stamp_aud
 from strata.queries.common import NOW, NOW_2, RUN_ID, RUN_ID_2, table
 from strata.session import scratch_dir
 from strata.sources.csv import csv_to_bronze, load_csv_folder, read_csv, write_csv
-from strata.sources.tables import LayerTable
+from strata.sources.tables import LayerTable, read_run
 from strata.schemas import ADDED_BY, ADDED_ON
 
 CUSTOMER_BRONZE = T.StructType([
@@ -78,7 +78,21 @@ def audit_by_run(spark, sf_dir):
     return rows_of_run(bronze.read(), RUN_ID_2)
 
 
+def rows_of_a_run(spark, sf_dir):
+    """Three runs' orders in one table, one of them by two appends; one run's rows, with the number of files they are in."""
+    o = table(spark, sf_dir, "orders")
+    stamped = lambda df, run, now: stamp_audit(df, run, now, (ADDED_BY, ADDED_ON))
+    bronze = LayerTable(spark, scratch_dir(spark, "bronze_runs"))
+    bronze.replace(stamped(o.where(F.col("o_orderdate") < "1994-01-01").coalesce(1), RUN_ID, NOW))
+    bronze.append(stamped(o.where((F.col("o_orderdate") >= "1994-01-01") & (F.col("o_orderdate") < "1996-01-01")), "run-0003", NOW), "run-0003")
+    for low, high in (("1996-01-01", "1997-01-01"), ("1997-01-01", "2100-01-01")):
+        bronze.append(stamped(o.where((F.col("o_orderdate") >= low) & (F.col("o_orderdate") < high)).coalesce(1), RUN_ID_2, NOW_2), RUN_ID_2)
+    rows = read_run(bronze, RUN_ID_2)
+    return rows.withColumn("FILES", F.lit(rows.select(F.input_file_name()).distinct().count()).cast("long"))
+
+
 QUERIES = {
+    "rows_of_a_run": rows_of_a_run,
     "csv_ingest": csv_ingest,
     "csv_mixed_headers": csv_mixed_headers,
     "csv_infer": csv_infer,
@@ -87,6 +101,9 @@ QUERIES = {
 }
 
 ORACLE = {
+    "rows_of_a_run": f"""
+        SELECT *, '{RUN_ID_2}' AS ADDED_BY, TIMESTAMP '{NOW_2}' AS ADDED_ON, 2 AS FILES
+        FROM orders WHERE o_orderdate >= TIMESTAMP '1996-01-01'""",
     "csv_ingest": f"""
         SELECT c_custkey AS C_CUSTKEY, c_name AS C_NAME, c_nationkey AS C_NATIONKEY,
                c_acctbal AS C_ACCTBAL, c_mktsegment AS C_MKTSEGMENT,

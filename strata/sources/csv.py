@@ -428,14 +428,14 @@ def load_csv_folder(
     if veiled and not hidden:
         _LOG.warning("%d files below %s have hidden names and are not loaded, e.g. %s", len(veiled), path, veiled[0])
     folders = [path, unhide(spark, veiled, scratch_dir(spark, "unhidden")) if hidden else None]
-    reject = None if rejects is None else rejects.append
+    reject = None if rejects is None else lambda rows: rejects.append(rows, run_id)
     written, empty = 0, True
     for folder in filter(None, folders):
         heads, n = stage(file_headers(spark, folder, glob=glob, recursive=recursive), "csv-headers")
         if n == 0 and (hidden and veiled):
             continue
         written += write_parts(*csv_parts(spark, folder, heads, table.schema, run_id=run_id, now=now, glob=glob, options=options,
-                                          file_column=file_column, recursive=recursive), table.schema, table.append, reject)
+                                          file_column=file_column, recursive=recursive), table.schema, lambda rows: table.append(rows, run_id), reject)
         empty = False
     if empty:
         raise FileNotFoundError(f"no files with a header below {path}")

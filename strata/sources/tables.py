@@ -8,6 +8,7 @@ plan reads deletes the data first). The newest version is the table.
 
 from __future__ import annotations
 
+import hashlib
 import re
 import uuid
 from collections.abc import Mapping, Sequence
@@ -16,6 +17,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.schemas import ADDED_BY
 from strata.sources.partitioned import PartitionedTable
 
 _VERSION = re.compile(r"v=(\d+)")
@@ -136,9 +138,12 @@ class LayerTable:
         self._write_version(self.spark.createDataFrame([], schema))
         return self
 
-    def append(self, df: DataFrame) -> int:
-        """K1: add rows to the current version, as a batch of their own; returns rows written."""
-        return self.write_batch(df, uuid.uuid4().hex[:16])
+    def append(self, df: DataFrame, run_id: str | None = None) -> int:
+        """K1: add rows to the current version, as a batch of their own; returns rows written.
+
+        ``run_id``: the run that all of them belong to (see ``read_run``).
+        """
+        return self.write_batch(df, f"{run_mark(run_id) if run_id else ''}{uuid.uuid4().hex[:16]}")
 
     def replace(self, df: DataFrame) -> int:
         """K2/K3: publish ``df`` as the next version; returns rows written (K7)."""
@@ -152,6 +157,32 @@ class LayerTable:
         return int(obs.get["rows"])
 
 
+def run_mark(run_id: str) -> str:
+    """How the folders of a run's batches begin."""
+    return f"run-{hashlib.sha256(run_id.encode()).hexdigest()[:16]}-"
+
+
+def read_run(table: LayerTable, run_id: str, column: str = ADDED_BY) -> DataFrame:
+    """The rows that a run loaded; batch folders of other runs are not opened.
+
+    Batches are partitions for this read, so Spark prunes their folders by name; in
+    batches without a run's mark and in rows beside them (a replace), ``column`` decides.
+    """
+    spark, path, schema = table.spark, table.current_path(), table.schema
+    jvm = spark.sparkContext._jvm
+    fs = jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    exists = lambda glob: bool(len(fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{path}/{glob}")) or ()))
+    out = spark.createDataFrame([], schema)
+    if exists("batch=*"):
+        rows = (spark.read.schema(T.StructType([*schema, T.StructField("batch", T.StringType())]))
+                .option("basePath", path).parquet(f"{path}/batch=*"))
+        mine = F.col("batch").startswith(run_mark(run_id)) | ~F.col("batch").startswith("run-")
+        out = rows.where(mine & (F.col(column) == run_id)).select(*[F.col(f"`{c}`") for c in schema.fieldNames()])
+    if exists("part-*"):
+        out = out.unionByName(spark.read.schema(schema).parquet(f"{path}/part-*").where(F.col(column) == run_id))
+    return out
+
+
 class Lakehouse:
     """Tables by layer and name below one root (e.g. in the shared folder).
 

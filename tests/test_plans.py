@@ -87,3 +87,23 @@ def test_upsert_reads_one_shuffle_of_a_deduplicated_source(spark):
         assert "ReusedExchange" in plan(out)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", with_broadcast)
+
+
+def test_rows_of_a_run_prune_other_folders(spark, workdir):
+    from strata.sources.tables import LayerTable, read_run
+
+    t = LayerTable(spark, f"{workdir}/runs").create(spark.createDataFrame([], "a int, ADDED_BY string").schema)
+    row = lambda a, run: spark.createDataFrame([(a, run)], "a int, ADDED_BY string")
+    for a, run in ((1, "r1"), (2, "r2"), (3, "r1")):
+        t.append(row(a, run), run)
+    t.append(row(4, "r1"))              # without a mark: the column decides
+    t.append(row(5, "r3"))
+    rows = read_run(t, "r1")
+    p = plan(rows)
+    assert "PartitionFilters: [" in p and "StartsWith(batch" in p
+    assert sorted(r.a for r in rows.collect()) == [1, 3, 4]
+    t.replace(t.read())                 # rows beside the batches
+    t.append(row(6, "r1"), "r1")
+    assert sorted(r.a for r in read_run(t, "r1").collect()) == [1, 3, 4, 6] and read_run(t, "r9").count() == 0
+    empty = LayerTable(spark, f"{workdir}/none").create(t.schema)
+    assert read_run(empty, "r1").count() == 0
