@@ -19,8 +19,14 @@ component of these edges: a *cluster* of candidates.
 
 *Verification.* Whole sets are fetched once per class and meet in their cluster. A
 cluster of more than ``BLOCK`` classes is cut into overlapping bands of set size, a band
-of more than that into blocks by hash, and every two blocks meet in a task of their own, so no task grows with a cluster. A task counts all
-overlaps exactly and puts out a spanning set of the links, not the pairs.
+of more classes or tokens than a block holds into blocks by hash, and every two blocks
+meet in a task of their own, so no task grows with a cluster. A task counts all
+overlaps exactly, a range of tokens at a time, and puts out a spanning set of the links, not the pairs.
+Classes that only common tokens tie together come here without the filters of sizes,
+places and orders 2 and 3, and most of them have no link. So sketches of a large
+cluster's sets meet first: counts of tokens by some bits of their hash, one counter
+for about four tokens. Two sets share at most the sum of their lesser counts; the
+components of the pairs that may link by that are the clusters whose sets then meet.
 
 Defined results: null or empty texts and texts without words have an empty set and
 link with nothing; texts with fewer words than a shingle are one shingle; repeated
@@ -37,7 +43,7 @@ from pyspark.sql import types as T
 
 from strata.llm import bitmaps
 from strata.llm.blocks import bucketed
-from strata.llm.common import LOWER_BYTES, table, utf8
+from strata.llm.common import LOWER_BYTES, release_shuffles, table, utf8
 from strata.llm.components import components
 from strata.llm.suffix_dedup import SpanHash, mix
 from strata.session import stage
@@ -51,8 +57,11 @@ COMMON = 32
 #: bits of the bitmaps that are broadcast (8 MB)
 BITS = 1 << 26
 TEXTS = 1000
-#: classes of a cluster that meet others in one task
+#: classes of a cluster that meet others in one task, and tokens of their sets
 BLOCK = 512
+BLOCK_TOKENS = 4 << 20
+#: tokens that a task counts at a time
+CHUNK_TOKENS = 1 << 20
 
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -236,24 +245,37 @@ def _fetch(text_col, words, percent, wanted):
 
 
 def linked(sets: list[np.ndarray], percent: int) -> np.ndarray:
-    """Smallest member of each set's component, by the links among ``sets``."""
+    """Smallest member of each set's component, by the links among ``sets`` (sorted as unsigned numbers)."""
     n = len(sets)
+    sets = [t.view(np.uint64) for t in sets]
     size = np.array([len(t) for t in sets], np.int64)
-    owner = np.repeat(np.arange(n), size)
-    _, token, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    shared = count[token] > 1                       # a token of one set overlaps with nothing
-    owner, token = owner[shared], np.unique(token[shared], return_inverse=True)[1]
     overlap = np.zeros((n, n), np.float32)
-    by = np.argsort(token, kind="stable")
-    owner, token = owner[by], token[by]
-    for lo in range(0, int(token.max(initial=-1)) + 1, 2048):
-        a, b = np.searchsorted(token, [lo, lo + 2048])
-        held = np.zeros((n, 2048), np.float32)
-        held[owner[a:b], token[a:b] - lo] = 1
-        overlap += held @ held.T
+    # tokens are hashes, so equal ranges of them hold about equally many
+    parts = max(1, -(-int(size.sum()) // CHUNK_TOKENS))
+    cuts = np.array([(k << 64) // parts for k in range(1, parts)], np.uint64)
+    edges = np.stack([np.concatenate([[0], np.searchsorted(t, cuts), [len(t)]]) for t in sets]).astype(np.int64)
+    for k in range(parts):
+        some = [t[e[k]:e[k + 1]] for t, e in zip(sets, edges, strict=True)]
+        owner = np.repeat(np.arange(n), edges[:, k + 1] - edges[:, k])
+        _, token, count = np.unique(np.concatenate(some), return_inverse=True, return_counts=True)
+        shared = count[token] > 1                       # a token of one set overlaps with nothing
+        owner, token = owner[shared], np.unique(token[shared], return_inverse=True)[1]
+        by = np.argsort(token, kind="stable")
+        owner, token = owner[by], token[by]
+        for lo in range(0, int(token.max(initial=-1)) + 1, 2048):
+            a, b = np.searchsorted(token, [lo, lo + 2048])
+            held = np.zeros((n, 2048), np.float32)
+            held[owner[a:b], token[a:b] - lo] = 1
+            overlap += held @ held.T
     overlap = overlap.astype(np.int64)
     link = 100 * overlap >= percent * (size[:, None] + size[None, :] - overlap)
     np.fill_diagonal(link, True)
+    return spanning(link)
+
+
+def spanning(link: np.ndarray) -> np.ndarray:
+    """Smallest member of each one's component, by a symmetric matrix of links (its diagonal set)."""
+    n = len(link)
     label = np.arange(n)
     while True:
         low = np.where(link, label[None, :], n).min(axis=1)
@@ -263,6 +285,91 @@ def linked(sets: list[np.ndarray], percent: int) -> np.ndarray:
         label = low
 
 
+def sketch_size(cell: int, percent: int) -> int:
+    """Counters for the sets of a cell: one for about four tokens, a power of two."""
+    return 1 << max(3, int(np.log2(max(1.0, (100 / percent) ** cell / 4))))
+
+
+def sketch(tokens: np.ndarray, size: int) -> np.ndarray:
+    """How many of the tokens have each rest modulo ``size`` (a power of two)."""
+    return np.bincount((tokens.view(np.uint64) & np.uint64(size - 1)).astype(np.int64), minlength=size).astype(np.uint32)
+
+
+def _sketch(percent: int):
+    """Rows with a set and its cell -> rows with the set's sketch."""
+
+    def run(batches):
+        for b in batches:
+            lists = b.column("tokens")
+            flat, size = lists.flatten().to_numpy(zero_copy_only=False), lists.value_lengths().to_numpy(zero_copy_only=False)
+            ends = np.cumsum(size)
+            cells = b.column("cell").to_pylist()
+            made = [sketch(flat[e - n:e], sketch_size(c, percent)) for e, n, c in zip(ends.tolist(), size.tolist(), cells, strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [*[b.column(c) for c in ("task", "b", "o", "cluster", "c1", "c2", "n")], pa.array([m.tobytes() for m in made], pa.binary())],
+                names=["task", "b", "o", "cluster", "c1", "c2", "n", "sketch"])
+
+    return run
+
+
+def possible(sketches: np.ndarray, size: np.ndarray, percent: int) -> np.ndarray:
+    """Which sets may link: they share at most the sum of the lesser counts."""
+    n = len(size)
+    link = np.eye(n, dtype=bool)
+    for i in range(n - 1):
+        most = np.minimum(sketches[i], sketches[i + 1:]).sum(axis=1, dtype=np.int64)
+        link[i, i + 1:] = 100 * most >= percent * (size[i] + size[i + 1:] - most)
+    return link | link.T
+
+
+def _may_link(percent: int):
+    """A spanning set of the possible links among the rows of each cell in a task."""
+
+    def run(tab: pa.Table) -> pa.Table:
+        code = tab.column("cluster").to_numpy()
+        by = np.argsort(code, kind="stable")
+        c1, c2, size = (tab.column(c).to_numpy() for c in ("c1", "c2", "n"))
+        body = tab.column("sketch").to_pylist()
+        a, b = [], []
+        for rows in np.split(by, np.flatnonzero(np.diff(code[by])) + 1):
+            _, first = np.unique(np.stack([c1[rows], c2[rows]]), axis=1, return_index=True)
+            rows = rows[first]
+            if len(rows) > 1:
+                label = spanning(possible(np.stack([np.frombuffer(body[r], np.uint32) for r in rows.tolist()]), size[rows], percent))
+                own = np.flatnonzero(label != np.arange(len(rows)))
+                a.append(rows[own])
+                b.append(rows[label[own]])
+        a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b))
+        return pa.table({"x1": pa.array(c1[a]), "x2": pa.array(c2[a]), "y1": pa.array(c1[b]), "y2": pa.array(c2[b])})
+
+    return run
+
+
+def _meetings(sized: DataFrame, percent: int, by_tokens: bool) -> DataFrame:
+    """Where classes (c1, c2, n, cluster, whole) meet: task, b, o and, as ``cluster``, their cell; with cell and n.
+
+    A cluster larger than a block is cut by size first: sets of sizes more than one
+    band apart cannot link. Small cells share tasks; of a large one, every two blocks meet in a task.
+    """
+    band = F.floor(F.ln("n") / -F.ln(F.lit(percent / 100))).cast("long")
+    cell = F.when(F.col("whole") <= BLOCK, F.array(F.lit(-2).cast("long"))).otherwise(F.array(band, band - 1))
+    cells, n_cells = stage(sized.select("c1", "c2", "n", "cluster", F.explode(cell).alias("cell")), "ngram-cells")
+    most = F.expr(f"div(held + {BLOCK - 1}, {BLOCK})")
+    shards = max(1, n_cells // BLOCK)
+    if by_tokens:
+        most = F.greatest(most, F.expr(f"div(tokens + {BLOCK_TOKENS - 1}, {BLOCK_TOKENS})"))
+        shards = max(shards, int(cells.agg(F.sum("n")).first()[0] or 0) // BLOCK_TOKENS)
+    blocks = (cells.groupBy("cluster", "cell").agg(F.count(F.lit(1)).alias("held"), F.sum("n").alias("tokens")).filter("held > 1")
+              .withColumn("blocks", most).drop("tokens"))
+    return (cells.join(blocks, ["cluster", "cell"])
+            .withColumn("own", F.xxhash64("cluster", "cell"))
+            .withColumn("b", F.pmod(F.xxhash64("c1", "c2", F.lit(6)), F.col("blocks")))
+            .withColumn("o", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+            .select("c1", "c2", "n", "cell", F.col("own").alias("cluster"),
+                    F.when(F.col("blocks") == 1, F.pmod("own", F.lit(shards))).otherwise(F.col("own")).alias("task"),
+                    F.when(F.col("blocks") == 1, F.lit(-1).cast("long")).otherwise(F.least("b", "o")).alias("b"), F.greatest("b", "o").alias("o")))
+
+
 def _verify(percent: int):
     """A spanning set of the links among the rows of each cluster in a task."""
 
@@ -295,6 +402,7 @@ def _fits(percent: int):
             & (F.least(F.expr("l.n - l.pos"), F.expr("r.n - r.pos")) >= need))
 
 
+LINK = "x1 long, x2 long, y1 long, y2 long"
 PAIR = ["l.c1 AS x1", "l.c2 AS x2", "r.c1 AS y1", "r.c2 AS y2"]
 
 
@@ -329,6 +437,7 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     groups = (cand.groupBy("t").agg(F.count(F.lit(1)).alias("g"), F.min(F.struct("rare", "c1", "c2")).alias("lead"))
               .filter("g > 1"))
     members, _ = stage(cand.join(groups, "t"), "ngram-groups")
+    release_shuffles(spark)
     few = members.filter(F.col("g") <= small).select("t", "c1", "c2", "n", "pos")
     many = members.filter(F.col("g") > small)
     apart = F.expr("l.c1 < r.c1 OR (l.c1 = r.c1 AND l.c2 < r.c2)")
@@ -336,6 +445,7 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     pairs, _ = stage(close.distinct(), "ngram-pairs")
     star = many.filter("c1 != lead.c1 OR c2 != lead.c2").selectExpr("c1 AS x1", "c2 AS x2", "lead.c1 AS y1", "lead.c2 AS y2").distinct()
     star, n_star = stage(star, "ngram-star")
+    release_shuffles(spark)
 
     classes, _ = stage(rows.filter("n > 0").groupBy("c1", "c2").agg(F.min(id_col).alias("doc"), F.first("n").alias("n")), "ngram-classes")
     both = pairs.unionByName(star)
@@ -348,24 +458,25 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     edges = _other_orders(pairs, sets).unionByName(star).select(F.struct("x1", "x2").alias("x"), F.struct("y1", "y2").alias("y"))
     edges = edges.selectExpr("named_struct('c1', x.x1, 'c2', x.x2) AS x", "named_struct('c1', y.y1, 'c2', y.y2) AS y")
     members, _ = stage(components(edges).select("node.c1", "node.c2", F.xxhash64("root").alias("cluster")), "ngram-clusters")
-    # a cluster larger than a block is cut by size first: sets of sizes more than one band apart cannot link
+    release_shuffles(spark)
+    # of a large cluster, most classes have no link: count sketches, a few bytes for every token, show which may
+    sized = members.join(classes.select("c1", "c2", "n"), ["c1", "c2"])
     whole = members.groupBy("cluster").agg(F.count(F.lit(1)).alias("whole"))
-    band = F.floor(F.ln("n") / -F.ln(F.lit(percent / 100))).cast("long")
-    cell = F.when(F.col("whole") <= BLOCK, F.array(F.lit(-2).cast("long"))).otherwise(F.array(band, band - 1))
-    cells, n_cells = stage(members.join(classes.select("c1", "c2", "n"), ["c1", "c2"]).join(whole, "cluster")
-                           .select("c1", "c2", "cluster", F.explode(cell).alias("cell")), "ngram-cells")
-    blocks = (cells.groupBy("cluster", "cell").agg(F.count(F.lit(1)).alias("held")).filter("held > 1")
-              .withColumn("blocks", F.expr(f"div(held + {BLOCK - 1}, {BLOCK})")))
-    shards = max(1, n_cells // BLOCK)
-    # small clusters share tasks; of a large cell, every two blocks meet in a task
-    met = (cells.join(blocks, ["cluster", "cell"])
-           .withColumn("own", F.xxhash64("cluster", "cell"))
-           .withColumn("b", F.pmod(F.xxhash64("c1", "c2", F.lit(6)), F.col("blocks")))
-           .withColumn("o", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-           .select("c1", "c2", F.col("own").alias("cluster"), F.when(F.col("blocks") == 1, F.pmod("own", F.lit(shards))).otherwise(F.col("own")).alias("task"),
-                   F.when(F.col("blocks") == 1, F.lit(-1).cast("long")).otherwise(F.least("b", "o")).alias("b"), F.greatest("b", "o").alias("o")))
+    large = sized.join(whole.filter(F.col("whole") > BLOCK), "cluster")
+    sketched = (_meetings(large, percent, by_tokens=False).join(sets.select("c1", "c2", "tokens"), ["c1", "c2"])
+                .select("task", "b", "o", "cluster", "c1", "c2", "cell", "n", "tokens")
+                .mapInArrow(_sketch(percent), "task long, b long, o long, cluster long, c1 long, c2 long, n long, sketch binary"))
+    may, n_may = stage(sketched.groupBy("task", "b", "o").applyInArrow(_may_link(percent), LINK), "ngram-may-link")
+    left = sized.join(whole.filter(F.col("whole") <= BLOCK).select("cluster"), "cluster").select("c1", "c2", "n", "cluster")
+    if n_may:
+        again = components(may.selectExpr("named_struct('c1', x1, 'c2', x2) AS x", "named_struct('c1', y1, 'c2', y2) AS y"))
+        left = left.unionByName(again.select("node.c1", "node.c2", F.xxhash64("root").alias("cluster"))
+                                .join(classes.select("c1", "c2", "n"), ["c1", "c2"]))
+    left, _ = stage(left, "ngram-left")
+    release_shuffles(spark)
+    met = _meetings(left.join(left.groupBy("cluster").agg(F.count(F.lit(1)).alias("whole")), "cluster"), percent, by_tokens=True)
     links, n_links = stage(met.join(sets.select("c1", "c2", "tokens"), ["c1", "c2"]).groupBy("task", "b", "o")
-                           .applyInArrow(_verify(percent), "x1 long, x2 long, y1 long, y2 long"), "ngram-links")
+                           .applyInArrow(_verify(percent), LINK), "ngram-links")
     node = classes.select("c1", "c2", F.struct(F.col("doc").isNull().alias("none"), "doc", "c1", "c2").alias("node"))    # no id: last
     labels = node.select("c1", "c2", F.col("node.doc").alias("component"))
     if n_links:
