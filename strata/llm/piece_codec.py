@@ -28,6 +28,7 @@ text; repeated rows are encoded row by row; other columns are ignored.
 from __future__ import annotations
 
 import heapq
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -231,55 +232,62 @@ def lattice(units: DataFrame, vocab: Vocabulary, kind: str, keys: list[str], car
 
 
 def _apply(vocab, kind, with_text):
-    def run(block, rows, answers):
-        if rows is None:
-            raise RuntimeError("an answer without its block")
+    """Blocks (body, answers) -> ids per row, a part of the texts at a time."""
+    def run(batches):
         v = vocab.value
+        speller = Speller(v)
+        for b in batches:
+            for body, answers in zip(b.column("body"), b.column("answers"), strict=True):
+                yield from one(v, speller, unpack_rows(body.as_py()), answers.values)
+
+    def one(v, speller, rows, answers):
         units = Units(v)
-        parts = [(number.astype(np.int32), count) for number, count in map(units.cut, _texts(rows))]
+        parts = [(number.astype(np.int32), count.astype(np.int32)) for number, count in map(units.cut, _texts(rows))]
         names = rows.column("id")
         del rows
         cuts = np.zeros(len(units.number), np.int64)
-        cuts[answers.column("u").to_numpy()] = answers.column("cuts").to_numpy()
+        if answers is not None and len(answers):
+            cuts[answers.field("u").to_numpy()] = answers.field("cuts").to_numpy()
         split = v.merge if kind == "bpe" else v.viterbi
-        flat: list[int] = []
-        size = np.zeros(len(units.number), np.int64)
-        for w, k in units.number.items():
-            mask = int(cuts[k])
+        flat = array("i")
+        size = np.zeros(len(units.number), np.int32)
+        known, before = v.ids, 0
+        for k, (w, mask) in enumerate(zip(units.number, cuts.tolist(), strict=True)):
             if len(w) == 1:
-                got = v.piece_ids(w)
+                flat.extend(v.piece_ids(w))
             elif not mask:
-                got = [i for x in split(w) for i in v.piece_ids(x)]
+                for x in split(w):
+                    flat.extend(v.piece_ids(x))
             else:
-                got, a = [], 0
-                for e in range(1, len(w) + 1):
-                    if mask >> e & 1:
-                        got += v.piece_ids(w[a:e])
-                        a = e
-            flat += got
-            size[k] = len(got)
-        ids = np.array(flat, np.int32)
-        begin = np.cumsum(size) - size
-        lists, offsets, base = [], [np.zeros(1, np.int64)], 0
-        units.number.clear()
+                a, mask = 0, mask & -2      # bit 0 is the start
+                while mask:
+                    e = (mask & -mask).bit_length() - 1
+                    mask &= mask - 1
+                    i = known.get(w[a:e])
+                    if i is None:
+                        flat.extend(v.piece_ids(w[a:e]))
+                    else:
+                        flat.append(i)
+                    a = e
+            size[k] = len(flat) - before
+            before = len(flat)
+        del units, cuts
+        ids = np.frombuffer(flat, np.int32) if flat else np.zeros(0, np.int32)
+        begin = np.cumsum(size, dtype=np.int64) - size
+        at = 0
         parts.reverse()
         while parts:            # each part goes as its ids come
             number, count = parts.pop()
-            n = size[number]
-            at = np.repeat(begin[number] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-            lists.append(ids[at])
-            total = np.concatenate([[0], np.cumsum(n)])[np.cumsum(count)]
-            offsets.append(total + base)
-            base += int(n.sum())
-        values = np.concatenate(lists) if lists else np.zeros(0, np.int32)
-        ends = np.concatenate(offsets)
-        out = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int32()))
-        del lists
-        cols = {"id": names, "ids": out}
-        if with_text:
-            cols["text"] = pa.array(Speller(v).texts(values, ends), pa.string())
+            n = size[number].astype(np.int64)
+            place = np.repeat(begin[number] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+            ends = np.concatenate([[0], np.cumsum(n)])[np.concatenate([[0], np.cumsum(count)])]
+            some = ids[place]
+            cols = [names.slice(at, len(count)).combine_chunks(), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(some, pa.int32()))]
+            if with_text:
+                cols.append(pa.array(speller.texts(some, ends), pa.string()))
+            at += len(count)
+            yield pa.RecordBatch.from_arrays(cols, names=["id", "ids", "text"][:len(cols)])
         pa.default_memory_pool().release_unused()
-        return pa.table(cols)
 
     return run
 
@@ -298,15 +306,18 @@ def encode_with(docs: DataFrame, vocab: Vocabulary, id_col: str, text_col: str,
     distinct = (asks.withColumn("salt", F.shiftright("block", SALT_BIT)).groupBy("unit", "salt")
                 .agg(F.collect_list(F.struct("block", "u")).alias("asked")))
     solved = lattice(distinct, vocab, kind, ["unit", "salt"], ["asked"]).filter("cuts IS NOT NULL")
-    answers = solved.select("cuts", F.explode("asked").alias("a")).select("a.block", "a.u", "cuts")
-    out = blocks.meet(answers, _apply(shared, kind, with_text), T.StructType([
+    # a block's answers, at most one per distinct unit in it, meet it where its bucket is read
+    answers = (solved.select("cuts", F.explode("asked").alias("a"))
+               .groupBy("a.block").agg(F.collect_list(F.struct("a.u", "cuts")).alias("answers")))
+    both = blocks.table.select("block", "body").join(answers, "block", "left").select("body", "answers")
+    out = both.mapInArrow(_apply(shared, kind, with_text), T.StructType([
         T.StructField("id", docs.schema[id_col].dataType), T.StructField("ids", T.ArrayType(T.IntegerType())),
         *([T.StructField("text", T.StringType())] if with_text else [])]))
     return out.withColumnRenamed("id", id_col)
 
 
 def decode(encoded: DataFrame, model: str, ids_col: str = "ids", to: str = "text") -> DataFrame:
-    """All columns and the text that the ids stand for."""
+    """All columns and the text that the ids stand for; a column named ``to`` is replaced."""
     return decode_with(encoded, Vocabulary.load(model), ids_col, to)
 
 
@@ -340,6 +351,7 @@ class Speller:
 
 def decode_with(encoded: DataFrame, vocab: Vocabulary, ids_col: str, to: str) -> DataFrame:
     shared = encoded.sparkSession.sparkContext.broadcast(vocab)      # the vocabulary file
+    encoded = encoded.drop(to) if to != ids_col else encoded
 
     def run(batches):
         spell = Speller(shared.value)
