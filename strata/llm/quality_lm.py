@@ -34,13 +34,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.llm.blocks import Blocks
-from strata.llm.common import table, utf8
+from strata.llm.common import delete_folder, release_shuffles, table, utf8
 from strata.llm.suffix_dedup import SpanHash
-from strata.session import stage
+from strata.session import scratch_dir, stage
 
 ORDER = 5
 #: bytes of text in a block: larger blocks ask for fewer n-grams twice
-BLOCK_BYTES = 20 << 20
+BLOCK_BYTES = 12 << 20
 #: block numbers that differ below this bit are answered together (blocks of 512 input partitions)
 SALT_BIT = 29
 MARK = 1
@@ -183,13 +183,15 @@ def kneser_ney(counts: DataFrame, asked: DataFrame, order: int) -> DataFrame:
     level = {order: counts}
     for k in range(order - 1, 0, -1):
         # continuation counts: the (k+1)-grams that end in a k-gram differ in their first symbol
-        level[k] = (level[k + 1].groupBy("m", F.col("g").bitwiseAND(F.lit((1 << (8 * k)) - 1)).alias("g"))
-                    .agg(F.count(F.lit(1)).alias("c")))
+        # staged, since four steps read each level
+        level[k], _ = stage(level[k + 1].groupBy("m", F.col("g").bitwiseAND(F.lit((1 << (8 * k)) - 1)).alias("g"))
+                            .agg(F.count(F.lit(1)).alias("c")), "quality-level")
     mask = lambda k: F.lit((1 << (8 * k)) - 1)
     # shorter n-grams are fewer: each is looked up once, not once per question that ends in it
     need = {order: asked.select("m", "g")}
     for k in range(order - 1, 0, -1):
-        need[k] = need[k + 1].select("m", F.col("g").bitwiseAND(mask(k)).alias("g")).distinct()
+        need[k], _ = stage(need[k + 1].select("m", F.col("g").bitwiseAND(mask(k)).alias("g")).distinct(), "quality-need")
+    release_shuffles(counts.sparkSession)
     below = None
     for k in range(1, order + 1):
         of = lambda j: F.sum((F.col("c") == j).cast("double"))  # noqa: E731, B023
@@ -219,6 +221,9 @@ def kneser_ney(counts: DataFrame, asked: DataFrame, order: int) -> DataFrame:
             out = (out.withColumn("s", F.col("g").bitwiseAND(mask(k - 1)))
                    .join(below.select("m", F.col("g").alias("s"), F.col("p").alias("low")), ["m", "s"]))
         below = out.select("m", "g", (F.col("seen") + F.col("w") * F.col("low")).alias("p"))
+        if k < order:
+            below, _ = stage(below, "quality-lower")
+            release_shuffles(counts.sparkSession)
     return below
 
 
@@ -241,13 +246,20 @@ class QualityModel:
         long = lambda c: T.StructField(c, T.LongType())
         known = trusted.select(F.col(f"`{id_col}`").alias("id")).filter("id IS NOT NULL").distinct()
         learn, _ = stage(self.blocks.ids().join(known, "id").select("block", "row"), "quality-trusted")
-        asks, _ = stage(self.blocks.meet(learn, _ask(order), T.StructType([long("block"), long("m"), long("g"), long("n")])), "quality-asks")
+        spark, path = docs.sparkSession, scratch_dir(docs.sparkSession, "quality-asks")
+        (self.blocks.meet(learn, _ask(order), T.StructType([long("block"), long("m"), long("g"), long("n")]))
+         .write.option("compression", "zstd").parquet(path))
+        asks = spark.read.parquet(path)
         counts, n = stage(asks.filter("n > 0").groupBy("m", "g").agg(F.sum("n").alias("c")), "quality-counts")
         # every question once per salt, with the blocks that asked
         questions, _ = stage(asks.filter("n = 0").groupBy("m", "g", F.shiftright("block", SALT_BIT).alias("salt"))
                              .agg(F.collect_list("block").alias("asked")), "quality-questions")
-        answers = (kneser_ney(counts, questions.select("m", "g").distinct(), order)
-                   .select("m", "g", (-F.log2("p")).cast("float").alias("bits")))
+        del asks
+        delete_folder(spark, path)      # counts and questions are tables of their own now
+        release_shuffles(spark)
+        answers, _ = stage(kneser_ney(counts, questions.select("m", "g").distinct(), order)
+                           .select("m", "g", (-F.log2("p")).cast("float").alias("bits")), "quality-answers")
+        release_shuffles(spark)
         back = questions.join(answers, ["m", "g"]).select("m", "g", "bits", F.explode("asked").alias("block"))
         scored = self.blocks.meet(back, _score(order), "block long, row long, bits double, n long")
         names = self.blocks.meet(learn.withColumn("t", F.lit(True)), _names, T.StructType([
