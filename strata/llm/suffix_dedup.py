@@ -7,8 +7,9 @@ Every byte covered by a ``min_len``-byte string that also starts elsewhere goes.
    strings share their anchor at the same place. A text has about one anchor per
    ``(min_len - seed) / 2`` bytes. An anchor's *window* holds all strings that
    could have it. Anchors that occur once hold no repeat and are dropped while
-   they stream past their neighbours in a range-partitioned sort (a hot anchor is
-   cut over many partitions; rows at a partition's edge are kept).
+   they stream past their neighbours in a sort by anchor. Hot anchors, found in a
+   sample of the texts, are dealt over all tasks by window and place instead and
+   kept whole; the sample decides where rows go, not which.
 2. Equal windows are one class (anchor, window hash). A class of two or more is
    repeated as a whole. Anchors with several classes need a closer look.
 3. *BWT.* One window of each such class goes to a shard (anchors are hashed to
@@ -42,9 +43,12 @@ from strata.session import stage
 
 MIN_LEN = 200
 SEED = 64
-SHARD_BYTES = 1 << 20
+#: bytes of a shard; its arrays should fit a processor cache
+SHARD_BYTES = 1 << 18
 HOT_WINDOWS = 4096
 SEGMENT = 1 << 20
+#: one text in this many is looked at for anchors that fill a task
+SAMPLED = 64
 
 C1, C2, C3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 #: one random word per byte value, and an odd base with its inverse, for hashes of spans
@@ -68,18 +72,32 @@ def sliding_min(x: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(back[:n - w + 1], fore[w - 1:n])
 
 
+#: powers of the base and of its inverse that a worker keeps (16 bytes each)
+KEPT_POWERS = 3 << 19
+_KEPT: list[tuple[np.ndarray, np.ndarray]] = []
+
+
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``n`` powers of the base and of its inverse (at least)."""
+    if _KEPT and len(_KEPT[0][0]) >= n:
+        return _KEPT[0]
+    out = []
+    for base in (BASE, INVERSE):
+        p = np.full(max(n, 1), base, np.uint64)
+        p[0] = 1
+        out.append(np.multiply.accumulate(p, out=p))
+    if n <= KEPT_POWERS:
+        _KEPT[:] = [tuple(out)]
+    return tuple(out)
+
+
 class SpanHash:
     """64-bit hashes of arbitrary spans of a byte array (or of an array with ``values`` as its hashes)."""
 
     def __init__(self, raw: np.ndarray, values: np.ndarray | None = None):
         n = len(raw)
         values = BYTE[raw] if values is None else values
-        power = np.full(n + 1, BASE, np.uint64)
-        power[0] = 1
-        np.multiply.accumulate(power, out=power)
-        self.inverse = np.full(n + 1, INVERSE, np.uint64)
-        self.inverse[0] = 1
-        np.multiply.accumulate(self.inverse, out=self.inverse)
+        power, self.inverse = powers(n + 1)
         self.sums = np.zeros(n + 1, np.uint64)
         np.cumsum(values * power[:n], out=self.sums[1:])
 
@@ -125,25 +143,42 @@ def anchors(raw: np.ndarray, offs: np.ndarray, min_len: int, seed: int):
 
 
 def rotation_order(x: np.ndarray, depth: int) -> np.ndarray:
-    """Starts of all rotations of ``x`` in order of their first ``depth`` bytes (or more)."""
+    """Starts of all rotations of ``x`` in order of their first ``depth`` bytes (or more), ties by start.
+
+    Prefix doubling. A sort key and the start that it belongs to are packed into one
+    number where they fit, so that numbers are sorted instead of places.
+    """
     n = len(x)
-    ext = np.concatenate([x, np.resize(x, 8)])
-    key = np.ndarray((n,), ">u8", ext.tobytes(), 0, (1,)).astype(np.uint64)
-    order = np.argsort(key, kind="stable")
-    k = key[order]
-    new = np.append(True, k[1:] != k[:-1])
+    bits = max(n - 1, 1).bit_length()
+    packed = 3 * bits <= 63
+
+    def sort(key, idx):
+        """``idx`` and ``key`` in order of key, then idx."""
+        if packed:
+            both = np.sort((key << bits) | idx)
+            return both & ((1 << bits) - 1), both >> bits
+        by = np.lexsort((idx, key))
+        return idx[by], key[by]
+
     slots = np.arange(n)
+    h = min(8, (63 - bits) // 8) if packed else 7
+    ext = np.concatenate([x, np.resize(x, h)]).astype(np.int64)
+    key = np.zeros(n, np.int64)
+    for j in range(h):
+        key = key << 8 | ext[j:j + n]
+    order, k = sort(key, slots)
+    new = np.append(True, k[1:] != k[:-1])
     rank = np.empty(n, np.int64)
-    h = 8
     while h < depth:
         rank[order] = np.maximum.accumulate(np.where(new, slots, 0))
         open_slots = np.flatnonzero(~(new & np.append(new[1:], True)))
         if not len(open_slots):
             break
         idx = order[open_slots]
-        key = rank[idx] * n + rank[(idx + h) % n]
-        by = np.argsort(key, kind="stable")
-        idx, key = idx[by], key[by]
+        # idx + h is below 2 n
+        after = idx + h
+        after[after >= n] -= n
+        idx, key = sort(rank[idx] << bits | rank[after % n], idx)
         order[open_slots] = idx
         new[open_slots] |= np.append(True, key[1:] != key[:-1])
         h *= 2
@@ -343,7 +378,7 @@ def repeated_spans(keyed: DataFrame, min_len: int = MIN_LEN, seed: int = SEED,
                      pa.array(a.view(np.int64)), pa.array(h.view(np.int64))], names=["k1", "k2", "p", "l", "n", "a", "h"])
 
     def drop_single(batches):
-        """Rows whose anchor equals a neighbour's; a partition's first and last rows stay."""
+        """Rows whose anchor equals a neighbour's, and all rows of hot anchors; a partition's first and last rows stay."""
         held, before = None, None       # the last row so far, not put out yet; the anchor before it
 
         def flags(a, prev, nxt):
@@ -351,6 +386,9 @@ def repeated_spans(keyed: DataFrame, min_len: int = MIN_LEN, seed: int = SEED,
             right = np.append(a[1:] == a[:-1], nxt is None or a[-1] == nxt)
             return left | right
 
+        def put(b, keep):
+            return b.filter(pa.array(keep | b.column("hot").to_numpy(zero_copy_only=False))).drop_columns(["hot"])
+
         for b in batches:
             if not b.num_rows:
                 continue
@@ -358,22 +396,33 @@ def repeated_spans(keyed: DataFrame, min_len: int = MIN_LEN, seed: int = SEED,
                 b = pa.Table.from_batches([held, b]).combine_chunks().to_batches()[0]
             a = b.column("a").to_numpy(zero_copy_only=False)
             if len(a) > 1:
-                yield b.slice(0, len(a) - 1).filter(pa.array(flags(a[:-1], before, a[-1])))
+                yield put(b.slice(0, len(a) - 1), flags(a[:-1], before, a[-1]))
                 before = a[-2]
             held = b.slice(len(a) - 1)
         if held is not None:
-            yield held
-
-    rows = keyed.filter(F.octet_length("text") >= min_len).mapInArrow(
-        find, "k1 long, k2 long, p long, l int, n int, a long, h long")
-    order = ["a", "h", "k1", "p"]
-    cand, _ = stage(rows.repartitionByRange(*order).sortWithinPartitions(*order)
-                    .mapInArrow(drop_single, rows.schema), "suffix-anchors")
+            yield held.drop_columns(["hot"])
+
+    def only_anchors(batches):
+        for b in find(batches):
+            yield b.select(["a"])
+
+    spark, schema = keyed.sparkSession, "k1 long, k2 long, p long, l int, n int, a long, h long"
+    texts = keyed.filter(F.octet_length("text") >= min_len)
+    # anchors that would fill a good part of a task, seen in one text of SAMPLED: their rows are dealt by
+    # window and place, since none of them occurs once; all others meet under their anchor
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    seen, total = stage(texts.filter(F.pmod("k1", F.lit(SAMPLED)) == 0).mapInArrow(only_anchors, "a long"), "suffix-sample")
+    often = (seen.groupBy("a").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= max(8, total // (4 * parts)))
+             .select("a", F.lit(True).alias("hot")))      # at most 4 rows per partition
+    rows = (texts.mapInArrow(find, schema).join(F.broadcast(often), "a", "left")
+            .select("k1", "k2", "p", "l", "n", "a", "h", F.coalesce("hot", F.lit(False)).alias("hot")))
+    dealt = F.when(F.col("hot"), F.xxhash64("a", "h", "k1", "p")).otherwise(F.col("a"))
+    cand, _ = stage(rows.repartition(dealt).sortWithinPartitions("a", "h")
+                    .mapInArrow(drop_single, schema), "suffix-anchors")
     classes = cand.groupBy("a", "h").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("k1", "k2", "p", "l", "n")).alias("rep"))
     kinds = classes.groupBy("a").agg(F.count(F.lit(1)).alias("kinds"), F.sum("c").alias("all")).filter("all > 1")
     mixed, _ = stage(classes.join(kinds.filter("kinds > 1"), "a")
                      .select("a", "h", "c", "kinds", "rep.*"), "suffix-mixed")
-    spark = keyed.sparkSession
 
     # one window's bytes per class, cut from the text that holds it
     need = (mixed.groupBy("k1", "k2")
@@ -420,7 +469,11 @@ def repeated_spans(keyed: DataFrame, min_len: int = MIN_LEN, seed: int = SEED,
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
-    """All columns of ``docs`` with ``__spans`` (maximal removed runs, bytes), ``__n_bytes`` and ``__kept`` (bytes left)."""
+    """All columns of ``docs`` with ``__spans`` (maximal removed runs, bytes), ``__n_bytes`` and ``__kept`` (bytes left).
+
+    Columns of these names are replaced.
+    """
+    docs = docs.drop("__spans", "__n_bytes", "__kept")
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     ident = F.col(f"`{id_col}`")
     keys = [F.xxhash64(F.lit(1), ident, text).alias("k1"), F.xxhash64(F.lit(2), text, ident).alias("k2")]
