@@ -25,6 +25,8 @@ from __future__ import annotations
 
 import re
 from collections import deque
+from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +40,7 @@ from strata.session import stage
 
 WINDOW = 4096
 END_ID = 2
-#: words kept in a task's cache of encoded words (two generations of this size at most)
+#: words kept in a worker's cache of encoded words (two generations of this size at most)
 CACHE_WORDS = 400_000
 
 
@@ -62,55 +64,52 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.new: dict[str, np.ndarray] = {}
-        self.old: dict[str, np.ndarray] = {}
+        # little-endian uint32 ids of a word, as bytes: joining many of them is one pass
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def _learn(self, words: list[str]) -> None:
         """Encode words that are not known yet, many per call."""
         for k in range(0, len(words), 2000):
             some = words[k:k + 2000]
             enc = self.tok.encode(" ".join(some), add_special_tokens=False)
-            ids, at = np.array(enc.ids, np.uint32), enc.word_ids
+            ids, at = np.array(enc.ids, "<u4").tobytes(), enc.word_ids
             if at and at[-1] == len(some) - 1:
-                cut = np.searchsorted(np.array(at), np.arange(len(some) + 1))
-                for i, w in enumerate(some):
-                    self.new[w] = ids[cut[i]:cut[i + 1]]
+                cut = (4 * np.searchsorted(np.array(at), np.arange(len(some) + 1))).tolist()
+                self.new.update(zip(some, map(ids.__getitem__, map(slice, cut, cut[1:])), strict=False))
             else:               # a word that the splitter cuts further when neighbours change
                 for w in some:
-                    self.new[w] = np.array(self.tok.encode(w, add_special_tokens=False).ids, np.uint32)
+                    self.new[w] = np.array(self.tok.encode(w, add_special_tokens=False).ids, "<u4").tobytes()
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         split: list[list[str] | None] = []
-        missing: dict[str, None] = {}
         new, old = self.new, self.old
         for t in texts:
-            if "<|" in t or not self.PLAIN.fullmatch(t):
-                split.append(None)
-                continue
-            words = self.SPLIT.findall(t.lower())
-            split.append(words)
-            for w in set(words):
-                if w not in new:
-                    if w in old:
-                        new[w] = old[w]
-                    else:
-                        missing[w] = None
-        if missing:
-            self._learn(list(missing))
+            plain = "<|" not in t and self.PLAIN.fullmatch(t)
+            split.append(self.SPLIT.findall(t.lower()) if plain else None)
+        missing = set(chain.from_iterable(filter(None, split))).difference(new)
+        again = missing.intersection(old)
+        new.update((w, old[w]) for w in again)
+        if len(missing) > len(again):
+            self._learn(list(missing - again))
         out = []
         get = new.__getitem__
         for t, words in zip(texts, split, strict=True):
             if words is None:
                 out.append(np.array(self.tok.encode(t, add_special_tokens=False).ids, np.uint32))
-            elif words:
-                out.append(np.concatenate(list(map(get, words))))
             else:
-                out.append(np.zeros(0, np.uint32))
+                out.append(np.frombuffer(b"".join(map(get, words)), "<u4"))
         if len(self.new) > CACHE_WORDS:
             self.old, self.new = self.new, {}
         return out
 
 
+@lru_cache(maxsize=1)
+def word_tokenizer(path: str) -> WordTokenizer:
+    """The tokenizer of this Python worker: words that one task encoded are known to the next."""
+    return WordTokenizer(path)
+
+
 class FitTree:
     """Segment tree over remaining capacities 0..n: the smallest capacity >= need that has open windows."""
 
@@ -200,7 +199,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
     """Pieces of at most ``window`` ids: id, start, length, doc_tokens and ``ids`` (little-endian uint32)."""
 
     def run(batches):
-        tok = WordTokenizer(tokenizer)
+        tok = word_tokenizer(tokenizer)
         end = np.array([end_id], np.uint32)
         for b in batches:
             ids_col, texts = b.column(id_col), b.column(text_col)

@@ -109,3 +109,20 @@ def test_place_replaces_columns_of_its_names(spark):
     pieces = spark.createDataFrame([(1, 4096, "x", "y"), (2, 9, "x", "y"), (3, 9, None, None)], "doc_id long, length long, sequence_id string, offset string")
     got = place(pieces).collect()
     assert {(r.doc_id, r.offset) for r in got} in ({(1, 0), (2, 0), (3, 9)}, {(1, 0), (2, 9), (3, 0)}) and len(got[0]) == 4
+
+
+def test_words_are_encoded_once_per_worker(spark):
+    """The next task of a worker, and the next batch, know the words; ids are those of the library."""
+    from strata.llm.packing import word_tokenizer
+
+    assert word_tokenizer(PATH) is word_tokenizer(PATH)
+    tok, asked = WordTokenizer(PATH), []
+    learn = tok._learn
+    tok._learn = lambda words: (asked.extend(words), learn(words))[1]
+    texts = ["It's a naïve café, isn't it? 12 ways", "", "日本 text", "a <|b", "it's it's"]
+    for _ in range(2):
+        for t, ids in zip(texts, tok.encode(texts), strict=True):
+            assert ids.tolist() == tok.tok.encode(t, add_special_tokens=False).ids
+    tok.old, tok.new = tok.new, {}
+    assert tok.encode(texts[:1])[0].tolist() == tok.tok.encode(texts[0], add_special_tokens=False).ids
+    assert asked and len(asked) == len(set(asked)) and all(isinstance(v, bytes) for v in tok.new.values())
