@@ -139,6 +139,8 @@ class Units:
     def __init__(self, vocab: Vocabulary):
         self.cls, self.joined = vocab.joins()
         self.number: dict[str, int] = {}
+        # two hashes and the number of units seen, by the first hash: a unit is looked up as text once
+        self.seen = np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
 
     def cut(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Unit numbers of the texts in a row, and how many each text has."""
@@ -156,13 +158,25 @@ class Units:
         end = np.append(start[1:], len(code))
         v = code.astype(np.uint64) + np.uint64(1)
         h = SpanHash(code, mix(v * C1))(start, end)
-        _, first, inverse = np.unique(h, return_index=True, return_inverse=True)
+        keys, first, inverse = np.unique(h, return_index=True, return_inverse=True)
         again = SpanHash(code, mix(v * C2 + np.uint64(9)))(start, end)
-        if (again != again[first][inverse]).any():         # two units with one hash: go by the texts
+        number, check = self.number, again[first]
+        seen, checks, numbers = self.seen
+        at = np.searchsorted(seen, keys)
+        known = np.append(seen, np.uint64(0))[at] == keys
+        known[at == len(seen)] = False
+        if (again != check[inverse]).any() or (checks[at[known]] != check[known]).any():    # two units with one hash: go by the texts
             words = [text[a:b] for a, b in zip(start.tolist(), end.tolist(), strict=True)]
             _, first, inverse = np.unique(np.array(words, object), return_index=True, return_inverse=True)
-        number = self.number
-        own = np.array([number.setdefault(text[a:b], len(number)) for a, b in zip(start[first].tolist(), end[first].tolist(), strict=True)], np.int64)
+            known = np.zeros(len(first), bool)
+            own = np.zeros(len(first), np.int64)
+            keys = None
+        else:
+            own = np.append(numbers, 0)[at]
+        new = np.flatnonzero(~known)
+        own[new] = [number.setdefault(text[a:b], len(number)) for a, b in zip(start[first[new]].tolist(), end[first[new]].tolist(), strict=True)]
+        if keys is not None:
+            self.seen = np.insert(seen, at[new], keys[new]), np.insert(checks, at[new], check[new]), np.insert(numbers, at[new], own[new])
         return own[inverse], np.diff(np.searchsorted(start, np.append(0, ends)))
 
 

@@ -36,6 +36,30 @@ def test_long_units_are_merged_alike(model):
         assert ids == model.encode(t)
 
 
+def test_a_unit_is_read_as_text_once():
+    """Later parts find known units by two hashes; a clash of one hash goes by the texts."""
+
+    class Counted(dict):
+        calls = 0
+
+        def setdefault(self, *a):
+            self.calls += 1
+            return super().setdefault(*a)
+
+    units = Units(Vocabulary.load(PATH))
+    units.number = Counted()
+    first, _ = units.cut(ODD)
+    calls = units.number.calls
+    again, _ = units.cut(ODD[::-1])
+    assert units.number.calls == calls == len(units.number) and sorted(first.tolist()) == sorted(again.tolist())
+    more, count = units.cut([*ODD, "never seen before zebra"])
+    assert more[:len(first)].tolist() == first.tolist()
+    keys, checks, numbers = units.seen
+    assert (keys[1:] > keys[:-1]).all() and len(keys) == len(units.number)
+    units.seen = keys, checks ^ 1, numbers      # every hash meets another unit's
+    assert units.cut([*ODD, "never seen before zebra"])[0].tolist() == more.tolist()
+
+
 def test_viterbi_against_every_segmentation(spark):
     pieces = [(1, "▁", -3.0), (2, "a", -2.0), (3, "b", -2.1), (4, "ab", -2.5), (5, "▁a", -3.55), (6, "bab", -3.05), (7, "ba", -2.25), (8, "abba", -4.6)]
     v = Vocabulary(pieces, None, 0, 9)
