@@ -30,9 +30,9 @@ from strata.session import scratch_dir
 BLOCK_BYTES = 8 << 20
 
 
-def pack_rows(batch: pa.RecordBatch | pa.Table) -> bytes:
+def pack_rows(batch: pa.RecordBatch | pa.Table, level: int = 6) -> bytes:
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 6))) as w:
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", level))) as w:
         w.write(batch)
     return sink.getvalue().to_pybytes()
 

@@ -11,7 +11,8 @@ that has read it. All trusted rows are counted.
 *Count joins.* Counts are grouped sums; lower orders are continuation counts. Blocks
 of texts ask for their distinct (model, n-gram) once; the distinct questions are
 joined with the sharded tables order by order (discounted probability, back-off
-weight of the context), and the answers return to their blocks. Nothing about the
+weight of the context), and the answers return to their blocks in packed parcels,
+since they are most of what is shuffled. Nothing about the
 model is broadcast or collected except its discounts (4 numbers per model and order).
 
 *Decision.* A text's bits per symbol are shrunk to its language's mean by ``prior``
@@ -33,16 +34,21 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.blocks import Blocks
+from strata.llm.blocks import Blocks, pack_rows, unpack_rows
 from strata.llm.common import delete_folder, release_shuffles, table, utf8
 from strata.llm.suffix_dedup import SpanHash
-from strata.session import scratch_dir, stage
+from strata.session import owned_scratch, scratch_dir, stage
 
 ORDER = 5
 #: bytes of text in a block: larger blocks ask for fewer n-grams twice
 BLOCK_BYTES = 12 << 20
 #: block numbers that differ below this bit are answered together (blocks of 512 input partitions)
 SALT_BIT = 29
+#: answers that a task packs at a time, and packed parcels that leave it at a time
+PARCEL_ROWS = 1 << 20
+PARCELS = 256
+#: rows that leave a block's task at a time
+PART = 1 << 16
 MARK = 1
 PRIOR = 200.0
 HIGH, MARGIN = 0.95, 6.0
@@ -85,17 +91,33 @@ def grams(raw: np.ndarray, offs: np.ndarray, order: int) -> np.ndarray:
     Marks are no history: the tenth repeat is as surprising as the first.
     """
     solid = raw != MARK
-    total = np.concatenate([[0], np.cumsum(solid)])        # symbols before each place, marks left out
-    place = total[:-1] - np.repeat(total[offs[:-1]], np.diff(offs))
+    total = np.concatenate([[0], np.cumsum(solid)])[:-1]   # symbols before each place, marks left out
     plain = raw[solid].astype(np.int64)
-    out = raw.astype(np.int64)
+    before = np.zeros(len(plain) + 1, np.int64)            # the symbols before each, across texts
     for j in range(1, order):
-        ok = place >= j
-        out[ok] |= plain[total[:-1][ok] - j] << (8 * j)
+        before[j:] |= plain[:len(plain) + 1 - j] << (8 * j)
+    out = before[total] if len(plain) < len(raw) else before[:-1].copy()
+    out |= raw
+    starts = np.minimum(offs[:-1], max(len(raw) - 1, 0))
+    place = total - np.repeat(total[starts], np.diff(offs)) if len(raw) else total
+    early = np.flatnonzero(place < order - 1)              # what another text holds goes
+    out[early] &= (np.int64(1) << (8 * (place[early] + 1))) - 1
     return out
 
 
-def _pieces(rows: pa.Table, size: int = 1 << 20):
+def _distinct(x: np.ndarray) -> np.ndarray:
+    x = np.sort(x)
+    return x[np.append(True, x[1:] != x[:-1])] if len(x) else x
+
+
+def _by_model(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, pa.Table]:
+    """Places, models and texts of a block's rows, model by model, so that a piece holds few models."""
+    model = rows.column("m").to_numpy()
+    by = np.argsort(model, kind="stable")
+    return by, model[by], rows.select(["text"]).take(pa.array(by))
+
+
+def _pieces(rows: pa.Table, size: int = 1 << 19):
     """Slices of rows with about ``size`` bytes of text: (first row, symbols, offsets)."""
     raw, offs = utf8(rows.column("text"))
     at = 0
@@ -111,63 +133,123 @@ def _ask(order: int):
     """Questions (n = 0) and training counts (n > 0) of a block."""
 
     def run(block, rows, trusted):
+        none = pa.RecordBatch.from_arrays([pa.array([], pa.int64())] * 4, names=["block", "m", "g", "n"])
         if rows is None:
-            return pa.table({"block": pa.array([], pa.int64()), "m": pa.array([], pa.int64()), "g": pa.array([], pa.int64()), "n": pa.array([], pa.int64())})
-        model = rows.column("m").to_numpy()
+            return pa.Table.from_batches([none])
         good = np.zeros(rows.num_rows, bool)
         good[trusted.column("row").to_numpy().astype(np.int64)] = True
+        by, model, texts = _by_model(rows)
+        good = good[by]
+        del rows
         asked: dict[int, list] = {}
         train: dict[int, list] = {}
-        for at, raw, offs in _pieces(rows):
+        for at, raw, offs in _pieces(texts):
             g = grams(raw, offs, order)
             size = np.diff(offs)
             m = np.repeat(model[at:at + len(size)], size)
             t = np.repeat(good[at:at + len(size)], size)
-            for one in np.unique(m):
+            for one in np.unique(model[at:at + len(size)][size > 0]):
                 own = m == one
-                asked.setdefault(int(one), []).append(np.unique(g[own]))
+                asked.setdefault(int(one), []).append(_distinct(g[own]))
                 if (own & t).any():     # the other fold's model learns from it
                     train.setdefault(int(one) ^ 1, []).append(np.unique(g[own & t], return_counts=True))
         cols = [[], [], []]
-        for one, parts in asked.items():
-            u = np.unique(np.concatenate(parts))
+        while asked:
+            one, parts = asked.popitem()
+            u = _distinct(np.concatenate(parts))
             cols[0].append(np.full(len(u), one))
             cols[1].append(u)
             cols[2].append(np.zeros(len(u), np.int64))
-        for one, parts in train.items():
+        while train:
+            one, parts = train.popitem()
             u, inv = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
             cols[0].append(np.full(len(u), one))
             cols[1].append(u)
             cols[2].append(np.bincount(inv, weights=np.concatenate([p[1] for p in parts])).astype(np.int64))
-        m, g, n = (np.concatenate(c) if c else np.zeros(0, np.int64) for c in cols)
-        return pa.table({"block": pa.array(np.full(len(m), block, np.int64)), "m": pa.array(m), "g": pa.array(g), "n": pa.array(n)})
+        m, g, n = (np.concatenate(cols.pop(0) or [np.zeros(0, np.int64)]) for _ in range(3))
+        # in parts: the other side of the pipe holds one of them at a time
+        return pa.Table.from_batches([
+            pa.RecordBatch.from_arrays([pa.array(np.full(len(m[k:k + PART]), block, np.int64)), pa.array(m[k:k + PART]), pa.array(g[k:k + PART]), pa.array(n[k:k + PART])],
+                                       names=["block", "m", "g", "n"]) for k in range(0, len(m), PART)] or [none])
 
     return run
 
 
+def _parcels(batches):
+    """Answers (m, g, bits, the blocks that asked) -> per block a few parcels of packed answers.
+
+    A parcel is sorted by place and holds differences of n-grams, which compress well; a
+    task holds ``PARCEL_ROWS`` answers, however many it has.
+    """
+
+    def close(held):
+        block, m, g, bits = (np.concatenate(c) for c in zip(*held, strict=True))
+        by = np.lexsort((g, m, block))
+        block, m, g, bits = block[by], m[by], g[by], bits[by]
+        first = np.flatnonzero(np.append(True, block[1:] != block[:-1]))
+        step = np.diff(g, prepend=0)
+        step[first] = g[first]
+        for k in range(0, len(first), PARCELS):
+            at = first[k:k + PARCELS].tolist()
+            ends = [*at[1:], int(first[k + PARCELS]) if k + PARCELS < len(first) else len(block)]
+            yield pa.RecordBatch.from_arrays([pa.array(block[at]), pa.array([
+                pack_rows(pa.table({"m": m[x:y], "step": step[x:y], "bits": bits[x:y]}), level=1) for x, y in zip(at, ends, strict=True)], pa.binary())],
+                names=["block", "parcel"])
+
+    held, size = [], 0
+    for b in batches:
+        asked = b.column("asked")
+        ends = np.cumsum(asked.value_lengths().to_numpy(), dtype=np.int64)
+        at = 0
+        while at < b.num_rows:          # rows that still fit; at least one
+            done = int(ends[at - 1]) if at else 0
+            to = max(at + 1, int(np.searchsorted(ends, done + PARCEL_ROWS - size, side="right")))
+            n = np.diff(ends[at:to], prepend=done)
+            held.append((asked.slice(at, to - at).flatten().to_numpy(), *(np.repeat(b.column(c).slice(at, to - at).to_numpy(), n) for c in ("m", "g", "bits"))))
+            size += int(n.sum())
+            at = to
+            if at < b.num_rows or size >= PARCEL_ROWS:
+                yield from close(held)
+                held, size = [], 0
+    if size:
+        yield from close(held)
+
+
+def _unpacked(parcels) -> list[np.ndarray]:
+    """m, g and bits of a block's parcels."""
+    out = [[np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.float32)]]
+    for blob in parcels:
+        t = unpack_rows(blob.as_py())
+        out[0].append(t.column("m").to_numpy())
+        out[1].append(np.cumsum(t.column("step").to_numpy()))
+        out[2].append(t.column("bits").to_numpy())
+    return [np.concatenate(c) for c in out]
+
+
 def _score(order: int):
     def run(block, rows, answers):
         names = ["block", "row", "bits", "n"]
         if rows is None:
             return pa.table({c: pa.array([], pa.float64() if c == "bits" else pa.int64()) for c in names})
-        am, ag, ab = (answers.column(c).to_numpy() for c in ("m", "g", "bits"))
+        am, ag, ab = _unpacked(answers.column("parcel"))
         by = np.lexsort((ag, am))
         am, ag, ab = am[by], ag[by], ab[by]
-        model = rows.column("m").to_numpy()
+        place, model, texts = _by_model(rows)
         bits, count = np.zeros(rows.num_rows), np.zeros(rows.num_rows, np.int64)
-        for at, raw, offs in _pieces(rows):
+        for at, raw, offs in _pieces(texts):
             g = grams(raw, offs, order)
             size = np.diff(offs)
             m = np.repeat(model[at:at + len(size)], size)
             cost = np.zeros(len(g))
-            for one in np.unique(m):
+            for one in np.unique(model[at:at + len(size)][size > 0]):
                 lo, hi = np.searchsorted(am, [one, one + 1]) if one < np.iinfo(np.int64).max else (np.searchsorted(am, one), len(am))
                 own = np.flatnonzero(m == one)
-                if hi > lo:
+                if hi > lo:         # sorted first: neighbours are found near each other
+                    own = own[np.argsort(g[own])]
                     cost[own] = ab[lo + np.searchsorted(ag[lo:hi], g[own])]
             total = np.concatenate([[0.0], np.cumsum(cost)])
-            bits[at:at + len(size)] = total[offs[1:]] - total[offs[:-1]]
-            count[at:at + len(size)] = size
+            bits[place[at:at + len(size)]] = total[offs[1:]] - total[offs[:-1]]
+            count[place[at:at + len(size)]] = size
         return pa.table({"block": pa.array(np.full(rows.num_rows, block, np.int64)), "row": pa.array(np.arange(rows.num_rows)),
                          "bits": pa.array(bits), "n": pa.array(count)})
 
@@ -245,26 +327,15 @@ class QualityModel:
         self.blocks = Blocks(rows, "id", "text", BLOCK_BYTES)
         long = lambda c: T.StructField(c, T.LongType())
         known = trusted.select(F.col(f"`{id_col}`").alias("id")).filter("id IS NOT NULL").distinct()
-        learn, _ = stage(self.blocks.ids().join(known, "id").select("block", "row"), "quality-trusted")
-        spark, path = docs.sparkSession, scratch_dir(docs.sparkSession, "quality-asks")
-        (self.blocks.meet(learn, _ask(order), T.StructType([long("block"), long("m"), long("g"), long("n")]))
-         .write.option("compression", "zstd").parquet(path))
-        asks = spark.read.parquet(path)
-        counts, n = stage(asks.filter("n > 0").groupBy("m", "g").agg(F.sum("n").alias("c")), "quality-counts")
-        # every question once per salt, with the blocks that asked
-        questions, _ = stage(asks.filter("n = 0").groupBy("m", "g", F.shiftright("block", SALT_BIT).alias("salt"))
-                             .agg(F.collect_list("block").alias("asked")), "quality-questions")
-        del asks
-        delete_folder(spark, path)      # counts and questions are tables of their own now
+        spark, path = docs.sparkSession, scratch_dir(docs.sparkSession, "quality-scores")
+        with owned_scratch(spark):      # of what it stages only the scores are read later
+            learn, _ = stage(self.blocks.ids().join(known, "id").select("block", "row"), "quality-trusted")
+            scored = self.blocks.meet(self._answers(learn, order), _score(order), "block long, row long, bits double, n long")
+            names = self.blocks.meet(learn.withColumn("t", F.lit(True)), _names, T.StructType([
+                long("block"), long("row"), T.StructField("id", docs.schema[id_col].dataType), T.StructField("lang", T.StringType()), T.StructField("trusted", T.BooleanType())]))
+            scored.join(names, ["block", "row"]).write.parquet(path)
         release_shuffles(spark)
-        answers, _ = stage(kneser_ney(counts, questions.select("m", "g").distinct(), order)
-                           .select("m", "g", (-F.log2("p")).cast("float").alias("bits")), "quality-answers")
-        release_shuffles(spark)
-        back = questions.join(answers, ["m", "g"]).select("m", "g", "bits", F.explode("asked").alias("block"))
-        scored = self.blocks.meet(back, _score(order), "block long, row long, bits double, n long")
-        names = self.blocks.meet(learn.withColumn("t", F.lit(True)), _names, T.StructType([
-            long("block"), long("row"), T.StructField("id", docs.schema[id_col].dataType), T.StructField("lang", T.StringType()), T.StructField("trusted", T.BooleanType())]))
-        raw, _ = stage(scored.join(names, ["block", "row"]), "quality-scores")
+        raw = spark.read.parquet(path)
         # per language: mean bits per symbol and the quantiles of trusted rows; no row where nothing is trusted
         mean = raw.filter("trusted").groupBy("lang").agg((F.sum("bits") / F.nullif(F.sum("n"), F.lit(0).cast("long"))).alias("mean"))
         value = F.when(F.col("n") > 0, (F.col("bits") + prior * F.col("mean")) / (F.col("n") + prior))
@@ -276,6 +347,30 @@ class QualityModel:
         self.scores = (shrunk.join(F.broadcast(limits), "lang", "left")
                        .withColumn("keep", F.coalesce(F.col("value") <= F.col("threshold"), F.lit(True))))
 
+    def _answers(self, learn: DataFrame, order: int) -> DataFrame:
+        """block and ``parcel``: the answers to all that a block asks, ``learn`` being its rows to count."""
+        long = lambda c: T.StructField(c, T.LongType())
+        spark, path = learn.sparkSession, scratch_dir(learn.sparkSession, "quality-asks")
+        (self.blocks.meet(learn, _ask(order), T.StructType([long("block"), long("m"), long("g"), long("n")]))
+         .write.option("compression", "zstd").parquet(path))
+        asks = spark.read.parquet(path)
+        counts_path, questions_path, answers_path = (scratch_dir(spark, f"quality-{x}") for x in ("counts", "questions", "answers"))
+        asks.filter("n > 0").groupBy("m", "g").agg(F.sum("n").alias("c")).write.option("compression", "zstd").parquet(counts_path)
+        # every question once per salt, with the blocks that asked
+        (asks.filter("n = 0").groupBy("m", "g", F.shiftright("block", SALT_BIT).alias("salt"))
+         .agg(F.collect_list("block").alias("asked")).write.option("compression", "zstd").parquet(questions_path))
+        questions = spark.read.parquet(questions_path)
+        del asks
+        delete_folder(spark, path)      # counts and questions are tables of their own now
+        release_shuffles(spark)
+        with owned_scratch(spark):      # the levels go once the answers are written
+            (kneser_ney(spark.read.parquet(counts_path), questions.select("m", "g").distinct(), order)
+             .select("m", "g", (-F.log2("p")).cast("float").alias("bits")).write.option("compression", "zstd").parquet(answers_path))
+        delete_folder(spark, counts_path)
+        release_shuffles(spark)
+        return (questions.join(spark.read.parquet(answers_path), ["m", "g"]).select("m", "g", "bits", "asked")
+                .mapInArrow(_parcels, "block long, parcel binary"))
+
     def kept_rows(self) -> DataFrame:
         """The rows that stay, with all their columns as they came."""
         names = [self.own.get(c, f"c{i}") for i, c in enumerate(self.columns)]

@@ -2,8 +2,10 @@ import math
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
+from strata.llm import quality_lm
 from strata.llm.quality_lm import QualityModel, grams, kneser_ney, op3_quality_classifier, symbols
 
 
@@ -174,3 +176,51 @@ def test_query_against_brute_force(spark, tmp_path):
     for a, b in zip(sorted(got, key=lambda r: (r[0], repr(r[1]))), sorted(want, key=lambda r: (r[0], repr(r[1]))), strict=True):
         assert a[:3] == b[:3] and a[5] == b[5], (a, b)
         assert all((x is None) == (y is None) and (x is None or math.isclose(x, y, rel_tol=1e-4)) for x, y in zip(a[3:5], b[3:5], strict=True)), (a, b)
+
+
+def test_answers_travel_packed_and_levels_go(spark, monkeypatch):
+    """Few parcels come back to a block instead of a row per question; of the model's tables only the scores stay."""
+    import os
+
+    from strata.session import checkpoint_root
+
+    folder = f"{checkpoint_root(spark)}/strata-work".removeprefix("file:")
+    tables = lambda: {f for f in (os.listdir(folder) if os.path.isdir(folder) else []) if f.startswith("quality-")}
+    before, seen = tables(), {}
+    answers = QualityModel._answers
+
+    def spy(self, learn, order):
+        out = answers(self, learn, order)
+        seen["parcels"] = out.count()
+        return out
+
+    monkeypatch.setattr(QualityModel, "_answers", spy)
+    docs = spark.createDataFrame([(i, f"text number {i * 7919} of some words {i}", "en") for i in range(300)], "doc_id long, text string, lang string").coalesce(1)
+    model = QualityModel(docs, spark.createDataFrame([(i,) for i in range(0, 300, 2)], "doc_id long"))
+    assert seen["parcels"] <= 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert {f.rsplit("-", 1)[0] for f in tables() - before} <= {"quality-scores", "quality-limits"}
+    assert model.scores.count() == 300
+
+
+def test_parcels_keep_every_answer(monkeypatch):
+    monkeypatch.setattr(quality_lm, "PARCEL_ROWS", 50)
+    monkeypatch.setattr(quality_lm, "PARCELS", 3)
+    rng = np.random.default_rng(5)
+    rows = [(int(rng.integers(-2**62, 2**62)) if i % 3 else -4, int(rng.integers(0, 2**40)), float(np.float32(rng.random())), sorted(rng.choice(9, int(rng.integers(1, 5)), replace=False).tolist()))
+            for i in range(200)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[k:k + 20], strict=True), [pa.int64(), pa.int64(), pa.float32(), pa.list_(pa.int64())], strict=True)],
+                                          names=["m", "g", "bits", "asked"]) for k in range(0, 200, 20)]
+    got = []
+    for b in quality_lm._parcels(iter(batches)):
+        assert b.num_rows <= 3
+        for block, parcel in zip(b.column("block").to_pylist(), b.column("parcel"), strict=True):
+            got += [(block, *r) for r in zip(*(c.tolist() for c in quality_lm._unpacked([parcel])), strict=True)]
+    assert sorted(got) == sorted((block, m, g, x) for m, g, x, asked in rows for block in asked)
+
+
+def test_questions_leave_in_parts(monkeypatch):
+    monkeypatch.setattr(quality_lm, "PART", 100)
+    rows = pa.table({"text": ["".join(map(chr, range(40, 120))) * 2, "other words"], "m": [2, 5]})
+    out = quality_lm._ask(5)(7, rows, pa.table({"row": [0]}))
+    assert out.num_rows > 100 and max(b.num_rows for b in out.to_batches()) <= 100
+    assert quality_lm._ask(5)(None, None, None).num_rows == 0
