@@ -76,12 +76,12 @@ def _blocks(text_col: str, id_col: str, id_name: str, block_bytes: int):
     return cut
 
 
-def bucketed(df: DataFrame, *keys: str) -> DataFrame:
+def bucketed(df: DataFrame, *keys: str, compression: str = "snappy") -> DataFrame:
     """``df`` written once to the shared folder, bucketed by ``keys``: joins and groups on them do not shuffle it."""
     spark = df.sparkSession
     name = f"strata_bucketed_{uuid.uuid4().hex[:12]}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    df.write.bucketBy(buckets, *keys).option("path", scratch_dir(spark, "bucketed")).saveAsTable(name)
+    df.write.bucketBy(buckets, *keys).option("path", scratch_dir(spark, "bucketed")).option("compression", compression).saveAsTable(name)
     return spark.table(name)
 
 
@@ -110,7 +110,9 @@ class Blocks:
         def both(key, mine: pa.Table, other: pa.Table) -> pa.Table:
             if not mine.num_rows:
                 return func(None, None, other)
-            return func(key[0].as_py(), unpack_rows(mine.column("body")[0].as_py()), other)
+            out = func(key[0].as_py(), unpack_rows(mine.column("body")[0].as_py()), other)
+            pa.default_memory_pool().release_unused()
+            return out
 
         return (self.table.select("block", "body").groupBy("block")
                 .cogroup(side.groupBy("block")).applyInArrow(both, schema))

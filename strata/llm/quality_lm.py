@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.blocks import Blocks, pack_rows, unpack_rows
+from strata.llm.blocks import Blocks, bucketed, pack_rows, unpack_rows
 from strata.llm.common import delete_folder, release_shuffles, table, utf8
 from strata.llm.suffix_dedup import SpanHash
 from strata.session import owned_scratch, scratch_dir, stage
@@ -354,12 +354,13 @@ class QualityModel:
         (self.blocks.meet(learn, _ask(order), T.StructType([long("block"), long("m"), long("g"), long("n")]))
          .write.option("compression", "zstd").parquet(path))
         asks = spark.read.parquet(path)
-        counts_path, questions_path, answers_path = (scratch_dir(spark, f"quality-{x}") for x in ("counts", "questions", "answers"))
+        counts_path, answers_path = scratch_dir(spark, "quality-counts"), scratch_dir(spark, "quality-answers")
         asks.filter("n > 0").groupBy("m", "g").agg(F.sum("n").alias("c")).write.option("compression", "zstd").parquet(counts_path)
-        # every question once per salt, with the blocks that asked
-        (asks.filter("n = 0").groupBy("m", "g", F.shiftright("block", SALT_BIT).alias("salt"))
-         .agg(F.collect_list("block").alias("asked")).write.option("compression", "zstd").parquet(questions_path))
-        questions = spark.read.parquet(questions_path)
+        release_shuffles(spark)
+        # every question once per salt, with the blocks that asked; dealt by what joins use, so it is moved only once
+        dealt = asks.filter("n = 0").select("m", "g", "block").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "m", "g")
+        questions = bucketed(dealt.groupBy("m", "g", F.shiftright("block", SALT_BIT).alias("salt"))
+                             .agg(F.collect_list("block").alias("asked")), "m", "g", compression="zstd")
         del asks
         delete_folder(spark, path)      # counts and questions are tables of their own now
         release_shuffles(spark)
