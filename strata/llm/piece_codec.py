@@ -48,6 +48,8 @@ BLOCK_BYTES = 16 << 20
 TEXTS = 1 << 18
 #: block numbers that differ below this bit are answered together (blocks of 512 input partitions)
 SALT_BIT = 29
+#: an asker is one number: its block's number below SALT_BIT, then the unit's number in the block
+U_BITS = 32
 
 
 class Vocabulary:
@@ -200,12 +202,15 @@ def _ask(vocab):
                 for part in _texts(unpack_rows(body.as_py())):
                     units.cut(part)
                 pa.default_memory_pool().release_unused()
-                words = [w for w in units.number if 1 < len(w) <= LONGEST]
+                salt, low = block >> SALT_BIT, (block & (1 << SALT_BIT) - 1) << U_BITS
+                words = list(units.number)      # in the order of their numbers
                 for k in range(0, len(words), 100_000):
                     some = words[k:k + 100_000]
+                    fits = np.fromiter((1 < len(w) <= LONGEST for w in some), bool, len(some))
+                    u = np.flatnonzero(fits)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(some), block)), pa.array([units.number[w] for w in some], pa.int64()), pa.array(some, pa.string())],
-                        names=["block", "u", "unit"])
+                        [pa.array(np.full(len(u), salt)), pa.array(low | (u + k)), pa.array(some, pa.string()).filter(pa.array(fits))],
+                        names=["salt", "ask", "unit"])
 
     return run
 
@@ -214,28 +219,38 @@ def lattice(units: DataFrame, vocab: Vocabulary, kind: str, keys: list[str], car
     """``keys`` (unit first), ``carry`` and ``cuts`` (bit i: a symbol starts at character i) per row of ``units``.
 
     Rows that no piece fits are left out; so are units that a character without a piece breaks (unigram).
+    ``carry`` goes with one substring of each row, which is too short for a piece, and a row's
+    number leads the groups: the substrings of a row come one after the other, so that groups
+    that are sorted find them in order.
     """
     spark = units.sparkSession
     own = [(p, i, s) for i, p, s in vocab.pieces if len(p) > 1 or kind == "unigram"]
-    table_ = spark.createDataFrame(own, "piece string, id int, score double")
+    place = {s: k for k, s in enumerate(sorted({s for _, _, s in own}, reverse=True))}      # ranks fall with scores
+    table_ = spark.createDataFrame([(*x, place[x[2]]) for x in own], "piece string, id int, score double, rank long")
     least = 1 if kind == "unigram" else 2
     n = F.length("unit")
+    units = units.withColumn("__row", F.monotonically_increasing_id())
     starts = units.select("*", F.explode(F.sequence(F.lit(0), n - least)).alias("s"))
-    sub = starts.select("*", F.explode(F.sequence(F.lit(least), F.least(n - F.col("s"), F.lit(vocab.longest)))).alias("len"))
-    sub = sub.select(*keys, *carry, "s", (F.col("s") + F.col("len")).alias("e"), F.expr("substring(unit, s + 1, len)").alias("piece"))
-    edges = sub.join(F.broadcast(table_), "piece")      # a vocabulary file: fixed size
-    first = [F.first(c).alias(c) for c in carry]
+    shortest = F.when(F.col("s") == 0, least - 1).otherwise(least)
+    sub = starts.select("*", F.explode(F.sequence(shortest, F.least(n - F.col("s"), F.lit(vocab.longest)))).alias("len"))
+    short = F.col("len") < least
+    sub = sub.select("__row", *keys, *[F.when(short, F.col(c)).alias(c) for c in carry], "s", (F.col("s") + F.col("len")).alias("e"),
+                     F.when(~short, F.expr("substring(unit, s + 1, len)")).alias("piece"), short.alias("short"))
+    edges = sub.join(F.broadcast(table_), "piece", "left").filter("short OR id IS NOT NULL")      # a vocabulary file: fixed size
+    first = [F.first(c, ignorenulls=True).alias(c) for c in carry]
     if kind == "bpe":
-        # ranks fall with scores; the mask of an edge's ends and of what lies between
-        edge = F.struct((-F.col("score")).alias("rank"), "s",
-                        F.expr("shiftleft(1L, s) | shiftleft(1L, e)").alias("ends"),
-                        F.expr("(shiftleft(1L, e) - 1) & ~(shiftleft(2L, s) - 1)").alias("mid"))
-        grouped = edges.groupBy(*keys).agg(F.array_sort(F.collect_list(edge)).alias("edges"), *first)
+        # an edge is one number: rank, start, end; as masks, its ends and what lies between them
+        edge = F.expr("shiftleft(rank, 12) | shiftleft(s, 6) | e")
+        grouped = edges.groupBy("__row", *keys).agg(F.sort_array(F.collect_list(F.when(~F.col("short"), edge))).alias("edges"), *first).filter("size(edges) > 0")
+        masks = """transform(edges, x -> named_struct(
+            'ends', shiftleft(1L, int(shiftright(x, 6) & 63)) | shiftleft(1L, int(x & 63)),
+            'mid', shiftleft(1L, int(x & 63)) - shiftleft(2L, int(shiftright(x, 6) & 63))))"""
         # in order of rank and place; the second round takes what a later merge made possible
-        fold = F.expr("""aggregate(concat(edges, edges), shiftleft(2L, length(unit)) - 1,
+        fold = F.expr(f"""aggregate(flatten(array_repeat({masks}, 2)), shiftleft(2L, length(unit)) - 1,
             (c, x) -> IF((c & x.ends) = x.ends AND bit_count(c & x.mid) = 1, c & ~x.mid, c))""")
         return grouped.select(*keys, *carry, fold.alias("cuts"))
-    grouped = edges.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("e", "s", "score"))).alias("edges"), *first)
+    edge = F.when(~F.col("short"), F.struct("e", "s", "score"))
+    grouped = edges.groupBy("__row", *keys).agg(F.sort_array(F.collect_list(edge)).alias("edges"), *first).filter("size(edges) > 0")
     # Viterbi: best[e] is the best score of the first e characters and the cuts that give it; edges come by end
     fold = F.expr("""element_at(aggregate(edges,
         transform(sequence(0, length(unit)), i -> named_struct('score', IF(i = 0, 0D, NULL), 'cuts', 0L)),
@@ -315,14 +330,17 @@ def encode_with(docs: DataFrame, vocab: Vocabulary, id_col: str, text_col: str,
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(vocab)       # the vocabulary file
     blocks = Blocks(docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")), "id", "text", BLOCK_BYTES)
-    asks = blocks.table.select("block", "body").mapInArrow(_ask(shared), "block long, u long, unit string")
+    asks = blocks.table.select("block", "body").mapInArrow(_ask(shared), "salt long, ask long, unit string")
     # each unit once per salt, with the blocks that asked; no exchange between here and the fold
-    distinct = (asks.withColumn("salt", F.shiftright("block", SALT_BIT)).groupBy("unit", "salt")
-                .agg(F.collect_list(F.struct("block", "u")).alias("asked")))
-    solved = lattice(distinct, vocab, kind, ["unit", "salt"], ["asked"]).filter("cuts IS NOT NULL")
+    distinct = asks.groupBy("unit", "salt").agg(F.collect_list("ask").alias("asked"))
+    solved = lattice(distinct, vocab, kind, ["unit", "salt"], ["asked"])
+    if kind != "bpe":       # merges always end; a filter would make the fold run twice
+        solved = solved.filter("cuts IS NOT NULL")
     # a block's answers, at most one per distinct unit in it, meet it where its bucket is read
-    answers = (solved.select("cuts", F.explode("asked").alias("a"))
-               .groupBy("a.block").agg(F.collect_list(F.struct("a.u", "cuts")).alias("answers")))
+    block = F.shiftleft("salt", SALT_BIT).bitwiseOR(F.shiftright("a", U_BITS)).alias("block")
+    answers = (solved.select("salt", "cuts", F.explode("asked").alias("a"))
+               .select(block, F.col("a").bitwiseAND(F.lit((1 << U_BITS) - 1)).alias("u"), "cuts")
+               .groupBy("block").agg(F.collect_list(F.struct("u", "cuts")).alias("answers")))
     both = blocks.table.select("block", "body").join(answers, "block", "left").select("body", "answers")
     out = both.mapInArrow(_apply(shared, kind, with_text), T.StructType([
         T.StructField("id", docs.schema[id_col].dataType), T.StructField("ids", T.ArrayType(T.IntegerType())),

@@ -92,3 +92,24 @@ def test_edge_rows(spark, edge_docs, no_docs, model):
 def test_decode_replaces_a_column_of_its_name(spark, model):
     df = spark.createDataFrame([(1, model.encode("over there"), "old")], "doc_id long, ids array<int>, text string")
     assert decode(df, PATH).collect()[0].text == "over there"
+
+
+def test_askers_do_not_travel_with_every_substring(spark):
+    """Of a unit's substrings one carries its askers, and the groups need no exchange after that of the units."""
+    from strata.llm.piece_codec import lattice
+
+    v = Vocabulary.load(PATH)
+    texts = ["international", "the▁quick", "zz", "ab", "qxzj"]
+    units = spark.createDataFrame([(t, 0, [7, 8 + i]) for i, t in enumerate(texts)], "unit string, salt long, asked array<long>")
+    out = lattice(units.repartition(3, "unit", "salt"), v, "bpe", ["unit", "salt"], ["asked"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert "CASE WHEN (len" in plan and "asked" in plan.split("CASE WHEN (len", 1)[1]
+    got = {r.unit: r for r in out.collect()}
+    for i, t in enumerate(texts):
+        if t not in got:       # no piece fits
+            assert v.merge(t) == list(t)
+            continue
+        cuts = [k for k in range(len(t) + 1) if got[t].cuts >> k & 1]
+        assert [t[a:b] for a, b in zip(cuts, cuts[1:], strict=False)] == v.merge(t)
+        assert got[t].asked == [7, 8 + i] and got[t].salt == 0
