@@ -125,7 +125,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         T.StructField(OUT + "keep", id_type), T.StructField(OUT + "size", T.LongType()),
         T.StructField(OUT + "head", T.BooleanType()), T.StructField(OUT + "edge", T.BooleanType()),
         T.StructField(OUT + "pid", T.IntegerType())])
-    rows, _ = stage(ordered.mapInArrow(_runs(own[text_col], own[id_col], with_rows), schema), "exact-dedup")
+    rows, _ = stage(ordered.mapInArrow(_runs(own[text_col], own[id_col], with_rows), schema), "exact-dedup", compression="zstd")
 
     # runs that may go on in a neighbouring partition: at most two per partition
     edges = (rows.filter(F.col(OUT + "edge") & F.col(OUT + "head"))

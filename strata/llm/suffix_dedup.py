@@ -38,8 +38,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import table, utf8
-from strata.session import stage
+from strata.llm.common import release_shuffles, table, utf8
+from strata.session import owned_scratch, scratch_dir, stage
 
 MIN_LEN = 200
 SEED = 64
@@ -419,6 +419,7 @@ def repeated_spans(keyed: DataFrame, min_len: int = MIN_LEN, seed: int = SEED,
     dealt = F.when(F.col("hot"), F.xxhash64("a", "h", "k1", "p")).otherwise(F.col("a"))
     cand, _ = stage(rows.repartition(dealt).sortWithinPartitions("a", "h")
                     .mapInArrow(drop_single, schema), "suffix-anchors")
+    release_shuffles(spark)
     classes = cand.groupBy("a", "h").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("k1", "k2", "p", "l", "n")).alias("rep"))
     kinds = classes.groupBy("a").agg(F.count(F.lit(1)).alias("kinds"), F.sum("c").alias("all")).filter("all > 1")
     mixed, _ = stage(classes.join(kinds.filter("kinds > 1"), "a")
@@ -446,7 +447,8 @@ def repeated_spans(keyed: DataFrame, min_len: int = MIN_LEN, seed: int = SEED,
                 names=["a", "h", "c", "kinds", "k1", "k2", "from", "l", "bytes"])
 
     windows, _ = stage(keyed.join(need, ["k1", "k2"]).mapInArrow(
-        cut, "a long, h long, c long, kinds long, k1 long, k2 long, from long, l int, bytes binary"), "suffix-windows")
+        cut, "a long, h long, c long, kinds long, k1 long, k2 long, from long, l int, bytes binary"), "suffix-windows", compression="zstd")
+    release_shuffles(spark)
     cool, hot = windows.filter(F.col("kinds") <= hot_windows), windows.filter(F.col("kinds") > hot_windows)
     total = cool.agg(F.sum(F.length("bytes"))).first()[0] or 0
     shards = max(1, -(-int(total) // shard_bytes))
@@ -457,6 +459,7 @@ def repeated_spans(keyed: DataFrame, min_len: int = MIN_LEN, seed: int = SEED,
     if not hot.isEmpty():
         found = found.unionByName(_hot_spans(hot.dropDuplicates(["a", "h"]), min_len))
     closer, _ = stage(found.filter(F.size("spans") > 0), "suffix-spans")
+    release_shuffles(spark)
 
     # back to every place: whole windows for classes of two or more, else what the closer look found
     whole = classes.join(kinds, "a").filter("c > 1").select("a", "h", F.lit(True).alias("whole"))
@@ -477,7 +480,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     ident = F.col(f"`{id_col}`")
     keys = [F.xxhash64(F.lit(1), ident, text).alias("k1"), F.xxhash64(F.lit(2), text, ident).alias("k2")]
-    spans = repeated_spans(docs.select(*keys, text.alias("text")), **kw)
+    spark, path = docs.sparkSession, scratch_dir(docs.sparkSession, "suffix-repeats")
+    with owned_scratch(spark):      # anchors and windows go once the spans are written
+        repeated_spans(docs.select(*keys, text.alias("text")), **kw).write.option("compression", "zstd").parquet(path)
+    release_shuffles(spark)
+    spans = spark.read.parquet(path)
     names = docs.columns
     body = docs.select(*keys, *[F.col(f"`{c}`").alias(f"__c{i}") for i, c in enumerate(names)])
     at = f"__c{names.index(text_col)}"

@@ -66,7 +66,7 @@ def owned_scratch(spark: SparkSession) -> Iterator[None]:
             path.getFileSystem(conf).delete(path, True)
 
 
-def stage(df: DataFrame, tag: str = "stage") -> tuple[DataFrame, int]:
+def stage(df: DataFrame, tag: str = "stage", compression: str | None = None) -> tuple[DataFrame, int]:
     """Write ``df`` as a parquet table in the shared folder; read it back, with its row count.
 
     Cuts lineage like ``checkpoint()``, but columnar and compressed; columns
@@ -78,7 +78,7 @@ def stage(df: DataFrame, tag: str = "stage") -> tuple[DataFrame, int]:
 
     path = scratch_dir(df.sparkSession, tag)
     obs = Observation()
-    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.parquet(path, compression=compression)
     return df.sparkSession.read.parquet(path), int(obs.get["rows"])
 
 

@@ -115,3 +115,16 @@ def test_near_with_null_and_repeated_ids(spark):
     got = {(r.doc_id, r.component_id) for r in similar_groups(docs, words=5, percent=80).collect()}
     assert got == {(None, 4), (4, 4), (7, 4), (7, 7), (9, 9)}
     assert {tuple(r) for r in C.near(spark, docs, SF).collect()} == {rows[0], rows[1], rows[3], rows[4]}
+
+
+def test_stages_leave_little_staged(spark, stages):
+    """Disk is counted over all stages: what a stage does not read again goes before it returns."""
+    from tests.llm.test_suffix_dedup import staged
+
+    for name, left in (("near", ["near-out"]), ("repeats", ["suffix-repeats"])):
+        before = staged(spark)
+        dict(C.STAGES)[name](spark, stages["exact"].limit(60), SF)
+        assert [n.rsplit("-", 1)[0] for n in staged(spark) - before] == left, name
+    before = staged(spark)
+    C.run(spark, SF)
+    assert sorted(n.rsplit("-", 1)[0] for n in staged(spark) - before) == sorted(f"pipeline-{n}" for n, _ in C.STAGES)

@@ -84,3 +84,20 @@ def test_remove_repeats_replaces_columns_of_its_names(spark):
     df = spark.createDataFrame([(1, "a" * 450, "s", "n"), (2, "b", "s", None)], "doc_id long, text string, `__spans` string, `__n_bytes` string")
     got = {r.doc_id: r for r in remove_repeats(df).collect()}
     assert (got[1]["__n_bytes"], bytes(got[1]["__kept"]), got[2]["__n_bytes"]) == (450, b"", 1)
+
+
+def staged(spark):
+    """Scratch folders that hold rows."""
+    from strata.session import checkpoint_root
+
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{checkpoint_root(spark)}/strata-work")
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return {s.getPath().getName() for s in fs.listStatus(root)} if fs.exists(root) else set()
+
+
+def test_only_the_spans_stay_staged(spark):
+    docs = spark.createDataFrame([(i, "word " * 60 + str(i)) for i in range(5)], "doc_id long, text string")
+    before = staged(spark)
+    out = remove_repeats(docs)
+    assert [n.rsplit("-", 1)[0] for n in staged(spark) - before] == ["suffix-repeats"]
+    assert out.filter("size(__spans) > 0").count() == 5
