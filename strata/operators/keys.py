@@ -85,14 +85,17 @@ def dense_number(
     order = resolve_columns(cols, order_by, "order column")
     if resolve_column(cols, key) is not None:
         raise ValueError(f"key column {key!r} already exists in {cols}")
+    width, total = int(spark.conf.get("spark.sql.shuffle.partitions")), None
     if not deterministic_input:
-        df, _ = stage(df, "unnumbered")
+        df, total = stage(df, "unnumbered")
     name = row_name(df, order if total_order else cols)
-    names, n = stage(df.select(*[qcol(c).alias(f"__o{i}") for i, c in enumerate(order)], *name)
-                     .groupBy(*[f"__o{i}" for i in range(len(order))], _H1, _H2).agg(F.count(F.lit(1)).alias(_N)), "names")
+    named = df.select(*[qcol(c).alias(f"__o{i}") for i, c in enumerate(order)], *name)
+    if total_order:      # every name is there once: counted where they meet, not in the task that reads them
+        named = named.repartition(width, *[f"__o{i}" for i in range(len(order))], _H1, _H2)
+    names, n = stage(named.groupBy(*[f"__o{i}" for i in range(len(order))], _H1, _H2).agg(F.count(F.lit(1)).alias(_N)), "names")
     if total_order:
         names = names.withColumn(_N, F.when(F.col(_N) > 1, F.raise_error(F.lit(f"rows tie on {order}"))).otherwise(F.col(_N)).cast("long"))
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(n / rows_per_partition))
+    parts = max(width, math.ceil(n / rows_per_partition))
     by = [*[F.col(f"__o{i}").asc_nulls_first() for i in range(len(order))], F.col(_H1), F.col(_H2)]
     ranked, _ = stage(
         names.repartitionByRange(parts, *by).sortWithinPartitions(*by).select(_H1, _H2, _N)
@@ -110,13 +113,13 @@ def dense_number(
     found = (df.select(*[qcol(c) for c in cols], *name).join(numbers, [_H1, _H2], "left")
              .withColumn(_N, F.when(F.col(_N).isNull(), lost).otherwise(F.col(_N)).cast("long")))
     single = found.where(F.col(_N) == 1).select(*[qcol(c) for c in cols], (F.col(_FIRST) + 1).cast("long").alias(key))
-    if total_order:
+    if total_order or n == total:       # no two rows are equal
         return single
     equal = (found.where(F.col(_N) > 1).groupBy(_H1, _H2)
              .agg(F.first(F.struct(*[qcol(c) for c in cols])).alias(_ROW), F.max(_N).alias(_N), F.max(_FIRST).alias(_FIRST)))
     share = max(1, min(_COPIES, rows_per_partition))
     split = (equal.select(_ROW, _N, _FIRST, F.explode(F.expr(f"sequence(0L, ({_N} - 1) div {share})")).alias(_PART))
-             .repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))))
+             .repartition(width))
     copies = split.select(_ROW, _FIRST, F.explode(F.expr(
         f"sequence({_PART} * {share}, least({_N}, ({_PART} + 1) * {share}) - 1)")).alias(_POS))
     return single.unionByName(copies.select(
@@ -156,8 +159,14 @@ def assign_keys(
 
 
 def check_one_row_each(df: DataFrame, keys: Sequence[str], what: str) -> None:
-    """Raise ``DuplicateKeyError`` if a key occurs twice (null equals null)."""
-    dup = (df.groupBy(*[qcol(k) for k in keys]).agg(F.count(F.lit(1)).alias(_POS))
+    """Raise ``DuplicateKeyError`` if a key occurs twice (null equals null).
+
+    Keys that pass are there once, so they are counted where they meet: a task that
+    reads rows need not hold all of their keys.
+    """
+    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dup = (df.select(*[qcol(k) for k in keys]).repartition(width, *[qcol(k) for k in keys])
+           .groupBy(*[qcol(k) for k in keys]).agg(F.count(F.lit(1)).alias(_POS))
            .where(F.col(_POS) > 1).limit(1).collect())
     if dup:
         raise DuplicateKeyError(f"{what}: key {list(keys)} repeats, e.g. {dup[0].asDict()}")

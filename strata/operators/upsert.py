@@ -40,12 +40,14 @@ class DuplicateKeyError(ValueError):
 
 
 def check_unique(source: DataFrame, keys: Sequence[str]) -> None:
-    """§2.9 item 5: raise if a non-null key occurs twice in the source."""
+    """§2.9 item 5: raise if a non-null key occurs twice in the source (counted where equal keys meet)."""
     keys = resolve_columns(source.columns, keys, "key column")
     not_null = F.lit(True)
     for k in keys:
         not_null = not_null & qcol(k).isNotNull()
-    dup = (source.where(not_null).groupBy(*[qcol(k) for k in keys]).count()
+    width = int(source.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dup = (source.where(not_null).select(*[qcol(k) for k in keys]).repartition(width, *[qcol(k) for k in keys])
+           .groupBy(*[qcol(k) for k in keys]).count()
            .where(F.col("count") > 1).limit(1).collect())
     if dup:
         raise DuplicateKeyError(f"source has duplicate keys {keys}: e.g. {dup[0].asDict()}")

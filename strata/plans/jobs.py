@@ -10,8 +10,10 @@ import logging
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -204,13 +206,25 @@ def split_bad_keys(df: DataFrame, mapping: ColumnMapping, keys: Sequence[str]) -
     A key that cannot be cast would become null, and the dedupe would fold all
     such rows into one; they are kept apart instead. Other columns become null.
     """
+    bad = bad_key(df, mapping, keys)
+    return df.where(~bad), df.where(bad)
+
+
+def bad_key(df: DataFrame, mapping: ColumnMapping, keys: Sequence[str]) -> Column:
+    """Whether a row has a key that cannot be cast to its mapped type."""
     types = {k.lower(): t for k, t in mapping.types.items() if t}
     bad = F.lit(False)
     for k in keys:
         actual = resolve_column(df.columns, k)
         if actual is not None and k.lower() in types:
             bad = bad | (qcol(actual).isNotNull() & qcol(actual).try_cast(types[k.lower()]).isNull())
-    return df.where(~bad), df.where(bad)
+    return bad
+
+
+def lossy_cast(df: DataFrame, types: Mapping[str, str]) -> Column:
+    """Whether a cast to its mapped type makes a value of the row null (a row of ``cast_error_rows``)."""
+    named = ((resolve_column(df.columns, n), t) for n, t in types.items() if t)
+    return reduce(or_, [qcol(c).isNotNull() & qcol(c).try_cast(t).isNull() for c, t in named if c is not None], F.lit(False))
 
 
 #: values that a silver cast made null
@@ -228,6 +242,19 @@ def cast_error_rows(rows: DataFrame, types: Mapping[str, str], keys: Sequence[st
         F.col("e.value").alias("VALUE"), F.col("e.type").alias("TYPE")), run_id, now, (ADDED_BY, ADDED_ON))
 
 
+def stage_winners(whole: DataFrame, m: ColumnMapping, keys: Sequence[str]) -> tuple[DataFrame, dict]:
+    """The newest castable row of every key, staged, and what that pass saw: ``bad`` keys, rows with ``lossy`` casts.
+
+    Where nothing was seen, the rows need no pass of their own for rejects and cast
+    errors. The counts are missing where Spark cut the plan short (no rows).
+    """
+    bad = bad_key(whole, m, keys)
+    seen = Observation()
+    counted = whole.observe(seen, F.count_if(bad).alias("bad"), F.count_if(~bad & lossy_cast(whole, m.types)).alias("lossy"))
+    won, n = stage(dedupe_latest(cast_columns(counted.where(~bad), m.types), keys, (ADDED_ON,)), "silver-newest")
+    return won, seen.get if n else {}
+
+
 def run_silver(ctx: LoadContext, objects: DataFrame, mapping: DataFrame, *,
                incremental: bool = True) -> dict[str, int]:
     """Every active object: bronze -> mapped, deduped rows -> silver.
@@ -263,30 +290,35 @@ def run_silver(ctx: LoadContext, objects: DataFrame, mapping: DataFrame, *,
             rows = bronze.read_batches(batches)
 
         def mapped(some):
-            return split_bad_keys(fill_nulls(rename_columns(some, m.renames), m.defaults), m, keys)
+            return fill_nulls(rename_columns(some, m.renames), m.defaults)
 
-        good, bad = mapped(rows)
+        whole = mapped(rows)
+        good, bad = split_bad_keys(whole, m, keys)
+        won, counts = stage_winners(whole, m, keys)
         if m.types:
+            batch = f"{ctx.run_id}-{row['OBJECT_NAME']}".lower()
+            none = lambda df: ctx.spark.createDataFrame([], df.schema)
             rejects = ctx.lake.table("silver_rejects", name)
             if not rejects.exists():
                 rejects.create(bad.schema)
-            n = rejects.write_batch(bad, f"{ctx.run_id}-{row['OBJECT_NAME']}".lower())
+            n = rejects.write_batch(bad if counts.get("bad", 1) else none(bad), batch)
             if n:
                 _LOG.warning("%s: %d rows have keys that cannot be cast; see silver_rejects", name, n)
             errors = ctx.lake.table("silver_cast_errors", name)
             if not errors.exists():
                 errors.create(CAST_ERROR)
-            n = errors.write_batch(cast_error_rows(good, m.types, keys, row["OBJECT_NAME"], ctx.run_id, ctx.now),
-                                   f"{ctx.run_id}-{row['OBJECT_NAME']}".lower())
+            lost = cast_error_rows(good, m.types, keys, row["OBJECT_NAME"], ctx.run_id, ctx.now)
+            n = errors.write_batch(lost if counts.get("lossy", 1) else none(lost), batch)
             if n:
                 _LOG.warning("%s: %d values cannot be cast and are null; see silver_cast_errors", name, n)
-        won = dedupe_latest(cast_columns(good, m.types), keys, (ADDED_ON,))
         winners = order_table(ctx, name, row["OBJECT_NAME"])
         if step and winners.exists():
             won = newer_rows(won, winners.read(), keys, (ADDED_ON,))
         elif step and seen:      # batches taken in before winners were kept
-            won = newer_rows(won, cast_columns(mapped(bronze.read_batches(seen))[0], m.types), keys, (ADDED_ON,))
-        won, _ = stage(won, "silver-winners")       # upserted, then recorded
+            before = split_bad_keys(mapped(bronze.read_batches(seen)), m, keys)[0]
+            won = newer_rows(won, cast_columns(before, m.types), keys, (ADDED_ON,))
+        if step and (seen or winners.exists()):
+            won, _ = stage(won, "silver-winners")       # upserted, then recorded
         written = load_table(
             silver, won, operation_type=row["OPERATION_TYPE"], is_full_load=row["IS_FULL_LOAD"], keys=keys,
             run_id=ctx.run_id, now=ctx.now, update_columns=m.merge_columns(), unique_keys=True, null_keys="missing")
@@ -326,8 +358,11 @@ def run_gold(ctx: LoadContext, edw_config: DataFrame, builders: Sequence[GoldBui
         keys = split_list(row["GOLD_KEY_COLUMN_NAME"])
         table = ctx.lake.table("gold", row["OBJECT_NAME"])
         listed = split_list(row["GOLD_COLUMN_NAMES"]) or table.schema.fieldNames()
+        built = b.build(ctx)
+        if load_mode(row["OPERATION_TYPE"], row["IS_FULL_LOAD"]) == "upsert":
+            built, _ = stage(built, "gold-built")       # an upsert reads its source several times
         return row["OBJECT_NAME"], load_table(
-            table, b.build(ctx), operation_type=row["OPERATION_TYPE"], is_full_load=row["IS_FULL_LOAD"],
+            table, built, operation_type=row["OPERATION_TYPE"], is_full_load=row["IS_FULL_LOAD"],
             keys=keys, run_id=ctx.run_id, now=ctx.now, update_columns=gold_update_columns(listed, keys, b.key))
 
     dims = [r for r in rows if by_name[r["OBJECT_NAME"].lower()].kind == "dimension"]
