@@ -32,6 +32,16 @@ def test_dense_number_equals_row_number_on_total_order(spark, how):
     assert ours == ref
 
 
+def test_distinct_rows_are_numbered_by_one_join(spark):
+    """No second pass over the rows looks for equal ones where the staged names show that there are none."""
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    df = spark.range(50).select((F.col("id") % 7).alias("a"), F.col("id").alias("b"))
+    out = dense_number(df, ["a"], "K")
+    assert "Union" not in plan(out) and sorted(r.K for r in out.collect()) == list(range(1, 51))
+    twice = dense_number(df.union(df), ["a"], "K")
+    assert "Union" in plan(twice) and sorted(r.K for r in twice.collect()) == list(range(1, 101))
+
+
 @pytest.mark.parametrize("total_order", [False, True])
 def test_dense_number_empty(spark, total_order):
     df = spark.createDataFrame([], "a int")
