@@ -24,12 +24,13 @@ gives no rows; columns other than id and text are ignored.
 from __future__ import annotations
 
 import re
+from array import array
 from collections import deque
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -42,6 +43,8 @@ WINDOW = 4096
 END_ID = 2
 #: words kept in a worker's cache of encoded words (two generations of this size at most)
 CACHE_WORDS = 400_000
+#: characters of texts that are cut into words at once
+TOGETHER = 1 << 23
 
 
 class WordTokenizer:
@@ -49,13 +52,14 @@ class WordTokenizer:
 
     The file's own splitter cuts a text into words that are encoded one by one,
     so a word's ids do not depend on its neighbours. Texts in plain Latin letters
-    (where lower-casing and composition act letter by letter) are cut here with
-    the same pattern; any other text goes to the library whole.
+    (where lower-casing and composition act letter by letter) are cut here by the
+    same rules, many texts at once: words become numbers of the distinct ones, only
+    these are looked up, and ids are gathered by number. Any other text goes to the
+    library whole.
     """
 
     PLAIN = re.compile("[\t\n\r -~¡-¬®-įĲ-ſ]*")
-    SPLIT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ſ]+|[0-9²³¹¼-¾]"
-                       "|[^\\sa-zªµºß-öø-ſ0-9²³¹¼-¾]+")
+    CONTRACTIONS = (b"s", b"t", b"re", b"ve", b"m", b"ll", b"d")
 
     def __init__(self, path: str):
         import os
@@ -69,9 +73,15 @@ class WordTokenizer:
         self.old: dict[str, bytes] = {}
 
     def _learn(self, words: list[str]) -> None:
-        """Encode words that are not known yet, many per call."""
-        for k in range(0, len(words), 2000):
-            some = words[k:k + 2000]
+        """Encode words that are not known yet."""
+        merge, rest = self.tok.model.tokenize, []
+        for w in words:
+            if w.isascii():     # visible ASCII stands for itself in the file's alphabet: only its merges are left to do
+                self.new[w] = array("I", [t.id for t in merge(w)]).tobytes()
+            else:
+                rest.append(w)
+        for k in range(0, len(rest), 2000):         # many per call
+            some = rest[k:k + 2000]
             enc = self.tok.encode(" ".join(some), add_special_tokens=False)
             ids, at = np.array(enc.ids, "<u4").tobytes(), enc.word_ids
             if at and at[-1] == len(some) - 1:
@@ -81,28 +91,126 @@ class WordTokenizer:
                 for w in some:
                     self.new[w] = np.array(self.tok.encode(w, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        split: list[list[str] | None] = []
+    def _known(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct words."""
         new, old = self.new, self.old
-        for t in texts:
-            plain = "<|" not in t and self.PLAIN.fullmatch(t)
-            split.append(self.SPLIT.findall(t.lower()) if plain else None)
-        missing = set(chain.from_iterable(filter(None, split))).difference(new)
-        again = missing.intersection(old)
-        new.update((w, old[w]) for w in again)
-        if len(missing) > len(again):
-            self._learn(list(missing - again))
-        out = []
-        get = new.__getitem__
-        for t, words in zip(texts, split, strict=True):
-            if words is None:
-                out.append(np.array(self.tok.encode(t, add_special_tokens=False).ids, np.uint32))
-            else:
-                out.append(np.frombuffer(b"".join(map(get, words)), "<u4"))
-        if len(self.new) > CACHE_WORDS:
-            self.old, self.new = self.new, {}
+        got = list(map(new.get, words))
+        missing = [w for w, g in zip(words, got, strict=True) if g is None]
+        if missing:
+            again = [w for w in missing if w in old]
+            new.update(zip(again, map(old.__getitem__, again), strict=True))
+            if len(missing) > len(again):
+                self._learn([w for w in missing if w not in old])
+            got = list(map(new.__getitem__, words))
+        if len(new) > CACHE_WORDS:
+            self.old, self.new = new, {}
+        return got
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        out: list[np.ndarray | None] = [None] * len(texts)
+        held, size = [], 0
+        for i, t in enumerate(texts):
+            if "<|" in t or not self.PLAIN.fullmatch(t):
+                out[i] = np.array(self.tok.encode(t, add_special_tokens=False).ids, np.uint32)
+                continue
+            held.append(i)
+            size += len(t)
+            if size >= TOGETHER:
+                self._plain(texts, held, out)
+                held, size = [], 0
+        if held:
+            self._plain(texts, held, out)
         return out
 
+    def _plain(self, texts: list[str], which: list[int], out: list) -> None:
+        """Ids of the plain texts ``which``, put into ``out``."""
+        parts = [texts[i].lower().encode() for i in which]
+        begin = np.cumsum([0, *(len(p) + 1 for p in parts)])
+        raw = np.frombuffer(b"\n".join([*parts, b""]), np.uint8)
+        start, solid = word_starts(raw)
+        first = np.searchsorted(np.flatnonzero(start), begin).tolist()      # each text's first word
+        packed, start = raw[solid], start[solid]
+        edge = np.append(np.flatnonzero(start), len(packed)).astype(np.int32)
+        coded = pa.StringArray.from_buffers(len(edge) - 1, pa.py_buffer(edge), pa.py_buffer(packed)).dictionary_encode()
+        del raw, solid, start, packed, edge, parts
+        ids = self._known(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        number = coded.indices.to_numpy()
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) >> 2
+        begin = np.cumsum(sizes) - sizes
+        flat = np.frombuffer(b"".join(ids), "<u4")
+        del ids, coded
+        for k in range(0, len(which), 32):
+            some, cut = which[k:k + 32], first[k:k + 33]
+            own = number[cut[0]:cut[-1]]
+            n = sizes[own]
+            ends = np.cumsum(n)
+            # a word's ids lie together in ``flat``: their places count on from the first
+            got = flat[np.repeat(begin[own] - ends + n, n) + np.arange(int(n.sum()))]
+            at = np.append(0, ends)[np.array(cut) - cut[0]].tolist()
+            for i, x, y in zip(some, at, at[1:], strict=False):
+                out[i] = got[x:y]
+
+
+def word_starts(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where words start in lower-cased plain texts (UTF-8 bytes), and what is not white space.
+
+    A word is a contraction (an apostrophe that no sign stands before, and its letters), a
+    run of letters, one digit or a run of other signs; white space lies between words.
+    """
+    kind = KIND[raw]
+    # characters of two bytes: both get the kind of the character
+    two = np.flatnonzero(raw >= 0xC2)
+    kind[two] = KIND_OF_TWO[(raw[two].astype(np.int64) & 7) << 6 | raw[two + 1] & 0x3F]
+    kind[two + 1] = kind[two]
+    start = np.append(True, kind[1:] != kind[:-1])[:len(raw)]
+    quote = np.flatnonzero((raw == 0x27) & start)
+    start |= kind == DIGIT
+    start[two + 1] = False
+    solid = kind != SPACE
+    start &= solid
+    if len(quote):
+        rest = np.append(raw, np.zeros(2, np.uint8))
+        after = [rest[quote + 1], rest[quote + 2]]
+        length = np.zeros(len(quote), np.int64)
+        for tail in WordTokenizer.CONTRACTIONS:
+            fits = after[0] == tail[0]
+            if len(tail) > 1:
+                fits &= after[1] == tail[1]
+            length[fits] = len(tail)
+        own = length > 0
+        quote, length = quote[own], length[own]
+        start[quote + 1] = False
+        end = quote + 1 + length
+        inside = end < len(raw)
+        # what follows it is a word of its own, unless white space follows
+        start[end[inside]] |= solid[end[inside]]
+    return start, solid
+
+
+SPACE, LETTER, DIGIT, SIGN = range(4)
+
+
+def _kinds() -> tuple[np.ndarray, np.ndarray]:
+    """Kinds of one-byte characters, and of two-byte ones by the low bits of both bytes."""
+
+    def kind(c: str) -> int:
+        if c in "\t\n\r ":
+            return SPACE
+        if re.match("[a-zªµºß-öø-ſ]", c):
+            return LETTER
+        return DIGIT if re.match("[0-9²³¹¼-¾]", c) else SIGN
+
+    one = np.full(256, SIGN, np.uint8)
+    one[:128] = [kind(chr(c)) for c in range(128)]
+    two = np.full(512, SIGN, np.uint8)
+    for c in range(0x80, 0x180):
+        a, b = chr(c).encode()
+        two[(a & 7) << 6 | b & 0x3F] = kind(chr(c))
+    return one, two
+
+
+KIND, KIND_OF_TWO = _kinds()
+
 
 @lru_cache(maxsize=1)
 def word_tokenizer(path: str) -> WordTokenizer:
@@ -203,9 +311,15 @@ def token_pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
         end = np.array([end_id], np.uint32)
         for b in batches:
             ids_col, texts = b.column(id_col), b.column(text_col)
-            for k in range(0, b.num_rows, 256):
+            # some MB of text at a time, at least one row
+            ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+            cuts = [0]
+            while cuts[-1] < b.num_rows:
+                done = int(ends[cuts[-1] - 1]) if cuts[-1] else 0
+                cuts.append(max(cuts[-1] + 1, int(np.searchsorted(ends, done + TOGETHER, side="right"))))
+            for k, to in zip(cuts, cuts[1:], strict=False):
                 rows, start, length, total, blobs = [], [], [], [], []
-                for i, ids in enumerate(tok.encode([t or "" for t in texts.slice(k, 256).to_pylist()])):
+                for i, ids in enumerate(tok.encode([t or "" for t in texts.slice(k, to - k).to_pylist()])):
                     ids = np.concatenate([ids, end]).astype("<u4")
                     for s in range(0, len(ids), window):
                         part = ids[s:s + window]

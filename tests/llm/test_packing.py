@@ -126,3 +126,18 @@ def test_words_are_encoded_once_per_worker(spark):
     tok.old, tok.new = tok.new, {}
     assert tok.encode(texts[:1])[0].tolist() == tok.tok.encode(texts[0], add_special_tokens=False).ids
     assert asked and len(asked) == len(set(asked)) and all(isinstance(v, bytes) for v in tok.new.values())
+
+
+def test_words_are_cut_by_the_rules_and_looked_up_once():
+    """Texts are cut together; the dictionary sees each distinct word of them once, not every word of every text."""
+    rng = np.random.default_rng(11)
+    letters = list("'''''sStTrRvVeEmMlLdDaz09 \n\t.,!éÉßÿŸŁłªº²½×÷¿¡Àſ")
+    texts = ["".join(rng.choice(letters, int(rng.integers(0, 40)))) for _ in range(1500)]
+    tok, asked = WordTokenizer(PATH), []
+    known = tok._known
+    tok._known = lambda words: asked.append(words) or known(words)
+    got = tok.encode(texts * 2)
+    assert len(asked) == 1 and len(asked[0]) == len(set(asked[0]))
+    assert all(WordTokenizer.PLAIN.fullmatch(t) for t in texts)
+    for t, one, again in zip(texts, got[:len(texts)], got[len(texts):], strict=True):
+        assert one.tolist() == again.tolist() == tok.tok.encode(t, add_special_tokens=False).ids, t
