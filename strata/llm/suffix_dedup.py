@@ -143,88 +143,102 @@ def anchors(raw: np.ndarray, offs: np.ndarray, min_len: int, seed: int):
 
 
 def rotation_order(x: np.ndarray, depth: int) -> np.ndarray:
-    """Starts of all rotations of ``x`` in order of their first ``depth`` bytes (or more), ties by start.
+    """Starts of all rotations of ``x`` in order of their first ``depth`` symbols (or more), ties by start.
 
     Prefix doubling. A sort key and the start that it belongs to are packed into one
-    number where they fit, so that numbers are sorted instead of places.
+    number where they fit, so that numbers are sorted instead of places. Only rotations
+    that still equal a neighbour are looked at again.
     """
     n = len(x)
     bits = max(n - 1, 1).bit_length()
+    wide = max(int(x.max(initial=0)), 1).bit_length()
     packed = 3 * bits <= 63
 
     def sort(key, idx):
         """``idx`` and ``key`` in order of key, then idx."""
         if packed:
-            both = np.sort((key << bits) | idx)
+            both = key << bits
+            both |= idx
+            both.sort()
             return both & ((1 << bits) - 1), both >> bits
         by = np.lexsort((idx, key))
         return idx[by], key[by]
 
-    slots = np.arange(n)
-    h = min(8, (63 - bits) // 8) if packed else 7
+    h = max(1, (63 - bits if packed else 62) // wide)
     ext = np.concatenate([x, np.resize(x, h)]).astype(np.int64)
     key = np.zeros(n, np.int64)
     for j in range(h):
-        key = key << 8 | ext[j:j + n]
-    order, k = sort(key, slots)
-    new = np.append(True, k[1:] != k[:-1])
+        key <<= wide
+        key |= ext[j:j + n]
+    order, key = sort(key, np.arange(n))
     rank = np.empty(n, np.int64)
-    while h < depth:
-        rank[order] = np.maximum.accumulate(np.where(new, slots, 0))
-        open_slots = np.flatnonzero(~(new & np.append(new[1:], True)))
-        if not len(open_slots):
-            break
-        idx = order[open_slots]
-        # idx + h is below 2 n
-        after = idx + h
-        after[after >= n] -= n
-        idx, key = sort(rank[idx] << bits | rank[after % n], idx)
-        order[open_slots] = idx
-        new[open_slots] |= np.append(True, key[1:] != key[:-1])
+    idx, at = order, np.arange(n)       # rotations that are not alone in their place yet, and their places
+    while True:
+        new = np.append(True, key[1:] != key[:-1])
+        group = at[np.maximum.accumulate(np.where(new, np.arange(len(at)), 0))]
+        rank[idx] = group
+        if h >= depth:
+            return order
+        left = np.flatnonzero(~(new & np.append(new[1:], True)))
+        if not len(left):
+            return order
+        idx, at = idx[left], at[left]
+        after = np.append(rank, np.resize(rank, h))[idx + h] if h < n else rank[(idx + h) % n]
+        idx, key = sort(group[left] << bits | after, idx)
+        order[at] = idx
         h *= 2
-    return order
 
 
 def expand_intervals(bwt: np.ndarray, min_len: int) -> np.ndarray:
     """Borders between neighbours of the rotation order whose common prefix is shorter than ``min_len``.
 
     Breadth-first backward extension: the intervals of level L are the strings of
-    length L whose right border was new. Prepending a byte c to an interval maps its
+    length L whose right border was new. Prepending a symbol c to an interval maps its
     ends by the number of c before them; a right border reached for the first time
     at level L has common prefix L.
     """
     n = len(bwt)
-    occ = np.argsort(bwt, kind="stable")
-    front = bwt[occ]                                       # first byte of each rotation
-    step = np.empty(n, np.int64)                           # a rotation's place after one byte is prepended
-    step[occ] = np.arange(n)
-    keys = front.astype(np.int64) * n + occ                # (byte, place), sorted: rank queries by binary search
-    symbols = np.unique(bwt).astype(np.int64)
+    # numbers of 32 bits where (symbol, place) fits
+    num = np.int32 if (int(bwt.max(initial=0)) + 1) * n < 1 << 31 else np.int64
+    occ = np.argsort(bwt, kind="stable").astype(num)
+    front = bwt[occ]                                       # first symbol of each rotation
+    step = np.empty(n, num)                                # a rotation's place after one symbol is prepended
+    step[occ] = np.arange(n, dtype=num)
+    keys = front.astype(num) * num(n) + occ                # (symbol, place), sorted: rank queries by binary search
+    symbols = np.unique(bwt).astype(num)
+    last = np.flatnonzero(np.append(bwt[1:] != bwt[:-1], True))[:n] + 1
+    alike = np.repeat(last, np.diff(last, prepend=0)).astype(num)   # where the run of equal symbols ends
     border = np.zeros(n + 1, bool)
     border[0] = border[n] = True
-    lo, hi = np.array([0]), np.array([n])
+    lo, hi = np.array([0], num), np.array([n], num)
     for _ in range(min_len):
         if not len(lo):
             break
-        width = hi - lo
-        one, wide = width == 1, width > 4 * len(symbols)
-        some = ~one & ~wide
-        # intervals of one rotation move as they are; wide ones try every byte; the rest the bytes that they hold
-        a, b = [step[lo[one]]], [step[lo[one]] + 1]
-        if wide.any():
-            c = np.tile(symbols, int(wide.sum())) * n
-            a.append(np.searchsorted(keys, c + np.repeat(lo[wide], len(symbols))))
-            b.append(np.searchsorted(keys, c + np.repeat(hi[wide], len(symbols))))
-        if some.any():
-            w = width[some]
-            owner = np.repeat(np.arange(len(w)), w)
-            place = np.arange(len(owner)) - np.repeat(np.cumsum(w) - w, w) + np.repeat(lo[some], w)
-            moved = np.sort(owner * n + step[place])
-            owner, moved = np.divmod(moved, n)
-            byte = front[moved]
-            first = np.flatnonzero(np.append(True, (owner[1:] != owner[:-1]) | (byte[1:] != byte[:-1])))
-            a.append(moved[first])
-            b.append(moved[np.append(first[1:], len(moved)) - 1] + 1)
+        # an interval before which one symbol stands moves as it is; of the others, wide ones try every
+        # symbol, the rest the symbols that they hold
+        same = alike[lo] >= hi
+        to = step[lo[same]]
+        a, b = [to], [to + (hi[same] - lo[same])]
+        mixed = np.flatnonzero(~same)
+        if len(mixed):
+            lo, hi = lo[mixed], hi[mixed]
+            width = hi - lo
+            wide = width > 4 * len(symbols)
+            if wide.any():
+                c = np.tile(symbols, int(wide.sum())) * num(n)
+                a.append(np.searchsorted(keys, c + np.repeat(lo[wide], len(symbols))).astype(num))
+                b.append(np.searchsorted(keys, c + np.repeat(hi[wide], len(symbols))).astype(num))
+                lo, width = lo[~wide], width[~wide]
+            if len(lo):
+                owner = np.repeat(np.arange(len(width)), width)
+                place = np.arange(len(owner)) + np.repeat(lo - np.cumsum(width) + width, width)
+                moved = owner * n + step[place]
+                moved.sort()
+                moved -= owner * n                      # owners stand as before
+                byte = front[moved]
+                first = np.flatnonzero(np.append(True, (owner[1:] != owner[:-1]) | (byte[1:] != byte[:-1])))
+                a.append(moved[first].astype(num))
+                b.append((moved[np.append(first[1:], len(moved)) - 1] + 1).astype(num))
         lo, hi = np.concatenate(a), np.concatenate(b)
         fresh = (hi > lo) & ~border[hi]
         lo, hi = lo[fresh], hi[fresh]

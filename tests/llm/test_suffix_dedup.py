@@ -39,6 +39,27 @@ def test_bwt_intervals_against_brute_force():
         assert list(zip(owner.tolist(), place.tolist(), strict=True)) == want
 
 
+def test_intervals_before_which_one_symbol_stands_move_as_they_are(monkeypatch):
+    """Many windows that share a long string: symbols are tried only where several stand before an interval."""
+    from strata.llm import suffix_dedup
+
+    rng = np.random.default_rng(12)
+    shared = bytes(rng.integers(97, 123, 120, dtype=np.uint8))
+    windows = [bytes(rng.integers(97, 123, 20, dtype=np.uint8)) + shared + bytes([97 + i % 2]) * 9
+               + bytes(rng.integers(97, 123, 20, dtype=np.uint8)) for i in range(300)]
+    x = np.frombuffer(b"\xff".join(windows) + b"\xff", np.uint8)
+    order = suffix_dedup.rotation_order(x, 100)
+    wrapped = bytes(x) + bytes(x[:200])
+    assert order.tolist() == sorted(range(len(x)), key=lambda i: (wrapped[i:i + 160], i))
+    calls, search = [], np.searchsorted
+    monkeypatch.setattr(np, "searchsorted", lambda *a, **kw: calls.append(1) or search(*a, **kw))
+    border = suffix_dedup.expand_intervals(x[order - 1], 100)
+    monkeypatch.undo()
+    same = [wrapped[i:i + 100] == wrapped[j:j + 100] for i, j in zip(order.tolist(), order[1:].tolist(), strict=False)]
+    assert border[1:-1].tolist() == [not s for s in same]
+    assert len(calls) < 60                          # not at each of 100 levels
+
+
 def test_every_string_has_an_anchor_whose_window_holds_it():
     rng = np.random.default_rng(6)
     texts = [bytes(rng.integers(97, 100, n, dtype=np.uint8)) for n in (0, 10, 39, 40, 41, 500)]
