@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.llm.common import give_back, lean
 from strata.session import scratch_dir
 
 BLOCK_BYTES = 8 << 20
@@ -93,7 +94,7 @@ class Blocks:
         self.schema = rows.schema
         self.name = f"strata_blocks_{uuid.uuid4().hex[:12]}"
         buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        blocks = rows.mapInArrow(_blocks(text_col, id_col, "ids", block_bytes), T.StructType([
+        blocks = rows.mapInArrow(lean(_blocks(text_col, id_col, "ids", block_bytes)), T.StructType([
             T.StructField("block", T.LongType()), T.StructField("ids", T.ArrayType(rows.schema[id_col].dataType)),
             T.StructField("body", T.BinaryType())]))
         (blocks.write.bucketBy(buckets, "block").option("path", scratch_dir(self.spark, "blocks"))
@@ -111,7 +112,7 @@ class Blocks:
             if not mine.num_rows:
                 return func(None, None, other)
             out = func(key[0].as_py(), unpack_rows(mine.column("body")[0].as_py()), other)
-            pa.default_memory_pool().release_unused()
+            give_back()
             return out
 
         return (self.table.select("block", "body").groupBy("block")

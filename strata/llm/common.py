@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import tempfile
 import zipfile
+from collections.abc import Callable, Iterator
+from functools import lru_cache
 from pathlib import Path
 
 import numpy as np
@@ -56,6 +59,63 @@ def release_shuffles(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+@lru_cache(maxsize=1)
+def _trim() -> Callable[[int], int]:
+    """The C library's way to return freed memory, where it has one."""
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (OSError, AttributeError):
+        return lambda keep: 0
+
+
+def give_back() -> None:
+    """Return memory that a Python worker has freed but its allocators keep.
+
+    Workers stay for other tasks and steps, several beside each other; without it each
+    holds what the largest batch so far took.
+    """
+    pa.default_memory_pool().release_unused()
+    _trim()(0)
+
+
+#: bytes of a batch or group that are worth a call of ``give_back``
+MUCH = 4 << 20
+
+
+def lean(func: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``func`` over batches, for ``mapInArrow``: freed memory is given back after large batches and at the end."""
+
+    def run(batches):
+        def each():
+            for b in batches:
+                much = b.nbytes >= MUCH
+                yield b
+                del b
+                if much:
+                    give_back()
+
+        try:
+            yield from func(each())
+        finally:
+            give_back()
+
+    return run
+
+
+def lean_group(func: Callable[[pa.Table], pa.Table]) -> Callable[[pa.Table], pa.Table]:
+    """``func`` over a group, for ``applyInArrow``: freed memory is given back after large groups."""
+
+    def run(tab: pa.Table) -> pa.Table:
+        much = tab.nbytes >= MUCH
+        out = func(tab)
+        del tab
+        if much:
+            give_back()
+        return out
+
+    return run
+
+
 def ascii_lower(col: Column) -> Column:
     """Lower-case A-Z only; null counts as empty text."""
     return F.translate(F.coalesce(col, F.lit("")), UPPER, UPPER.lower())

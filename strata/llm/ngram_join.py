@@ -43,7 +43,7 @@ from pyspark.sql import types as T
 
 from strata.llm import bitmaps
 from strata.llm.blocks import bucketed
-from strata.llm.common import LOWER_BYTES, release_shuffles, table, utf8
+from strata.llm.common import LOWER_BYTES, lean, lean_group, release_shuffles, table, utf8
 from strata.llm.components import components
 from strata.llm.suffix_dedup import SpanHash, mix
 from strata.session import stage
@@ -423,14 +423,14 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     docs = docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))
     texts = docs.select(F.col(f"`{text_col}`"))
     named = docs.select(F.xxhash64(F.col(f"`{id_col}`")).alias("id_hash"), F.col(f"`{text_col}`"))
-    rows, _ = stage(docs.mapInArrow(_sets(id_col, text_col, words), T.StructType([
+    rows, _ = stage(docs.mapInArrow(lean(_sets(id_col, text_col, words)), T.StructType([
         docs.schema[id_col], *[T.StructField(c, T.LongType()) for c in ("n", "c1", "c2")]])), "ngram-rows")
 
-    counts = texts.mapInArrow(_first_tokens(text_col, words, percent), "t long, n long")
+    counts = texts.mapInArrow(lean(_first_tokens(text_col, words, percent)), "t long, n long")
     common = share(bitmaps.build(counts.groupBy("t").agg(F.sum("n").alias("n")).filter(F.col("n") > common_from), "t", bits))
     order = ["t", "c1", "c2"]
     cols = "t long, c1 long, c2 long, n long, pos long, rare long"
-    cand, _ = stage(texts.mapInArrow(_prefixes(text_col, words, percent, common), cols)
+    cand, _ = stage(texts.mapInArrow(lean(_prefixes(text_col, words, percent, common)), cols)
                     .repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_drop_single, cols)
                     .dropDuplicates(["t", "c1", "c2"]), "ngram-prefixes")
 
@@ -452,7 +452,7 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     wanted = both.selectExpr("x1 AS c1", "x2 AS c2").union(both.selectExpr("y1 AS c1", "y2 AS c2")).distinct()
     bitmap = share(bitmaps.build(classes.join(wanted, ["c1", "c2"]).select(F.xxhash64("doc").alias("h")), "h", bits))
     # the sets are the bulk of the work: bucketed, they are written once and shuffled once, to their tasks
-    sets = bucketed(named.mapInArrow(_fetch(text_col, words, percent, bitmap), "c1 long, c2 long, p2 array<int>, p3 array<int>, tokens array<long>"), "c1", "c2")
+    sets = bucketed(named.mapInArrow(lean(_fetch(text_col, words, percent, bitmap)), "c1 long, c2 long, p2 array<int>, p3 array<int>, tokens array<long>"), "c1", "c2")
 
     # clusters of candidates: components of the pairs that pass every order, and of the stars
     edges = _other_orders(pairs, sets).unionByName(star).select(F.struct("x1", "x2").alias("x"), F.struct("y1", "y2").alias("y"))
@@ -465,8 +465,8 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     large = sized.join(whole.filter(F.col("whole") > BLOCK), "cluster")
     sketched = (_meetings(large, percent, by_tokens=False).join(sets.select("c1", "c2", "tokens"), ["c1", "c2"])
                 .select("task", "b", "o", "cluster", "c1", "c2", "cell", "n", "tokens")
-                .mapInArrow(_sketch(percent), "task long, b long, o long, cluster long, c1 long, c2 long, n long, sketch binary"))
-    may, n_may = stage(sketched.groupBy("task", "b", "o").applyInArrow(_may_link(percent), LINK), "ngram-may-link")
+                .mapInArrow(lean(_sketch(percent)), "task long, b long, o long, cluster long, c1 long, c2 long, n long, sketch binary"))
+    may, n_may = stage(sketched.groupBy("task", "b", "o").applyInArrow(lean_group(_may_link(percent)), LINK), "ngram-may-link")
     left = sized.join(whole.filter(F.col("whole") <= BLOCK).select("cluster"), "cluster").select("c1", "c2", "n", "cluster")
     if n_may:
         again = components(may.selectExpr("named_struct('c1', x1, 'c2', x2) AS x", "named_struct('c1', y1, 'c2', y2) AS y"))
@@ -476,7 +476,7 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     release_shuffles(spark)
     met = _meetings(left.join(left.groupBy("cluster").agg(F.count(F.lit(1)).alias("whole")), "cluster"), percent, by_tokens=True)
     links, n_links = stage(met.join(sets.select("c1", "c2", "tokens"), ["c1", "c2"]).groupBy("task", "b", "o")
-                           .applyInArrow(_verify(percent), LINK), "ngram-links")
+                           .applyInArrow(lean_group(_verify(percent)), LINK), "ngram-links")
     node = classes.select("c1", "c2", F.struct(F.col("doc").isNull().alias("none"), "doc", "c1", "c2").alias("node"))    # no id: last
     labels = node.select("c1", "c2", F.col("node.doc").alias("component"))
     if n_links:

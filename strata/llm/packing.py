@@ -36,12 +36,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import table
+from strata.llm.common import lean, table
 from strata.session import stage
 
 WINDOW = 4096
 END_ID = 2
-#: words kept in a worker's cache of encoded words (two generations of this size at most)
+#: words kept in a task's cache of encoded words (two generations of this size at most)
 CACHE_WORDS = 400_000
 #: characters of texts that are cut into words at once
 TOGETHER = 1 << 23
@@ -91,6 +91,10 @@ class WordTokenizer:
                 for w in some:
                     self.new[w] = np.array(self.tok.encode(w, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def forget(self) -> None:
+        """Let the words go."""
+        self.new, self.old = {}, {}
+
     def _known(self, words: list[str]) -> list[bytes]:
         """Ids of distinct words."""
         new, old = self.new, self.old
@@ -214,7 +218,7 @@ KIND, KIND_OF_TWO = _kinds()
 
 @lru_cache(maxsize=1)
 def word_tokenizer(path: str) -> WordTokenizer:
-    """The tokenizer of this Python worker: words that one task encoded are known to the next."""
+    """The tokenizer of this Python worker."""
     return WordTokenizer(path)
 
 
@@ -306,8 +310,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
                  window: int = WINDOW, end_id: int = END_ID) -> DataFrame:
     """Pieces of at most ``window`` ids: id, start, length, doc_tokens and ``ids`` (little-endian uint32)."""
 
-    def run(batches):
-        tok = word_tokenizer(tokenizer)
+    def cut(tok, batches):
         end = np.array([end_id], np.uint32)
         for b in batches:
             ids_col, texts = b.column(id_col), b.column(text_col)
@@ -333,8 +336,15 @@ def token_pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
                      pa.array(total, pa.int64()), pa.array(blobs, pa.binary())],
                     names=[id_col, "start", "length", "doc_tokens", "ids"])
 
+    def run(batches):
+        tok = word_tokenizer(tokenizer)
+        try:
+            yield from cut(tok, batches)
+        finally:        # other steps run in this worker after pack; its words would take their memory
+            tok.forget()
+
     return docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")).mapInArrow(
-        run, T.StructType([docs.schema[id_col], *PIECE]))
+        lean(run), T.StructType([docs.schema[id_col], *PIECE]))
 
 
 def place(pieces: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -395,6 +405,14 @@ def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, **kw) -> DataFra
     return place(token_pieces(docs, tokenizer, window=window, **kw), window)
 
 
+def place_digests(pieces: DataFrame, window: int = WINDOW) -> DataFrame:
+    """Pieces with the digest of their ids instead of them, sequence and offset."""
+    # the digest is taken before the pieces are staged, so ids are not stored; staged before they are
+    # numbered, or each task would hold a worker for either step
+    digests, _ = stage(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"), "packing-pieces")
+    return place(digests, window)
+
+
 def sequences(packed: DataFrame, window: int = WINDOW, pad_id: int = 0) -> DataFrame:
     """Materialised sequences: ids of a window in order, padded unless the length is a power of two.
 
@@ -416,8 +434,7 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     pieces = token_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
-    # the digest is taken before the pieces are staged, so ids are not stored twice
-    return place(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
+    return place_digests(pieces)
 
 
 QUERIES = {"op2_packing": op2_packing}

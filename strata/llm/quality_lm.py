@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.llm.blocks import Blocks, bucketed, pack_rows, unpack_rows
-from strata.llm.common import delete_folder, release_shuffles, table, utf8
+from strata.llm.common import delete_folder, give_back, release_shuffles, table, utf8
 from strata.llm.suffix_dedup import SpanHash
 from strata.session import owned_scratch, scratch_dir, stage
 
@@ -183,12 +183,20 @@ def _parcels(batches):
     """
 
     def close(held):
-        block, m, g, bits = (np.concatenate(c) for c in zip(*held, strict=True))
+        # column by column, so that few copies of the answers stand beside each other
+        cols = [list(c) for c in zip(*held, strict=True)]
+        held.clear()
+        block, m, g, bits = (np.concatenate(cols.pop(0)) for _ in range(4))
         by = np.lexsort((g, m, block))
-        block, m, g, bits = block[by], m[by], g[by], bits[by]
+        block = block[by]
+        m = m[by]
+        g = g[by]
+        bits = bits[by]
+        del by
         first = np.flatnonzero(np.append(True, block[1:] != block[:-1]))
         step = np.diff(g, prepend=0)
         step[first] = g[first]
+        del g
         for k in range(0, len(first), PARCELS):
             at = first[k:k + PARCELS].tolist()
             ends = [*at[1:], int(first[k + PARCELS]) if k + PARCELS < len(first) else len(block)]
@@ -210,9 +218,11 @@ def _parcels(batches):
             at = to
             if at < b.num_rows or size >= PARCEL_ROWS:
                 yield from close(held)
+                give_back()
                 held, size = [], 0
     if size:
         yield from close(held)
+    give_back()
 
 
 def _unpacked(parcels) -> list[np.ndarray]:
@@ -223,7 +233,7 @@ def _unpacked(parcels) -> list[np.ndarray]:
         out[0].append(t.column("m").to_numpy())
         out[1].append(np.cumsum(t.column("step").to_numpy()))
         out[2].append(t.column("bits").to_numpy())
-    return [np.concatenate(c) for c in out]
+    return [np.concatenate(out.pop(0)) for _ in range(3)]
 
 
 def _score(order: int):
@@ -233,9 +243,14 @@ def _score(order: int):
             return pa.table({c: pa.array([], pa.float64() if c == "bits" else pa.int64()) for c in names})
         am, ag, ab = _unpacked(answers.column("parcel"))
         by = np.lexsort((ag, am))
-        am, ag, ab = am[by], ag[by], ab[by]
+        am = am[by]
+        ag = ag[by]
+        ab = ab[by]
+        del by
         place, model, texts = _by_model(rows)
-        bits, count = np.zeros(rows.num_rows), np.zeros(rows.num_rows, np.int64)
+        total_rows = rows.num_rows
+        del rows
+        bits, count = np.zeros(total_rows), np.zeros(total_rows, np.int64)
         for at, raw, offs in _pieces(texts):
             g = grams(raw, offs, order)
             size = np.diff(offs)
@@ -250,7 +265,7 @@ def _score(order: int):
             total = np.concatenate([[0.0], np.cumsum(cost)])
             bits[place[at:at + len(size)]] = total[offs[1:]] - total[offs[:-1]]
             count[place[at:at + len(size)]] = size
-        return pa.table({"block": pa.array(np.full(rows.num_rows, block, np.int64)), "row": pa.array(np.arange(rows.num_rows)),
+        return pa.table({"block": pa.array(np.full(total_rows, block, np.int64)), "row": pa.array(np.arange(total_rows)),
                          "bits": pa.array(bits), "n": pa.array(count)})
 
     return run

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import release_shuffles, table, utf8
+from strata.llm.common import lean, release_shuffles, table, utf8
 from strata.session import owned_scratch, scratch_dir, stage
 
 MIN_LEN = 200
@@ -425,10 +425,10 @@ def repeated_spans(keyed: DataFrame, min_len: int = MIN_LEN, seed: int = SEED,
     # anchors that would fill a good part of a task, seen in one text of SAMPLED: their rows are dealt by
     # window and place, since none of them occurs once; all others meet under their anchor
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    seen, total = stage(texts.filter(F.pmod("k1", F.lit(SAMPLED)) == 0).mapInArrow(only_anchors, "a long"), "suffix-sample")
+    seen, total = stage(texts.filter(F.pmod("k1", F.lit(SAMPLED)) == 0).mapInArrow(lean(only_anchors), "a long"), "suffix-sample")
     often = (seen.groupBy("a").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= max(8, total // (4 * parts)))
              .select("a", F.lit(True).alias("hot")))      # at most 4 rows per partition
-    rows = (texts.mapInArrow(find, schema).join(F.broadcast(often), "a", "left")
+    rows = (texts.mapInArrow(lean(find), schema).join(F.broadcast(often), "a", "left")
             .select("k1", "k2", "p", "l", "n", "a", "h", F.coalesce("hot", F.lit(False)).alias("hot")))
     dealt = F.when(F.col("hot"), F.xxhash64("a", "h", "k1", "p")).otherwise(F.col("a"))
     cand, _ = stage(rows.repartition(dealt).sortWithinPartitions("a", "h")
@@ -461,7 +461,7 @@ def repeated_spans(keyed: DataFrame, min_len: int = MIN_LEN, seed: int = SEED,
                 names=["a", "h", "c", "kinds", "k1", "k2", "from", "l", "bytes"])
 
     windows, _ = stage(keyed.join(need, ["k1", "k2"]).mapInArrow(
-        cut, "a long, h long, c long, kinds long, k1 long, k2 long, from long, l int, bytes binary"), "suffix-windows", compression="zstd")
+        lean(cut), "a long, h long, c long, kinds long, k1 long, k2 long, from long, l int, bytes binary"), "suffix-windows", compression="zstd")
     release_shuffles(spark)
     cool, hot = windows.filter(F.col("kinds") <= hot_windows), windows.filter(F.col("kinds") > hot_windows)
     total = cool.agg(F.sum(F.length("bytes"))).first()[0] or 0
@@ -532,7 +532,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                            T.StructField("__spans", T.ArrayType(T.StructType([
                                T.StructField("s", T.LongType()), T.StructField("e", T.LongType())]))),
                            T.StructField("__n_bytes", T.LongType()), T.StructField("__kept", T.BinaryType())])
-    return joined.mapInArrow(cut, schema).select(
+    return joined.mapInArrow(lean(cut), schema).select(
         *[F.col(f"__c{i}").alias(c) for i, c in enumerate(names)], "__spans", "__n_bytes", "__kept")
 
 

@@ -141,3 +141,37 @@ def test_words_are_cut_by_the_rules_and_looked_up_once():
     assert all(WordTokenizer.PLAIN.fullmatch(t) for t in texts)
     for t, one, again in zip(texts, got[:len(texts)], got[len(texts):], strict=True):
         assert one.tolist() == again.tolist() == tok.tok.encode(t, add_special_tokens=False).ids, t
+
+
+def test_words_do_not_outlive_their_task(spark):
+    """Workers are used again by other steps, which need the memory."""
+    from strata.llm.packing import word_tokenizer
+
+    docs = spark.createDataFrame([(i, f"some words {i} and others{i}") for i in range(200)], "doc_id long, text string")
+    path = PATH
+
+    def kept(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            tok = word_tokenizer(path)
+            yield pa.RecordBatch.from_arrays([pa.array([len(tok.new) + len(tok.old)] * b.num_rows, pa.int64())], names=["n"])
+
+    token_pieces(docs, PATH).write.format("noop").mode("overwrite").save()
+    assert {r.n for r in docs.select("doc_id").mapInArrow(kept, "n long").collect()} == {0}
+
+
+def test_memory_goes_back_after_large_batches_and_at_the_end(monkeypatch):
+    import pyarrow as pa
+
+    from strata.llm import common
+
+    calls = []
+    monkeypatch.setattr(common, "give_back", lambda: calls.append(1))
+    batch = lambda n: pa.RecordBatch.from_arrays([pa.array(np.zeros(n, np.int64))], names=["n"])
+    twice = common.lean(lambda batches: (x for b in batches for x in (b, b)))
+    assert [b.num_rows for b in twice(iter([batch(1), batch(common.MUCH // 8), batch(2)]))] == [1, 1, common.MUCH // 8, common.MUCH // 8, 2, 2]
+    assert len(calls) == 2
+    group = common.lean_group(lambda tab: tab.slice(0, 1))
+    assert group(pa.table({"n": np.zeros(common.MUCH, np.int64)})).num_rows == 1 and len(calls) == 3
+    assert group(pa.table({"n": [1]})).num_rows == 1 and len(calls) == 3
