@@ -37,6 +37,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -57,6 +58,8 @@ COMMON = 32
 #: bits of the bitmaps that are broadcast (8 MB)
 BITS = 1 << 26
 TEXTS = 1000
+#: and bytes of them (at least one text); the arrays over them are tens of times as large
+TEXT_BYTES = 1 << 20
 #: classes of a cluster that meet others in one task, and tokens of their sets
 BLOCK = 512
 BLOCK_TOKENS = 4 << 20
@@ -70,8 +73,12 @@ ORDERS = [np.uint64(0), np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B42
 
 def token_sets(texts: pa.Array, words: int = WORDS):
     """(number, sorted distinct token hashes) of every text."""
-    for k in range(0, len(texts), TEXTS):
-        raw, offs = utf8(texts.slice(k, TEXTS))
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    to = 0
+    while to < len(texts):
+        k, done = to, int(ends[to - 1]) if to else 0
+        to = min(max(k + 1, int(np.searchsorted(ends, done + TEXT_BYTES, side="right"))), k + TEXTS)
+        raw, offs = utf8(texts.slice(k, to - k))
         raw = LOWER_BYTES[raw]
         inside = np.empty(len(raw) + 2, bool)
         inside[0] = inside[-1] = False

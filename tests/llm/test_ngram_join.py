@@ -71,3 +71,19 @@ def test_components(spark):
     got = {r.node: r.root for r in components(spark.createDataFrame(links, "x long, y long")).collect()}
     seen = {i for ab in links if ab[0] != ab[1] for i in ab}
     assert got == {i: want[i] for i in seen}
+
+
+def test_sets_are_built_from_few_bytes_at_a_time(monkeypatch):
+    """Slices of texts are bounded by bytes too, not only by rows; sets do not depend on them."""
+    import pyarrow as pa
+
+    from strata.llm import ngram_join
+
+    texts = pa.array([None, "", "a b", "one two three four " * 30, "x", None, "Ä b c d e f " * 50] * 20)
+    whole = [(i, t.tolist()) for i, t in ngram_join.token_sets(texts)]
+    seen, real = [], ngram_join.utf8
+    monkeypatch.setattr(ngram_join, "utf8", lambda a: seen.append(a) or real(a))
+    monkeypatch.setattr(ngram_join, "TEXT_BYTES", 1000)
+    assert [(i, t.tolist()) for i, t in ngram_join.token_sets(texts)] == whole
+    assert [i for i, _ in whole] == list(range(len(texts)))
+    assert len(seen) > 1 and all(len(a) == 1 or len(real(a)[0]) <= 1000 for a in seen)
