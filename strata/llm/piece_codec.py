@@ -28,7 +28,7 @@ text; repeated rows are encoded row by row; other columns are ignored.
 from __future__ import annotations
 
 import heapq
-from array import array
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +46,8 @@ SPACE = "▁"
 LONGEST = 60
 BLOCK_BYTES = 16 << 20
 TEXTS = 1 << 18
+#: distinct units of a block that are spelled together
+UNITS = 1 << 15
 #: block numbers that differ below this bit are answered together (blocks of 512 input partitions)
 SALT_BIT = 29
 #: an asker is one number: its block's number below SALT_BIT, then the unit's number in the block
@@ -73,6 +75,7 @@ class Vocabulary:
         byte_ids = [i for i in range(n) if m.is_byte(i)]
         return cls(normal, byte_ids if len(byte_ids) == 256 else None, m.unk_id(), n)
 
+    @cached_property
     def joins(self) -> tuple[np.ndarray, np.ndarray]:
         """Class of each code point, and which classes stand next to each other in some piece."""
         pairs = {(a, b) for _, p, _ in self.pieces for a, b in zip(p, p[1:], strict=False)}
@@ -85,6 +88,14 @@ class Vocabulary:
             joined[cls[ord(a)], cls[ord(b)]] = True
         return cls, joined
 
+    @cached_property
+    def spans(self) -> Pieces:
+        return Pieces(self.ids)
+
+    @cached_property
+    def speller(self) -> Speller:
+        return Speller(self)
+
     def piece_ids(self, symbol: str) -> list[int]:
         i = self.ids.get(symbol)
         if i is not None:
@@ -135,11 +146,105 @@ class Vocabulary:
         return out[::-1]
 
 
+class Pieces:
+    """Ids of spans of an array of code points: pieces are found by a hash and then compared, character by character."""
+
+    def __init__(self, ids: dict[str, int]):
+        texts = list(ids)
+        self.code = _code("".join(texts))
+        size = np.array([len(t) for t in texts], np.int64)
+        begin = np.cumsum(size) - size
+        h = self._hash(self.code)(begin, begin + size)
+        by = np.argsort(h)
+        # of two pieces with one hash the first is found; the other goes by its text
+        self.h, self.begin, self.size = h[by], begin[by], size[by]
+        self.ids = np.array(list(ids.values()), np.int64)[by]
+
+    @staticmethod
+    def _hash(code: np.ndarray) -> SpanHash:
+        return SpanHash(code, _mixed(code, 0))
+
+    def spell(self, vocab: Vocabulary, text: str, code: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the spans, which follow each other in ``text``, in a row, and how many each span has."""
+        count = np.ones(len(start), np.int64)
+        if not len(start):
+            return count, count
+        n = end - start
+        found, ids = np.zeros(len(start), bool), np.zeros(len(start), np.int64)
+        if len(self.h):
+            h = self._hash(code)(start, end)
+            at = np.minimum(np.searchsorted(self.h, h), len(self.h) - 1)
+            found = (self.h[at] == h) & (self.size[at] == n)
+            each = np.flatnonzero(found)
+            size = n[each]
+            inside = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+            same = code[np.repeat(start[each], size) + inside] == self.code[np.repeat(self.begin[at[each]], size) + inside]
+            wrong = np.repeat(each, size)[~same]
+            found[wrong] = False
+            ids = self.ids[at]
+        rest = np.flatnonzero(~found)
+        if not len(rest):
+            return ids, count
+        spelled: dict[str, list[int]] = {}
+        lists = []
+        for a, b in zip(start[rest].tolist(), end[rest].tolist(), strict=True):
+            symbol = text[a:b]
+            if symbol not in spelled:
+                spelled[symbol] = vocab.piece_ids(symbol)
+            lists.append(spelled[symbol])
+        count[rest] = [len(x) for x in lists]
+        own = np.repeat(~found, count)
+        ids = np.repeat(ids, count)
+        ids[own] = [i for x in lists for i in x]
+        return ids, count
+
+
+def _code(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+#: code points whose random words are kept in a table
+TABLED = 1 << 14
+SEEDS = (C1, np.uint64(0)), (C2, np.uint64(9))
+WORDS = [mix((np.arange(TABLED, dtype=np.uint64) + np.uint64(1)) * c + d) for c, d in SEEDS]
+
+
+def _mixed(code: np.ndarray, seed: int) -> np.ndarray:
+    """A random word per code point."""
+    out = WORDS[seed].take(code, mode="clip")
+    far = np.flatnonzero(code >= TABLED)
+    if len(far):
+        c, d = SEEDS[seed]
+        out[far] = mix((code[far].astype(np.uint64) + np.uint64(1)) * c + d)
+    return out
+
+
+def unit_ids(vocab: Vocabulary, words: list[str], masks: np.ndarray, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of units in a row, and how many each has; ``masks`` hold the cuts inside, 0 where the unit is split here."""
+    size = np.fromiter(map(len, words), np.int64, len(words))
+    text = "".join(words)
+    code = _code(text)
+    begin = np.cumsum(size) - size
+    cut = np.zeros(len(code), bool)
+    cut[begin] = True
+    bits = np.unpackbits(masks.astype("<i8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    unit, place = np.nonzero(bits)
+    inside = place < size[unit]
+    cut[begin[unit[inside]] + place[inside]] = True
+    split = vocab.merge if kind == "bpe" else vocab.viterbi
+    for k in np.flatnonzero((masks == 0) & (size > 1)).tolist():
+        parts = split(words[k])
+        cut[begin[k] + np.cumsum([0, *map(len, parts[:-1])])] = True
+    start = np.flatnonzero(cut)
+    ids, count = vocab.spans.spell(vocab, text, code, start, np.append(start[1:], len(code)))
+    return ids.astype(np.int32), np.add.reduceat(count, np.searchsorted(start, begin)).astype(np.int32)
+
+
 class Units:
     """Cuts texts into units and numbers the distinct ones by first sight."""
 
     def __init__(self, vocab: Vocabulary):
-        self.cls, self.joined = vocab.joins()
+        self.cls, self.joined = vocab.joins
         self.number: dict[str, int] = {}
         # two hashes and the number of units seen, by the first hash: a unit is looked up as text once
         self.seen = np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
@@ -151,34 +256,35 @@ class Units:
         size = np.array([len(t) for t in full], np.int64)
         if not text:
             return np.zeros(0, np.int64), np.zeros(len(texts), np.int64)
-        code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+        code = _code(text)
+        number = self.number
         c = self.cls[code]
-        cut = np.append(True, ~self.joined[c[:-1], c[1:]])
+        cut = np.append(True, ~self.joined.take(c[:-1].astype(np.int64) * len(self.joined) + c[1:]))
         ends = np.cumsum(size)
         cut[(ends - size)[size > 0]] = True
         start = np.flatnonzero(cut)
-        end = np.append(start[1:], len(code))
-        v = code.astype(np.uint64) + np.uint64(1)
-        h = SpanHash(code, mix(v * C1))(start, end)
-        keys, first, inverse = np.unique(h, return_index=True, return_inverse=True)
-        again = SpanHash(code, mix(v * C2 + np.uint64(9)))(start, end)
-        number, check = self.number, again[first]
+        # equal units become one; only the distinct ones are hashed
+        coded = pa.Array.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(np.append(start, len(code)) * 4), pa.py_buffer(code)]).dictionary_encode()
+        inverse = coded.indices.to_numpy()
+        _, offs, body = coded.dictionary.buffers()
+        offs = np.frombuffer(offs, np.int64, len(coded.dictionary) + 1) // 4
+        some = np.frombuffer(body, np.uint32, int(offs[-1]))
+        words = some.tobytes().decode("utf-32-le", "surrogatepass")
+        h, again = (SpanHash(some, _mixed(some, k))(offs[:-1], offs[1:]) for k in (0, 1))
+        by = np.argsort(h)
+        keys, check = h[by], again[by]
         seen, checks, numbers = self.seen
         at = np.searchsorted(seen, keys)
         known = np.append(seen, np.uint64(0))[at] == keys
         known[at == len(seen)] = False
-        if (again != check[inverse]).any() or (checks[at[known]] != check[known]).any():    # two units with one hash: go by the texts
-            words = [text[a:b] for a, b in zip(start.tolist(), end.tolist(), strict=True)]
-            _, first, inverse = np.unique(np.array(words, object), return_index=True, return_inverse=True)
-            known = np.zeros(len(first), bool)
-            own = np.zeros(len(first), np.int64)
-            keys = None
-        else:
-            own = np.append(numbers, 0)[at]
-        new = np.flatnonzero(~known)
-        own[new] = [number.setdefault(text[a:b], len(number)) for a, b in zip(start[first[new]].tolist(), end[first[new]].tolist(), strict=True)]
-        if keys is not None:
+        own = np.append(numbers, 0)[at]
+        clash = (keys[1:] == keys[:-1]).any() or (checks[at[known]] != check[known]).any()
+        new = np.arange(len(by)) if clash else np.flatnonzero(~known)       # two units with one hash: go by the texts
+        which = by[new]
+        own[new] = [number.setdefault(words[a:b], len(number)) for a, b in zip(offs[which].tolist(), offs[which + 1].tolist(), strict=True)]
+        if not clash:
             self.seen = np.insert(seen, at[new], keys[new]), np.insert(checks, at[new], check[new]), np.insert(numbers, at[new], own[new])
+        inverse = np.argsort(by)[inverse]
         return own[inverse], np.diff(np.searchsorted(start, np.append(0, ends)))
 
 
@@ -264,12 +370,11 @@ def _apply(vocab, kind, with_text):
     """Blocks (body, answers) -> ids per row, a part of the texts at a time."""
     def run(batches):
         v = vocab.value
-        speller = Speller(v)
         for b in batches:
             for body, answers in zip(b.column("body"), b.column("answers"), strict=True):
-                yield from one(v, speller, unpack_rows(body.as_py()), answers.values)
+                yield from one(v, unpack_rows(body.as_py()), answers.values)
 
-    def one(v, speller, rows, answers):
+    def one(v, rows, answers):
         units = Units(v)
         parts = [(number.astype(np.int32), count.astype(np.int32)) for number, count in map(units.cut, _texts(rows))]
         names = rows.column("id")
@@ -277,31 +382,12 @@ def _apply(vocab, kind, with_text):
         cuts = np.zeros(len(units.number), np.int64)
         if answers is not None and len(answers):
             cuts[answers.field("u").to_numpy()] = answers.field("cuts").to_numpy()
-        split = v.merge if kind == "bpe" else v.viterbi
-        flat = array("i")
-        size = np.zeros(len(units.number), np.int32)
-        known, before = v.ids, 0
-        for k, (w, mask) in enumerate(zip(units.number, cuts.tolist(), strict=True)):
-            if len(w) == 1:
-                flat.extend(v.piece_ids(w))
-            elif not mask:
-                for x in split(w):
-                    flat.extend(v.piece_ids(x))
-            else:
-                a, mask = 0, mask & -2      # bit 0 is the start
-                while mask:
-                    e = (mask & -mask).bit_length() - 1
-                    mask &= mask - 1
-                    i = known.get(w[a:e])
-                    if i is None:
-                        flat.extend(v.piece_ids(w[a:e]))
-                    else:
-                        flat.append(i)
-                    a = e
-            size[k] = len(flat) - before
-            before = len(flat)
-        del units, cuts
-        ids = np.frombuffer(flat, np.int32) if flat else np.zeros(0, np.int32)
+        words = list(units.number)
+        del units
+        some = [unit_ids(v, words[k:k + UNITS], cuts[k:k + UNITS], kind) for k in range(0, len(words), UNITS)]
+        del words, cuts
+        ids, size = (np.concatenate(c) for c in zip((np.zeros(0, np.int32),) * 2, *some, strict=True))
+        del some
         begin = np.cumsum(size, dtype=np.int64) - size
         at = 0
         parts.reverse()
@@ -313,7 +399,7 @@ def _apply(vocab, kind, with_text):
             some = ids[place]
             cols = [names.slice(at, len(count)).combine_chunks(), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(some, pa.int32()))]
             if with_text:
-                cols.append(pa.array(speller.texts(some, ends), pa.string()))
+                cols.append(pa.array(v.speller.texts(some, ends), pa.string()))
             at += len(count)
             yield pa.RecordBatch.from_arrays(cols, names=["id", "ids", "text"][:len(cols)])
         pa.default_memory_pool().release_unused()
@@ -386,7 +472,7 @@ def decode_with(encoded: DataFrame, vocab: Vocabulary, ids_col: str, to: str) ->
     encoded = encoded.drop(to) if to != ids_col else encoded
 
     def run(batches):
-        spell = Speller(shared.value)
+        spell = shared.value.speller
         for b in batches:
             lists = b.column(ids_col)
             ids = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)

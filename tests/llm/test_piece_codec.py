@@ -1,3 +1,4 @@
+import numpy as np
 import public_tokenizers
 import pyarrow.parquet as pq
 import pytest
@@ -113,3 +114,39 @@ def test_askers_do_not_travel_with_every_substring(spark):
         cuts = [k for k in range(len(t) + 1) if got[t].cuts >> k & 1]
         assert [t[a:b] for a, b in zip(cuts, cuts[1:], strict=False)] == v.merge(t)
         assert got[t].asked == [7, 8 + i] and got[t].salt == 0
+
+
+def test_units_are_spelled_together(model, monkeypatch):
+    """Ids of many units at once: only symbols without a piece, each once, go one by one."""
+    from strata.llm.piece_codec import unit_ids
+
+    v = Vocabulary.load(PATH)
+    units = Units(v)
+    units.cut([*ODD, "the international zoo of a thousand words"])
+    words = list(units.number)
+    masks = np.zeros(len(words), np.int64)
+    for k, w in enumerate(words):
+        if k % 3 and 1 < len(w) <= 60:      # the others are split here
+            masks[k] = sum(1 << int(e) for e in np.cumsum([0, *map(len, v.merge(w))]))
+    want = [[i for s in (v.merge(w) if len(w) > 1 else [w]) for i in v.piece_ids(s)] for w in words]
+    asked = []
+    real = Vocabulary.piece_ids
+    monkeypatch.setattr(Vocabulary, "piece_ids", lambda self, s: (asked.append(s), real(self, s))[1])
+    ids, size = unit_ids(v, words, masks, "bpe")
+    assert [x.tolist() for x in np.split(ids, np.cumsum(size)[:-1])] == want
+    assert len(asked) == len(set(asked)) and not set(asked) & set(v.ids)
+    spans = v.spans     # another piece stands where a hash says: the characters decide
+    spans.begin, spans.ids = np.roll(spans.begin, 1), np.roll(spans.ids, 1)
+    ids, size = unit_ids(v, words, masks, "bpe")
+    assert [x.tolist() for x in np.split(ids, np.cumsum(size)[:-1])] == want
+
+
+def test_equal_units_have_one_number():
+    units = Units(Vocabulary.load(PATH))
+    text = "a word, a WORD and é中\U0001f600 again a word"
+    number, count = units.cut([text, "", text, "other"])
+    words = {k: w for w, k in units.number.items()}
+    assert count[0] == count[2] and count[1] == 0
+    assert number[:count[0]].tolist() == number[count[0]:2 * count[0]].tolist()
+    assert "".join(words[k] for k in number) == ("▁" + text.replace(" ", "▁")) * 2 + "▁other"
+    assert len(words) == len(units.number) == len(set(number.tolist()))
