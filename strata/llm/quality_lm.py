@@ -49,6 +49,10 @@ PARCEL_ROWS = 1 << 20
 PARCELS = 256
 #: rows that leave a block's task at a time
 PART = 1 << 16
+#: bytes of text that a block's task looks at together
+PIECE = 1 << 18
+#: n-grams that wait, beside those merged before, until they are merged
+LOOSE = 1 << 18
 MARK = 1
 PRIOR = 200.0
 HIGH, MARGIN = 0.95, 6.0
@@ -117,13 +121,42 @@ def _by_model(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, pa.Table]:
     return by, model[by], rows.select(["text"]).take(pa.array(by))
 
 
-def _pieces(rows: pa.Table, size: int = 1 << 19):
-    """Slices of rows with about ``size`` bytes of text: (first row, symbols, offsets)."""
+class Counts:
+    """Distinct n-grams with counts, merged as they come: about twice what is left in the end is held."""
+
+    def __init__(self, counted: bool):
+        self.counted = counted
+        self.parts: list[tuple[np.ndarray, ...]] = []
+        self.loose = self.merged = 0
+
+    def add(self, g: np.ndarray) -> None:
+        self.parts.append(np.unique(g, return_counts=True) if self.counted else (_distinct(g),))
+        self.loose += len(self.parts[-1][0])
+        if self.loose > self.merged + LOOSE:
+            self.merge()
+
+    def merge(self) -> tuple[np.ndarray, ...]:
+        if self.loose:
+            g, *n = (np.concatenate(c) for c in zip(*self.parts, strict=True))
+            self.parts.clear()
+            if self.counted:
+                by = np.argsort(g)
+                g = g[by]
+                first = np.flatnonzero(np.append(True, g[1:] != g[:-1]))
+                self.parts = [(g[first], np.add.reduceat(n[0][by], first))]
+            else:
+                self.parts = [(_distinct(g),)]
+            self.merged, self.loose = len(self.parts[0][0]), 0
+        return self.parts[0]
+
+
+def _pieces(rows: pa.Table):
+    """Slices of rows with about ``PIECE`` bytes of text: (first row, symbols, offsets)."""
     raw, offs = utf8(rows.column("text"))
     at = 0
     n = len(offs) - 1
     while at < n:
-        to = max(at + 1, int(np.searchsorted(offs, offs[at] + size, side="right")) - 1)
+        to = max(at + 1, int(np.searchsorted(offs, offs[at] + PIECE, side="right")) - 1)
         to = min(to, n)
         yield at, *symbols(raw[offs[at]:offs[to]], offs[at:to + 1] - offs[at])
         at = to
@@ -141,8 +174,8 @@ def _ask(order: int):
         by, model, texts = _by_model(rows)
         good = good[by]
         del rows
-        asked: dict[int, list] = {}
-        train: dict[int, list] = {}
+        asked: dict[int, Counts] = {}
+        train: dict[int, Counts] = {}
         for at, raw, offs in _pieces(texts):
             g = grams(raw, offs, order)
             size = np.diff(offs)
@@ -150,27 +183,23 @@ def _ask(order: int):
             t = np.repeat(good[at:at + len(size)], size)
             for one in np.unique(model[at:at + len(size)][size > 0]):
                 own = m == one
-                asked.setdefault(int(one), []).append(_distinct(g[own]))
+                asked.setdefault(int(one), Counts(False)).add(g[own])
                 if (own & t).any():     # the other fold's model learns from it
-                    train.setdefault(int(one) ^ 1, []).append(np.unique(g[own & t], return_counts=True))
-        cols = [[], [], []]
-        while asked:
-            one, parts = asked.popitem()
-            u = _distinct(np.concatenate(parts))
-            cols[0].append(np.full(len(u), one))
-            cols[1].append(u)
-            cols[2].append(np.zeros(len(u), np.int64))
-        while train:
-            one, parts = train.popitem()
-            u, inv = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-            cols[0].append(np.full(len(u), one))
-            cols[1].append(u)
-            cols[2].append(np.bincount(inv, weights=np.concatenate([p[1] for p in parts])).astype(np.int64))
-        m, g, n = (np.concatenate(cols.pop(0) or [np.zeros(0, np.int64)]) for _ in range(3))
+                    train.setdefault(int(one) ^ 1, Counts(True)).add(g[own & t])
+        del texts
+        out = [none]
         # in parts: the other side of the pipe holds one of them at a time
-        return pa.Table.from_batches([
-            pa.RecordBatch.from_arrays([pa.array(np.full(len(m[k:k + PART]), block, np.int64)), pa.array(m[k:k + PART]), pa.array(g[k:k + PART]), pa.array(n[k:k + PART])],
-                                       names=["block", "m", "g", "n"]) for k in range(0, len(m), PART)] or [none])
+        for held in (asked, train):
+            while held:
+                one, counts = held.popitem()
+                u, *n = counts.merge()
+                n = n[0] if n else np.zeros(len(u), np.int64)
+                del counts
+                for k in range(0, len(u), PART):
+                    size = len(u[k:k + PART])
+                    out.append(pa.RecordBatch.from_arrays([pa.array(np.full(size, block, np.int64)), pa.array(np.full(size, one, np.int64)), pa.array(u[k:k + PART]),
+                                                           pa.array(n[k:k + PART])], names=["block", "m", "g", "n"]))
+        return pa.Table.from_batches(out)
 
     return run
 
@@ -226,7 +255,7 @@ def _parcels(batches):
 
 
 def _unpacked(parcels) -> list[np.ndarray]:
-    """m, g and bits of a block's parcels."""
+    """m, g and bits of parcels."""
     out = [[np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.float32)]]
     for blob in parcels:
         t = unpack_rows(blob.as_py())
@@ -236,17 +265,31 @@ def _unpacked(parcels) -> list[np.ndarray]:
     return [np.concatenate(out.pop(0)) for _ in range(3)]
 
 
+def _known(parcels) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """By model, sorted n-grams and their bits, from a block's parcels."""
+    held: dict[int, list] = {}
+    for blob in parcels:
+        m, g, bits = _unpacked([blob])
+        first = np.flatnonzero(np.append(True, m[1:] != m[:-1])).tolist() if len(m) else []
+        for x, y in zip(first, [*first[1:], len(m)], strict=False):
+            held.setdefault(int(m[x]), []).append((g[x:y], bits[x:y]))
+    out = {}
+    while held:
+        one, parts = held.popitem()
+        g, bits = (np.concatenate(c) for c in zip(*parts, strict=True))
+        parts.clear()
+        by = np.argsort(g, kind="stable")
+        out[one] = g[by], bits[by]
+    return out
+
+
 def _score(order: int):
     def run(block, rows, answers):
         names = ["block", "row", "bits", "n"]
         if rows is None:
             return pa.table({c: pa.array([], pa.float64() if c == "bits" else pa.int64()) for c in names})
-        am, ag, ab = _unpacked(answers.column("parcel"))
-        by = np.lexsort((ag, am))
-        am = am[by]
-        ag = ag[by]
-        ab = ab[by]
-        del by
+        known = _known(answers.column("parcel"))
+        del answers
         place, model, texts = _by_model(rows)
         total_rows = rows.num_rows
         del rows
@@ -257,11 +300,11 @@ def _score(order: int):
             m = np.repeat(model[at:at + len(size)], size)
             cost = np.zeros(len(g))
             for one in np.unique(model[at:at + len(size)][size > 0]):
-                lo, hi = np.searchsorted(am, [one, one + 1]) if one < np.iinfo(np.int64).max else (np.searchsorted(am, one), len(am))
                 own = np.flatnonzero(m == one)
-                if hi > lo:         # sorted first: neighbours are found near each other
+                if int(one) in known:       # sorted first: neighbours are found near each other
+                    ag, ab = known[int(one)]
                     own = own[np.argsort(g[own])]
-                    cost[own] = ab[lo + np.searchsorted(ag[lo:hi], g[own])]
+                    cost[own] = ab[np.searchsorted(ag, g[own])]
             total = np.concatenate([[0.0], np.cumsum(cost)])
             bits[place[at:at + len(size)]] = total[offs[1:]] - total[offs[:-1]]
             count[place[at:at + len(size)]] = size
@@ -328,7 +371,8 @@ class QualityModel:
     """Scores of all rows and the thresholds; see the module's text."""
 
     def __init__(self, docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 lang_col: str = "lang", order: int = ORDER, prior: float = PRIOR, high: float = HIGH, margin: float = MARGIN):
+                 lang_col: str = "lang", order: int = ORDER, prior: float = PRIOR, high: float = HIGH, margin: float = MARGIN,
+                 block_bytes: int = BLOCK_BYTES):
         self.columns = docs.columns
         self.schema = docs.schema
         lang = F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("\x00"))
@@ -339,7 +383,7 @@ class QualityModel:
                            *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns) if c not in (id_col, text_col)],
                            F.col(f"`{text_col}`").isNull().alias("empty"))
         self.own = {id_col: "id", text_col: "text"}
-        self.blocks = Blocks(rows, "id", "text", BLOCK_BYTES)
+        self.blocks = Blocks(rows, "id", "text", block_bytes)
         long = lambda c: T.StructField(c, T.LongType())
         known = trusted.select(F.col(f"`{id_col}`").alias("id")).filter("id IS NOT NULL").distinct()
         spark, path = docs.sparkSession, scratch_dir(docs.sparkSession, "quality-scores")

@@ -224,3 +224,48 @@ def test_questions_leave_in_parts(monkeypatch):
     out = quality_lm._ask(5)(7, rows, pa.table({"row": [0]}))
     assert out.num_rows > 100 and max(b.num_rows for b in out.to_batches()) <= 100
     assert quality_lm._ask(5)(None, None, None).num_rows == 0
+
+
+def test_counts_are_merged_as_they_come(monkeypatch):
+    monkeypatch.setattr(quality_lm, "LOOSE", 50)
+    rng = np.random.default_rng(3)
+    parts = [rng.integers(0, 300, 40) for _ in range(200)]
+    for counted in (False, True):
+        counts = quality_lm.Counts(counted)
+        for p in parts:
+            counts.add(p)
+            assert sum(len(x[0]) for x in counts.parts) <= 2 * 300 + 50 + 40
+        g, *n = counts.merge()
+        want = Counter(np.concatenate(parts).tolist())
+        assert g.tolist() == sorted(want) and (not counted or n[0].tolist() == [want[x] for x in sorted(want)])
+
+
+def test_asking_holds_little_beside_its_answer(monkeypatch):
+    """A block's repeated n-grams do not pile up piece by piece."""
+    import tracemalloc
+
+    monkeypatch.setattr(quality_lm, "PIECE", 1 << 14)
+    monkeypatch.setattr(quality_lm, "LOOSE", 1 << 10)
+    rng = np.random.default_rng(4)
+    words = ["".join(map(chr, rng.integers(97, 123, 7))) for _ in range(20)]
+    rows = pa.table({"text": [" ".join(rng.choice(words, 500)) for _ in range(500)], "m": pa.array([2] * 500)})
+    tracemalloc.start()
+    out = quality_lm._ask(5)(7, rows, pa.table({"row": np.arange(0, 500, 2)}))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 3 << 20, peak
+    n = np.asarray(out.column("n"))
+    raw, offs = quality_lm.utf8(rows.column("text"))
+    g = grams(*symbols(raw, offs), 5)
+    assert sorted(np.asarray(out.column("g"))[n == 0].tolist()) == sorted(set(g.tolist()))
+    assert set(np.asarray(out.column("m"))[n > 0].tolist()) == {3}
+
+
+def test_smaller_blocks_score_alike(spark):
+    docs = spark.createDataFrame([(i, f"text number {i * 7919} of some words {i}" * (i % 4), "en" if i % 3 else None) for i in range(200)],
+                                 "doc_id long, text string, lang string").coalesce(2)
+    trusted = spark.createDataFrame([(i,) for i in range(0, 200, 2)], "doc_id long")
+    got = [{r.id: (r.n, r.bits, r.keep) for r in QualityModel(docs, trusted, **kw).scores.collect()} for kw in ({}, {"block_bytes": 900})]
+    assert got[0].keys() == got[1].keys()
+    for i, (n, bits, keep) in got[0].items():
+        assert got[1][i][0] == n and got[1][i][2] == keep and got[1][i][1] == pytest.approx(bits, rel=1e-9)
