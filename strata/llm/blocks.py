@@ -78,7 +78,11 @@ def _blocks(text_col: str, id_col: str, id_name: str, block_bytes: int):
 
 
 def bucketed(df: DataFrame, *keys: str, compression: str = "snappy") -> DataFrame:
-    """``df`` written once to the shared folder, bucketed by ``keys``: joins and groups on them do not shuffle it."""
+    """``df`` written once to the shared folder, bucketed by ``keys``: joins and groups on them do not shuffle it.
+
+    A task writes a file for every bucket that it has rows of, and the driver holds all files of
+    the table; so ``df`` comes dealt by ``keys`` to as many partitions as there are buckets.
+    """
     spark = df.sparkSession
     name = f"strata_bucketed_{uuid.uuid4().hex[:12]}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))

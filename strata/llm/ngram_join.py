@@ -458,8 +458,12 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     both = pairs.unionByName(star)
     wanted = both.selectExpr("x1 AS c1", "x2 AS c2").union(both.selectExpr("y1 AS c1", "y2 AS c2")).distinct()
     bitmap = share(bitmaps.build(classes.join(wanted, ["c1", "c2"]).select(F.xxhash64("doc").alias("h")), "h", bits))
-    # the sets are the bulk of the work: bucketed, they are written once and shuffled once, to their tasks
-    sets = bucketed(named.mapInArrow(lean(_fetch(text_col, words, percent, bitmap)), "c1 long, c2 long, p2 array<int>, p3 array<int>, tokens array<long>"), "c1", "c2")
+    # the sets are the bulk of the work: bucketed, they are written once; dealt before, since the driver could not
+    # hold a file for every task and bucket
+    sets = (named.mapInArrow(lean(_fetch(text_col, words, percent, bitmap)), "c1 long, c2 long, p2 array<int>, p3 array<int>, tokens array<long>")
+            .repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "c1", "c2"))
+    sets = bucketed(sets, "c1", "c2")
+    release_shuffles(spark)
 
     # clusters of candidates: components of the pairs that pass every order, and of the stars
     edges = _other_orders(pairs, sets).unionByName(star).select(F.struct("x1", "x2").alias("x"), F.struct("y1", "y2").alias("y"))

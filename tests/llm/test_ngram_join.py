@@ -87,3 +87,18 @@ def test_sets_are_built_from_few_bytes_at_a_time(monkeypatch):
     assert [(i, t.tolist()) for i, t in ngram_join.token_sets(texts)] == whole
     assert [i for i, _ in whole] == list(range(len(texts)))
     assert len(seen) > 1 and all(len(a) == 1 or len(real(a)[0]) <= 1000 for a in seen)
+
+
+def test_sets_are_one_file_per_bucket(spark, monkeypatch):
+    # the driver holds every file of the table: a file for every task and bucket grows with the square of the input
+    from strata.llm import ngram_join
+
+    tables = []
+    monkeypatch.setattr(ngram_join, "bucketed", lambda *a, own=ngram_join.bucketed, **b: tables.append(own(*a, **b)) or tables[-1])
+    texts = [f"a passage of text that number {i // 2} has but for one word at its very end {i % 2}" for i in range(300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(12)
+    got = {r.doc_id: r.component_id for r in similar_groups(docs, words=2, percent=80, bits=1 << 16).collect()}
+    assert got == {i: i // 2 * 2 for i in range(300)}
+    files = [t.inputFiles() for t in tables]
+    assert [len(f) <= int(spark.conf.get("spark.sql.shuffle.partitions")) for f in files] == [True]
+    assert tables[0].select("c1", "c2").distinct().count() == 300
